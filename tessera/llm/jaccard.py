@@ -165,16 +165,17 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     head = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid"))
     classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), head.alias("head")).select("node", "n", "parity", "head", F.col("head.rid").alias("rid")), "classes")
     keys = some.select(F.explode("keys").alias("key"), "node")
-    groups = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low")
+    # Grouped values are written before they are joined back, so that adaptive execution can split a hot key.
+    groups = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low"), "groups")
     live = written(keys.join(groups, "key").distinct(), "live")
     degree = live.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    central = live.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("a"))
+    central = written(live.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("a")), "central")
     stars = live.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(live.join(central, "key").select("a", F.col("node").alias("b")))
     links = written(_links(rows, classes, _ordered(stars), shingle, percent), "links")
     first = components(links)
 
     placed = live.select("key", "node").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    open_ = written(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key"), "keys")
     left = written(placed.join(open_, "key").join(classes.select("node", "n", "parity"), "node"), "open")
     a = left.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     b = left.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
@@ -185,7 +186,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     whole = classes.select("node", "head").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = whole.groupBy("component").agg(F.min("head").alias("head"))
     labels = whole.select("node", "component").join(heads, "component").select("node", F.col("head.doc_id").alias("component_id"), F.col("head.rid").alias("leader"))
-    return info.join(labels.withColumn("n", F.lit(1)).drop("n"), "node", "left").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("leader")).otherwise(F.col("rid")).alias("leader"))
+    return info.join(labels, "node", "left").select("doc_id", "rid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("leader")).otherwise(F.col("rid")).alias("leader"))
 
 
 def keep_leaders(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> DataFrame:

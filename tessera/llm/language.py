@@ -69,7 +69,7 @@ class LanguageModel:
         lettered = pc.match_substring_regex(words.uniques, r"\p{L}").to_numpy(zero_copy_only=False)
         words = words.keep(lettered)
         out = np.zeros((len(words.offsets) - 1, len(self.languages)))
-        if not len(words.codes):
+        if not (len(words.codes) and self.languages):
             return out
         some = np.flatnonzero(words.counts)
         offsets = np.concatenate([words.offsets[some], words.offsets[-1:]])

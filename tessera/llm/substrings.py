@@ -143,7 +143,8 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, with_text: bool = False
     word sequences are extended to windows of twice the length, which are compared in full; and so
     on until ``window`` is reached.  Documents of one word sequence form a class: all but those of the
     smallest ``doc_id`` go whole, and only these take part in later levels.  Windows are compared by
-    64-bit hashes.
+    64-bit hashes.  Grouped minima are written before they are joined back: then both sides of the
+    join are plain shuffles, and adaptive execution splits a passage that very many documents share.
 
     Texts shorter than ``window``, null and empty texts lose nothing.  A row with a null ``doc_id``
     loses nothing and takes nothing from others.  Repeats inside one document, and rows that share a
@@ -159,11 +160,11 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, with_text: bool = False
     leaders = base.filter("doc_id IS NOT NULL AND size(hashes) > 0").join(classes, ["whole", "n_words"]).filter("doc_id = first")
     level = written(leaders.select("doc_id", "rid", F.explode(F.arrays_zip("hashes", "positions")).alias("x")).select(F.col("x.hashes").alias("h"), "doc_id", "rid", F.col("x.positions").alias("position")), "level")
     for k, reach in enumerate(lengths[1:], 1):
-        shared = level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h")
+        shared = written(level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h"), "shared")
         found = level.join(shared, "h").groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions"))
         parts = packed_texts(rows).join(found, ["doc_id", "rid"])
         level = written(_next_level(parts, lengths[k - 1], reach, k == 1), "level")
-    low = level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h", "low")
+    low = written(level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h", "low"), "low")
     gone = level.join(low, "h").filter("low < doc_id").groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions"))
     cut = _remove(packed_texts(rows).join(gone, ["doc_id", "rid"]), window)
     cut = (cut if with_text else cut.withColumn("kept", F.lit(None).cast("string"))).dropDuplicates(["doc_id", "rid"])

@@ -97,6 +97,7 @@ def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0) -> Da
     staged = written(_stage(pages), "pages")
     order = F.struct(F.col("page_id").isNull().alias("no"), "page_id", "uid")
     same = staged.filter(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    same = written(same, "same")  # a plain side, so that adaptive execution can split a hot payload
     repeats = staged.select("uid", "digest", "size").join(same, ["digest", "size"]).filter("uid <> first.uid").select("uid", F.col("first.page_id").alias("refers_to"), F.lit(True).alias("revisit"))
     rows = staged.join(repeats, "uid", "left")
 
