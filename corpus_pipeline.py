@@ -26,10 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; documents that are left without a word go too."""
+    """Lines found in ten documents or more go; every document stays, if need be with an empty text."""
     cleaned = clean_lines(docs.select(*COLUMNS), least_docs=10, least_chars=1)
-    rows = cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _segments(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(node, fragment, segment): the sets of the given nodes (node, rid), cut along the n-gram order."""
 
     def run(batches):
-        for batch in batches:
+        for batch in w.chunks(batches, "size"):
             node, fragment, segment = [], [], []
             for x, s in zip(batch.column("node").to_pylist(), shingle_sets(unpacked(batch.column("packed"), batch.column("size")), shingle), strict=True):
                 cuts = np.searchsorted(s, np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(62))

@@ -16,6 +16,8 @@ from tessera.llm import words as w
 
 #: Words whose ids stay cached in a Python worker, about.
 CACHE_WORDS = 600_000
+#: Larger chunks hold fewer distinct words in all.
+CHUNK_BYTES = 16 << 20
 LETTER = "[A-Za-z0-9À-ÖØ-öø-ÿ]"
 _MODELS: dict[str, tuple] = {}
 
@@ -176,7 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = 2048,
 
     def run(batches):
         base, held, pieces = TaskContext.get().partitionId() << 32, 0, []
-        for batch in w.chunks(batches):
+        for batch in w.chunks(batches, most=CHUNK_BYTES):
             ids, offsets = token_stream(w.texts_of(batch), tokenizer_path, end_id)
             total = np.diff(offsets)
             cuts = -(-total // window)

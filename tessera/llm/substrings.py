@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,11 +86,11 @@ def _next_level(parts: DataFrame, length: int, reach: int, first: bool) -> DataF
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in w.chunks(batches, "size"):
             words = w.split(unpacked(batch.column("packed"), batch.column("size")))
             hashes = w.window_hashes(w.string_hashes(words.uniques)[words.codes], reach)
             given = batch.column("positions")
-            n = np.diff(given.offsets.to_numpy())
+            n = pc.list_value_length(given).to_numpy(zero_copy_only=False)
             flat = given.flatten().to_numpy().astype(np.int64) + np.repeat(words.offsets[:-1], n)
             marked = np.zeros(len(words.codes) + reach, np.int64)
             if first:
@@ -113,7 +114,7 @@ def _remove(parts: DataFrame, window: int) -> DataFrame:
     """Words left after those covered by windows at ``positions`` go."""
 
     def run(batches):
-        for batch in batches:
+        for batch in w.chunks(batches, "size"):
             words = w.split(unpacked(batch.column("packed"), batch.column("size")))
             listed, removed, shas, texts = words.uniques.to_pylist(), [], [], []
             for i, starts in enumerate(batch.column("positions")):

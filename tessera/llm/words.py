@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 #: Multiplier of the window polynomial (odd, so it has an inverse modulo 2**64).
 _Q = 0x9E3779B97F4A7C15
@@ -46,11 +46,15 @@ class Words:
 
 
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about ``most`` bytes of text each; a longer text stands alone."""
+    """Slices of the batches with about ``most`` bytes of text each; a longer text stands alone.
+
+    ``text`` may also name an integer column that holds the sizes.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        column = batch.column(text)
+        sizes = pc.fill_null(column if pa.types.is_integer(column.type) else pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(sizes)
         first = 0
         while first < batch.num_rows:
