@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import keyed, shared_folder
+from tessera.llm.shared import keyed, shared_folder, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \\t\\n\\u000b\\f\\r"
@@ -90,7 +90,9 @@ def drop_lines(docs: DataFrame, runs: LineRuns, *, least_chars: int = 1) -> Data
 
     The hashes, not the texts, meet the runs; what is to go comes back as one short array per row.
     """
-    gone = line_hashes(docs, least_chars).join(runs.settled(), ["h", "g"]).groupBy("rid").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
+    # Written first: both sides of the join are plain shuffles then, and a very common line can be split.
+    settled = written(runs.settled(), "settled")
+    gone = line_hashes(docs, least_chars).join(settled, ["h", "g"]).groupBy("rid").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
     names = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*names).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     kept = F.expr(f"CASE WHEN gone IS NULL THEN lines ELSE filter(lines, l -> NOT array_contains(gone, {_HASH})) END")
