@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from functools import cache
+from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from tessera.llm.shared import components, keyed, packed_texts, unpacked, writte
 
 #: Vertical fragments in which overlaps are counted.
 FRAGMENTS = 4
-#: Fragments beyond the pigeonhole's need, so that an empty one in common rarely matters.
+#: Fragments beyond the pigeonhole's need and those that are empty by chance.
 SPARE = 2
 PARITY_WORDS = 8
 _INFO = "doc_id bigint, rid bigint, node bigint, n bigint, parity array<bigint>, keys array<bigint>"
@@ -45,29 +47,39 @@ def size_classes(most: int = 1 << 40) -> list[int]:
 BOUNDS = size_classes()
 
 
+@cache
+def spare_fragments(k: int, percent: int, differ: int) -> int:
+    """Fragments of size class k beyond the pigeonhole's need: about as many as the least set leaves empty, by chance."""
+    empty = (differ + 1) * exp(-BOUNDS[k - 1] / (1.1 * (differ + 1)))
+    return SPARE + ceil(empty + 3 * sqrt(empty))
+
+
 def fragment_keys(s: np.ndarray, percent: int) -> np.ndarray:
     """Keys of which two sets that are similar enough share one at least.
 
     The n-gram order (by hash) is cut into m fragments, m more than the n-grams in which two sets of
-    the size class may differ, so in one fragment they agree; a key is the hash of a fragment's part.
-    A set also takes the fragments of the larger classes that its partners may belong to.  An empty
-    part says nothing, so there are SPARE more fragments than needed, and a set with more empty parts
-    than that gives a key for each of them.
+    the size class may differ, so in m - differ fragments they agree; a key is the hash of a
+    fragment's part.  A set also takes the fragments of the larger classes that its partners may
+    belong to.  An empty part gives no key, for it would bring together sets with nothing in common.
+    If every part in which two sets agree is empty, both have at least m - differ empty parts; such
+    sets give their first n-grams in the order as well (as many as a similar set must meet in one).
     """
-    own, last = bisect_right(BOUNDS, len(s)), bisect_right(BOUNDS, len(s) * 100 // percent)
-    keys = []
+    n = len(s)
+    own, last = bisect_right(BOUNDS, n), bisect_right(BOUNDS, n * 100 // percent)
+    keys, sparse = [], False
     for k in range(own, last + 1):
         differ = (100 - percent) * 2 * (BOUNDS[k] - 1) // (100 + percent)
         if not differ:
             continue
-        m = differ + 1 + SPARE
+        spare = spare_fragments(k, percent, differ)
+        m = differ + 1 + spare
         part = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         first = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
         sums = np.add.reduceat(w.mix(s + np.uint64(k)), first)
         keys.append(w.mix(sums ^ w.mix(part[first] + np.uint64(k << 40))))
-        if m - len(first) > SPARE:
-            empty = np.setdiff1d(np.arange(m, dtype=np.uint64), part[first])
-            keys.append(w.mix(w.mix(empty + np.uint64(k << 40)) + np.uint64(1)))
+        sparse |= m - len(first) > spare
+    if sparse:
+        keys.append(w.mix(s[: n - -(-n * percent // 100) + 1] + np.uint64(1)))
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
