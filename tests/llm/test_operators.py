@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.llm.jaccard import fragment_keys
 from tessera.llm import decontaminate, jaccard, language, lines, packing, quality, queries, secrets, substrings, toxicity, warc
 from tessera.llm import words as w
 from tests.llm import brute
@@ -203,3 +204,18 @@ def test_words():
     text = pa.array(["a  b\tc", "", " x y \x0b", None])
     words = w.split(pa.array(text.fill_null("")))
     assert [[words.uniques[k].as_py() for k in words.codes[a:b]] for a, b in zip(words.offsets, words.offsets[1:])] == [["a", "b", "c"], [], ["x y"], []]
+
+
+def test_similar_sets_share_a_fragment_key():
+    rng = np.random.default_rng(0)
+    met = 0
+    for n in [*range(1, 60), 200, 900] * 12:
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) >> np.uint64(rng.choice([0, 0, 3, 9])))
+        gone, added = rng.integers(0, n // 9 + 2), rng.integers(0, n // 9 + 2)
+        b = np.unique(np.concatenate([rng.permutation(a)[min(gone, len(a) - 1) :], rng.integers(0, 2**63, added, dtype=np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        for percent in (80, 90):
+            if 100 * common >= percent * (len(a) + len(b) - common) and not np.array_equal(a, b):
+                met += 1
+                assert len(np.intersect1d(fragment_keys(a, percent), fragment_keys(b, percent)))
+    assert met > 100
