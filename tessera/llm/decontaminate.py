@@ -132,7 +132,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, least_words: int, identity: flo
                     old = batch.column("overlaps").to_pylist()
                     yield batch.set_column(batch.schema.get_field_index("overlaps"), "overlaps", pa.array([a + b for a, b in zip(old, found, strict=True)], _OVERLAP))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = docs.mapInArrow(w.releasing(run), schema)
     return docs
 
 

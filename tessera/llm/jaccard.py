@@ -100,7 +100,7 @@ def _describe(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
             bits = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * PARITY_WORDS, np.concatenate([parity(s) for s in sets]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(node, pa.int64()), pa.array(size), bits, pa.ListArray.from_arrays(cuts, np.concatenate(keys))], names=["doc_id", "rid", "node", "n", "parity", "keys"])
 
-    return rows.mapInArrow(run, _INFO)
+    return rows.mapInArrow(w.releasing(run), _INFO)
 
 
 def _near(percent: int):
@@ -125,7 +125,7 @@ def _segments(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(fragment, pa.int32()), pa.array(segment, pa.binary())], names=["node", "fragment", "segment"])
 
     texts = packed_texts(rows).drop("doc_id").join(nodes, "rid").select("node", "packed", "size")
-    return texts.mapInArrow(run, "node bigint, fragment int, segment binary")
+    return texts.mapInArrow(w.releasing(run), "node bigint, fragment int, segment binary")
 
 
 def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int,
 
     cut = pairs.withColumn("fragment", F.explode(F.array(*map(F.lit, range(FRAGMENTS)))))
     cut = cut.join(segments.toDF("a", "fragment", "sa"), ["a", "fragment"]).join(segments.toDF("b", "fragment", "sb"), ["b", "fragment"])
-    parts = cut.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(overlap, "a bigint, b bigint, na bigint, nb bigint, common bigint")
+    parts = cut.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(w.releasing(overlap), "a bigint, b bigint, na bigint, nb bigint, common bigint")
     total = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
     return total.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 

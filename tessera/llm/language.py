@@ -136,7 +136,7 @@ def train_languages(docs: DataFrame, *, max_rows_per_language: int = 4_000, smoo
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(b), pa.array(table[k, b])], names=["k", "bucket", "n"])
 
     table = np.zeros((1 << BUCKET_BITS, len(languages)))
-    rows = sample.mapInArrow(count, "k bigint, bucket bigint, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+    rows = sample.mapInArrow(w.releasing(count), "k bigint, bucket bigint, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
     for k, b, n in rows.toArrow().to_pandas().itertuples(index=False):
         table[b, k] = n
     table += smoothing
@@ -164,7 +164,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
             listed = [" ".join(f"{names[k]}:{row[k]:.2f}" for k in np.argsort(-row, kind="stable") if row[k] >= 0.005) for row in mixture]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([names[k] for k in first], pa.string()), pa.array(score, pa.float64()), pa.array(listed, pa.string())], names=["doc_id", "held_out", "lang_pred", "score", "mixture"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(w.releasing(run), SCHEMA)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, *, least_score: float) -> DataFrame:
@@ -183,4 +183,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel, *, least_score: float
                 good = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(w.releasing(run), docs.schema)

@@ -197,4 +197,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, window: int = 2048,
         if pieces:
             yield packed(pieces, base)[1]
 
-    return docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text").mapInArrow(run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, seq_tokens bigint, padded_to bigint" + (", ids array<int>" if with_ids else ""))
+    return docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text").mapInArrow(w.releasing(run), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, seq_tokens bigint, padded_to bigint" + (", ids array<int>" if with_ids else ""))

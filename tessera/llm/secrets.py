@@ -92,7 +92,7 @@ def labelled_samples(docs: DataFrame, *, max_rows: int = 2_000, max_tokens: int
             listed = sorted(found)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in listed], pa.string()), pa.array([k for _, k in listed], pa.int32())], names=["token", "label"])
 
-    rows = part.mapInArrow(run, "token string, label int").distinct().orderBy(F.xxhash64("token"), "token", "label").limit(max_tokens).collect()
+    rows = part.mapInArrow(w.releasing(run), "token string, label int").distinct().orderBy(F.xxhash64("token"), "token", "label").limit(max_tokens).collect()
     for token, label in rows:
         (secrets if label else ordinary).add(token)
     return [(x, 1) for x in (*sorted(secrets), *random_strings(4_000))] + [(x, 0) for x in sorted(ordinary - secrets)]
@@ -124,7 +124,7 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
             spans = pa.array([[{"kind": KINDS[k], "start": a, "stop": b, "secret": x} for a, k, b, x in r] for r in rows], pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("secret", pa.string())])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, spans], names=["doc_id", "n_assign", "n_access", "n_hex", "n_markov", "spans"])
 
-    return docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text").mapInArrow(run, _ROW)
+    return docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text").mapInArrow(w.releasing(run), _ROW)
 
 
 def spans_text(kinds: tuple[str, ...] = KINDS):

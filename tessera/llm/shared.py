@@ -43,7 +43,7 @@ def packed_texts(rows: DataFrame) -> DataFrame:
             sizes = [len(x.as_py().encode()) for x in w.texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())], names=["doc_id", "rid", "packed", "size"])
 
-    return rows.mapInArrow(run, "doc_id bigint, rid bigint, packed binary, size bigint")
+    return rows.mapInArrow(w.releasing(run), "doc_id bigint, rid bigint, packed binary, size bigint")
 
 
 def unpacked(packed: pa.Array, sizes: pa.Array) -> pa.Array:

@@ -75,7 +75,7 @@ def _first_level(rows: DataFrame, length: int, reach: int) -> tuple[DataFrame, D
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (h.view(np.int64), (at - words.offsets[of]).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(size), pa.array([_digest(words, listed, i) for i in range(batch.num_rows)]), pa.array(whole), *lists], names=["doc_id", "rid", "n_words", "sha", "whole", "hashes", "positions"])
 
-    return rows.mapInArrow(run, "doc_id bigint, rid bigint, n_words bigint, sha string, whole bigint, hashes array<bigint>, positions array<int>")
+    return rows.mapInArrow(w.releasing(run), "doc_id bigint, rid bigint, n_words bigint, sha string, whole bigint, hashes array<bigint>, positions array<int>")
 
 
 def _next_level(parts: DataFrame, length: int, reach: int, first: bool) -> DataFrame:
@@ -107,7 +107,7 @@ def _next_level(parts: DataFrame, length: int, reach: int, first: bool) -> DataF
             key, rid = batch.column("doc_id").to_numpy(), batch.column("rid").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(hashes[starts].view(np.int64)), pa.array(key[of]), pa.array(rid[of]), pa.array((starts - words.offsets[of]).astype(np.int32))], names=["h", "doc_id", "rid", "position"])
 
-    return parts.select("doc_id", "rid", "packed", "size", "positions").mapInArrow(run, "h bigint, doc_id bigint, rid bigint, position int")
+    return parts.select("doc_id", "rid", "packed", "size", "positions").mapInArrow(w.releasing(run), "h bigint, doc_id bigint, rid bigint, position int")
 
 
 def _remove(parts: DataFrame, window: int) -> DataFrame:
@@ -130,7 +130,7 @@ def _remove(parts: DataFrame, window: int) -> DataFrame:
                 removed.append(int(drop.sum()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(removed, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], names=["doc_id", "rid", "n_removed", "kept_sha256", "kept"])
 
-    return parts.select("doc_id", "rid", "packed", "size", "positions").mapInArrow(run, "doc_id bigint, rid bigint, n_removed bigint, kept_sha256 string, kept string")
+    return parts.select("doc_id", "rid", "packed", "size", "positions").mapInArrow(w.releasing(run), "doc_id bigint, rid bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def remove_repeats(docs: DataFrame, *, window: int = 50, with_text: bool = False) -> DataFrame:
