@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm import words as w
 
 BUCKET_BITS = 16
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, mixture string"
 
 
@@ -75,7 +75,7 @@ class LanguageModel:
         offsets = np.concatenate([words.offsets[some], words.offsets[-1:]])
         ratios = self.word_ratios(words.uniques)
         full, _ = self._em(ratios, words.codes, offsets, np.ones((len(some), len(self.languages)), bool))
-        singles = w.sums(np.log(ratios)[words.codes], offsets)
+        singles = np.add.reduceat(np.log(ratios)[words.codes], offsets[:-1], axis=0)
         order = np.argsort(-full, axis=1, kind="stable")
         best = np.take_along_axis(singles, singles.argmax(axis=1)[:, None], 1)[:, 0]
         chosen = np.eye(len(self.languages))[singles.argmax(axis=1)]
