@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from functools import cache
+from functools import cache, reduce
 from math import ceil, exp, sqrt
 
 import numpy as np
@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
-from tessera.llm.shared import components, keyed, packed_texts, unpacked, written
+from tessera.llm.shared import components, discard, keyed, packed_texts, unpacked, written
 
 #: Vertical fragments in which overlaps are counted.
 FRAGMENTS = 4
 #: Fragments beyond the pigeonhole's need and those that are empty by chance.
 SPARE = 2
 PARITY_WORDS = 8
-_INFO = "doc_id bigint, rid bigint, node bigint, n bigint, parity array<bigint>, keys array<bigint>"
+#: Parts of the keys that are grouped one after another, so that only one part's shuffles take disk at a time.
+PASSES = 4
+_INFO = "doc_id bigint, rid bigint, node bigint, n bigint, parity array<bigint>"
+_KEYS = [f"keys{p}" for p in range(PASSES)]
 
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -96,11 +99,16 @@ def _describe(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
             size = np.array([len(s) for s in sets], np.int64)
             node = [int(w.mix(np.array([w.mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0]) for s in sets]
             keys = [fragment_keys(s, percent).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-            cuts = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             bits = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * PARITY_WORDS, np.concatenate([parity(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(node, pa.int64()), pa.array(size), bits, pa.ListArray.from_arrays(cuts, np.concatenate(keys))], names=["doc_id", "rid", "node", "n", "parity", "keys"])
+            flat, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+            parts = []
+            for p in range(PASSES):
+                mine = (flat & (PASSES - 1)) == p
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(owner[mine], minlength=len(keys)))]).astype(np.int32)
+                parts.append(pa.ListArray.from_arrays(cuts, flat[mine]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(node, pa.int64()), pa.array(size), bits, *parts], names=["doc_id", "rid", "node", "n", "parity", *_KEYS])
 
-    return rows.mapInArrow(w.releasing(run), _INFO)
+    return rows.mapInArrow(w.releasing(run), ", ".join([_INFO, *(f"{k} array<bigint>" for k in _KEYS)]))
 
 
 def _near(percent: int):
@@ -145,7 +153,23 @@ def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int,
     cut = cut.join(segments.toDF("a", "fragment", "sa"), ["a", "fragment"]).join(segments.toDF("b", "fragment", "sb"), ["b", "fragment"])
     parts = cut.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(w.releasing(overlap), "a bigint, b bigint, na bigint, nb bigint, common bigint")
     total = parts.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-    return total.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    links = written(total.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "links")
+    discard(pairs, segments)
+    return links
+
+
+def _meeting(sets: DataFrame) -> DataFrame:
+    """(key, low, node): every node of every key that several nodes have, and the least of them."""
+    parts = []
+    for name in _KEYS:
+        keys = sets.select(F.explode(name).alias("key"), "node")
+        # Grouped values are written before they are joined back, so that adaptive execution can split a hot key.
+        groups = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low"), "groups")
+        parts.append(written(keys.join(groups, "key").select("key", "low", "node").distinct(), "live"))
+        discard(groups)
+    live = written(reduce(DataFrame.unionByName, parts), "live")
+    discard(*parts)
+    return live
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -172,18 +196,17 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     no other.  Repeated rows are of one class.  Shingles are compared by 64-bit hashes.
     """
     rows = keyed(docs)
-    info = written(_describe(rows, shingle, percent), "sets")
+    sets = written(_describe(rows, shingle, percent), "sets")
+    info = written(sets.drop(*_KEYS), "info")
     some = info.filter("n > 0")
     head = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid"))
     classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), head.alias("head")).select("node", "n", "parity", "head", F.col("head.rid").alias("rid")), "classes")
-    keys = some.select(F.explode("keys").alias("key"), "node")
-    # Grouped values are written before they are joined back, so that adaptive execution can split a hot key.
-    groups = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low"), "groups")
-    live = written(keys.join(groups, "key").distinct(), "live")
+    live = _meeting(sets)
+    discard(sets)
     degree = live.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     central = written(live.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("a")), "central")
     stars = live.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(live.join(central, "key").select("a", F.col("node").alias("b")))
-    links = written(_links(rows, classes, _ordered(stars), shingle, percent), "links")
+    links = _links(rows, classes, _ordered(stars), shingle, percent)
     first = components(links)
 
     placed = live.select("key", "node").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -192,7 +215,8 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     a = left.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     b = left.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     rest = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(percent)).select("a", "b").distinct()
-    late = written(_links(rows, classes, rest, shingle, percent), "links")
+    late = _links(rows, classes, rest, shingle, percent)
+    discard(live, central, open_, left)
 
     named = components(links.unionByName(late))
     whole = classes.select("node", "head").join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import keyed, shared_folder, written
+from tessera.llm.shared import delete_folder, keyed, shared_folder, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \\t\\n\\u000b\\f\\r"
@@ -59,6 +59,11 @@ class LineRuns:
         """Keys found in ``least_docs`` documents or more."""
         return self.counts().filter(F.col("n") >= self.least_docs).select("h", "g")
 
+    def delete(self) -> None:
+        """Delete the runs; tables already written from them stay."""
+        delete_folder(self.spark, self.folder)
+        self.levels = []
+
     def add(self, hashes: DataFrame) -> None:
         """Add a batch of (h, g) rows, one for each document that has the key, or counted (h, g, n)."""
         one = F.col("n") if "n" in hashes.columns else F.lit(1)
@@ -108,11 +113,15 @@ def dedup_lines(docs: DataFrame, *, least_docs: int = 10, least_chars: int = 1,
     all their lines everywhere.  A row is a document: a repeated row counts again.  A null or empty
     text is one empty line, which has no key and stays.  Keys are compared by 96-bit hashes.
     """
-    rows = drop_lines(docs, count_lines(docs, least_docs, least_chars, batches), least_chars=least_chars)
+    runs = count_lines(docs, least_docs, least_chars, batches)
+    rows = drop_lines(docs, runs, least_chars=least_chars)
+    runs.delete()
     return rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"), "kept")
 
 
 def clean_lines(docs: DataFrame, *, least_docs: int = 10, least_chars: int = 1, batches: int = 4) -> DataFrame:
     """``docs`` with the kept lines as text, all other columns as they are (see :func:`dedup_lines`)."""
-    rows = drop_lines(docs, count_lines(docs, least_docs, least_chars, batches), least_chars=least_chars)
+    runs = count_lines(docs, least_docs, least_chars, batches)
+    rows = drop_lines(docs, runs, least_chars=least_chars)
+    runs.delete()
     return rows.select(*(F.col("kept").alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns))

@@ -29,6 +29,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more, and let shuffle files of finished jobs go.
+
+    Spark drops shuffle files once the driver's JVM has collected what refers to them.
+    """
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            delete_folder(df.sparkSession, files[0].rsplit("/", 1)[0])
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, text): rows of equal id and text share ``rid``, and so every result."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), "text")
@@ -66,7 +84,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        edges = written(small, "edges")
+        last, edges = edges, written(small, "edges")
+        discard(last)
         now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == mark:
             roots = edges.select(F.col("b").alias("node")).distinct()
