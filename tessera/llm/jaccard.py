@@ -19,9 +19,10 @@ FRAGMENTS = 4
 #: Fragments beyond the pigeonhole's need and those that are empty by chance.
 SPARE = 2
 PARITY_WORDS = 8
+CHUNK_BYTES = 4 << 20
 #: Parts of the keys that are grouped one after another, so that only one part's shuffles take disk at a time.
 PASSES = 4
-_INFO = "doc_id bigint, rid bigint, node bigint, n bigint, parity array<bigint>"
+_INFO = "doc_id bigint, rid bigint, node bigint, n bigint, parity array<bigint>, long array<bigint>"
 _KEYS = [f"keys{p}" for p in range(PASSES)]
 
 
@@ -92,21 +93,33 @@ def parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def long_parity(s: np.ndarray) -> np.ndarray:
+    """As :func:`parity`, with a bit per n-gram at least, so that it tells large sets apart too.
+
+    The number of words is a power of two; of a pair, the longer vector is folded in half.
+    """
+    bits = 64 << max(3, (max(1, len(s)) - 1).bit_length() - 6)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _describe(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     def run(batches):
-        for batch in w.chunks(batches):
+        for batch in w.chunks(batches, most=CHUNK_BYTES):
             sets = shingle_sets(w.texts_of(batch), shingle)
             size = np.array([len(s) for s in sets], np.int64)
             node = [int(w.mix(np.array([w.mix(s).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).view(np.int64)[0]) for s in sets]
             keys = [fragment_keys(s, percent).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             bits = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * PARITY_WORDS, np.concatenate([parity(s) for s in sets]))
+            long = [long_parity(s) for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in long])]).astype(np.int32)
             flat, owner = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(x) for x in keys])
             parts = []
             for p in range(PASSES):
                 mine = (flat & (PASSES - 1)) == p
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(owner[mine], minlength=len(keys)))]).astype(np.int32)
                 parts.append(pa.ListArray.from_arrays(cuts, flat[mine]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(node, pa.int64()), pa.array(size), bits, *parts], names=["doc_id", "rid", "node", "n", "parity", *_KEYS])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(node, pa.int64()), pa.array(size), bits, pa.ListArray.from_arrays(ends, np.concatenate(long)), *parts], names=["doc_id", "rid", "node", "n", "parity", "long", *_KEYS])
 
     return rows.mapInArrow(w.releasing(run), ", ".join([_INFO, *(f"{k} array<bigint>" for k in _KEYS)]))
 
@@ -118,11 +131,18 @@ def _near(percent: int):
     return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (bits * (100 + percent) <= apart)
 
 
+def _near_in_all_bits(percent: int):
+    """As :func:`_near`, by the long parities la and lb."""
+    short, far = "least(size(la), size(lb))", "greatest(size(la), size(lb))"
+    bits = F.expr(f"CASE WHEN {far} > 2 * {short} THEN 0 ELSE aggregate(sequence(0, {short} - 1), 0, (t, i) -> t + bit_count(la[i] ^ lb[i] ^ IF(size(la) > {short}, la[i + {short}], 0L) ^ IF(size(lb) > {short}, lb[i + {short}], 0L))) END")
+    return bits * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+
 def _segments(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(node, fragment, segment): the sets of the given nodes (node, rid), cut along the n-gram order."""
 
     def run(batches):
-        for batch in w.chunks(batches, "size"):
+        for batch in w.chunks(batches, "size", CHUNK_BYTES):
             node, fragment, segment = [], [], []
             for x, s in zip(batch.column("node").to_pylist(), shingle_sets(unpacked(batch.column("packed"), batch.column("size")), shingle), strict=True):
                 cuts = np.searchsorted(s, np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(62))
@@ -139,13 +159,15 @@ def _segments(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
 def _links(rows: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that are similar enough: partial overlaps by fragment, summed per pair."""
     side = classes.select("node", "n", "parity")
-    pairs = pairs.join(side.toDF("a", "na", "pa"), "a").join(side.toDF("b", "nb", "pb"), "b").filter(_near(percent)).select("a", "b", "na", "nb")
-    pairs = written(pairs, "pairs")
+    near = written(pairs.join(side.toDF("a", "na", "pa"), "a").join(side.toDF("b", "nb", "pb"), "b").filter(_near(percent)).select("a", "b", "na", "nb"), "near")
+    side = classes.select("node", "long")
+    pairs = written(near.join(side.toDF("a", "la"), "a").join(side.toDF("b", "lb"), "b").filter(_near_in_all_bits(percent)).select("a", "b", "na", "nb"), "pairs")
+    discard(near)
     wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("node").join(classes.select("node", "rid"), "node")
     segments = written(_segments(rows, wanted, shingle).dropDuplicates(["node", "fragment"]), "segments")
 
     def overlap(batches):
-        for batch in batches:
+        for batch in w.chunks(batches, "sa"):
             got = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("a", "b", "na", "nb")), pa.array(got, pa.int64())], names=["a", "b", "na", "nb", "common"])
 
@@ -186,7 +208,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     1. Documents of equal sets form a class; only classes are compared.
     2. Classes meet on :func:`fragment_keys`.  Of every group that meets, each class is paired with
        the least one and with the one that meets the most others, so pairs grow with the groups.
-    3. Pairs that pass the bounds of sizes and parities are verified: the sets are cut into vertical
+    3. Pairs that pass the bounds of sizes and parities (one bit per n-gram at the last) are verified: the sets are cut into vertical
        fragments along the n-gram order, overlaps are counted by fragment and summed per pair.
     4. Links give components.  Groups that still hold several components are compared in full, across
        components, under the same bounds, so no link is missed; what passes is verified likewise.
@@ -197,10 +219,10 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     """
     rows = keyed(docs)
     sets = written(_describe(rows, shingle, percent), "sets")
-    info = written(sets.drop(*_KEYS), "info")
-    some = info.filter("n > 0")
+    info = written(sets.select("doc_id", "rid", "node", "n"), "info")
+    some = sets.filter("n > 0").drop(*_KEYS)
     head = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid"))
-    classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), head.alias("head")).select("node", "n", "parity", "head", F.col("head.rid").alias("rid")), "classes")
+    classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("long").alias("long"), head.alias("head")).select("node", "n", "parity", "long", "head", F.col("head.rid").alias("rid")), "classes")
     live = _meeting(sets)
     discard(sets)
     degree = live.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
