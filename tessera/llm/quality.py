@@ -1,4 +1,6 @@
-"""Operator 7: quality rules with a modified Kneser-Ney character n-gram model."""
+"""Operator 7: quality rules with a modified Kneser-Ney character n-gram model (:mod:`tessera.llm.grams`).
+
+:class:`KneserNey` is the small model of a fixed alphabet inside words; the rules do not use it."""
 
 from __future__ import annotations
 
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
+from tessera.llm.grams import GramBlock, blocks_of, train_grams
 from tessera.llm.shared import written
 
 ORDER = 4
@@ -195,24 +198,49 @@ def base_measures(texts: pa.Array, words: w.Words) -> dict[str, np.ndarray]:
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(docs: DataFrame, model: KneserNey) -> DataFrame:
-    """Per row: doc_id, lang, the base measures, and ``nats``, the mean negative log-probability of a symbol."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def measure(docs: DataFrame, block: GramBlock) -> DataFrame:
+    """Per row: doc_id, lang, rid, the base measures, and the model block's ``logs`` over ``symbols``."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
-        for batch in w.chunks(batches):
+        for batch in w.chunks(batches, most=w.CHUNK_BYTES // 2):
             texts = w.texts_of(batch)
-            words = w.split(texts)
-            got = base_measures(texts, words)
-            logs, n = shared.value.text_logs(words)
-            nats = pa.array(np.where(n > 0, -logs / np.maximum(n, 1), 0.0), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *(pa.array(got[k], pa.int64()) for k in _MEASURES), nats], names=["doc_id", "lang", *_MEASURES, "nats"])
+            got = base_measures(texts, w.split(texts))
+            logs, n = shared.value.text_logs(texts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "lang", "rid")), *(pa.array(got[k], pa.int64()) for k in _MEASURES), pa.array(logs), pa.array(n, pa.int64())], names=["doc_id", "lang", "rid", *_MEASURES, "logs", "symbols"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.xxhash64("doc_id", "text").alias("rid"), "text")
+    return rows.mapInArrow(w.releasing(run), f"doc_id bigint, lang string, rid bigint, {', '.join(f'{k} bigint' for k in _MEASURES)}, logs double, symbols bigint")
+
+
+def other_logs(docs: DataFrame, block: GramBlock) -> DataFrame:
+    """(rid, other): what a further block of the model adds to ``logs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches):
+        for batch in w.chunks(batches, most=w.CHUNK_BYTES // 2):
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(shared.value.text_logs(w.texts_of(batch))[0])], names=["rid", "other"])
+
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text").mapInArrow(w.releasing(run), "rid bigint, other double")
+    return rows.groupBy("rid").agg(F.max("other").alias("other"))
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
-    return rows.mapInArrow(w.releasing(run), f"doc_id bigint, lang string, {', '.join(f'{k} bigint' for k in _MEASURES)}, nats double")
+def measure_all(docs: DataFrame, table: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Rows of :func:`measure` with ``nats``, the mean negative log-probability of a symbol under the whole table."""
+    rows = others = None
+    for block in blocks_of(table, block_rows):
+        if rows is None:
+            rows = written(measure(docs, block), "measured")
+        else:
+            part = written(other_logs(docs, block), "measured-block")
+            others = part if others is None else others.unionByName(part)
+    if others is not None:
+        rows = rows.join(written(others.groupBy("rid").agg(F.sum("other").alias("other")), "measured-blocks"), "rid", "left")
+        rows = written(rows.withColumn("logs", F.col("logs") + F.coalesce("other", F.lit(0.0))).drop("other"), "measured")
+    return rows.withColumn("nats", F.when(F.col("symbols") > 0, -F.col("logs") / F.col("symbols")))
 
 
-def bands(measured: DataFrame, *, width: float = 10.0, least_words: int = 50) -> DataFrame:
+def bands(measured: DataFrame, *, width: float = 6.0, least_words: int = 50) -> DataFrame:
     """(lang, low, high): per language the band of log-perplexity, around the median of all its documents.
 
     Half the band is ``width`` times the distance from the median to the nearer quartile's side
@@ -223,19 +251,18 @@ def bands(measured: DataFrame, *, width: float = 10.0, least_words: int = 50) ->
     return spread.select("lang", (F.col("q")[1] - F.greatest(F.lit(0.05), width * (F.col("q")[1] - F.col("q")[0]))).alias("low"), (F.col("q")[1] + F.greatest(F.lit(0.05), width * (F.col("q")[2] - F.col("q")[1]))).alias("high"))
 
 
-def apply_quality_rules(docs: DataFrame, model: KneserNey | None = None, *, least_words: int = 50, width: float = 10.0) -> DataFrame:
+def apply_quality_rules(docs: DataFrame, model: DataFrame | None = None, *, least_words: int = 50, width: float = 6.0) -> DataFrame:
     """One row per document (doc_id, text, lang): the base measures, base_failed, perplexity, kept.
 
     A document fails the base rules with under ``least_words`` words, or if over half of its words
     lie in 3-word windows that occur twice or more.  Of the others, those outside their language's
     perplexity band (:func:`bands`; a null ``lang`` is a language of its own) are rejected.  Without
-    ``model``, one is counted over all ``docs``.
+    ``model``, a table of :func:`tessera.llm.grams.train_grams` is counted over all ``docs``.
 
     Null and empty texts have all measures 0, a null perplexity, and fail; repeated rows count, and
     are judged, each.
     """
-    model = model or train_kneser_ney(docs)
-    measured = written(measure(docs, model), "measured")
+    measured = measure_all(docs, train_grams(docs) if model is None else model)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # One row per language of the table; joined by shuffle or broadcast as Spark sees fit.
     rows = measured.join(bands(measured, width=width, least_words=least_words), "lang", "left")

@@ -219,3 +219,34 @@ def test_similar_sets_share_a_fragment_key():
                 met += 1
                 assert len(np.intersect1d(fragment_keys(a, percent), fragment_keys(b, percent)))
     assert met > 100
+
+
+def test_quality_sees_a_minority_script_and_word_order(spark):
+    from tessera.llm import grams
+
+    rng = random.Random(11)
+    latin, greek = (["".join(rng.choices(letters, k=3)) for _ in range(30)] for letters in ("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xC0, 0x17F))), "αβγδεζηθικλμνξοπρστυφχψω"))
+    order = {x: rng.sample(greek, 3) for x in greek}
+
+    def chain(n):
+        out = [rng.choice(greek)]
+        while len(out) < n:
+            out.append(rng.choice(order[out[-1]]))
+        return out
+
+    rows = [(i, " ".join(rng.choices(latin, k=200)), "la") for i in range(300)] + [(300 + i, " ".join(chain(200)), "el") for i in range(20)]
+    words = chain(200)
+    rows += [(400, " ".join(words), "el"), (401, " ".join(rng.sample(words, 200)), "el"), (402, " ".join("".join(rng.choices("αβγδεζηθικλμνξοπρστυφχψω", k=3)) for _ in range(200)), "el"), (403, None, "el"), (404, " \n", "el")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    table = quality.train_grams(docs.filter("doc_id < 400"))
+    got = {r.doc_id: r.nats for r in quality.measure_all(docs, table).collect()}
+    assert got[400] + 0.2 < got[401] and got[401] + 0.2 < got[402] and got[403] is None and got[404] is None
+    parts = {r.doc_id: r.nats for r in quality.measure_all(docs, table, table.count() // 3).collect()}
+    assert all(v is None and parts[k] is None or abs(v - parts[k]) < 1e-5 for k, v in got.items())
+    block = next(grams.blocks_of(table))
+    seen = np.array([r.b for r in table.filter("kind = 2").collect()], np.int64)
+    for context in ("", "α", text := rows[300][1][:4], "xyzw"):
+        c = [0] * (4 - len(context)) + [ord(x) for x in context]
+        symbols = np.concatenate([seen, [0x4E00]])
+        a = np.full(len(symbols), c[0] << 42 | c[1] << 21 | c[2], np.int64)
+        assert np.exp(block.gram_logs(a, c[3] << 21 | symbols)).sum() == pytest.approx(1, abs=1e-4)
