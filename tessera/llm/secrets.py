@@ -8,19 +8,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
+from tessera.llm.shared import discard, written
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 #: The base rules' minimum lengths make these equal to the runs that are long enough.
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{16,}"), re.compile(r"[0-9a-f]{24,}")
-#: What the models judge: runs of at least 16 characters that hold a letter and a digit.
-CANDIDATE = re.compile(r"[A-Za-z0-9+_=-]{16,}")
+#: What the models judge: runs of at least 16 characters that hold a letter and a digit; a run with
+#: slashes that is no secret as a whole (a path) is judged by its parts.
+CANDIDATE, PART = re.compile(r"[A-Za-z0-9+/_=-]{16,}"), re.compile(r"[A-Za-z0-9+_=-]{16,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+LEAST = 16
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 _CODE = np.full(256, len(ALPHABET), np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
+#: Kinds of strings that :func:`random_strings` makes in turn.
+SETS = 5
 KINDS = ("assign", "access", "hex", "markov")
 _ROW = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_markov bigint, spans array<struct<kind:string,start:bigint,stop:bigint,secret:string>>"
 
@@ -51,59 +58,174 @@ class MarkovPair:
         return float(self.ratio[code[:-1], code[1:]].mean()) if len(code) > 1 else 0.0
 
 
-def _transitions(tokens: list[str]) -> np.ndarray:
-    counts = np.full((len(ALPHABET) + 1,) * 2, 0.5)
-    for x in tokens:
-        code = _CODE[np.frombuffer(x.encode("utf-8"), np.uint8)]
-        np.add.at(counts, (code[:-1], code[1:]), 1)
+def _cells(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(transition, its token) of all tokens; a transition is a cell of the flattened matrix."""
+    code = _CODE[np.frombuffer("".join(tokens.to_pylist()).encode("utf-8"), np.uint8)]
+    owner = np.repeat(np.arange(len(tokens)), pc.binary_length(tokens).to_numpy(zero_copy_only=False))
+    inside = owner[1:] == owner[:-1]
+    return (code[:-1] * (len(ALPHABET) + 1) + code[1:])[inside], owner[1:][inside]
+
+
+def _scores(tokens: pa.Array, ratio: np.ndarray) -> np.ndarray:
+    """:meth:`MarkovPair.score` of every token."""
+    cells, owner = _cells(tokens)
+    return np.bincount(owner, weights=ratio.ravel()[cells], minlength=len(tokens)) / np.maximum(np.bincount(owner, minlength=len(tokens)), 1)
+
+
+def _count(tokens: list[str]) -> np.ndarray:
+    return np.bincount(_cells(pa.array(tokens, pa.string()))[0], minlength=(len(ALPHABET) + 1) ** 2)
+
+
+def _logs(counts: np.ndarray) -> np.ndarray:
+    counts = counts.reshape(len(ALPHABET) + 1, -1) + 0.5
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def train_markov(samples: list[tuple[str, int]], *, most_false: float = 0.0005) -> MarkovPair:
-    """Fit both models on labelled (string, 1 random or 0 ordinary) samples.
+class _Listed:
+    """Samples in a list."""
 
-    The threshold is the ratio that at most ``most_false`` of the ordinary samples of the candidates'
-    length exceed, and 0 at least.
-    """
-    by = [[x for x, label in samples if label == k] for k in (0, 1)]
-    pair = MarkovPair(_transitions(by[1]) - _transitions(by[0]), 0.0)
-    scores = sorted((pair.score(x) for x in by[0] if len(x) >= 16), reverse=True)
-    pair.threshold = max(0.0, scores[int(most_false * len(scores))] if scores else 0.0)
-    return pair
+    def __init__(self, samples: list[tuple[str, int]]) -> None:
+        self.by = [[x for x, label in samples if label == k] for k in (0, 1)]
+
+    def count(self) -> np.ndarray:
+        """Transitions of the short and long ordinary and of the random samples."""
+        return np.stack([_count([x for x in self.by[0] if len(x) < LEAST]), _count([x for x in self.by[0] if len(x) >= LEAST]), _count(self.by[1])])
+
+    def keep(self, ratio: np.ndarray, most: float) -> np.ndarray:
+        """Leave out long ordinary samples that score above ``most``; the transitions of the others."""
+        tokens = pa.array([x for x in self.by[0] if len(x) >= LEAST], pa.string())
+        self.long = tokens.filter(pa.array(_scores(tokens, ratio) <= most, pa.bool_()))
+        return np.bincount(_cells(self.long)[0], minlength=ratio.size)
+
+    def top(self, ratio: np.ndarray, rank) -> float | None:
+        """The score of kept sample number rank(n), from the highest down, 0 the first."""
+        scores = np.sort(_scores(self.long, ratio))[::-1]
+        return float(scores[rank(len(scores))]) if len(scores) else None
+
+
+class _Spread:
+    """The same over a table (token, label), whose sums are taken in Spark."""
+
+    def __init__(self, samples: DataFrame) -> None:
+        self.samples, self.long = samples, None
+
+    def _sum(self, rows: DataFrame) -> np.ndarray:
+        size = (len(ALPHABET) + 1) ** 2
 
+        def run(batches):
+            total = np.zeros((3, size), np.int64)
+            for batch in batches:
+                kind = batch.column("kind").to_numpy()
+                cells, owner = _cells(batch.column("token"))
+                total += np.bincount(kind[owner] * size + cells, minlength=3 * size).reshape(3, size)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total.ravel()[at])], names=["cell", "n"])
 
-def labelled_samples(docs: DataFrame, *, max_rows: int = 2_000, max_tokens: int = 40_000) -> list[tuple[str, int]]:
-    """Samples from about ``max_rows`` documents picked by a hash of their text, both bounds fixed.
+        out = np.zeros(3 * size, np.int64)
+        for r in rows.mapInArrow(w.releasing(run), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            out[r["cell"]] = r["n"]
+        return out.reshape(3, size)
 
-    1: values that the base rules find, and generated random strings; 0: all other runs of
-    identifier characters of 6 or more, plain numbers included.
+    def count(self) -> np.ndarray:
+        kind = F.when(F.col("label") == 1, 2).when(F.length("token") >= LEAST, 1).otherwise(0)
+        return self._sum(self.samples.select("token", kind.alias("kind")))
+
+    def _scored(self, tokens: DataFrame, ratio: np.ndarray) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array(_scores(batch.column("token"), ratio))], names=["token", "score"])
+
+        return tokens.select("token").mapInArrow(w.releasing(run), "token string, score double")
+
+    def keep(self, ratio: np.ndarray, most: float) -> np.ndarray:
+        self.delete()
+        long = self.samples.filter((F.col("label") == 0) & (F.length("token") >= LEAST))
+        self.long = written(self._scored(long, ratio).filter(F.col("score") <= most).select("token"), "ordinary")
+        return self._sum(self.long.select("token", F.lit(1).alias("kind")))[1]
+
+    def top(self, ratio: np.ndarray, rank) -> float | None:
+        n = self.long.count()
+        if not n:
+            return None
+        part = 1 - (rank(n) + 0.5) / n
+        return self._scored(self.long, ratio).agg(F.percentile_approx("score", max(0.0, part), 1_000_000)).first()[0]
+
+    def delete(self) -> None:
+        if self.long is not None:
+            discard(self.long)
+
+
+def train_markov(samples: DataFrame | list[tuple[str, int]], *, most_false: float = 0.0005, rounds: int = 3) -> MarkovPair:
+    """Fit both models on all (token, label) samples: 1 random, 0 not labelled and most likely ordinary.
+
+    A first ordinary model knows only unlabelled samples shorter than a candidate.  Longer ones that
+    score under it as 95 of 100 generated random strings of any one kind do are random-looking: they
+    are no ordinary samples, so bare keys among them shift neither model nor threshold.  The others
+    join the model, and all longer ones are judged anew by it, ``rounds`` times.
+
+    The threshold is the ratio that at most ``most_false`` of the ordinary samples of the candidates'
+    length exceed, and 0 at least.  Of few samples the highest 5 (of under 100, a twentieth) may
+    exceed it, so that it is not the score of a single one.
+    """
+    all_ = _Listed(samples) if isinstance(samples, list) else _Spread(samples)
+    short, long, random_ = all_.count()
+    made = random_strings(5_000, seed=8)
+    ratio = _logs(random_) - _logs(short if short.any() else long)
+    for _ in range(rounds):
+        scores = _scores(pa.array(made), ratio)
+        most = min(float(np.quantile(scores[k::SETS], 0.05)) for k in range(SETS))
+        ratio = _logs(random_) - _logs(short + all_.keep(ratio, most))
+    top = all_.top(ratio, lambda n: max(int(most_false * n), min(5, n // 20)))
+    if isinstance(all_, _Spread):
+        all_.delete()
+    return MarkovPair(ratio, max(0.0, top or 0.0))
+
+
+def labelled_samples(docs: DataFrame) -> DataFrame:
+    """(token, label): the different tokens of all documents, and generated random strings.
+
+    1: values of 16 characters or more that the base rules find, and the generated strings; 0: all
+    other runs of identifier characters of 6 or more, plain numbers included.  A token that is 1
+    anywhere is 1.
     """
-    texts = docs.select("text").filter(F.col("text").isNotNull())
-    n = texts.count()
-    part = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < max(1, int(min(1.0, max_rows / max(n, 1)) * (1 << 20))))
-    secrets, ordinary = set(), set()
 
     def run(batches):
         for batch in w.chunks(batches):
-            found = set()
+            secrets, others = set(), set()
             for text in batch.column("text").to_pylist():
                 own = {x[3] for x in base_spans(text)}
-                found |= {(x, 1) for x in own if len(x) >= 16} | {(x, 0) for x in re.findall(r"[A-Za-z0-9+_=-]{6,}", text) if not any(x in y or y in x for y in own)}
-            listed = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in listed], pa.string()), pa.array([k for _, k in listed], pa.int32())], names=["token", "label"])
+                tokens = TOKEN.findall(text)
+                others.update(x for x in tokens if not any(x in y or y in x for y in own)) if own else others.update(tokens)
+                secrets.update(x for x in own if len(x) >= LEAST)
+            others -= secrets
+            yield pa.RecordBatch.from_arrays([pa.array([*secrets, *others], pa.string()), pa.array([1] * len(secrets) + [0] * len(others), pa.int32())], names=["token", "label"])
+
+    rows = docs.select("text").filter(F.col("text").isNotNull()).mapInArrow(w.releasing(run), "token string, label int")
+    made = docs.sparkSession.createDataFrame([(x, 1) for x in random_strings(4_000)], "token string, label int")
+    return written(rows.unionByName(made).groupBy("token").agg(F.max("label").alias("label")), "tokens")
+
+
+def model_spans(text: str, taken: list[tuple[int, int]], model: MarkovPair) -> list[tuple[int, int, int, str]]:
+    """Spans of the models outside the spans ``taken``."""
+
+    def secret(a: int, x: str) -> bool:
+        return any(c.isdigit() for c in x) and not x.strip("-+/_=").isdigit() and any(c.isalpha() for c in x) and not any(p < a + len(x) and a < q for p, q in taken) and model.score(x) > model.threshold
 
-    rows = part.mapInArrow(w.releasing(run), "token string, label int").distinct().orderBy(F.xxhash64("token"), "token", "label").limit(max_tokens).collect()
-    for token, label in rows:
-        (secrets if label else ordinary).add(token)
-    return [(x, 1) for x in (*sorted(secrets), *random_strings(4_000))] + [(x, 0) for x in sorted(ordinary - secrets)]
+    found = []
+    for m in CANDIDATE.finditer(text):
+        if secret(m.start(), m[0]):
+            found.append((m.start(), 3, m.end(), m[0]))
+        elif "/" in m[0]:
+            found += [(m.start() + p.start(), 3, m.start() + p.end(), p[0]) for p in PART.finditer(m[0]) if secret(m.start() + p.start(), p[0])]
+    return found
 
 
 def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
     """One row per document: counts by kind and ``spans``, by start and then kind, in code points.
 
     Kinds: the base rules ``assign`` (whole match), ``access``, ``hex``, and ``markov``, a run of
-    16 or more characters with a letter and a digit, outside every base span, whose mean
-    log-likelihood ratio passes the model's threshold.  Null and empty texts have no spans.
+    16 or more characters (slashes included) with a letter and a digit, outside every base span, whose
+    mean log-likelihood ratio passes the model's threshold.  Null and empty texts have no spans.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -113,11 +235,7 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
             rows = []
             for text in w.texts_of(batch).to_pylist():
                 spans = base_spans(text)
-                taken = [(a, b) for a, _, b, _ in spans]
-                for m in CANDIDATE.finditer(text):
-                    x = m[0]
-                    if any(c.isdigit() for c in x) and not x.strip("-+_=").isdigit() and any(c.isalpha() for c in x) and not any(a < m.end() and m.start() < b for a, b in taken) and model.score(x) > model.threshold:
-                        spans.append((m.start(), 3, m.end(), x))
+                spans += model_spans(text, [(a, b) for a, _, b, _ in spans], model)
                 rows.append(sorted(spans))
             kinds = [[x[1] for x in r] for r in rows]
             counts = [pa.array([k.count(i) for k in kinds], pa.int64()) for i in range(4)]

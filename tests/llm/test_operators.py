@@ -250,3 +250,26 @@ def test_quality_sees_a_minority_script_and_word_order(spark):
         symbols = np.concatenate([seen, [0x4E00]])
         a = np.full(len(symbols), c[0] << 42 | c[1] << 21 | c[2], np.int64)
         assert np.exp(block.gram_logs(a, c[3] << 21 | symbols)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_secrets_among_many_unlabelled_keys(spark):
+    rng = random.Random(3)
+    base62 = secrets.ALPHABET[:62]
+    parts = ["user", "order", "total", "count", "index", "build", "value", "table", "north", "river"]
+    ident = lambda: "_".join(rng.choices(parts, k=4)) + str(rng.randrange(100))
+    keys = ["".join(rng.choices(base62, k=31)) + "7" for _ in range(300)]
+    slashed = ["/".join("".join(rng.choices(base62, k=11)) for _ in range(3)) + "7q" for _ in range(50)]
+    syllables = ["ra", "to", "mi", "sen", "dal", "qui", "ver", "pol", "ju", "wex", "zo", "han", "kry", "fab", "bog"]
+    short = lambda: rng.choice([str.lower, str.title, str.upper])("".join(rng.choices(syllables, k=3))) + rng.choice(["", "", str(rng.randrange(1000))])
+    rows = [(i, " ".join([*(short() for _ in range(40)), ident(), ident()])) for i in range(600)]
+    rows += [(1000 + i, f"see {k} here") for i, k in enumerate(keys)] + [(2000 + i, f"see {k} here") for i, k in enumerate(slashed)]
+    rows += [(3000, f"/{'/'.join(parts * 5)}/{keys[0]}/{parts[2]}"), (3001, "/user/order/total/count9"), (3002, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    samples = secrets.labelled_samples(docs)
+    model = secrets.train_markov(samples)
+    got = {r.doc_id: [x.secret for x in r.spans] for r in secrets.find_secrets(docs, model).collect()}
+    assert sum(got[1000 + i] == [k] for i, k in enumerate(keys)) > 270
+    assert sum(got[2000 + i] == [k] for i, k in enumerate(slashed)) > 45
+    assert got[3000] == [keys[0]] and got[3001] == [] and sum(bool(got[i]) for i in range(600)) < 10
+    listed = secrets.train_markov([tuple(r) for r in samples.collect()])
+    assert np.allclose(listed.ratio, model.ratio) and listed.threshold == pytest.approx(model.threshold)
