@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import delete_folder, keyed, shared_folder, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SPACE = " \\t\\n\\u000b\\f\\r"
+SPACE = " \\t\\n\\u000b\\u000c\\r"
 #: A line's key: white space off both ends, A-Z in lower case.
 KEY = f"translate(btrim(l, '{SPACE}'), '{UPPER}', '{LOWER}')"
 _HASH = f"struct(xxhash64({KEY}) AS h, hash({KEY}) AS g)"
+#: The same of a key k: a lambda evaluates its text as often as it stands there, and the key is dear.
+_KEY_HASH = "struct(xxhash64(k) AS h, hash(k) AS g)"
 
 
 def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
     """(rid, h, g): the 96-bit hash of every distinct key of every row; shorter keys are left out."""
     lines = keyed(docs).select("rid", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
-    hashes = F.expr(f"array_distinct(transform(filter(lines, l -> char_length({KEY}) >= {int(least_chars)}), l -> {_HASH}))")
+    hashes = F.expr(f"array_distinct(transform(filter(transform(lines, l -> {KEY}), k -> char_length(k) >= {int(least_chars)}), k -> {_KEY_HASH}))")
     return lines.select("rid", F.explode(hashes).alias("x")).select("rid", "x.h", "x.g")
 
 

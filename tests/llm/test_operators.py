@@ -273,3 +273,11 @@ def test_secrets_among_many_unlabelled_keys(spark):
     assert got[3000] == [keys[0]] and got[3001] == [] and sum(bool(got[i]) for i in range(600)) < 10
     listed = secrets.train_markov([tuple(r) for r in samples.collect()])
     assert np.allclose(listed.ratio, model.ratio) and listed.threshold == pytest.approx(model.threshold)
+
+
+def test_lines_that_end_in_f_or_a_form_feed(spark):
+    kinds = ["For sale", "for sale", "f", "ff", "F", "leaf", "lea", "\x0cpage one\x0c", "page one", "off\x0c", "\x0b\x0c"]
+    rows = [(i, "\n".join([*(k for j, k in enumerate(kinds) if (i + j) % 2), f"own {i}"])) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for least in (5, 10):
+        same(lines.dedup_lines(df, least_docs=least), ["doc_id", "n_lines", "n_dropped", "kept_sha256"], brute.dedup_lines(rows, least))
