@@ -1,21 +1,23 @@
 """Connectors: landed payloads of nine sources to one record schema.
 
-A landing table has ``payload`` (JSON text of one response) and the lineage ``company``,
+A landing table has ``payload`` (JSON text of one response, or a classic iCIMS page) and the lineage ``company``,
 ``career_url``, ``term``, ``page`` and ``ord``.  A connector is an envelope, which explodes the
 payload, guards and dedupes the rows, and a normaliser, which projects them to RECORD.
 """
 
 from __future__ import annotations
 
+import html
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.dates import epoch_date, iso_date, posted_date
 from tessera.functions.locations import best_tier, coded_places, distinct_text, joined, places, places_list, verbatim_places
-from tessera.functions.text import MISSING, blank_to, first_text, job_id, job_type, let, season, strip
+from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, season, strip
 from tessera.operators.dedupe import first_wins, last_wins
 
 RECORD = ("id", "company", "title", "location", "type", "season", "source", "url", "date_posted", "date_added", "active")
@@ -44,9 +46,35 @@ def _rows(landed: DataFrame, source: str) -> DataFrame:
     return items.select(*keep, F.posexplode(F.expr(_ROWS[source])).alias("pos", "raw")).filter("raw IS NOT NULL")
 
 
+_unescaped = F.udf(lambda x: None if x is None else html.unescape(x), T.StringType())
+_CARD = r'(?isU)<li[^>]*class="[^"]*iCIMS_JobCardItem[^"]*"[^>]*>(.*?)</li>'
+_CARD_LINK = r'(?isU)<a[^>]+href="([^"]*/jobs/(\d+)(?:/[^"]*)?/job[^"]*)"[^>]*>.*?<h3[^>]*>(.*?)</h3>'
+_CARD_POSTED = r'(?isU)<span[^>]+title="([^"]+)"[^>]*>\s*[^<]*<span[^>]*class="sr-only"'
+_CARD_FIELD = r"(?isU)<dt[^>]*>\s*(?:<[^>]+>\s*)*(?:<span[^>]*>\s*)?%s(?:\s*</span>)?.*?</dt>\s*<dd[^>]*>(.*?)</dd>"
+_CARD_HEADER = r'(?isU)<span[^>]*class="sr-only field-label"[^>]*>\s*Job Locations?\s*</span>\s*<span[^>]*>(.*?)</span>'
+
+
+def _icims_rows(landed: DataFrame) -> DataFrame:
+    """Rows of both iCIMS forms: jibe's JSON, and the cards of classic pages in its fields, with their ``classic_url``."""
+    page = F.startswith(strip(F.col("payload")), F.lit("<"))
+    jibe = _rows(landed.filter(F.col("payload").isNotNull() & ~page), "icims")
+    jibe = jibe.withColumn("raw", F.col("raw").withField("classic_url", F.lit(None).cast("string")))
+    keep = [c for c in jibe.columns if c not in ("pos", "raw")]
+    cards = landed.filter(page).select(*keep, F.posexplode(F.regexp_extract_all("payload", F.lit(_CARD), 1)).alias("pos", "card"))
+    card = F.col("card")
+    text = lambda c: clean(_unescaped(F.regexp_replace(c, "<[^>]+>", " ")))
+    url = F.regexp_replace(F.regexp_replace(strip(_unescaped(F.regexp_extract(card, _CARD_LINK, 1))), r"([?&])in_iframe=1&?", "$1"), r"[?&]$", "")
+    labels = ("Job Location", "Job Locations", "Location", "Locations")
+    where = first_text(*(text(F.regexp_extract(card, _CARD_FIELD % x, 1)) for x in labels), text(F.regexp_extract(card, _CARD_HEADER, 1)), default="")
+    found = {"slug": F.regexp_extract(card, _CARD_LINK, 2), "title": text(F.regexp_extract(card, _CARD_LINK, 3)), "classic_url": url, "full_location": where, "posted_date": strip(_unescaped(F.regexp_extract(card, _CARD_POSTED, 1)))}
+    raw = F.struct(*(found.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
+    classic = cards.select(*keep, "pos", raw.alias("raw")).filter("raw.slug <> '' AND raw.title <> '' AND raw.classic_url <> ''")
+    return jibe.unionByName(classic)
+
+
 def envelope(landed: DataFrame, source: str) -> DataFrame:
     """Raw rows of a source: payload rows that pass its guard, deduplicated the way it needs."""
-    rows = _rows(landed, source)
+    rows = _icims_rows(landed) if source == "icims" else _rows(landed, source)
     order = ["ord", "pos"]
     words = lambda *c: F.concat_ws(" ", *c).rlike(RELEVANT)
     if source == "ashby":
@@ -175,7 +203,7 @@ def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
     if source == "icims":
         kind = F.coalesce(job_type(t), F.when(F.lower(strip(r["employment_type"])) == "intern", "internship"))
         where = first_text(r["full_location"], r["location_name"], r["short_location"], F.array_join(_texts(r["city"], r["state"], r["country"]), ", "), default="")
-        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of)
+        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(r["classic_url"]), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of)
     if source == "oracle_hcm":
         url = F.when(strip(r["Id"]) != "", F.concat(F.regexp_replace(career, "/+$", ""), F.lit("/job/"), strip(r["Id"])))
         return _record(rows, source, title(r["Title"]), job_type(t), places(r["PrimaryLocation"]), link(url), iso_date(r["PostedDate"]), none, r["Id"], as_of)

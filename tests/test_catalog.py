@@ -136,3 +136,20 @@ def test_leads(spark):
     configs, cleaned = leads.compile_catalog(sources, owners)
     assert [(r.company, r.url, r.enabled, r.change) for r in configs.collect()] == [("A", "https://jobs.lever.co/a", True, "added")]
     assert [r.ord for r in cleaned.collect()] == [0, 3]
+
+
+def test_classic_icims_pages(spark):
+    card = '<li class="row iCIMS_JobCardItem x">\n<span title="{posted}" >2 days<span class="sr-only">posted</span></span><a class="y" href="https://x.icims.com/jobs/{n}/dev/job?in_iframe=1&amp;mode=a">\n<h3>{title}</h3></a><dl><dt><span>{label}</span></dt> <dd><span>{place}</span></dd></dl></li>'
+    first = card.format(n=11, posted="1/2/2026 9:30 AM", title="Old", label="Location", place="CA-ON-Toronto")
+    pages = [
+        " <html>" + first + '<li class="iCIMS_JobCardItem"><a href="/about"><h3>Intern</h3></a></li>' + card.format(n=12, posted="", title="Caf&eacute;&#8211;R&amp;D <b>Intern</b>", label="Category", place="Ottawa"),
+        "<html>" + first.replace("Old", "Software Intern") + "</html>",
+        '{"jobs":[{"data":{"slug":"13","title":"Intern","full_location":"CA-ON-Toronto"}}]}',
+        "<html>none</html>",
+        None,
+    ]
+    landed = spark.createDataFrame([("Acme", "https://c", p, i) for i, p in enumerate(pages)], "company string, career_url string, payload string, ord int")
+    got = sorted((r.id, r.title, r.location, r.url, r.date_posted) for r in connectors.records(landed, "icims", "2026-02-01").collect())
+    assert [x[:2] for x in got] == [("icims-acme-11", "Software Intern"), ("icims-acme-12", "Café–R&D Intern"), ("icims-acme-13", "Intern")]
+    assert got[0][2:] == ("Toronto, ON, Canada", "https://x.icims.com/jobs/11/dev/job?mode=a", "2026-01-02")
+    assert got[1][3:] == ("https://x.icims.com/jobs/12/dev/job?mode=a", None) and got[2][3] == "https://c"
