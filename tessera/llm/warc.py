@@ -28,14 +28,21 @@ _RECORD = "page_id bigint, url string, record_type string, refers_to bigint, pay
 
 
 def url_key(url: str | None) -> str:
-    """The URL with its host reversed ("com,example)/a?b"), lower-case host, without scheme and fragment."""
+    """The URL with its host reversed ("com,example)/a?b"), lower-case host, without scheme and fragment.
+
+    Spaces and line breaks, which part an index line, are escaped.
+    """
+    return _plain_key((url or "").strip()).replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D")
+
+
+def _plain_key(url: str) -> str:
     try:
-        parts = urlsplit((url or "").strip())
+        parts = urlsplit(url)
         host, port = (parts.hostname or "").lower(), parts.port
     except ValueError:
-        return f"-){(url or '').strip()}"
+        return f"-){url}"
     if not host:
-        return f"-){(url or '').strip()}"
+        return f"-){url}"
     default = {"http": 80, "https": 443}.get(parts.scheme)
     return ",".join(reversed(host.split("."))) + (f":{port}" if port and port != default else "") + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
@@ -206,7 +213,7 @@ def build_index(places: DataFrame, folder: str) -> CaptureIndex:
 
     def keys(batches):
         for batch in batches:
-            yield batch.append_column("key", pa.array([url_key(x).replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D") for x in batch.column("url").to_pylist()], pa.string()))
+            yield batch.append_column("key", pa.array([url_key(x) for x in batch.column("url").to_pylist()], pa.string()))
 
     def blocks(batches):
         context = TaskContext.get()

@@ -281,3 +281,10 @@ def test_lines_that_end_in_f_or_a_form_feed(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     for least in (5, 10):
         same(lines.dedup_lines(df, least_docs=least), ["doc_id", "n_lines", "n_dropped", "kept_sha256"], brute.dedup_lines(rows, least))
+
+
+def test_captures_of_urls_with_spaces_are_found(spark):
+    given = ["http://a.example.com/my page?q=a b", "not a url", "two\nlines", "two\r\nlines", "http://a.example.com/plain"]
+    df = spark.createDataFrame([(i, u, f"<p>{i}</p>") for i, u in enumerate(given)], "page_id bigint, url string, html string").repartition(2)
+    index = warc.archive_pages(df)
+    assert [[x["page_id"] for x in index.find([u])] for u in given] == [[i] for i in range(len(given))]
