@@ -253,8 +253,8 @@ def keep_leaders(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> Dat
     Rows without words are in no group and all stay.
     """
     groups = similar_groups(docs, shingle=shingle, percent=percent)
-    stay = groups.filter("n_shingles = 0 OR rid = leader").select(F.col("rid").alias("_rid"), (F.col("n_shingles") == 0).alias("_all")).distinct()
-    rows = docs.withColumn("_rid", F.xxhash64(F.col("doc_id").cast("long"), "text")).join(stay, "_rid")
-    # The join has dealt and sorted the rows by _rid already.
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_rid").orderBy("_all"))).filter("_all OR _nth = 1")
-    return rows.select(*docs.columns)
+    stay = groups.filter("n_shingles = 0 OR rid = leader").select("rid", (F.col("n_shingles") == 0).alias("every")).distinct()
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.struct(*docs.columns).alias("row")).join(stay, "rid")
+    # The join has dealt and sorted the rows by rid already.
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("rid").orderBy("every"))).filter("every OR nth = 1")
+    return rows.select("row.*")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm import words as w
 
 BUCKET_BITS = 16
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, mixture string"
 
 
@@ -53,27 +53,44 @@ class LanguageModel:
     rounds: int = 8
     #: penalty of a further language, in multiples of log(words) / 2
     penalty: float = 3.0
+    #: by language, what an n-gram's log-likelihood is on average in its own documents
+    means: np.ndarray | None = None
+    #: variances of that average: between the words of a document, and between documents
+    spread: tuple[float, float] = (0.0, 0.0)
 
-    def word_ratios(self, uniques: pa.Array) -> np.ndarray:
-        """Likelihood of every word under every language, over its best language's."""
+    def word_logs(self, uniques: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(log-likelihood of every word under every language, number of its n-grams)."""
         bucket, owner = word_grams(uniques)
-        logs = np.stack([np.bincount(owner, weights=self.logs[bucket, k], minlength=len(uniques)) for k in range(len(self.languages))], axis=1)
-        return np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), self.floor)
+        logs = [np.bincount(owner, weights=self.logs[bucket, k], minlength=len(uniques)) for k in range(len(self.languages))]
+        return np.stack(logs, axis=1), np.bincount(owner, minlength=len(uniques))
 
     def mixtures(self, words: w.Words) -> np.ndarray:
-        """Language proportions of every text; all zero without letters.
+        """Language proportions of every text; all zero without letters."""
+        return self.judged(words)[0]
 
-        Expectation-maximisation over words gives the proportions for all languages; the k best of
-        them, for k = 1, 2, ..., are fitted again, and the set of the best penalised likelihood stays.
+    def judged(self, words: w.Words) -> tuple[np.ndarray, np.ndarray]:
+        """(language proportions, fit) of every text; all zero without letters.
+
+        Expectation-maximisation over words, ``rounds`` times, gives the proportions for all languages;
+        the k best of them, for k = 1, 2, ..., are fitted again, and the set of the best penalised
+        likelihood stays.  The sets are thus prefixes of one order, not all subsets.
+
+        The fit is absolute: how much likelier or less likely than in the learned documents the words'
+        n-grams are, each word under the language that suits it best, in standard deviations.
         """
         lettered = pc.match_substring_regex(words.uniques, r"\p{L}").to_numpy(zero_copy_only=False)
         words = words.keep(lettered)
-        out = np.zeros((len(words.offsets) - 1, len(self.languages)))
+        out, fit = np.zeros((len(words.offsets) - 1, len(self.languages))), np.zeros(len(words.offsets) - 1)
         if not (len(words.codes) and self.languages):
-            return out
+            return out, fit
         some = np.flatnonzero(words.counts)
         offsets = np.concatenate([words.offsets[some], words.offsets[-1:]])
-        ratios = self.word_ratios(words.uniques)
+        logs, grams = self.word_logs(words.uniques)
+        if self.means is not None:
+            near = (logs / np.maximum(grams, 1)[:, None] - self.means).max(axis=1)
+            n = words.counts[some]
+            fit[some] = np.add.reduceat(near[words.codes], offsets[:-1]) / n / np.sqrt(self.spread[0] / n + self.spread[1] + 1e-12)
+        ratios = np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), self.floor)
         full, _ = self._em(ratios, words.codes, offsets, np.ones((len(some), len(self.languages)), bool))
         singles = np.add.reduceat(np.log(ratios)[words.codes], offsets[:-1], axis=0)
         order = np.argsort(-full, axis=1, kind="stable")
@@ -88,12 +105,23 @@ class LanguageModel:
             support = np.zeros((len(open_), len(self.languages)), bool)
             np.put_along_axis(support, order[open_, :k], True, 1)
             at = np.repeat(offsets[:-1][open_] - np.concatenate([[0], np.cumsum(n[open_])[:-1]]), n[open_]) + np.arange(n[open_].sum())
-            fit, value = self._em(ratios, words.codes[at], np.concatenate([[0], np.cumsum(n[open_])]), support)
+            shares, value = self._em(ratios, words.codes[at], np.concatenate([[0], np.cumsum(n[open_])]), support)
             value -= self.penalty * (k - 1) * np.log(n[open_] + 1) / 2
             better = value > best[open_]
-            best[open_[better]], chosen[open_[better]] = value[better], fit[better]
+            best[open_[better]], chosen[open_[better]] = value[better], shares[better]
             open_ = open_[-self.penalty * k * np.log(n[open_] + 1) / 2 > best[open_]]
         out[some] = chosen
+        return out, fit
+
+    def main(self, words: w.Words) -> np.ndarray:
+        """The likeliest single language of every text, by its number; -1 without letters.  No mixture is fitted."""
+        words = words.keep(pc.match_substring_regex(words.uniques, r"\p{L}").to_numpy(zero_copy_only=False))
+        out = np.full(len(words.offsets) - 1, -1)
+        if len(words.codes) and self.languages:
+            some = np.flatnonzero(words.counts)
+            logs, _ = self.word_logs(words.uniques)
+            best = np.log(np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), self.floor))
+            out[some] = w.sums(best[words.codes], words.offsets)[some].argmax(axis=1)
         return out
 
     def _em(self, ratios: np.ndarray, codes: np.ndarray, offsets: np.ndarray, support: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +168,41 @@ def train_languages(docs: DataFrame, *, max_rows_per_language: int = 4_000, smoo
     for k, b, n in rows.toArrow().to_pandas().itertuples(index=False):
         table[b, k] = n
     table += smoothing
-    return LanguageModel(languages, np.log(table / table.sum(axis=0)))
+    model = LanguageModel(languages, np.log(table / table.sum(axis=0)))
+    model.means, model.spread = _own_fit(sample, model, number)
+    return model
+
+
+def _own_fit(sample: DataFrame, model: LanguageModel, number: dict[str, int]) -> tuple[np.ndarray, tuple[float, float]]:
+    """``means`` and ``spread`` of the model over the documents it was learned from, summed in Spark."""
+    names = ("docs", "words", "inverse", "mean", "mean2", "word2")
+
+    def run(batches):
+        for batch in w.chunks(batches, most=CHUNK_BYTES):
+            words = w.split(w.texts_of(batch))
+            words = words.keep(pc.match_substring_regex(words.uniques, r"\p{L}").to_numpy(zero_copy_only=False))
+            some = np.flatnonzero(words.counts)
+            if not len(some):
+                continue
+            logs, grams = model.word_logs(words.uniques)
+            own = np.repeat(np.array([number[x] for x in batch.column("lang").to_pylist()]), words.counts)
+            each = logs[words.codes, own] / np.maximum(grams, 1)[words.codes]
+            n = words.counts[some]
+            mean = w.sums(each, words.offsets)[some] / n
+            square = w.sums((each - np.repeat(mean, n)) ** 2, words.offsets)[some]
+            k = np.array([number[x] for x in batch.column("lang").to_pylist()])[some]
+            sums = [np.bincount(k, weights=x, minlength=len(model.languages)) for x in (np.ones(len(n)), n, 1 / n, mean, mean * mean, square)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(model.languages))), *map(pa.array, sums)], names=["k", *names])
+
+    rows = sample.mapInArrow(w.releasing(run), "k bigint, " + ", ".join(f"{x} double" for x in names)).groupBy("k").agg(*(F.sum(x).alias(x) for x in names))
+    means, word, between = np.zeros(len(model.languages)), 0.0, 0.0
+    for r in rows.collect():  # a row for each language
+        if r["docs"]:
+            means[r["k"]] = r["mean"] / r["docs"]
+            own = r["word2"] / max(1.0, r["words"] - r["docs"])
+            word = max(word, own)
+            between = max(between, r["mean2"] / r["docs"] - means[r["k"]] ** 2 - own * r["inverse"] / r["docs"])
+    return means, (word, between)
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -167,10 +229,14 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text").mapInArrow(w.releasing(run), SCHEMA)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, *, least_score: float) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, *, least_score: float, least_fit: float = -8.0) -> DataFrame:
     """The rows of ``docs`` whose main language has a share of ``least_score``, all columns kept.
 
-    ``und`` texts go; nothing is shuffled.  A model that knows no language keeps every row with letters.
+    Texts that are ``und`` go, and so do texts whose words fit no learned language: those that lie
+    more than -``least_fit`` standard deviations below what the learned documents show
+    (:meth:`LanguageModel.judged`; texts of few words scatter more and are allowed more).  Very long
+    texts are judged whole, empty and null ones go; nothing is shuffled.  A model that knows no
+    language keeps every row with letters.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -178,7 +244,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, *, least_score: float
         for batch in w.chunks(batches, most=CHUNK_BYTES):
             texts = w.texts_of(batch)
             if shared.value.languages:
-                good = shared.value.mixtures(w.split(texts)).max(axis=1, initial=0) >= least_score
+                mixture, fit = shared.value.judged(w.split(texts))
+                good = (mixture.max(axis=1, initial=0) >= least_score) & (fit >= least_fit)
             else:
                 good = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(good))

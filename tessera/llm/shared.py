@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,21 +13,47 @@ from pyspark.sql import functions as F
 from tessera.llm import words as w
 
 
+#: Paths written so far inside the open calls of :func:`staged`, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where it is unset (tests) a local folder."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a local folder, but only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.gettempdir()}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; the innermost open :func:`staged` deletes it when it is done."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the rows as Parquet to the shared folder and read them back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows of ``make()``, written; whatever else was written on the way is deleted then."""
+    path = scratch_path(spark, name)
+    _OPEN.append([])
+    try:
+        rows = make()
+        rows.write.parquet(path)
+    finally:
+        for left in _OPEN.pop():
+            delete_folder(spark, left)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def discard(*tables: DataFrame) -> None:

@@ -85,6 +85,16 @@ def test_languages(docs):
     assert 55 not in {r.doc_id for r in language.keep_identified(docs, model, least_score=0.3).collect()}
 
 
+def test_texts_unlike_any_learned_language_go(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, prose("en" if i % 2 else "fr", RNG.choice([3, 8, 40, 300])), "en" if i % 2 else "fr") for i in range(400)]
+    rows += [(1000 + i, " ".join("".join(RNG.choices(letters, k=RNG.randint(3, 9))) for _ in range(60)), None) for i in range(40)]
+    rows += [(2000, "the maison", None), (2001, None, None), (2002, "12 34", None), (2003, "ΑΒΓ " * 100, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    kept = {r.doc_id for r in language.keep_identified(docs, language.train_languages(docs), least_score=0.3).collect()}
+    assert set(range(400)) <= kept and 2000 in kept and not kept & {2001, 2002, 2003} and len([i for i in kept if 1000 <= i < 2000]) <= 2
+
+
 def test_secrets(docs):
     found = secrets.find_secrets(docs, secrets.train_markov(secrets.labelled_samples(docs)))
     rows = found.withColumn("base", F.sha2(secrets.spans_text(("assign", "access", "hex")), 256))
@@ -97,7 +107,9 @@ def test_secrets(docs):
 def test_repeats(docs):
     same(substrings.remove_repeats(docs, window=50), ["doc_id", "n_words", "n_removed", "kept_sha256"], brute.remove_repeats(DOCS))
     same(substrings.remove_repeats(docs, window=130, with_text=True), ["doc_id", "n_words", "n_removed", "kept_sha256"], brute.remove_repeats(DOCS, 130))
+    same(substrings.remove_repeats(docs, window=20), ["doc_id", "n_words", "n_removed", "kept_sha256"], brute.remove_repeats(DOCS, 20))
     assert substrings.remove_repeats(docs.limit(0)).count() == 0
+    assert [substrings.level_lengths(n) for n in (20, 50, 130)] == [[10, 20], [13, 25, 50], [17, 33, 65, 130]]
 
 
 def test_decontamination(spark, docs):
@@ -172,6 +184,9 @@ def test_jaccard(docs):
     same(jaccard.similar_groups(docs, shingle=5, percent=80), ["doc_id", "n_shingles", "component_id"], brute.jaccard_groups(DOCS, 5, 80))
     want = {c for _, n, c in brute.jaccard_groups(DOCS) if n} | {55, 56, 57}
     assert sorted(r.doc_id for r in jaccard.keep_leaders(docs).collect()) == sorted(want)
+    clash = docs.selectExpr("doc_id", "text", "doc_id AS rid", "text AS every", "doc_id AS _rid", "1 AS nth").filter("doc_id < 50")
+    left = jaccard.keep_leaders(clash)
+    assert left.columns == clash.columns and left.filter("rid = doc_id AND every = text AND _rid = doc_id AND nth = 1").count() == left.count() > 0
 
 
 def test_fragment_keys_miss_no_pair():
