@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
-from tessera.llm.shared import keyed, packed_texts, unpacked, written
+from tessera.llm.shared import discard, keyed, packed_texts, unpacked, written
 
 #: No level starts below this many words: short windows repeat everywhere.
-LEAST_LEVEL = 16
+LEAST_LEVEL = 12
 
 
 def level_lengths(window: int) -> list[int]:
-    """Lengths of the levels, each at most twice the one before, the last being ``window``."""
-    lengths = [window]
+    """Lengths of the levels, each at most twice the one before, the last being ``window``; two at least."""
+    lengths = [max(1, -(-window // 2)), window]
     while -(-lengths[0] // 2) >= LEAST_LEVEL:
         lengths.insert(0, -(-lengths[0] // 2))
     return lengths
@@ -59,50 +59,53 @@ def _digest(words: w.Words, listed: list[str], i: int, drop: np.ndarray | None =
     return hashlib.sha256(" ".join([listed[k] for k in codes.tolist()]).encode()).hexdigest()
 
 
-def _first_level(rows: DataFrame, length: int, reach: int) -> tuple[DataFrame, DataFrame]:
-    """Per row its words, digest and whole-sequence hash; and its anchors, exploded later."""
+def _first_level(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Per row its words, digest and whole-sequence hash, and its anchors: hashes, positions and longer windows.
+
+    ``longer`` has, for every anchor and every level between the first and the last, the hash of the
+    window that starts with the anchor and of the one that ends with it (0 where the text is too
+    short): whatever window of the last level holds the anchor holds one of the two.
+    """
+    between = lengths[1:-1]
 
     def run(batches):
         for batch in w.chunks(batches):
             words = w.split(w.texts_of(batch))
             listed = words.uniques.to_pylist()
             hashes = w.string_hashes(words.uniques)[words.codes]
-            at, h = anchors(hashes, words.offsets, length, reach)
+            at, h = anchors(hashes, words.offsets, lengths[0], lengths[-1])
             of = np.searchsorted(words.offsets, at, side="right") - 1
             cuts = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
             size = words.counts
             whole = w.sums(w.mix(hashes + w.mix((np.arange(len(hashes)) - np.repeat(words.offsets[:-1], size)).astype(np.uint64))).view(np.int64), words.offsets)
+            longer = np.zeros((len(at), 2 * len(between)), np.uint64)
+            for k, length in enumerate(between):
+                windows = w.window_hashes(hashes, length)
+                for side, start in enumerate((at, at + lengths[0] - length)):
+                    fits = np.flatnonzero((start >= words.offsets[of]) & (start + length <= words.offsets[of + 1]))
+                    longer[fits, 2 * k + side] = windows[start[fits]]
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (h.view(np.int64), (at - words.offsets[of]).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(size), pa.array([_digest(words, listed, i) for i in range(batch.num_rows)]), pa.array(whole), *lists], names=["doc_id", "rid", "n_words", "sha", "whole", "hashes", "positions"])
+            lists.append(pa.ListArray.from_arrays(cuts, pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * longer.shape[1], pa.array(longer.ravel().view(np.int64)))))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("rid"), pa.array(size), pa.array([_digest(words, listed, i) for i in range(batch.num_rows)]), pa.array(whole), *lists], names=["doc_id", "rid", "n_words", "sha", "whole", "hashes", "positions", "longer"])
 
-    return rows.mapInArrow(w.releasing(run), "doc_id bigint, rid bigint, n_words bigint, sha string, whole bigint, hashes array<bigint>, positions array<int>")
+    return rows.mapInArrow(w.releasing(run), "doc_id bigint, rid bigint, n_words bigint, sha string, whole bigint, hashes array<bigint>, positions array<int>, longer array<array<bigint>>")
 
 
-def _next_level(parts: DataFrame, length: int, reach: int, first: bool) -> DataFrame:
-    """(h, doc_id, rid, position) of the windows of ``reach`` words that extend given ones of ``length``.
-
-    On the first level the given positions are anchors, and every window around one is a candidate;
-    later a window needs a repeat at its start and one at its end.
-    """
+def _last_level(parts: DataFrame, length: int, window: int) -> DataFrame:
+    """(h, doc_id, rid, position) of all windows of ``window`` words around given ones of ``length``."""
 
     def run(batches):
         for batch in w.chunks(batches, "size"):
             words = w.split(unpacked(batch.column("packed"), batch.column("size")))
-            hashes = w.window_hashes(w.string_hashes(words.uniques)[words.codes], reach)
+            hashes = w.window_hashes(w.string_hashes(words.uniques)[words.codes], window)
             given = batch.column("positions")
             n = pc.list_value_length(given).to_numpy(zero_copy_only=False)
             flat = given.flatten().to_numpy().astype(np.int64) + np.repeat(words.offsets[:-1], n)
-            marked = np.zeros(len(words.codes) + reach, np.int64)
-            if first:
-                low = np.maximum(flat - (reach - length), np.repeat(words.offsets[:-1], n))
-                np.add.at(marked, low, 1)
-                np.add.at(marked, flat + 1, -1)
-                wanted = np.cumsum(marked) > 0
-            else:
-                marked[flat] = 1
-                wanted = (marked[: len(words.codes)] & marked[reach - length : len(words.codes) + reach - length]) > 0
-            starts = w.window_starts(words.offsets, reach)
-            starts = starts[wanted[starts]]
+            marked = np.zeros(len(words.codes) + window, np.int64)
+            np.add.at(marked, np.maximum(flat - (window - length), np.repeat(words.offsets[:-1], n)), 1)
+            np.add.at(marked, flat + 1, -1)
+            starts = w.window_starts(words.offsets, window)
+            starts = starts[(np.cumsum(marked) > 0)[starts]]
             of = np.searchsorted(words.offsets, starts, side="right") - 1
             key, rid = batch.column("doc_id").to_numpy(), batch.column("rid").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(hashes[starts].view(np.int64)), pa.array(key[of]), pa.array(rid[of]), pa.array((starts - words.offsets[of]).astype(np.int32))], names=["h", "doc_id", "rid", "position"])
@@ -110,6 +113,16 @@ def _next_level(parts: DataFrame, length: int, reach: int, first: bool) -> DataF
     return parts.select("doc_id", "rid", "packed", "size", "positions").mapInArrow(w.releasing(run), "h bigint, doc_id bigint, rid bigint, position int")
 
 
+def _repeated(level: DataFrame) -> DataFrame:
+    """The rows of a level whose window is in two documents at least.
+
+    The grouped hashes are written before they are joined back: then both sides of the join are
+    plain shuffles, and adaptive execution splits a passage that very many documents share.
+    """
+    shared = written(level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h", "low"), "shared")
+    return level.join(shared, "h")
+
+
 def _remove(parts: DataFrame, window: int) -> DataFrame:
     """Words left after those covered by windows at ``positions`` go."""
 
@@ -139,34 +152,38 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, with_text: bool = False
     One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one
     space) and, with ``with_text``, ``kept``, null where nothing went.
 
-    Level by level: the first takes windows of half the length (for 50 words: 25), and of these only
-    the anchors, the least hash in each window of the next length.  Anchors that repeat in different
-    word sequences are extended to windows of twice the length, which are compared in full; and so
-    on until ``window`` is reached.  Documents of one word sequence form a class: all but those of the
-    smallest ``doc_id`` go whole, and only these take part in later levels.  Windows are compared by
-    64-bit hashes.  Grouped minima are written before they are joined back: then both sides of the
-    join are plain shuffles, and adaptive execution splits a passage that very many documents share.
+    Level by level: the first takes windows of an eighth to a quarter of the length (for 50 words: 13),
+    and of these only the anchors, the least hash in each window of the full length.  Anchors that
+    repeat in different word sequences are extended to windows of twice their length, forwards and
+    backwards, those that repeat again to twice that, and so on, until ``window`` is reached, where
+    every window around a survivor is compared, or no candidate survives.  Documents of one word
+    sequence form a class: all but those of the smallest ``doc_id`` go whole, and only these take part
+    in the levels.  Windows are compared by 64-bit hashes.
 
     Texts shorter than ``window``, null and empty texts lose nothing.  A row with a null ``doc_id``
     loses nothing and takes nothing from others.  Repeats inside one document, and rows that share a
     ``doc_id``, don't count: there must be a smaller id.
     """
-    rows = keyed(docs)
-    lengths = level_lengths(window)
-    if len(lengths) == 1:
-        lengths.insert(0, max(1, -(-window // 2)))
-    base = written(_first_level(rows, lengths[0], lengths[1]), "windows")
-    classes = base.filter("doc_id IS NOT NULL").groupBy("whole", "n_words").agg(F.min("doc_id").alias("first"))
-    marked = base.drop("hashes", "positions").join(classes, ["whole", "n_words"], "left")
+    rows, lengths = keyed(docs), level_lengths(window)
+    base = written(_first_level(rows, lengths), "windows")
+    classes = written(base.filter("doc_id IS NOT NULL").groupBy("whole", "n_words").agg(F.min("doc_id").alias("first")), "classes")
+    marked = base.drop("hashes", "positions", "longer").join(classes, ["whole", "n_words"], "left")
     leaders = base.filter("doc_id IS NOT NULL AND size(hashes) > 0").join(classes, ["whole", "n_words"]).filter("doc_id = first")
-    level = written(leaders.select("doc_id", "rid", F.explode(F.arrays_zip("hashes", "positions")).alias("x")).select(F.col("x.hashes").alias("h"), "doc_id", "rid", F.col("x.positions").alias("position")), "level")
-    for k, reach in enumerate(lengths[1:], 1):
-        shared = written(level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h"), "shared")
-        found = level.join(shared, "h").groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions"))
-        parts = packed_texts(rows).join(found, ["doc_id", "rid"])
-        level = written(_next_level(parts, lengths[k - 1], reach, k == 1), "level")
-    low = written(level.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h", "low"), "low")
-    gone = level.join(low, "h").filter("low < doc_id").groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions"))
+    spread = leaders.select("doc_id", "rid", F.explode(F.arrays_zip("hashes", "positions", "longer")).alias("x"))
+    level = written(spread.select(F.col("x.hashes").alias("h"), "doc_id", "rid", F.col("x.positions").alias("at"), F.col("x.longer").alias("longer")), "level")
+    found, old = _repeated(level).select("doc_id", "rid", "at", "longer", F.explode(F.array(F.lit(0), F.lit(1))).alias("side")), [level]
+    for k, length in enumerate(lengths[1:-1]):
+        h = F.element_at("longer", 2 * k + 1 + F.col("side"))
+        level = written(found.select(h.alias("h"), "doc_id", "rid", "at", "longer", "side").filter("h <> 0"), "level")
+        discard(*old)
+        found, old = _repeated(level), [level]
+        if level.isEmpty():
+            break
+    start = F.col("at") + F.when(F.col("side") == 1, lengths[0] - lengths[-2]).otherwise(0)
+    spots = written(found.select("doc_id", "rid", start.alias("position")).groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions")), "spots")
+    discard(*old)
+    level = written(_last_level(packed_texts(rows).join(spots, ["doc_id", "rid"]), lengths[-2], window), "level")
+    gone = _repeated(level).filter("low < doc_id").groupBy("doc_id", "rid").agg(F.collect_set("position").alias("positions"))
     cut = _remove(packed_texts(rows).join(gone, ["doc_id", "rid"]), window)
     cut = (cut if with_text else cut.withColumn("kept", F.lit(None).cast("string"))).dropDuplicates(["doc_id", "rid"])
     whole = F.coalesce((F.col("doc_id") > F.col("first")) & (F.col("n_words") >= window), F.lit(False))
