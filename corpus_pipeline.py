@@ -15,13 +15,13 @@ from tessera.llm.language import keep_identified, train_languages
 from tessera.llm.lines import clean_lines
 from tessera.llm.packing import pack_documents
 from tessera.llm.queries import table, tokenizer_path
-from tessera.llm.shared import written
+from tessera.llm.shared import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no language that makes up a third of them, go."""
+    """Documents without letters, of no language that makes up a third of them, or unlike any learned language, go."""
     return keep_identified(docs, train_languages(docs), least_score=1 / 3).select(*COLUMNS)
 
 
@@ -42,6 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences; null and empty texts are one piece each, very long ones several."""
     return pack_documents(docs, tokenizer_path())
 
 
@@ -54,5 +55,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = staged(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
