@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame
 
 from tessera.llm import words as w
 
-#: Words whose ids stay cached in a Python worker, about.
-CACHE_WORDS = 600_000
+#: Bytes of words and their ids that a Python worker keeps cached, about.
+CACHE_BYTES = 16 << 20
 #: Larger chunks hold fewer distinct words in all.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 LETTER = "[A-Za-z0-9À-ÖØ-öø-ÿ]"
 _MODELS: dict[str, _Model] = {}
 
@@ -134,7 +134,7 @@ def piece_ids(pieces: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     ids, starts = np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
     codes[unmet] = len(model.words) + np.arange(len(unmet))
     out = gathered(ids, starts, codes)
-    if len(unmet) and len(model.words) < CACHE_WORDS:
+    if len(unmet) and model.words.nbytes + model.ids.nbytes + model.starts.nbytes < CACHE_BYTES:
         model.words, model.ids, model.starts = pa.concat_arrays([model.words, fresh]), ids, starts
     return out
 

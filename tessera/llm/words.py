@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 8 << 20
+#: Parameters of glibc's mallopt.
+_M_TRIM_THRESHOLD, _M_MMAP_THRESHOLD = -1, -3
 
 #: Multiplier of the window polynomial (odd, so it has an inverse modulo 2**64).
 _Q = 0x9E3779B97F4A7C15
@@ -66,14 +68,22 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CH
 
 
 def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` for mapInArrow, giving free memory back at the end of a task, as the worker lives on."""
+    """``run`` for mapInArrow in a worker that gives free memory back, within a task and at its end.
+
+    Arrow allocates with malloc then, and arrays of a megabyte or more are mapped on their own, so
+    they leave the process when they are dropped (glibc only; elsewhere nothing changes).
+    """
 
     def task(batches):
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(_M_MMAP_THRESHOLD, 1 << 20)
+            libc.mallopt(_M_TRIM_THRESHOLD, 4 << 20)
+            pa.set_memory_pool(pa.system_memory_pool())
         yield from run(batches)
         pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
 
     return task
 
