@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,24 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return found + [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
 
 
+def merged(spans: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int]]:
+    """(starts, ends) of the union of spans, in order and apart."""
+    starts, ends = [], []
+    for a, _, b, _ in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def meets(taken: tuple[list[int], list[int]], a: int, b: int) -> bool:
+    """Whether a..b overlaps with the union, by a binary search."""
+    i = bisect_left(taken[0], b)
+    return i > 0 and taken[1][i - 1] > a
+
+
 def random_strings(n: int, seed: int = 7) -> list[str]:
     """Labelled samples of random strings: base 62, base 64 and hex keys of 16 to 64 characters."""
     rng = random.Random(seed)
@@ -185,18 +204,18 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     """(token, label): the different tokens of all documents, and generated random strings.
 
     1: values of 16 characters or more that the base rules find, and the generated strings; 0: all
-    other runs of identifier characters of 6 or more, plain numbers included.  A token that is 1
-    anywhere is 1.
+    runs of identifier characters of 6 or more outside the base rules' spans, plain numbers included.
+    A token that is 1 anywhere is 1.
     """
 
     def run(batches):
         for batch in w.chunks(batches):
             secrets, others = set(), set()
             for text in batch.column("text").to_pylist():
-                own = {x[3] for x in base_spans(text)}
-                tokens = TOKEN.findall(text)
-                others.update(x for x in tokens if not any(x in y or y in x for y in own)) if own else others.update(tokens)
-                secrets.update(x for x in own if len(x) >= LEAST)
+                own = base_spans(text)
+                taken = merged(own)
+                others.update(m[0] for m in TOKEN.finditer(text) if not meets(taken, m.start(), m.end()))
+                secrets.update(x[3] for x in own if len(x[3]) >= LEAST)
             others -= secrets
             yield pa.RecordBatch.from_arrays([pa.array([*secrets, *others], pa.string()), pa.array([1] * len(secrets) + [0] * len(others), pa.int32())], names=["token", "label"])
 
@@ -205,11 +224,11 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     return written(rows.unionByName(made).groupBy("token").agg(F.max("label").alias("label")), "tokens")
 
 
-def model_spans(text: str, taken: list[tuple[int, int]], model: MarkovPair) -> list[tuple[int, int, int, str]]:
-    """Spans of the models outside the spans ``taken``."""
+def model_spans(text: str, taken: tuple[list[int], list[int]], model: MarkovPair) -> list[tuple[int, int, int, str]]:
+    """Spans of the models outside those ``taken`` (:func:`merged`)."""
 
     def secret(a: int, x: str) -> bool:
-        return any(c.isdigit() for c in x) and not x.strip("-+/_=").isdigit() and any(c.isalpha() for c in x) and not any(p < a + len(x) and a < q for p, q in taken) and model.score(x) > model.threshold
+        return any(c.isdigit() for c in x) and not x.strip("-+/_=").isdigit() and any(c.isalpha() for c in x) and not meets(taken, a, a + len(x)) and model.score(x) > model.threshold
 
     found = []
     for m in CANDIDATE.finditer(text):
@@ -225,7 +244,8 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
 
     Kinds: the base rules ``assign`` (whole match), ``access``, ``hex``, and ``markov``, a run of
     16 or more characters (slashes included) with a letter and a digit, outside every base span, whose
-    mean log-likelihood ratio passes the model's threshold.  Null and empty texts have no spans.
+    mean log-likelihood ratio passes the model's threshold.  Null and empty texts have no spans; very
+    long ones are scanned whole, in time that grows with their length.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -235,7 +255,7 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
             rows = []
             for text in w.texts_of(batch).to_pylist():
                 spans = base_spans(text)
-                spans += model_spans(text, [(a, b) for a, _, b, _ in spans], model)
+                spans += model_spans(text, merged(spans), model)
                 rows.append(sorted(spans))
             kinds = [[x[1] for x in r] for r in rows]
             counts = [pa.array([k.count(i) for k in kinds], pa.int64()) for i in range(4)]
