@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.llm import words as w
+from tessera.llm.shared import written
 
 #: 1: the token counts, 0: it may differ.
 MASKS = ("1101101", "1110011", "1011101", "11001011")
-#: Words of benchmark items that are broadcast at once; a larger benchmark takes several passes.
+#: Words of benchmark items that are broadcast at once, about; a larger benchmark takes several passes.
 BLOCK_WORDS = 400_000
 OVERLAP = "array<struct<item_id:bigint,doc_start:int,item_start:int,length:int,matches:int>>"
 _OVERLAP = pa.list_(pa.struct([("item_id", pa.int64()), ("doc_start", pa.int32()), ("item_start", pa.int32()), ("length", pa.int32()), ("matches", pa.int32())]))
@@ -117,23 +121,30 @@ def overlaps_of(words: w.Words, block: Block, least_words: int, identity: float)
     return out
 
 
-def _scan(docs: DataFrame, benchmark: DataFrame, least_words: int, identity: float, keep_clean: bool) -> DataFrame:
-    """One pass per block of the benchmark; rows stay where they are, nothing is shuffled."""
-    schema = docs.schema
-    for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+def _scan(docs: DataFrame, block: Block, least_words: int, identity: float, give) -> DataFrame:
+    """One pass over the texts against a block; ``give`` makes a batch of a batch and its overlaps."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def run(batches, shared=shared):
-            for batch in w.chunks(batches):
-                found = overlaps_of(normal_words(w.texts_of(batch)), shared.value, least_words, identity)
-                if keep_clean:
-                    yield batch.filter(pa.array([not x for x in found], pa.bool_()))
-                else:
-                    old = batch.column("overlaps").to_pylist()
-                    yield batch.set_column(batch.schema.get_field_index("overlaps"), "overlaps", pa.array([a + b for a, b in zip(old, found, strict=True)], _OVERLAP))
+    def run(batches):
+        for batch in w.chunks(batches):
+            yield give(batch, overlaps_of(normal_words(w.texts_of(batch)), shared.value, least_words, identity))
 
-        docs = docs.mapInArrow(w.releasing(run), schema)
-    return docs
+    return docs.mapInArrow(w.releasing(run), docs.schema)
+
+
+def _listed(batch: pa.RecordBatch, found: list[list[dict]]) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index("overlaps"), "overlaps", pa.array(found, _OVERLAP))
+
+
+def _clean(batch: pa.RecordBatch, found: list[list[dict]]) -> pa.RecordBatch:
+    return batch.filter(pa.array([not x for x in found], pa.bool_()))
+
+
+def _all_blocks(docs: DataFrame, first: list[Block], rest, least_words: int, identity: float) -> DataFrame:
+    """(rid, overlaps) of the texts that overlap, over several blocks, a pass each, one block in memory at a time."""
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), "text", F.expr(f"cast(array() AS {OVERLAP})").alias("overlaps"))
+    parts = [written(_scan(rows, block, least_words, identity, _listed).filter("size(overlaps) > 0").select("rid", "overlaps").dropDuplicates(["rid"]), "overlaps") for block in chain(first, rest)]
+    return written(reduce(DataFrame.unionByName, parts).groupBy("rid").agg(F.flatten(F.collect_list("overlaps")).alias("overlaps")), "overlaps")
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_words: int = 12, identity: float = 0.75) -> DataFrame:
@@ -145,13 +156,29 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, least_words: int = 1
     is an overlap if it has ``least_words`` words, or the whole item if that is shorter, and at least
     ``identity`` of them are equal.  Positions count such words.
 
+    A benchmark of up to about ``BLOCK_WORDS`` words is broadcast and documents never move; a larger one
+    takes a pass over the texts for each such block, one block in memory at a time.
+
     Null and empty texts and items overlap with nothing; items of fewer words than a mask must occur
-    whole and unchanged; equal items are reported under each id; repeated rows each get a row.
+    whole and unchanged; equal items are reported under each id; repeated rows each get a row; very
+    long texts are compared whole.
     """
     rows = docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text", f"cast(array() AS {OVERLAP}) AS overlaps")
-    return _scan(rows, benchmark, least_words, identity, False).drop("text")
+    rest = blocks(benchmark)
+    first = list(islice(rest, 2))
+    if len(first) < 2:
+        return (_scan(rows, first[0], least_words, identity, _listed) if first else rows).drop("text")
+    found = _all_blocks(docs, first, rest, least_words, identity)
+    keys = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"))
+    return keys.join(found, "rid", "left").select("doc_id", F.coalesce("overlaps", F.expr(f"cast(array() AS {OVERLAP})")).alias("overlaps"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, least_words: int = 12, identity: float = 0.75) -> DataFrame:
     """The rows of ``docs`` without an overlap, as :func:`find_overlaps` defines it, all columns kept."""
-    return _scan(docs, benchmark, least_words, identity, True)
+    rest = blocks(benchmark)
+    first = list(islice(rest, 2))
+    if len(first) < 2:
+        return _scan(docs, first[0], least_words, identity, _clean) if first else docs
+    found = _all_blocks(docs, first, rest, least_words, identity).select("rid")
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.struct(*docs.columns).alias("row"))
+    return rows.join(found, "rid", "left_anti").select("row.*")
