@@ -1,11 +1,7 @@
-"""Operator 7: quality rules with a modified Kneser-Ney character n-gram model (:mod:`tessera.llm.grams`).
-
-:class:`KneserNey` is the small model of a fixed alphabet inside words; the rules do not use it."""
+"""Operator 7: quality rules with a modified Kneser-Ney character n-gram model (:mod:`tessera.llm.grams`)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,152 +12,8 @@ from tessera.llm import words as w
 from tessera.llm.grams import GramBlock, blocks_of, train_grams
 from tessera.llm.shared import written
 
-ORDER = 4
-#: Symbols of the model: 0 the boundary, 1 any other character, then the corpus's commonest.
-SYMBOLS = 64
-
-
-def symbols_of(uniques: pa.Array, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols of all lower-cased words, each between boundaries; the word of each symbol)."""
-    line = " " + " ".join(pc.utf8_lower(uniques).to_pylist()) + " "
-    cp = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32)
-    at = np.minimum(np.searchsorted(alphabet, cp), max(0, len(alphabet) - 1))
-    found = alphabet[at] == cp if len(alphabet) else np.zeros(len(cp), bool)
-    symbols = np.where(cp == 32, 0, np.where(found, at + 2, 1)).astype(np.int64)
-    return symbols, np.cumsum(cp == 32) - 1
-
-
-def grams(symbols: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(code, word) of the n-grams that end inside a word or at its end; contexts start at its boundary.
-
-    A code has ``n`` base-64 digits; an n-gram that would reach before its word's boundary is padded
-    with boundaries.
-    """
-    ends = np.arange(1, len(symbols))
-    owner = np.where(symbols[ends] == 0, word[ends] - 1, word[ends])
-    first = np.searchsorted(word, owner)  # the boundary before the word
-    code = np.zeros(len(ends), np.int64)
-    for j in range(n - 1, -1, -1):
-        at = ends - j
-        code = code * SYMBOLS + np.where(at >= first, symbols[np.maximum(at, 0)], 0)
-    return code, owner
-
-
-def count_alphabet(texts: DataFrame) -> np.ndarray:
-    """The SYMBOLS - 2 commonest characters of the lower-cased corpus, sorted."""
-
-    def run(batches):
-        total: dict[int, int] = {}
-        for batch in w.chunks(batches):
-            words = w.split(w.texts_of(batch))
-            times = np.bincount(words.codes, minlength=len(words.uniques))
-            lower = pc.utf8_lower(words.uniques).to_pylist()
-            cp = np.frombuffer("".join(lower).encode("utf-32-le", "replace"), np.uint32)
-            n = np.bincount(cp, weights=np.repeat(times, np.fromiter(map(len, lower), np.int64, len(lower))))
-            for c in np.flatnonzero(n).tolist():
-                total[c] = total.get(c, 0) + int(n[c])
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["c", "n"])
-
-    top = texts.mapInArrow(w.releasing(run), "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(SYMBOLS - 2)
-    return np.sort(np.array([r["c"] for r in top.collect()], np.uint32))
-
-
-def count_grams(texts: DataFrame, alphabet: np.ndarray) -> DataFrame:
-    """(gram, n): every n-gram of the highest order in all texts, counted in Spark."""
-
-    def run(batches):
-        for batch in w.chunks(batches, most=2 * w.CHUNK_BYTES):
-            words = w.split(w.texts_of(batch))
-            if not len(words.codes):
-                continue
-            times = np.bincount(words.codes, minlength=len(words.uniques))
-            code, owner = grams(*symbols_of(words.uniques, alphabet), ORDER)
-            code, back = np.unique(code, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(np.bincount(back, weights=times[owner]).astype(np.int64))], names=["gram", "n"])
-
-    return texts.mapInArrow(w.releasing(run), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Binary search in a sorted array: (whether each is there, where)."""
-    if not len(keys):
-        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[at] == wanted, at
-
-
-@dataclass
-class KneserNey:
-    """Sorted arrays by order: codes of the seen n-grams, their log-probability, and back-off weights.
-
-    An n-gram code has at most ORDER base-64 digits, so there are at most 64**ORDER of them, whatever
-    the corpus; unseen n-grams take the context's back-off weight and the next lower order.
-    """
-
-    alphabet: np.ndarray
-    codes: list[np.ndarray]
-    logs: list[np.ndarray]
-    contexts: list[np.ndarray]
-    backoffs: list[np.ndarray]
-
-    def gram_logs(self, code: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Natural log-probability of the last symbol after the others, under orders up to ``order``."""
-        out, open_, weight = np.zeros(len(code)), np.arange(len(code)), np.zeros(len(code))
-        for n in range(order, 0, -1):
-            seen, at = _found(self.codes[n], code[open_] % SYMBOLS**n)
-            out[open_[seen]] = self.logs[n][at[seen]] + weight[open_[seen]]
-            open_ = open_[~seen]
-            known, at = _found(self.contexts[n], code[open_] % SYMBOLS**n // SYMBOLS)
-            weight[open_[known]] += self.backoffs[n][at[known]]
-        out[open_] = weight[open_] - np.log(SYMBOLS)
-        return out
-
-    def text_logs(self, words: w.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(sum of log-probabilities, number of symbols) of every text."""
-        if not len(words.codes):
-            return np.zeros(len(words.counts)), np.zeros(len(words.counts), np.int64)
-        code, owner = grams(*symbols_of(words.uniques, self.alphabet), ORDER)
-        code, back = np.unique(code, return_inverse=True)
-        logs = np.bincount(owner, weights=self.gram_logs(code)[back], minlength=len(words.uniques))
-        size = np.bincount(owner, minlength=len(words.uniques))
-        return w.sums(logs[words.codes], words.offsets), w.sums(size[words.codes], words.offsets)
-
-
-def _order(table: DataFrame) -> tuple:
-    """Arrays of one order from its counts (gram, n): modified Kneser-Ney discounts and weights."""
-    rows = table.orderBy("gram").toArrow()
-    code, count = (rows.column(k).to_numpy() for k in ("gram", "n"))
-    n1, n2, n3, n4 = (int((count == k).sum()) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2) if n1 else 0.0
-    d = np.array([0.0, *(min(k, max(0.0, k - (k + 1) * y * b / a)) if a and y else 0.5 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))])
-    context, first = np.unique(code // SYMBOLS, return_index=True)
-    total = np.add.reduceat(count, first) if len(code) else count
-    off = d[np.minimum(count, 3)]
-    left = np.add.reduceat(off, first) / total if len(code) else off
-    at = np.searchsorted(context, code // SYMBOLS)
-    return code, np.maximum(count - off, 0) / total[at] if len(code) else off, context, np.maximum(left, 1e-9)
-
-
-def train_kneser_ney(docs: DataFrame) -> KneserNey:
-    """Count the whole corpus in Spark and fill the arrays, lowest order first.
-
-    The highest order has plain counts; an n-gram of a lower order counts the different symbols
-    before it.  Tables of distinct n-grams are bounded by the alphabet (:class:`KneserNey`).
-    """
-    texts = docs.select("text").filter(F.col("text").isNotNull())
-    alphabet = count_alphabet(texts)
-    table = written(count_grams(texts, alphabet), "grams")
-    tables = {ORDER: table}
-    for n in range(ORDER - 1, 0, -1):
-        tables[n] = tables[n + 1].select((F.col("gram") % SYMBOLS**n).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    model = KneserNey(alphabet, *([np.zeros(0)] * (ORDER + 1) for _ in range(4)))
-    for n in range(1, ORDER + 1):
-        code, part, context, left = _order(tables[n])
-        lower = np.exp(model.gram_logs(code % SYMBOLS ** (n - 1), n - 1))
-        at = np.searchsorted(context, code // SYMBOLS)
-        model.codes[n], model.logs[n] = code, np.log(np.maximum(part + left[at] * lower, 1e-12))
-        model.contexts[n], model.backoffs[n] = context, np.log(left)
-    return model
+#: Languages up to which the bands, a row each, are broadcast; more are joined by a shuffle.
+MOST_BANDS = 10_000
 
 
 def base_measures(texts: pa.Array, words: w.Words) -> dict[str, np.ndarray]:
@@ -264,7 +116,7 @@ def apply_quality_rules(docs: DataFrame, model: DataFrame | None = None, *, leas
     """
     measured = measure_all(docs, train_grams(docs) if model is None else model)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    # One row per language of the table; joined by shuffle or broadcast as Spark sees fit.
-    rows = measured.join(bands(measured, width=width, least_words=least_words), "lang", "left")
+    table = written(bands(measured, width=width, least_words=least_words), "bands")
+    rows = measured.join(F.broadcast(table) if table.count() <= MOST_BANDS else table, "lang", "left")
     inside = F.coalesce(F.col("nats").between(F.col("low"), F.col("high")), F.lit(False))
     return rows.select("doc_id", *_MEASURES, failed.alias("base_failed"), (~failed & inside).alias("kept"), F.exp("nats").alias("perplexity"), F.exp("low").alias("perplexity_low"), F.exp("high").alias("perplexity_high"))
