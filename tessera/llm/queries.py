@@ -63,8 +63,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = archive_pages(table(spark, sf_dir, "pages"))
-    return index.read(index.entries()).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Write the archives and their index, look up every page's URL in it and read the records found."""
+    pages = table(spark, sf_dir, "pages")
+    index = archive_pages(pages)
+    return index.read(index.find(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +90,4 @@ f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINC
 s AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n FROM k WHERE key NOT IN (SELECT key FROM f) GROUP BY r)
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN s USING (r)""",
-    "op8_capture_index": None,
 }
-ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

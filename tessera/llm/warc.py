@@ -6,8 +6,10 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import uuid
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
@@ -17,8 +19,10 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.shared import shared_folder, written
+from tessera.llm import words as w
+from tessera.llm.shared import discard, scratch_path, written
 
 #: Index lines in a compressed block, and bytes of an archive before the next begins.
 BLOCK_LINES, ARCHIVE_BYTES = 512, 1 << 30
@@ -30,9 +34,9 @@ _RECORD = "page_id bigint, url string, record_type string, refers_to bigint, pay
 def url_key(url: str | None) -> str:
     """The URL with its host reversed ("com,example)/a?b"), lower-case host, without scheme and fragment.
 
-    Spaces and line breaks, which part an index line, are escaped.
+    Spaces and control characters, which would part an index line or sort before its parts, are escaped.
     """
-    return _plain_key((url or "").strip()).replace(" ", "%20").replace("\n", "%0A").replace("\r", "%0D")
+    return re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", _plain_key((url or "").strip()))
 
 
 def _plain_key(url: str) -> str:
@@ -82,13 +86,13 @@ def _stage(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         base, i = TaskContext.get().partitionId() << 33, 0
-        for batch in batches:
+        for batch in w.chunks(batches, "html"):
             payloads = [(x or "").encode() for x in batch.column("html").to_pylist()]
             uid = pa.array(np.arange(base + i, base + i + len(payloads)))
             i += len(payloads)
             yield pa.RecordBatch.from_arrays([uid, batch.column("page_id"), batch.column("url"), pa.array([len(x) for x in payloads], pa.int64()), pa.array([digest(x) for x in payloads], pa.string()), pa.array([zlib.compress(x, 1) for x in payloads], pa.binary())], names=["uid", "page_id", "url", "size", "digest", "packed"])
 
-    return pages.selectExpr("cast(page_id AS bigint) AS page_id", "url", "html").mapInArrow(run, "uid bigint, page_id bigint, url string, size bigint, digest string, packed binary")
+    return pages.selectExpr("cast(page_id AS bigint) AS page_id", "url", "html").mapInArrow(w.releasing(run), "uid bigint, page_id bigint, url string, size bigint, digest string, packed binary")
 
 
 def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0) -> DataFrame:
@@ -114,7 +118,7 @@ def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0) -> Da
         system.create_dir(root, recursive=True)
         file, at, out = 0, 0, None
         try:
-            for batch in batches:
+            for batch in w.chunks(batches, "size"):
                 places = []
                 for row in batch.to_pylist():
                     if out is None or at >= ARCHIVE_BYTES:
@@ -132,20 +136,38 @@ def write_archives(pages: DataFrame, folder: str, *, least_bytes: int = 0) -> Da
             if out:
                 out.close()
 
-    return written(rows.select("page_id", "url", "digest", "size", "packed", "refers_to", "revisit").mapInArrow(run, _PLACE), "places")
+    places = written(rows.select("page_id", "url", "digest", "size", "packed", "refers_to", "revisit").mapInArrow(w.releasing(run), _PLACE), "places")
+    discard(staged, same)
+    return places
+
+
+_ENTRY = "key string, page_id bigint, file string, at bigint, length bigint"
+_ENTRY_SCHEMA = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("length", pa.int64())])
+
+
+def _lines(f, at: int, length: int) -> list[str]:
+    """The lines of a gzip member, by a range read."""
+    return gzip.decompress(f.read_at(length, at)).decode().split("\n")[:-1]
+
+
+def _entry(line: str) -> dict:
+    key, _, place = line.partition(" ")
+    return {"key": key, **json.loads(place)}
 
 
 @dataclass
 class CaptureIndex:
-    """Sorted key lines in compressed blocks, and a sparse directory with one row per block.
+    """Sorted key lines in compressed blocks, and a sparse directory of the blocks at the end of every shard.
 
-    ``directory``: (first_key, last_key, shard, at, length, lines), sorted by key.
+    ``shards``: (first_key, last_key, shard, at, length, lines), a row for each shard with the place
+    of its directory.  There are at most as many shards as the index has partitions.
     """
 
     folder: str
-    directory: DataFrame
+    shards: DataFrame
 
-    def _expanded(self, blocks: DataFrame, columns: str) -> DataFrame:
+    def entries(self) -> DataFrame:
+        """(key, page_id, file, at, length) of every capture, block by block."""
         folder = self.folder
 
         def run(batches):
@@ -153,36 +175,67 @@ class CaptureIndex:
             for batch in batches:
                 for row in batch.to_pylist():
                     with system.open_input_file(f"{root}/{row['shard']}") as f:
-                        lines = gzip.decompress(f.read_at(row["length"], row["at"])).decode().split("\n")[:-1]
-                    found = [{"key": k, **json.loads(v)} for k, v in (x.split(" ", 1) for x in lines)]
-                    yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("length", pa.int64())]))
+                        for place in _lines(f, row["at"], row["length"]):
+                            at, length, _ = place.split(" ", 2)
+                            yield pa.RecordBatch.from_pylist([_entry(x) for x in _lines(f, int(at), int(length))], schema=_ENTRY_SCHEMA)
 
-        return blocks.select("shard", "at", "length").mapInArrow(run, columns)
+        spread = self.shards.repartition(self.shards.sparkSession.sparkContext.defaultParallelism * 2)
+        return spread.select("shard", "at", "length").mapInArrow(w.releasing(run), _ENTRY)
 
-    def entries(self) -> DataFrame:
-        """(key, page_id, file, at, length) of every capture, block by block."""
-        blocks = self.directory.repartition(self.directory.sparkSession.sparkContext.defaultParallelism * 2)
-        return self._expanded(blocks, "key string, page_id bigint, file string, at bigint, length bigint")
-
-    def find(self, urls: list[str]) -> list[dict]:
-        """The captures of some URLs: a binary search in the directory, then one range read per block."""
-        keys = sorted({url_key(u) for u in urls})
-        table = self.directory.orderBy("first_key", "last_key", "shard", "at").toArrow().to_pylist()
-        lasts = [x["last_key"] for x in table]
-        system, root = fs.FileSystem.from_uri(self.folder)
-        found, seen = [], set()
-        from bisect import bisect_left
-
-        for key in keys:
-            i = bisect_left(lasts, key)
-            while i < len(table) and table[i]["first_key"] <= key:
-                if i not in seen:
-                    seen.add(i)
-                    with system.open_input_file(f"{root}/{table[i]['shard']}") as f:
-                        lines = gzip.decompress(f.read_at(table[i]["length"], table[i]["at"])).decode().split("\n")[:-1]
-                    found += [{"key": k, **json.loads(v)} for k, v in (x.split(" ", 1) for x in lines) if k in keys]
-                i += 1
-        return found
+    def find(self, urls: DataFrame) -> DataFrame:
+        """(key, page_id, file, at, length) of all captures of the URLs (url); a URL given twice counts once.
+
+        Every different key is looked up in the bounds of the shards, the keys of a shard in its
+        directory, by binary searches, and each block that may hold one is read once, by a range
+        read.  A key with very many captures lies in several shards, which are read apart.
+        """
+        folder = self.folder
+        bounds = sorted((r["first_key"], r["last_key"], r["shard"], r["at"], r["length"]) for r in self.shards.collect())
+        known = urls.sparkSession.sparkContext.broadcast(bounds)
+        keys = keyed_urls(urls.select("url").distinct()).select("key").distinct()
+
+        def shards_of(batches):
+            lasts = [x[1] for x in known.value]
+            for batch in batches:
+                found = []
+                for key in batch.column("key").to_pylist():
+                    i = bisect_left(lasts, key)
+                    while i < len(lasts) and known.value[i][0] <= key:
+                        found.append((i, key))
+                        i += 1
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.string())], names=["shard", "key"])
+
+        def look_up(batches):
+            system, root = fs.FileSystem.from_uri(folder)
+            number, f, places, lasts, seen, lines = -1, None, [], [], -1, []
+            for batch in batches:
+                out = []
+                for shard, key in zip(batch.column("shard").to_pylist(), batch.column("key").to_pylist(), strict=True):
+                    if shard != number:
+                        if f:
+                            f.close()
+                        _, _, name, at, length = known.value[shard]
+                        number, f, seen = shard, system.open_input_file(f"{root}/{name}"), -1
+                        places = [x.split(" ") for x in _lines(f, at, length)]
+                        lasts = [x[3] for x in places]
+                    i = bisect_left(lasts, key)
+                    while i < len(places) and places[i][2] <= key:
+                        if i != seen:
+                            seen, lines = i, _lines(f, int(places[i][0]), int(places[i][1]))
+                        j = bisect_left(lines, f"{key} ")
+                        while j < len(lines) and lines[j].startswith(f"{key} "):
+                            out.append(_entry(lines[j]))
+                            j += 1
+                        if len(out) >= 4096:
+                            yield pa.RecordBatch.from_pylist(out, schema=_ENTRY_SCHEMA)
+                            out = []
+                        i += 1
+                yield pa.RecordBatch.from_pylist(out, schema=_ENTRY_SCHEMA)
+            if f:
+                f.close()
+
+        spread = keys.mapInArrow(shards_of, "shard int, key string").repartition("shard").sortWithinPartitions("shard", "key")
+        return spread.mapInArrow(w.releasing(look_up), _ENTRY)
 
     def read(self, entries: DataFrame) -> DataFrame:
         """The records of entries (file, at, length), by range reads in the order of each file."""
@@ -190,7 +243,7 @@ class CaptureIndex:
 
         def run(batches):
             system, root = fs.FileSystem.from_uri(folder)
-            for batch in batches:
+            for batch in w.chunks(batches, "length", 2 << 20):
                 rows, name, f = [], None, None
                 for row in sorted(batch.to_pylist(), key=lambda x: (x["file"], x["at"])):
                     if row["file"] != name:
@@ -202,55 +255,72 @@ class CaptureIndex:
                     f.close()
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]))
 
-        return entries.select("file", "at", "length").mapInArrow(run, _RECORD)
+        return entries.select("file", "at", "length").mapInArrow(w.releasing(run), _RECORD)
+
+
+def keyed_urls(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``key`` of their ``url`` (:func:`url_key`)."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.append_column("key", pa.array([url_key(x) for x in batch.column("url").to_pylist()], pa.string()))
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("key", T.StringType())]))
 
 
 def build_index(places: DataFrame, folder: str) -> CaptureIndex:
     """Sort the places by URL key over the cluster and write one shard of blocks per partition.
 
-    Rows of one key may fall into several shards: the range partitioning also looks at the place.
+    A shard ends with its directory, one line per block: place, length, first and last key.  Rows of
+    one key may fall into several shards: the range partitioning also looks at the place.
     """
 
-    def keys(batches):
-        for batch in batches:
-            yield batch.append_column("key", pa.array([url_key(x) for x in batch.column("url").to_pylist()], pa.string()))
-
     def blocks(batches):
         context = TaskContext.get()
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
         name = f"index-{context.partitionId():06d}-{context.taskAttemptId()}.gz"
-        out, at, held = None, 0, []
+        out, at, held, listed, total = None, 0, [], [], 0
+
+        def member(lines: list[str]) -> int:
+            nonlocal out, at
+            out = out or system.open_output_stream(f"{root}/{name}", compression=None)
+            packed = gzip.compress("".join(f"{x}\n" for x in lines).encode(), 6, mtime=0)
+            out.write(packed)
+            at += len(packed)
+            return len(packed)
 
-        def block(lines):
-            member = gzip.compress("".join(f"{k} {v}\n" for k, v in lines).encode(), 6, mtime=0)
-            out.write(member)
-            return pa.RecordBatch.from_pylist([{"first_key": lines[0][0], "last_key": lines[-1][0], "shard": name, "at": at, "length": len(member), "lines": len(lines)}], schema=pa.schema([("first_key", pa.string()), ("last_key", pa.string()), ("shard", pa.string()), ("at", pa.int64()), ("length", pa.int64()), ("lines", pa.int64())]))
+        def block(lines: list[str]) -> None:
+            start, first, last = at, lines[0].split(" ", 1)[0], lines[-1].split(" ", 1)[0]
+            listed.append(f"{start} {member(lines)} {first} {last}")
 
         for batch in batches:
-            held += [(row.pop("key"), json.dumps(row)) for row in batch.select(["key", "page_id", "file", "at", "length"]).to_pylist()]
+            held += [f"{row.pop('key')} {json.dumps(row)}" for row in batch.select(["key", "page_id", "file", "at", "length"]).to_pylist()]
+            total += batch.num_rows
             while len(held) >= BLOCK_LINES:
-                out = out or system.open_output_stream(f"{root}/{name}", compression=None)
-                done = block(held[:BLOCK_LINES])
-                at, held = at + done.column("length")[0].as_py(), held[BLOCK_LINES:]
-                yield done
+                block(held[:BLOCK_LINES])
+                held = held[BLOCK_LINES:]
         if held:
-            out = out or system.open_output_stream(f"{root}/{name}", compression=None)
-            yield block(held)
-        if out:
+            block(held)
+        if listed:
+            start = at
+            size = member(listed)
             out.close()
+            yield pa.RecordBatch.from_pylist([{"first_key": listed[0].split(" ")[2], "last_key": listed[-1].split(" ")[3], "shard": name, "at": start, "length": size, "lines": total}], schema=pa.schema([("first_key", pa.string()), ("last_key", pa.string()), ("shard", pa.string()), ("at", pa.int64()), ("length", pa.int64()), ("lines", pa.int64())]))
 
-    rows = places.mapInArrow(keys, f"{_PLACE}, key string")
-    ordered = rows.repartitionByRange("key", "file", "at").sortWithinPartitions("key", "file", "at")
-    directory = ordered.mapInArrow(blocks, "first_key string, last_key string, shard string, at bigint, length bigint, lines bigint")
-    return CaptureIndex(folder, written(directory, "directory"))
+    ordered = keyed_urls(places).repartitionByRange("key", "file", "at").sortWithinPartitions("key", "file", "at")
+    shards = ordered.mapInArrow(w.releasing(blocks), "first_key string, last_key string, shard string, at bigint, length bigint, lines bigint")
+    return CaptureIndex(folder, written(shards, "shards"))
 
 
 def archive_pages(pages: DataFrame, *, folder: str | None = None, least_bytes: int = 0) -> CaptureIndex:
     """Write the archives and their index to ``folder`` (a new one in the shared folder).
 
     Null html is an empty payload; a null or odd URL is filed under "-)"; repeated rows are records of
-    their own; an empty table gives an index without blocks.
+    their own; an empty table gives an index without shards; very long pages are handled one by one.
     """
-    folder = folder or f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
-    return build_index(write_archives(pages, folder, least_bytes=least_bytes), folder)
+    folder = folder or scratch_path(pages.sparkSession, "warc")
+    places = write_archives(pages, folder, least_bytes=least_bytes)
+    index = build_index(places, folder)
+    discard(places)
+    return index
