@@ -28,6 +28,8 @@ MASKS = {1: (0, ONE), 2: (0, TWO), 3: (ONE, TWO), 4: (TWO, TWO), 5: ((1 << 3 * B
 #: Rows of the table that one pass over the texts looks up; a larger table takes more passes.
 BLOCK_ROWS = 4_000_000
 SCORE_BYTES = 2 << 20
+#: Arrays of so many bytes are mapped on their own (:func:`tessera.llm.words.releasing`).
+MAPPED = 16 << 20
 _PRIME = 1_000_003
 
 
@@ -73,7 +75,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
             a, b, back, _ = distinct_grams(w.texts_of(batch))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.bincount(back, minlength=len(a)).astype(np.int64))], names=["a", "b", "n"])
 
-    return texts.mapInArrow(w.releasing(run), "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(w.releasing(run, MAPPED), "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import words as w
-from tessera.llm.grams import GramBlock, blocks_of, train_grams
+from tessera.llm.grams import MAPPED, GramBlock, blocks_of, train_grams
 from tessera.llm.shared import written
 
 #: Languages up to which the bands, a row each, are broadcast; more are joined by a shuffle.
@@ -62,7 +62,7 @@ def measure(docs: DataFrame, block: GramBlock) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "lang", "rid")), *(pa.array(got[k], pa.int64()) for k in _MEASURES), pa.array(logs), pa.array(n, pa.int64())], names=["doc_id", "lang", "rid", *_MEASURES, "logs", "symbols"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.xxhash64("doc_id", "text").alias("rid"), "text")
-    return rows.mapInArrow(w.releasing(run), f"doc_id bigint, lang string, rid bigint, {', '.join(f'{k} bigint' for k in _MEASURES)}, logs double, symbols bigint")
+    return rows.mapInArrow(w.releasing(run, MAPPED), f"doc_id bigint, lang string, rid bigint, {', '.join(f'{k} bigint' for k in _MEASURES)}, logs double, symbols bigint")
 
 
 def other_logs(docs: DataFrame, block: GramBlock) -> DataFrame:
@@ -73,7 +73,7 @@ def other_logs(docs: DataFrame, block: GramBlock) -> DataFrame:
         for batch in w.chunks(batches, most=w.CHUNK_BYTES // 2):
             yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(shared.value.text_logs(w.texts_of(batch))[0])], names=["rid", "other"])
 
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text").mapInArrow(w.releasing(run), "rid bigint, other double")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text").mapInArrow(w.releasing(run, MAPPED), "rid bigint, other double")
     return rows.groupBy("rid").agg(F.max("other").alias("other"))
 
 

@@ -67,17 +67,18 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CH
             first = last
 
 
-def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+def releasing(run: Callable[[Iterator], Iterator], mapped: int = 1 << 20) -> Callable[[Iterator], Iterator]:
     """``run`` for mapInArrow in a worker that gives free memory back, within a task and at its end.
 
-    Arrow allocates with malloc then, and arrays of a megabyte or more are mapped on their own, so
-    they leave the process when they are dropped (glibc only; elsewhere nothing changes).
+    Arrow allocates with malloc then, and arrays of ``mapped`` bytes or more are mapped on their own, so
+    they leave the process when they are dropped (glibc only; elsewhere nothing changes).  Mapping
+    costs time, so operators that make many large arrays set it higher.
     """
 
     def task(batches):
         libc = ctypes.CDLL(None)
         if hasattr(libc, "mallopt"):
-            libc.mallopt(_M_MMAP_THRESHOLD, 1 << 20)
+            libc.mallopt(_M_MMAP_THRESHOLD, mapped)
             libc.mallopt(_M_TRIM_THRESHOLD, 4 << 20)
             pa.set_memory_pool(pa.system_memory_pool())
         yield from run(batches)
