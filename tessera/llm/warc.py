@@ -255,7 +255,8 @@ class CaptureIndex:
                     f.close()
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]))
 
-        return entries.select("file", "at", "length").mapInArrow(w.releasing(run), _RECORD)
+        spread = entries.select("file", "at", "length").repartition(2 * entries.sparkSession.sparkContext.defaultParallelism)
+        return spread.mapInArrow(w.releasing(run), _RECORD)
 
 
 def keyed_urls(rows: DataFrame) -> DataFrame:
