@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import MISSING, clean, let, strip
@@ -188,3 +188,12 @@ def coded_places(c: Column) -> Column:
 
     parts = F.filter(F.transform(F.split(strip(c), "[|/]"), strip), lambda s: s != "")
     return joined(let(F.flatten(F.transform(parts, one)), distinct_text))
+
+
+def with_places(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with :func:`places` of a column as ``name``; every different text is read once.
+
+    The texts are joined back, which Spark broadcasts or shuffles by their measured size.
+    """
+    found = rows.select(F.col(column).alias("_text")).distinct().withColumn(name, places(F.col("_text")))
+    return rows.join(found, rows[column].eqNullSafe(found["_text"]), "left").drop("_text")

@@ -196,7 +196,10 @@ def source_parts(url: Column) -> Column:
 
 
 def identity(parts: Column, *, with_language: bool = True) -> Column:
-    """Key of a source (an array of texts) from :func:`source_parts`, or null where a part is missing."""
+    """Key of a source (an array of texts) from :func:`source_parts`, or null where a part is missing.
+
+    Without ``with_language`` a missing language is ''.
+    """
     return let(parts, lambda p: _key(p, with_language))
 
 
@@ -206,7 +209,7 @@ def _key(parts: Column, with_language: bool) -> Column:
         F.when(src == "workday", F.array(src, F.lower(parts["tenant"]), fold(parts["site"])))
         .when(src.isin(*SLUG_SOURCES), F.array(src, F.lower(parts["slug"])))
         .when(src == "icims", F.array(src, parts["mode"], parts["host"]))
-        .when(src == "oracle_hcm", F.array(src, parts["host"], *([F.lower(parts["language"])] if with_language else []), F.lower(parts["site"])))
+        .when(src == "oracle_hcm", F.array(src, parts["host"], F.lower(parts["language"]) if with_language else F.coalesce(F.lower(parts["language"]), F.lit("")), F.lower(parts["site"])))
     )
     return let(key, lambda k: F.when(~F.exists(k, lambda x: x.isNull()), k))
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -36,37 +35,44 @@ def chained(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows from the shared checkpoint folder, their lineage cut."""
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(folder or tempfile.gettempdir() + "/checkpoints")
     return df.checkpoint()
 
 
-def greedy(rows: DataFrame, keys: list[str], order: str, most_rounds: int = 200) -> DataFrame:
+def greedy(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Keep a row iff none of its keys belongs to an earlier row that was kept; blank keys don't count.
 
     ``order`` must be unique.  In rounds: rows that come first in all their keys are kept, rows that
-    share a key with a kept row go, the others wait.  Each round is cut off by a checkpoint; a chain
-    of conflicts longer than ``most_rounds`` raises.  Rows whose keys are all unique end in round one.
+    share a key with a kept row go, the others wait.  Rows whose keys are all their own are settled
+    before the first round.  Every round settles a row at least, so it ends, after as many rounds as
+    the longest chain of conflicts has links; each is cut off by one checkpoint.
     """
-    alive = rows.select(order, F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(k).cast("string").alias("v")) for i, k in enumerate(keys)))).alias("k"))
-    alive = alive.filter(F.coalesce(F.col("k.v"), F.lit("")) != "")
-    kept = [rows.filter(" AND ".join(f"coalesce(cast({k} AS string), '') = ''" for k in keys)).select(order)]
-    for _ in range(most_rounds):
+    pairs = rows.select(order, F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(k).cast("string").alias("v")) for i, k in enumerate(keys)))).alias("k"))
+    pairs = pairs.filter(F.coalesce(F.col("k.v"), F.lit("")) != "")
+    firsts = pairs.groupBy("k").agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+    alive = checkpointed(pairs.join(firsts.filter(F.col("_first") != F.col("_last")).select("k"), "k"))
+    # Only rows that share a key can lose; all others stay without a round.
+    lost = []
+    while not alive.isEmpty():
         first = alive.groupBy("k").agg(F.min(order).alias("_first"))
         state = alive.join(first, "k").groupBy(order).agg(F.bool_and(F.col("_first") == F.col(order)).alias("_keep"))
-        won = checkpointed(state.filter("_keep").select(order))
-        kept.append(won)
-        taken = alive.join(won, order, "left_semi").select("k").distinct()
-        lost = alive.join(taken, "k", "left_semi").select(order).distinct()
-        alive = checkpointed(alive.join(lost, order, "left_anti"))
-        if alive.isEmpty():
-            all_kept = kept[0]
-            for part in kept[1:]:
-                all_kept = all_kept.unionByName(part)
-            return rows.join(all_kept, order, "left_semi")
-    raise RuntimeError(f"greedy dedupe did not settle in {most_rounds} rounds")
+        marked = checkpointed(alive.join(state, order))
+        taken = marked.filter("_keep").select("k").distinct()
+        out = marked.filter("NOT _keep").join(taken, "k", "left_semi").select(order).distinct()
+        lost.append(out)
+        alive = checkpointed(marked.filter("NOT _keep").drop("_keep").join(out, order, "left_anti"))
+    if not lost:
+        return rows
+    gone = lost[0]
+    for part in lost[1:]:
+        gone = gone.unionByName(part)
+    return rows.join(gone, order, "left_anti")
 
 
 def merge_traces(rows: DataFrame, keys: list[str], traces: list[str], order: list[str]) -> DataFrame:
@@ -85,11 +91,26 @@ def survivors(rows: DataFrame, keys: list[str], quality: list, order: list[str],
     return ranked.filter("_n = 1").drop("_n", "_kept"), ranked.filter("_n > 1").withColumn("kept_url", F.col("_kept")).drop("_n", "_kept", "n_collapsed")
 
 
-def numbered_names(rows: DataFrame, name: str, label: str, order: list[str], used: DataFrame) -> DataFrame:
-    """``name`` made unique: " - label" and then a number are put after names that are taken."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    taken = used.select(F.col(name)).distinct().withColumn("_used", F.lit(True))
-    rows = rows.join(taken, name, "left").withColumn("_n", n + F.when(F.col("_used"), 1).otherwise(0))
-    again = F.row_number().over(Window.partitionBy(name, label, F.col("_n") > 1).orderBy(*order))
-    suffix = F.when(F.col("_n") == 1, "").otherwise(F.concat(F.lit(" - "), F.col(label), F.when(again > 1, F.concat(F.lit(" "), again.cast("string"))).otherwise("")))
-    return rows.withColumn("_suffix", suffix).withColumn(name, F.concat(name, "_suffix")).drop("_used", "_n", "_suffix")
+def numbered_names(rows: DataFrame, name: str, label: str, source: str, order: list[str], used: DataFrame) -> DataFrame:
+    """``name`` made unique per ``source`` against ``used`` (name, source) and the rows themselves, whatever the case.
+
+    A name that one row has and that is not used stays.  Others, all rows of a shared name included,
+    become "name - label", and "name - label 2", 3, ... in ``order`` where that is taken.
+    """
+    low = lambda c: F.lower(c)
+    rows = rows.withColumns({"_low": low(F.col(name)), "_same": F.count(F.lit(1)).over(Window.partitionBy(low(F.col(name)), source))})
+    taken = used.select(low(F.col(name)).alias("_low"), source).distinct()
+    rows = rows.join(taken.withColumn("_used", F.lit(True)), ["_low", source], "left")
+    plain = (F.col("_same") == 1) & F.col("_used").isNull()
+    rows = rows.withColumns({"_plain": plain, "_stem": F.concat_ws(" - ", name, label)}).withColumn("_stem_low", low(F.col("_stem")))
+    # What is taken of a stem: the bare stem counts as number 1.
+    every = taken.unionByName(rows.filter("_plain").select("_low", source))
+    numbered = every.select(source, F.regexp_extract("_low", r"^(.*) (\d{1,9})$", 1).alias("_stem_low"), F.regexp_extract("_low", r"^(.*) (\d{1,9})$", 2).try_cast("int").alias("_no")).filter("_no >= 2")
+    numbers = every.select(source, F.col("_low").alias("_stem_low"), F.lit(1).alias("_no")).unionByName(numbered).groupBy(source, "_stem_low").agg(F.collect_set("_no").alias("_nos"))
+    rows = rows.join(numbers, [source, "_stem_low"], "left")
+    nth = F.row_number().over(Window.partitionBy(source, "_stem_low", "_plain").orderBy(*order))
+    rows = rows.withColumn("_nth", nth).withColumn("_nos", F.coalesce("_nos", F.array().cast("array<int>")))
+    free = F.expr("filter(sequence(1, _nth + size(_nos)), n -> NOT array_contains(_nos, n))[_nth - 1]")
+    rows = rows.withColumn("_no", free)
+    made = F.when(F.col("_plain"), F.col(name)).when(F.col("_no") == 1, F.col("_stem")).otherwise(F.concat_ws(" ", "_stem", F.col("_no").cast("string")))
+    return rows.withColumn(name, made).drop(*(c for c in ("_low", "_same", "_used", "_plain", "_stem", "_stem_low", "_nos", "_nth", "_no")))

@@ -7,24 +7,68 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import enabled_flag, fold, strip
 from tessera.functions.urls import identity, identity_text, normal_url, path, source_of, source_parts
-from tessera.operators.dedupe import chained, checkpointed, first_wins, greedy
+from tessera.operators.dedupe import chained, checkpointed, first_wins, greedy, numbered_names
 
 
-def modal(rows: DataFrame, keys: list[str], value: str, *ties) -> DataFrame:
-    """(keys, value): the commonest value of each group, ties by ``ties`` and then the value."""
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_n"), *ties, value))
-    return counts.withColumn("_r", rank).filter("_r = 1").select(*keys, value)
+def _parsed(listings: DataFrame, with_language: bool = True) -> DataFrame:
+    """(ord, company, raw, source, canonical, identity, label) of listings of a supported source."""
+    parts = listings.withColumn("p", source_parts(normal_url(F.col("url")))).filter("p.canonical IS NOT NULL")
+    label = F.coalesce(F.when(F.col("p.source").isin("workday", "oracle_hcm"), F.col("p.site")).when(F.col("p.source") == "icims", F.col("p.host")).otherwise(F.col("p.slug")), "p.source")
+    rows = parts.select("ord", strip(F.col("company")).alias("company"), F.col("url").alias("raw"), F.col("p.source").alias("source"), F.col("p.canonical").alias("canonical"), identity_text(identity(F.col("p"), with_language=with_language)).alias("identity"), label.alias("label"))
+    return rows.filter("identity IS NOT NULL")
+
+
+def _per_identity(rows: DataFrame) -> DataFrame:
+    """One row per identity: count, first row's texts, modal company and modal URL.
+
+    Listings are counted by (identity, company, URL) first, so each is parsed once and only counts are
+    grouped again.  Ties: the company that sorts first; the longest path, then the URL that sorts first.
+    """
+    first = F.struct("raw", "source", "label")
+    counts = rows.groupBy("identity", "company", "canonical").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"), F.min_by(first, "ord").alias("first"))
+    counts = counts.withColumns({"named": F.sum("n").over(Window.partitionBy("identity", "company")), "linked": F.sum("n").over(Window.partitionBy("identity", "canonical"))})
+    return counts.groupBy("identity").agg(
+        F.sum("n").alias("n"),
+        F.min("ord").alias("ord"),
+        F.min_by("first", "ord").alias("first"),
+        F.min_by("company", F.struct(-F.col("named"), fold(F.col("company")), "company")).alias("company"),
+        F.min_by("canonical", F.struct(-F.col("linked"), -F.length(path(F.col("canonical"))), "canonical")).alias("url"),
+    )
 
 
 def roll_up(listings: DataFrame) -> DataFrame:
     """One lead per identity of (ord, company, url) rows: count, modal company and URL, first raw URL."""
-    parts = listings.withColumn("p", source_parts(normal_url(F.col("url")))).filter("p.canonical IS NOT NULL")
-    rows = parts.select("ord", strip(F.col("company")).alias("company"), F.col("url").alias("raw"), F.col("p.source").alias("source"), F.col("p.canonical").alias("canonical"), identity_text(identity(F.col("p"))).alias("identity")).filter("identity IS NOT NULL")
-    base = rows.groupBy("identity").agg(F.count(F.lit(1)).cast("string").alias("job_count"), F.min_by("raw", "ord").alias("example_job_url"), F.min_by("source", "ord").alias("source"))
-    named = modal(rows, ["identity"], "company", fold(F.col("company")))
-    linked = modal(rows, ["identity"], "canonical", F.desc(F.length(path(F.col("canonical"))))).withColumnRenamed("canonical", "url")
-    return base.join(named, "identity").join(linked, "identity").select("company", "url", "source", "job_count", "example_job_url", "identity")
+    return _per_identity(_parsed(listings)).select("company", "url", F.col("first.source").alias("source"), F.col("n").cast("string").alias("job_count"), F.col("first.raw").alias("example_job_url"), "identity")
+
+
+def leads_in_order(leads: DataFrame) -> DataFrame:
+    return leads.orderBy(fold(F.col("company")), "source", "url")
+
+
+def archived_candidates(listings: DataFrame) -> DataFrame:
+    """(ord, identity, company, url, source, label): one source per identity of archived listings, first seen first."""
+    return _per_identity(_parsed(listings, with_language=False)).select("ord", "identity", "company", "url", F.col("first.source").alias("source"), F.col("first.label").alias("label"))
+
+
+def new_source_rows(candidates: DataFrame, existing: DataFrame) -> DataFrame:
+    """(company, url, enabled): candidates whose identity and URL neither ``existing`` (company, url) nor an earlier one has.
+
+    Companies that would share a name in one source are told apart by the candidate's label.
+    """
+    old = existing.select(F.col("company"), normal_url(F.col("url")).alias("url")).withColumn("p", source_parts(F.col("url")))
+    old = checkpointed(old.select("company", F.col("p.source").alias("source"), F.coalesce("p.canonical", "url").alias("url"), identity_text(identity(F.col("p"), with_language=False)).alias("identity")))
+    fresh = candidates.join(old.select("identity").dropna().distinct(), "identity", "left_anti").join(old.select("url").distinct(), "url", "left_anti")
+    kept = greedy(checkpointed(fresh), ["identity", "url"], "ord").withColumn("_order", fold(F.col("company")))
+    named = numbered_names(kept, "company", "label", "source", ["_order", "source", "url"], old.filter("source IS NOT NULL").select("company", "source"))
+    return named.orderBy("_order", "source", "url").select("company", "url", F.lit("true").alias("enabled"))
+
+
+def with_additions(sources: DataFrame, additions: DataFrame) -> DataFrame:
+    """Catalog rows (ord, company, url, enabled) followed by new ones."""
+    first = sources.withColumn("_late", F.lit(0))
+    more = additions.withColumn("ord", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("company", "url"))) if "ord" not in additions.columns else additions
+    both = first.unionByName(more.withColumn("_late", F.lit(1)).withColumn("ord", F.col("ord").cast(sources.schema["ord"].dataType)))
+    return both.withColumn("ord", F.struct("_late", "ord")).drop("_late")
 
 
 def listing_stats(listings: DataFrame) -> DataFrame:
@@ -82,8 +126,12 @@ def compile_catalog(rows: DataFrame, owners: DataFrame) -> tuple[DataFrame, Data
     own = first_wins(owners.select(normal_url(F.col("url")).alias("_u"), F.concat_ws("::", fold(strip(F.col("company"))), "source").alias("_owner")).withColumn("_one", F.lit(1)), ["_u"], ["_owner"]).drop("_one")
     r = r.withColumn("_u", F.coalesce(F.col("p.canonical"), "norm")).join(own, "_u", "left")
     r = r.filter(F.col("source").isNull() | F.col("_owner").isNull() | (F.col("_owner") == F.col("_pair")))
-    now = owners.select(F.concat_ws("::", fold(strip(F.col("company"))), "source").alias("_pair"), normal_url(F.col("url")).alias("_old")).groupBy("_pair").agg(F.min("_old").alias("_old"))
-    configs = r.filter("source IS NOT NULL AND p.canonical IS NOT NULL").join(now, "_pair", "left")
-    change = F.when(F.col("_old").isNull(), "added").when(F.col("_old") == normal_url(F.col("p.canonical")), "current").otherwise("updated")
-    configs = configs.select("ord", "company", "source", F.col("p.canonical").alias("url"), F.col("flag").alias("enabled"), "p.tenant", "p.site", "p.slug", "p.host", "p.mode", "p.language", change.alias("change")).orderBy(fold(F.col("company")), "source", "url")
+    # A config is current if all that the owners say of it (URL, flag, parts) is what the row gives.
+    configs = r.filter("source IS NOT NULL AND p.canonical IS NOT NULL").select("_pair", "ord", "company", "source", F.col("p.canonical").alias("url"), F.col("flag").alias("enabled"), "p.tenant", "p.site", "p.slug", "p.host", "p.mode", "p.language")
+    told = [c for c in ("enabled", "tenant", "site", "slug", "host", "mode", "language") if c in owners.columns]
+    now = owners.select(F.concat_ws("::", fold(strip(F.col("company"))), "source").alias("_pair"), F.struct(normal_url(F.col("url")).alias("url"), *told).alias("_old")).groupBy("_pair").agg(F.min("_old").alias("_old"))
+    configs = configs.join(now, "_pair", "left")
+    same = F.struct(normal_url(F.col("url")).alias("url"), *told).eqNullSafe(F.col("_old"))
+    change = F.when(F.col("_old").isNull(), "added").when(same, "current").otherwise("updated")
+    configs = configs.withColumn("change", change).drop("_pair", "_old").orderBy(fold(F.col("company")), "source", "url")
     return configs, r.select("ord", "company", F.coalesce("p.canonical", "norm", "url").alias("url"), "enabled").orderBy("ord")

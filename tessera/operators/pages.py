@@ -1,12 +1,13 @@
-"""Links in pages, evidence of platforms, and pages worth reading next."""
+"""Links in pages, evidence of platforms, candidates of sources, and pages worth reading next."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import clean, let, strip
-from tessera.functions.urls import bare_host, page_url, path, platform_of, query, scheme, netloc, under
+from tessera.functions import platforms as p
+from tessera.functions.text import clean, let, slug, strip, strip_tags
+from tessera.functions.urls import bare_host, netloc, page_url, path, platform_of, scheme, under
 
 # Words in links that lead to openings, and links to pass over.
 HINTS = ("career", "careers", "job", "jobs", "opening", "openings", "position", "positions", "engineering", "technology", "software", "security", "intern", "student", "graduate", "new-grad")
@@ -15,8 +16,25 @@ SKIP_HINTS = ("login", "log-in", "signin", "sign-in", "privacy", "legal", "terms
 SOFT_SKIP_HINTS = ("benefit", "culture", "team", "life-at", "life at")
 SOCIAL_HOSTS = ("facebook.com", "instagram.com", "linkedin.com", "tiktok.com", "twitter.com", "x.com", "youtube.com")
 SKIP_EXTENSIONS = (".pdf", ".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", ".ico", ".zip")
-_TAGS = {"a": "href", "script": "src", "iframe": "src", "form": "action"}
+# URLs and quoted paths anywhere in a page.
 _TEXT_URL = r"(?i)(https?://[^\s\"'<>\\)]+)"
+_QUOTED_PATH = r"""["']((?:/|\.\.?/)[^"'<>\\\s]+)["']"""
+#: Tags by attribute and by the name of the method, in the order in which equal evidence counts.
+_TAGS = {"a": ("href", "link"), "script": ("src", "script_src"), "iframe": ("src", "iframe"), "form": ("action", "form_action")}
+_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
+_RANKS = {"low": 1, "medium": 2, "high": 3}
+
+
+def _without_dots(c: Column) -> Column:
+    """A rooted path without "." and ".." segments; ".." at the top is dropped."""
+    last = F.element_at(F.split(c, "/"), -1)
+    kept = F.aggregate(
+        F.slice(F.split(c, "/"), 2, F.size(F.split(c, "/"))),
+        F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))),
+    )
+    folder = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(c.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(folder, "/"))).otherwise(c)
 
 
 def resolved(base: Column, link: Column) -> Column:
@@ -25,12 +43,13 @@ def resolved(base: Column, link: Column) -> Column:
     def against(x: Column) -> Column:
         t, root = x["link"], F.concat(x["scheme"], F.lit("://"), x["netloc"])
         folder = F.regexp_replace(F.when(x["path"] == "", "/").otherwise(x["path"]), "[^/]*$", "")
+        shown, rest = F.regexp_extract(t, "^([^?#]*)", 1), F.regexp_extract(t, "^[^?#]*(.*)$", 1)
         return (
             F.when(t.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), t)
             .when(F.startswith(t, F.lit("//")), F.concat(x["scheme"], F.lit(":"), t))
-            .when(F.startswith(t, F.lit("/")), F.concat(root, t))
-            .when(t.rlike(r"^[?#]"), F.concat(root, x["path"], t))
-            .otherwise(F.regexp_replace(F.regexp_replace(F.concat(root, folder, t), r"/\./|/(?=\./)", "/"), r"/[^/]+/\.\./", "/"))
+            .when(F.startswith(t, F.lit("/")), F.concat(root, _without_dots(shown), rest))
+            .when(t.rlike(r"^(?:[?#]|$)"), F.concat(root, x["path"], t))
+            .otherwise(F.concat(root, _without_dots(F.concat(folder, shown)), rest))
         )
 
     return let(F.struct(scheme(base).alias("scheme"), netloc(base).alias("netloc"), path(base).alias("path"), strip(link).alias("link")), against)
@@ -40,67 +59,154 @@ def _numbered(tag: str):
     return lambda x, i: F.struct(F.lit(tag).alias("tag"), i.alias("pos"), F.replace(x, F.lit("&amp;"), F.lit("&")).alias("link"))
 
 
+def _carried(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c not in ("url", "html")]
+
+
 def tag_links(pages: DataFrame) -> DataFrame:
-    """(page_id, tag, link, url) of a@href, script@src, iframe@src and form@action, in the page's order."""
+    """(tag, link, url, page) of a@href, script@src, iframe@src and form@action of pages (url, html, ...)."""
     found = []
-    for tag, attribute in _TAGS.items():
+    for tag, (attribute, _) in _TAGS.items():
         pattern = rf"(?is)<{tag}\b[^>]*?\s{attribute}\s*=\s*[\"']?([^\"'\s>]+)"
-        links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(pattern), 1)
-        found.append(F.transform(links, _numbered(tag)))
-    rows = pages.select("page_id", "url", F.explode(F.concat(*found)).alias("x")).select("page_id", F.col("url").alias("page"), "x.*")
+        found.append(F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(pattern), 1), _numbered(tag)))
+    rows = pages.select(*_carried(pages), F.col("url").alias("page"), F.explode(F.concat(*found)).alias("x")).select(*_carried(pages), "page", "x.*")
     return rows.withColumn("url", page_url(resolved(F.col("page"), F.col("link"))))
 
 
-def text_urls(pages: DataFrame) -> DataFrame:
-    """(page_id, url): the distinct absolute URLs anywhere in the page, escaped slashes undone."""
-    text = F.replace(F.replace(F.coalesce("html", F.lit("")), F.lit("\\/"), F.lit("/")), F.lit("\\u002F"), F.lit("/"))
-    return pages.select("page_id", F.explode(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(_TEXT_URL), 1)))).alias("url"))
+def _unescaped(text: Column) -> Column:
+    return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\\/"), F.lit("/")), F.lit("\\u002F"), F.lit("/"))
+
+
+def embedded_urls(pages: DataFrame, text: Column) -> DataFrame:
+    """(page, url): absolute URLs and quoted paths in ``text`` of pages (url, html, ...), distinct per page."""
+    whole = F.transform(F.regexp_extract_all("_text", F.lit(_TEXT_URL), 1), lambda u: F.regexp_replace(u, "[.,;]+$", ""))
+    links = F.array_distinct(F.concat(whole, F.regexp_extract_all("_text", F.lit(_QUOTED_PATH), 1)))
+    rows = pages.withColumn("_text", _unescaped(text)).select(*_carried(pages), F.col("url").alias("page"), F.explode(links).alias("link"))
+    return rows.select(*_carried(pages), "page", page_url(resolved(F.col("page"), F.col("link"))).alias("url")).distinct()
 
 
 def evidence(pages: DataFrame) -> DataFrame:
-    """(page_id, source, url, method, confidence): links to known platforms, the strongest of each URL.
+    """(..., page, source, url, method, confidence): URLs of known platforms in pages (url, html, ...), each once per page.
 
-    Tags are high confidence, URLs in the text medium; of equal ones the first stays.
+    Tags are of high confidence, URLs in scripts and anywhere else medium, and so is a posting's id
+    on a host of no platform; of equal ones the first method stays.
     """
-    static = F.lower(path(F.col("url"))).rlike(r"\.(?:js|css|png|jpe?g|gif|svg|ico|woff2?)$")
-    tags = tag_links(pages).filter("url <> ''").select("page_id", "url", F.col("tag").alias("method"), F.lit(3).alias("rank"), "pos")
-    text = text_urls(pages).select("page_id", page_url(F.col("url")).alias("url"), F.lit("text").alias("method"), F.lit(2).alias("rank"), F.lit(0).alias("pos"))
-    rows = tags.unionByName(text).filter(~static).withColumn("source", platform_of(F.col("url"))).filter("source IS NOT NULL")
-    best = F.row_number().over(Window.partitionBy("page_id", "source", "url").orderBy(F.desc("rank"), "method", "pos"))
-    return rows.withColumn("_n", best).filter("_n = 1").select("page_id", "source", "url", "method", F.when(F.col("rank") == 3, "high").otherwise("medium").alias("confidence"))
+    keep = _carried(pages)
+    tags = tag_links(pages).select(*keep, "page", "url", F.coalesce(*(F.when(F.col("tag") == t, i) for i, t in enumerate(_TAGS))).alias("nth"), F.lit(3).alias("rank"))
+    scripts = F.array_join(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), 1), "\n")
+    inline = embedded_urls(pages, scripts).select(*keep, "page", "url", F.lit(4).alias("nth"), F.lit(2).alias("rank"))
+    text = embedded_urls(pages, F.col("html")).select(*keep, "page", "url", F.lit(5).alias("nth"), F.lit(2).alias("rank"))
+    rows, x = p.with_parts(tags.unionByName(inline).unionByName(text).filter("url <> ''"), "url")
+    rows = rows.withColumn("source", p.platform(x))
+    branded = (F.col("source") == "") & F.contains(x("low_url"), F.lit("gh_jid="))
+    rows = rows.withColumn("rank", F.when(branded, 2).otherwise(F.col("rank"))).withColumn("source", F.when(branded, "greenhouse").otherwise(F.col("source")))
+    rows = p.without_parts(rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x)))
+    best = rows.groupBy(*keep, "page", "source", "url").agg(F.min(F.struct((-F.col("rank")).alias("r"), "nth")).alias("b"))
+    method = F.element_at(F.array(*(F.lit(m) for _, m in _TAGS.values()), F.lit("inline_script"), F.lit("embedded_url")), F.col("b.nth") + 1)
+    return best.select(*keep, "page", "source", "url", method.alias("method"), F.when(F.col("b.r") == -3, "high").otherwise("medium").alias("confidence"))
+
+
+def url_evidence(rows: DataFrame, method: str) -> DataFrame:
+    """As :func:`evidence`, of URLs themselves: rows (page, url, ...)."""
+    rows, x = p.with_parts(rows.withColumn("url", page_url(F.col("url"))), "url")
+    branded = (p.platform(x) == "") & F.contains(x("low_url"), F.lit("gh_jid="))
+    rows = rows.withColumn("source", F.when(branded, "greenhouse").otherwise(p.platform(x)))
+    rows = rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x))
+    return p.without_parts(rows.withColumns({"method": F.lit(method), "confidence": F.when(branded, "medium").otherwise("high")}))
 
 
 def source_candidates(found: DataFrame) -> DataFrame:
-    """(page_id, source, evidence_count, best_evidence_url, confidence) of evidence; shortest URL first."""
-    rank = F.when(F.col("confidence") == "high", 3).when(F.col("confidence") == "medium", 2).otherwise(1)
-    order = F.struct(rank.alias("r"), (-F.length("url")).alias("l"), F.col("url"))
-    return found.groupBy("page_id", "source").agg(F.count(F.lit(1)).alias("evidence_count"), F.max_by("url", order).alias("best_evidence_url"), F.max_by("confidence", order).alias("confidence"))
-
-
-def _has(text: Column, hints: tuple[str, ...]) -> Column:
-    return F.filter(F.array(*map(F.lit, hints)), lambda h: F.contains(text, h))
+    """Candidates of evidence (company, original_url, source, url, confidence, nth): one per platform and key.
 
-
-def link_score(url: Column) -> Column:
-    """Distinct hints in the URL, three for a strong one, two for a fragment that holds one."""
-    low = F.lower(url)
-    return F.size(_has(low, HINTS)) + F.when(F.size(_has(low, STRONG_HINTS)) > 0, 3).otherwise(0)
-
-
-def is_skipped(url: Column) -> Column:
-    low = F.lower(F.concat_ws("?", path(url), query(url)))
-    soft = (F.size(_has(low, SOFT_SKIP_HINTS)) > 0) & (F.size(_has(low, STRONG_HINTS)) == 0)
-    ends = F.exists(F.array(*map(F.lit, SKIP_EXTENSIONS)), lambda x: F.endswith(F.lower(path(url)), x))
-    return ends | under(bare_host(url), *SOCIAL_HOSTS) | (F.size(_has(low, SKIP_HINTS)) > 0) | soft
+    Evidence without a key takes the platform's key if the company has just one; a company whose own
+    host, named like it, carries posting ids is taken for that platform's key of the same name.  Of a
+    candidate's URLs the best one stays: by quality, confidence, shortness, and ``nth``.
+    """
+    rows, x = p.with_parts(found, "url")
+    source, who = F.col("source"), ["company", "original_url"]
+    rows = rows.filter(p.is_evidence(source, x)).withColumns({"_key": F.nullif(p.source_key(source, x), F.lit("")), "_quality": p.quality(source, x), "_job_id": p.has_job_id(x)})
+    own = Window.partitionBy(*who, "source")
+    marked = p.has_any(x("low_path"), ("/job", "/career", "/apply"))
+    rows = rows.withColumns({
+        "_least": F.min("_key").over(own),
+        "_most": F.max("_key").over(own),
+        "_host": F.min(F.when(F.col("_job_id"), x("host"))).over(own),
+        "_hosts": F.max(F.when(F.col("_job_id"), x("host"))).over(own),
+        "_marked": F.min(F.when(F.col("_job_id"), marked)).over(own),
+    })
+    brand = p.alphanumeric(F.col("company"))
+    branded = (source == "greenhouse") & F.col("_least").isNull() & (F.col("_host") == F.col("_hosts")) & (F.col("_host") == bare_host(F.col("original_url"))) & F.col("_marked") & (brand != "") & (p.brand_of(F.col("_host")) == brand)
+    key = F.coalesce("_key", F.when(F.col("_least") == F.col("_most"), F.col("_least")), F.when(branded, brand), F.when(source == "phenom", F.nullif(slug(F.col("company")), F.lit("unknown"))))
+    rows = rows.withColumn("source_key", key).filter("source_key IS NOT NULL")
+    rank = F.coalesce(*(F.when(F.col("confidence") == k, v) for k, v in _RANKS.items()), F.lit(0))
+    order = F.struct((-F.col("_quality")).alias("q"), (-rank).alias("r"), F.length("url").alias("l"), "nth", "url")
+    kept = rows.groupBy(*who, "source", "source_key").agg(F.count(F.lit(1)).alias("evidence_count"), F.min_by(F.struct("url", "confidence", x("host").alias("host")), order).alias("b"), F.max(p.has_any(x("low_url"), p.PHENOM_API_MARKS)).alias("_api"))
+    block = p.route_block(source, F.col("source_key"))
+    silent = (source == "phenom") & ~F.col("_api")
+    ready = (block == "") & ~silent
+    return kept.select(
+        *who,
+        source.alias("detected_source"),
+        "source_key",
+        p.canonical_url(source, F.col("source_key"), F.col("b.host"), F.col("b.url")).alias("canonical_ats_url"),
+        "evidence_count",
+        F.col("b.url").alias("best_evidence_url"),
+        F.when(silent, "medium").otherwise(F.col("b.confidence")).alias("confidence"),
+        ready.alias("route_ready"),
+        block.alias("route_block_reason"),
+        F.when(ready, "Compatible source candidate; extraction not run").otherwise("Normalized passive ATS source candidate").alias("notes"),
+    )
+
+
+def _hits(text: Column, hints: tuple[str, ...]) -> Column:
+    total = F.lit(0)
+    for hint in hints:
+        total = total + F.contains(text, F.lit(hint)).cast("int")
+    return total
+
+
+def anchors(pages: DataFrame) -> DataFrame:
+    """(..., page, target, text, pos) of the links of pages (url, html, ...), resolved; targets are http."""
+    keep = _carried(pages)
+    rows = pages.select(*keep, F.col("url").alias("page"), F.posexplode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_ANCHOR), 0)).alias("pos", "x"))
+    given = [F.regexp_extract(F.regexp_extract("x", _ANCHOR, 1), rf"(?is)\bhref\s*=\s*(?:{q})", 1) for q in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
+    href = clean(F.replace(F.coalesce(*(F.nullif(g, F.lit("")) for g in given), F.lit("")), F.lit("&amp;"), F.lit("&")))
+    rows = rows.select(*keep, "page", "pos", href.alias("href"), strip_tags(F.regexp_extract("x", _ANCHOR, 2)).alias("text"))
+    rows = rows.filter("href <> ''").filter(~F.col("href").rlike("^(?:#|mailto:|tel:|javascript:)"))
+    rows = rows.withColumn("href", F.when(F.col("href").rlike(r"(?i)^/?www\."), F.concat(F.lit("https://"), F.regexp_replace("href", "^/+", ""))).otherwise(F.col("href")))
+    rows = rows.withColumn("target", resolved(F.col("page"), F.col("href"))).drop("href")
+    return rows.filter((page_url(F.col("target")) != "") & ~path(F.col("target")).rlike(r"(?i)/www\.[^/]+/"))
+
+
+def ranked_links(links: DataFrame, most: int) -> DataFrame:
+    """(..., page, original_url, fetch_url, link_text, score): the ``most`` best links of each page to its own host.
+
+    A link's score is the number of hints in its text, path and fragment, three more for each strong
+    one, and two for a strong one in the fragment.  Passed over: other hosts, files, social hosts,
+    links with a word to skip, postings, links without a hint, and the page itself.
+    """
+    keep = [c for c in links.columns if c not in ("page", "target", "text", "pos")]
+    rows, x = p.with_parts(links, "target")
+    fragment = F.regexp_extract("target", "#(.*)$", 1)
+    rows = rows.filter(x("host") == bare_host(F.col("page"))).withColumns({"_words": F.lower(F.concat_ws(" ", "text", x("path"), fragment)), "_fragment": F.lower(fragment)})
+    words = F.col("_words")
+    strong = _hits(words, STRONG_HINTS)
+    ends = x("low_path").rlike("(?:" + "|".join(e.replace(".", r"\.") for e in SKIP_EXTENSIONS) + ")$")
+    skipped = ends | under(x("host"), *SOCIAL_HOSTS) | p.has_any(words, SKIP_HINTS) | (p.has_any(words, SOFT_SKIP_HINTS) & (strong == 0))
+    rows = rows.filter(~skipped & ~p.is_posting(x)).withColumn("score", _hits(words, HINTS) + 3 * strong + F.when(p.has_any(F.col("_fragment"), STRONG_HINTS), 2).otherwise(0)).filter("score > 0")
+    rows = rows.withColumn("fetch_url", page_url(F.col("target"))).filter(F.col("fetch_url") != page_url(F.col("page")))
+    best = rows.groupBy(*keep, "page", "fetch_url").agg(F.max(F.struct("score", F.col("target").alias("original_url"), (-F.col("pos")).alias("first"), F.col("text").alias("link_text"))).alias("b"))
+    rank = F.row_number().over(Window.partitionBy(*keep, "page").orderBy(F.desc("b.score"), "fetch_url"))
+    return best.withColumn("_n", rank).filter(F.col("_n") <= most).select(*keep, "page", "b.original_url", "fetch_url", "b.link_text", "b.score")
+
+
+def platform_links(links: DataFrame) -> DataFrame:
+    """(..., page, url): the distinct links of :func:`anchors` that lead to a platform on another host."""
+    keep = [c for c in links.columns if c not in ("page", "target", "text", "pos")]
+    rows = links.filter(bare_host(F.col("target")) != bare_host(F.col("page"))).filter(platform_of(F.col("target")).isNotNull())
+    return rows.select(*keep, "page", page_url(F.col("target")).alias("url")).distinct()
 
 
 def top_pages(pages: DataFrame, most: int) -> DataFrame:
-    """(page_id, url, score): the ``most`` best links of each page to its own host."""
-    links = tag_links(pages).filter("tag = 'a' AND url <> ''").filter((bare_host(F.col("url")) == bare_host(F.col("page"))) & ~is_skipped(F.col("url")))
-    scored = links.groupBy("page_id", "url").agg(F.max(link_score(F.col("link"))).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "url"))
-    return scored.withColumn("_n", rank).filter(F.col("_n") <= most).drop("_n")
-
-
-def link_text(html: Column) -> Column:
-    return clean(F.regexp_replace(html, "<[^>]+>", " "))
+    """(..., url, score): the ``most`` best links of each page to its own host."""
+    return ranked_links(anchors(pages), most).withColumnRenamed("fetch_url", "url").drop("page", "original_url", "link_text")

@@ -44,7 +44,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First row of each company, title and location that is active and of a kind, as shown on the board."""
     rows = jobs(spark, sf_dir).filter("type IS NOT NULL")
-    return report.cells(report.board(first_wins(rows, ["company", "title", "location"], ["ord"]), "internship"))
+    rows = locations.with_places(first_wins(rows, ["company", "title", "location"], ["ord"]), "location", "place")
+    return report.cells(report.board(rows, "internship"))
 
 
 def classify_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +58,7 @@ def type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs(spark, sf_dir).select("ord", locations.places(F.col("location")).alias("place"))
+    return locations.with_places(jobs(spark, sf_dir), "location", "place").select("ord", "place")
 
 
 def job_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +112,10 @@ def rejected_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = jobs(spark, sf_dir).withColumn("id", F.concat(F.lit("j"), (F.col("ord") % 4000).cast("string"))).drop("type")
-    part = F.col("ord") % 3
-    touched = rows.filter("source < 'j'").select("source", "company").distinct()
-    return merge.merge_snapshots(first_wins(rows.filter(part == 0), ["id"], ["ord"]), rows.filter((part == 1) & (F.col("source") < "j")), rows.filter((part == 2) & (F.col("ord") % 5 == 0)).withColumn("date_archived", F.lit("2025-12-31")), touched, AS_OF)
+    """All orders dealt to the three inputs; ids that two neighbours share lie in two of them."""
+    rows = jobs(spark, sf_dir).withColumn("id", F.concat(F.lit("j"), F.floor(F.col("ord") / 2).cast("string"))).drop("type")
+    part = lambda k: rows.filter(F.col("ord") % 3 == k)
+    return merge.merge_snapshots(part(0), part(1), part(2).withColumn("date_archived", F.lit("2025-12-31")), part(1).select("source", "company").distinct(), AS_OF)
 
 
 def merged_active(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +136,6 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"), F.countDistinct("link").alias("n_distinct"))
 
 
-def top_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.top_pages(table(spark, sf_dir, "pages"), 3)
-
-
-def platform_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evidence in the pages with a link to a platform, chosen by the page's number, put before them."""
-    p = table(spark, sf_dir, "pages")
-    hosts = ["https://boards.greenhouse.io/a", "https://jobs.lever.co/b", "https://x.icims.com/jobs", "https://apply.workable.com/c"]
-    link = F.element_at(F.array(*map(F.lit, hosts)), (F.col("page_id") % 4 + 1).cast("int"))
-    marked = p.withColumn("html", F.concat(F.lit('<a href="'), link, F.lit('">x</a>'), F.coalesce("html", F.lit(""))))
-    return pages.source_candidates(pages.evidence(marked))
-
-
 def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("k", F.col("user_id") % 40)
     hosts = F.when(F.col("k") % 4 == 0, "https://jobs.lever.co/co").when(F.col("k") % 4 == 1, "https://boards.greenhouse.io/co").when(F.col("k") % 4 == 2, "https://jobs.ashbyhq.com/co").otherwise("https://example.com/co")
@@ -177,7 +165,7 @@ def review_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (job_board, classify_titles, type_counts, format_places, job_ids, event_dates, first_texts, last_events, fallback_keys, chained_keys, greedy_keys, traced_sources, best_suppliers, rejected_suppliers, merged_active, merged_archive, page_urls, page_links, top_pages, platform_evidence, lead_rollup, listing_stats, new_leads, review_counts)
+    for f in (job_board, classify_titles, type_counts, format_places, job_ids, event_dates, first_texts, last_events, fallback_keys, chained_keys, greedy_keys, traced_sources, best_suppliers, rejected_suppliers, merged_active, merged_archive, page_urls, page_links, lead_rollup, listing_stats, new_leads, review_counts)
 }
 
 _EVENT_LISTINGS = """l AS (SELECT event_id AS ord, concat(upper(event_type[1]), event_type[2:]) AS company, user_id % 40 AS k FROM events),
@@ -187,11 +175,22 @@ leads AS (SELECT source || ' :: co' || k AS identity, any_value(source) AS sourc
 c AS (SELECT source || ' :: co' || k AS identity, company, count(*) AS n FROM r WHERE source IS NOT NULL GROUP BY ALL),
 named AS (SELECT identity, company FROM c QUALIFY row_number() OVER (PARTITION BY identity ORDER BY n DESC, lower(company), company) = 1)"""
 
-_MERGE = f"""WITH {_JOBS}, j AS (SELECT * REPLACE ('j' || (ord % 4000) AS id) FROM jobs),
-old AS (SELECT * FROM j WHERE ord % 3 = 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1),
-new AS (SELECT * FROM j WHERE ord % 3 = 1 AND source < 'j' QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
-gone AS (SELECT * FROM j WHERE ord % 3 = 2 AND ord % 5 = 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
-touched AS (SELECT DISTINCT lower(source || '::' || company) AS t FROM j WHERE source < 'j')"""
+_MERGE = f"""WITH {_JOBS}, j AS (SELECT * REPLACE ('j' || (ord // 2) AS id) FROM jobs),
+old AS (SELECT * FROM j WHERE ord % 3 = 0),
+new AS (SELECT * FROM j WHERE ord % 3 = 1 QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
+gone AS (SELECT * FROM j WHERE ord % 3 = 2 QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord DESC) = 1),
+touched AS (SELECT DISTINCT lower(source || '::' || company) AS t FROM j WHERE ord % 3 = 1)"""
+
+
+def _greedy_sql(rounds: int) -> str:
+    """The greedy dedupe in rounds: as many as the longest chain of conflicts has links are enough."""
+    steps = [f"""WITH {_JOBS}, a0 AS MATERIALIZED (SELECT ord, 'i' || id AS k FROM jobs WHERE id <> '' UNION SELECT ord, 'l' || lower(company) || '::' || lower(title) FROM jobs)"""]
+    for i in range(rounds):
+        steps.append(f"f{i} AS MATERIALIZED (SELECT k, min(ord) AS m FROM a{i} GROUP BY k), w{i} AS MATERIALIZED (SELECT ord FROM a{i} JOIN f{i} USING (k) GROUP BY ord HAVING bool_and(m = ord))")
+        steps.append(f"t{i} AS MATERIALIZED (SELECT DISTINCT k FROM a{i} WHERE ord IN (SELECT ord FROM w{i})), x{i} AS MATERIALIZED (SELECT DISTINCT ord FROM a{i} WHERE k IN (SELECT k FROM t{i}))")
+        steps.append(f"a{i + 1} AS MATERIALIZED (SELECT * FROM a{i} WHERE ord NOT IN (SELECT ord FROM x{i}))")
+    return ", ".join(steps) + " " + " UNION ALL ".join(f"SELECT ord FROM w{i}" for i in range(rounds))
+
 
 ORACLE_SQL = {
     "job_board": f"""WITH {_JOBS}, k AS (SELECT *, {_KIND} AS type FROM jobs),
@@ -208,12 +207,13 @@ FROM (SELECT * REPLACE (lower(source) AS source) FROM jobs)""",
     "fallback_keys": f"WITH {_JOBS}, k AS (SELECT ord, coalesce(nullif(id, ''), lower(company) || '::' || lower(title)) AS key FROM jobs) SELECT ord, key FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY ord) = 1",
     "chained_keys": """WITH a AS (SELECT event_id, CAST(floor(value) AS BIGINT) % 5000 AS b FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1)
 SELECT event_id FROM a QUALIFY row_number() OVER (PARTITION BY b ORDER BY event_id) = 1""",
+    "greedy_keys": _greedy_sql(12),
     "traced_sources": "SELECT length(text) AS n, min(doc_id) AS doc_id, array_to_string(list_sort(list(DISTINCT source)), ';') AS source FROM documents GROUP BY 1",
     "best_suppliers": "SELECT s_suppkey, s_nationkey, s_acctbal, s_name AS url, count(*) OVER (PARTITION BY s_nationkey) - 1 AS n_collapsed FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) = 1",
     "rejected_suppliers": """SELECT s_suppkey, s_nationkey, s_acctbal, s_name AS url, first_value(s_name) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS kept_url FROM supplier
 QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) > 1""",
     "merged_active": _MERGE + """ SELECT id, date_added, true AS active FROM old WHERE lower(source || '::' || company) NOT IN (SELECT t FROM touched)
-UNION ALL SELECT n.id, coalesce(o.date_added, g.date_added, n.date_added), true FROM new n LEFT JOIN old o USING (id) LEFT JOIN gone g USING (id)""",
+UNION ALL SELECT n.id, coalesce(o.date_added, g.date_added, n.date_added), true FROM new n LEFT JOIN (SELECT id, arg_max(date_added, ord) AS date_added FROM old GROUP BY id) o USING (id) LEFT JOIN gone g USING (id)""",
     "merged_archive": _MERGE + f""", v AS (SELECT id, '{AS_OF}' AS date_archived FROM old WHERE lower(source || '::' || company) IN (SELECT t FROM touched) AND id NOT IN (SELECT id FROM new))
 SELECT id, date_archived, false AS active FROM v UNION ALL SELECT id, '2025-12-31', false FROM gone WHERE id NOT IN (SELECT id FROM new) AND id NOT IN (SELECT id FROM v)""",
     "page_urls": """SELECT page_id, regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:]*)', 1), '^www\\.', '') AS host,

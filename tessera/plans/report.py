@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import sort_date
-from tessera.functions.locations import places
+from tessera.functions.locations import places, with_places
 from tessera.functions.text import blank_to, escape_cell
+from tessera.operators import detect, discover
 
+#: Fixed value: the head of the table.
 HEADER = ("| Company | Role | City | Apply | Date Added |", "| --- | --- | --- | --- | --- |")
 
 
@@ -20,11 +22,12 @@ def board(jobs: DataFrame, kind: str) -> DataFrame:
 
 
 def cells(jobs: DataFrame) -> DataFrame:
-    """The board's five columns as shown."""
+    """The board's five columns as shown; ``place``, where it is there, is the location as shown."""
+    shown = F.col("place") if "place" in jobs.columns else places(F.col("location"))
     return jobs.select(
         escape_cell(F.col("company")).alias("company"),
         escape_cell(F.col("title")).alias("role"),
-        escape_cell(places(F.col("location"))).alias("city"),
+        escape_cell(shown).alias("city"),
         F.concat(F.lit("[Apply]("), blank_to(F.col("url"), "#"), F.lit(")")).alias("apply"),
         F.coalesce(F.date_format(sort_date(F.col("date_added")), "yyyy-MM-dd"), F.col("date_added").cast("string"), F.lit("")).alias("date_added"),
     )
@@ -33,7 +36,8 @@ def cells(jobs: DataFrame) -> DataFrame:
 def render(jobs: DataFrame, kind: str) -> list[str]:
     """Lines of the Markdown table; rows stream to the driver, which writes the one file."""
     line = F.concat(F.lit("| "), F.concat_ws(" | ", "company", "role", "city", "apply", "date_added"), F.lit(" |"))
-    lines = [r[0] for r in cells(board(jobs, kind)).select(line).toLocalIterator()]
+    rows = board(with_places(jobs, "location", "place"), kind)
+    lines = [r[0] for r in cells(rows).select(line).toLocalIterator()]
     return [*HEADER, *(lines or ["| No jobs found | | | | |"])]
 
 
@@ -64,5 +68,31 @@ def save_csv(rows: DataFrame, folder: str, columns: list[str]) -> None:
     rows.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
 
 
+def save_candidates(rows: DataFrame, folder: str, *, every: int | None = None) -> int:
+    """Candidates as CSV; with ``every``, in parts of so many companies, each readable as soon as it is written.
+
+    A company's rows stay in one part.  Returns the number of parts.
+    """
+    if every is None:
+        save_csv(rows, folder, list(detect.CANDIDATES))
+        return 1
+    companies = rows.select("company").distinct().count()
+    parts = max(1, -(-companies // every))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("company"), F.lit(parts)))
+    for k in range(parts):
+        save_csv(dealt.filter(F.col("_part") == k), f"{folder}/part-{k}", list(detect.CANDIDATES))
+    return parts
+
+
+def save_review(rows: DataFrame, folder: str) -> None:
+    save_csv(rows, folder, ["company", "detected_source", "candidate_url", "canonical_source_url", "status", "reason"])
+
+
+def save_discovered(kept: DataFrame, gone: DataFrame, folder: str, report_folder: str) -> None:
+    """Discovered pages, and beside them the report of those that others stand for."""
+    save_csv(kept, folder, list(discover.DISCOVERED))
+    save_csv(gone, report_folder, list(discover.DUPLICATES))
+
+
 def type_counts(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_if("active").alias("n_active"))

@@ -17,12 +17,15 @@ from pyspark.sql import types as T
 
 from tessera.functions.dates import epoch_date, iso_date, posted_date
 from tessera.functions.locations import best_tier, coded_places, distinct_text, joined, places, places_list, verbatim_places
+from tessera.functions.urls import host, netloc
 from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, season, strip
 from tessera.operators.dedupe import first_wins, last_wins
 
 RECORD = ("id", "company", "title", "location", "type", "season", "source", "url", "date_posted", "date_added", "active")
 #: Fixed value: words that make a posting relevant in searches that match loosely.
-RELEVANT = r"(?i)\b(intern(ship)?s?|co[\s-]?op|student|new grad(uate)?|graduate|early career|entry[\s-]?level)\b"
+RELEVANT = r"(?i)\b(intern|internship|co-?op|student|new grad|new graduate|early career|entry[- ]level|graduate)\b"
+#: Fixed value: words that make a facet of a careers site worth asking for.
+FACETS = r"(?i)\b(intern|internship|campus|student|new grad|new graduate|early career|entry level)\b"
 _PLACE = "struct<name:string,city:string,stateCode:string,state:string,region:string,country:string,workplaceType:string,hidden:boolean>"
 _POSTAL = "struct<postalAddress:struct<addressLocality:string,addressRegion:string,addressCountry:string>>"
 
@@ -30,7 +33,7 @@ SCHEMAS = {
     "ashby": f"struct<jobs:array<struct<id:string,title:string,employmentType:string,jobUrl:string,applyUrl:string,publishedAt:string,workplaceType:string,location:string,isListed:boolean,isRemote:boolean,address:{_POSTAL},secondaryLocations:array<struct<location:string,address:{_POSTAL}>>>>>",
     "greenhouse": "struct<jobs:array<struct<id:string,title:string,absolute_url:string,first_published:string,updated_at:string,location:string>>>",
     "lever": "array<struct<id:string,text:string,hostedUrl:string,applyUrl:string,workplaceType:string,country:string,createdAt:string,categories:struct<location:string,allLocations:array<string>>>>",
-    "icims": "struct<jobs:array<struct<data:struct<slug:string,req_id:string,title:string,posted_date:string,create_date:string,employment_type:string,full_location:string,location_name:string,short_location:string,city:string,state:string,country:string>>>>",
+    "icims": "struct<jobs:array<struct<data:struct<slug:string,req_id:string,title:string,posted_date:string,create_date:string,employment_type:string,full_location:string,location_name:string,short_location:string,city:string,state:string,country:string,multipleLocations:array<struct<city:string,state:string,country:string>>>>>>",
     "oracle_hcm": "struct<items:array<struct<requisitionList:array<struct<Id:string,Title:string,PrimaryLocation:string,PostedDate:string>>>>>",
     "smartrecruiters": "struct<content:array<struct<id:string,name:string,refNumber:string,releasedDate:string,typeOfEmployment:struct<id:string,label:string>,experienceLevel:struct<id:string,label:string>,location:struct<fullLocation:string,city:string,region:string,country:string,remote:boolean>>>>",
     "rippling": f"struct<items:array<struct<id:string,name:string,url:string,department:struct<name:string>,locations:array<{_PLACE}>>>>",
@@ -67,11 +70,29 @@ def _icims_rows(landed: DataFrame) -> DataFrame:
     labels = ("Job Location", "Job Locations", "Location", "Locations")
     where = first_text(*(text(F.regexp_extract(card, _CARD_FIELD % x, 1)) for x in labels), text(F.regexp_extract(card, _CARD_HEADER, 1)), default="")
     found = {"slug": F.regexp_extract(card, _CARD_LINK, 2), "title": text(F.regexp_extract(card, _CARD_LINK, 3)), "classic_url": url, "full_location": where, "posted_date": strip(_unescaped(F.regexp_extract(card, _CARD_POSTED, 1)))}
-    raw = F.struct(*(found.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
+    raw = F.struct(*(found.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
     classic = cards.select(*keep, "pos", raw.alias("raw")).filter("raw.slug <> '' AND raw.title <> '' AND raw.classic_url <> ''")
     return jibe.unionByName(classic)
 
 
+def facet_terms(landed: DataFrame) -> DataFrame:
+    """(company, facet, term) worth asking a careers site for: the "tags" facets of its probe (company, payload).
+
+    Where none is found, "Intern" in the first four.
+    """
+    lists = landed.select("company", F.explode_outer(F.from_json(F.get_json_object("payload", "$.filter.facetList"), "map<string,string>")).alias("facet", "items"))
+    terms = lists.filter(F.startswith("facet", F.lit("tags"))).select("company", "facet", F.explode(F.from_json("items", "array<struct<term:string>>")).alias("x"))
+    found = terms.select("company", "facet", strip(F.col("x.term")).alias("term")).filter((F.col("term") != "") & F.col("term").rlike(FACETS)).distinct()
+    bare = landed.select("company").distinct().join(found.select("company").distinct(), "company", "left_anti")
+    return found.unionByName(bare.select("company", F.explode(F.array(*(F.lit(f"tags{i}") for i in (1, 2, 3, 4)))).alias("facet"), F.lit("Intern").alias("term")))
+
+
+def raw_key(r: Column) -> Column:
+    """What a raw workday row is known by: path, else id, else title and location."""
+    where = first_text(r["locationsText"], F.try_element_at(r["locations"], F.lit(1)), default="")
+    return F.lower(F.coalesce(F.concat(F.lit("path::"), F.nullif(strip(r["externalPath"]), F.lit(""))), F.concat(F.lit("id::"), F.nullif(strip(r["id"]), F.lit(""))), F.concat_ws("::", strip(r["title"]), where)))
+
+
 def envelope(landed: DataFrame, source: str) -> DataFrame:
     """Raw rows of a source: payload rows that pass its guard, deduplicated the way it needs."""
     rows = _icims_rows(landed) if source == "icims" else _rows(landed, source)
@@ -84,23 +105,23 @@ def envelope(landed: DataFrame, source: str) -> DataFrame:
     if source == "oracle_hcm":
         return last_wins(rows.filter(strip(F.col("raw.Id")) != "").withColumn("key", F.col("raw.Id")), ["company", "key"], order)
     if source == "smartrecruiters":
-        kept = rows.filter(words("raw.name", "raw.refNumber", "raw.typeOfEmployment.label", "raw.typeOfEmployment.id", "raw.experienceLevel.label", "raw.experienceLevel.id"))
+        kept = rows.filter(words("raw.name", "raw.refNumber", "raw.typeOfEmployment.id", "raw.typeOfEmployment.label", "raw.experienceLevel.id", "raw.experienceLevel.label"))
         return last_wins(kept.withColumn("key", F.col("raw.id")), ["company", "key"], order)
     if source == "workable":
-        kept = rows.filter(words("raw.title", "raw.code", "raw.type", "raw.department")).withColumn("key", first_text(F.col("raw.id"), F.col("raw.shortcode")))
+        department = F.when(F.startswith(strip(F.col("raw.department")), F.lit("[")), F.array_join(F.from_json("raw.department", "array<string>"), " ")).otherwise(F.col("raw.department"))
+        kept = rows.filter(words("raw.title", "raw.code", "raw.type", department)).withColumn("key", first_text(F.col("raw.id"), F.col("raw.shortcode")))
         return last_wins(kept.filter("key IS NOT NULL"), ["company", "key"], order)
     if source == "rippling":
         kept = rows.filter(words("raw.name", "raw.department.name")).withColumn("key", F.col("raw.id"))
         merged = kept.groupBy("company", "key").agg(F.min_by(F.struct(*kept.columns), F.struct(*order)).alias("first"), F.array_sort(F.collect_list(F.struct(*order, F.col("raw.locations").alias("l")))).alias("all"))
-        flat = F.flatten(F.transform(F.filter("all", lambda s: s["l"].isNotNull()), lambda s: s["l"]))
-        names = F.transform(flat, lambda p: F.lower(F.coalesce(p["name"], F.lit(""))))
-        union = F.filter(flat, lambda p, i: F.array_position(names, F.lower(F.coalesce(p["name"], F.lit("")))) == i + 1)
+        flat = lambda parts: F.flatten(F.transform(F.filter(parts, lambda s: s["l"].isNotNull()), lambda s: s["l"]))
+        name = lambda p: F.lower(strip(p["name"]))
+        # The first row's places stay as they are; of the others' those with a name not seen before.
+        own, more = flat(F.slice("all", 1, 1)), flat(F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0))))
+        union = let(F.struct(own.alias("own"), more.alias("more")), lambda x: F.concat(x["own"], F.filter(x["more"], lambda p, i: (name(p) != "") & ~F.array_contains(F.transform(x["own"], name), name(p)) & (F.array_position(F.transform(x["more"], name), name(p)) == i + 1))))
         return merged.select("first.*", union.alias("places")).withColumn("raw", F.col("raw").withField("locations", F.col("places"))).drop("places")
     if source == "workday":
-        r = F.col("raw")
-        where = first_text(r["locationsText"], F.try_element_at(r["locations"], F.lit(1)), default="")
-        key = F.coalesce(F.nullif(strip(r["externalPath"]), F.lit("")), F.nullif(strip(r["id"]), F.lit("")), F.concat_ws("::", F.lower(strip(r["title"])), F.lower(where)))
-        return first_wins(rows.withColumn("key", F.lower(key)).filter(job_type(F.col("raw.title")).isNotNull()), ["company", "key"], order)
+        return first_wins(rows.withColumn("key", raw_key(F.col("raw"))).filter(job_type(F.col("raw.title")).isNotNull()), ["company", "key"], order)
     return rows
 
 
@@ -114,7 +135,8 @@ def with_details(rows: DataFrame, details: DataFrame, most: int = 50) -> DataFra
 
     from tessera.functions.locations import is_vague
 
-    needy = is_vague(F.col("raw.locationsText")) & (F.size(F.coalesce("raw.locations", F.array())) == 0) & (strip(F.col("raw.externalPath")) != "")
+    blank = lambda c: strip(F.col(c)) == ""
+    needy = is_vague(F.col("raw.locationsText")) & (F.size(F.coalesce("raw.locations", F.array())) == 0) & blank("raw.primaryLocation") & blank("raw.primaryLocationDescriptor") & ~blank("raw.externalPath")
     rank = F.row_number().over(Window.partitionBy("company", "_needy").orderBy("ord", "pos"))
     ranked = rows.withColumn("_needy", F.coalesce(needy, F.lit(False))).withColumn("_rank", rank)
     path = F.when(F.col("_needy") & (F.col("_rank") <= most), F.col("raw.externalPath"))
@@ -124,6 +146,7 @@ def with_details(rows: DataFrame, details: DataFrame, most: int = 50) -> DataFra
 def _record(rows: DataFrame, source: str, title: Column, kind: Column, location: Column, url: Column, posted: Column, path: Column, raw_id: Column, as_of: str) -> DataFrame:
     rows = rows.withColumns({"_title": title, "_url": url}).withColumns({"type": kind}).filter("type IS NOT NULL").withColumn("_location", location)
     company = blank_to(F.col("company"), "Unknown")
+    at = [F.struct("ord", "pos").alias("at")] if {"ord", "pos"} <= set(rows.columns) else []
     return rows.select(
         job_id(F.lit(source), company, path, raw_id, F.col("_title"), F.col("_location"), F.col("_url")).alias("id"),
         company.alias("company"),
@@ -136,6 +159,7 @@ def _record(rows: DataFrame, source: str, title: Column, kind: Column, location:
         posted.alias("date_posted"),
         F.lit(as_of).alias("date_added"),
         F.lit(True).alias("active"),
+        *at,
     )
 
 
@@ -183,7 +207,7 @@ def _raw_places(all_: Column, part: Callable[[Column], Column]) -> Column:
 
 
 def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
-    """RECORD rows of an envelope's rows; rows that are neither internship nor new grad go.
+    """RECORD rows of an envelope's rows, with ``at``, their place; rows that are neither internship nor new grad go.
 
     JSON nulls count as missing.  ``as_of`` (ISO date) becomes ``date_added``.
     """
@@ -202,8 +226,10 @@ def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
         return _record(rows, source, title(r["text"]), job_type(t), _lever(r), link(r["hostedUrl"], r["applyUrl"]), epoch_date(r["createdAt"]), none, r["id"], as_of)
     if source == "icims":
         kind = F.coalesce(job_type(t), F.when(F.lower(strip(r["employment_type"])) == "intern", "internship"))
-        where = first_text(r["full_location"], r["location_name"], r["short_location"], F.array_join(_texts(r["city"], r["state"], r["country"]), ", "), default="")
-        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(r["classic_url"]), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of)
+        several = F.array_join(F.filter(F.transform(F.coalesce(r["multipleLocations"], F.array()), lambda m: F.array_join(_texts(m["city"], m["state"], m["country"]), ", ")), lambda t: t != ""), " / ")
+        where = first_text(several, r["full_location"], r["location_name"], r["short_location"], F.array_join(_texts(r["city"], r["state"], r["country"]), ", "), default="")
+        own = F.when(netloc(career) != "", F.concat(F.lit("https://"), host(career), F.lit("/jobs/"), first_text(r["slug"], r["req_id"], default=""), F.lit("?lang=en-us&icims=1")))
+        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(r["classic_url"], own), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of)
     if source == "oracle_hcm":
         url = F.when(strip(r["Id"]) != "", F.concat(F.regexp_replace(career, "/+$", ""), F.lit("/job/"), strip(r["Id"])))
         return _record(rows, source, title(r["Title"]), job_type(t), places(r["PrimaryLocation"]), link(url), iso_date(r["PostedDate"]), none, r["Id"], as_of)

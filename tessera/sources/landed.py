@@ -6,22 +6,36 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.text import enabled_flag, first_text, fold, strip
 from tessera.functions.urls import page_url
-from tessera.operators.dedupe import first_wins
+from tessera.operators.dedupe import checkpointed, first_wins
 
 SOURCES = "company string, url string, enabled string"
 LEADS = "company string, url string, source string, job_count string, example_job_url string, lead_source string, identity string"
+# Where records lie, and files made from them.
+FOLDERS = ("data", "scripts", "archive", "generated")
+GENERATED = ("custom_ats_candidates.csv", "custom_ats_promotion_review.csv", "custom_company_duplicates.csv", "custom_companies_discovered.csv")
 _LINK = r"\[[^\]]*\]\(([^)\s]+)\)"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern names a file that Spark's readers can open."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_json_list(spark: SparkSession, path: str, schema: str, mode: str = "lenient") -> DataFrame:
     """Rows of files that hold a JSON list of objects, with ``ord``, their place in it.
 
-    ``lenient`` takes anything else for an empty list, ``list`` raises if the top is no list, and
-    ``strict`` also if the text is no JSON.  Items that aren't objects are dropped.
+    ``lenient`` takes anything else for an empty list, a missing path included; ``list`` raises if the
+    top is no list, and ``strict`` also if the text is no JSON or the path is missing.  Items that
+    aren't objects are dropped.
     """
+    if mode != "strict" and not _exists(spark, path):
+        return spark.createDataFrame([], T.StructType([T.StructField("ord", T.IntegerType()), *T.StructType.fromDDL(schema).fields]))
     files = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
     parsed = files.select("file", F.expr("try_parse_json(value)").alias("v"), (F.trim("value") == "").alias("blank"))
     if mode != "lenient":
@@ -57,15 +71,18 @@ def read_markdown_links(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(company.alias("company"), F.explode(F.regexp_extract_all("value", F.lit(_LINK), 1)).alias("url"))
 
 
-def read_json_records(spark: SparkSession, path: str, depth: int = 6) -> DataFrame:
-    """(record) of every object at any level of JSON files, down to ``depth``, as JSON text."""
-    level = spark.read.text(path, wholetext=True).selectExpr("try_parse_json(value) AS v")
+def read_json_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record) of every object at any level of JSON files, as JSON text; the levels end where the files do."""
+    level = spark.read.text(path, wholetext=True).selectExpr("try_parse_json(value) AS v").filter("v IS NOT NULL")
+    inner = "CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN from_json(to_json(v), 'array<string>') ELSE map_values(from_json(to_json(v), 'map<string,string>')) END"
     found = []
-    for _ in range(depth):
-        found.append(level.filter("schema_of_variant(v) LIKE 'OBJECT%'").selectExpr("to_json(v) AS record"))
-        inner = "CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN from_json(to_json(v), 'array<string>') ELSE map_values(from_json(to_json(v), 'map<string,string>')) END"
-        level = level.filter("schema_of_variant(v) LIKE 'OBJECT%' OR schema_of_variant(v) LIKE 'ARRAY%'").select(F.explode(F.expr(inner)).alias("t")).selectExpr("try_parse_json(t) AS v")
-    return reduce(DataFrame.unionByName, found)
+    while True:
+        level = checkpointed(level.selectExpr("to_json(v) AS record", "schema_of_variant(v) LIKE 'OBJECT%' AS object", "schema_of_variant(v) LIKE 'ARRAY%' AS list").filter("object OR list"))
+        if level.isEmpty():
+            break
+        found.append(level.filter("object").select("record"))
+        level = level.selectExpr("parse_json(record) AS v").select(F.explode(F.expr(inner)).alias("t")).selectExpr("try_parse_json(t) AS v").filter("v IS NOT NULL")
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "record string")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -80,20 +97,32 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"no reader for {path}")
 
 
-def find_files(spark: SparkSession, root: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """(path) of the csv, json, md and markdown files under a folder, without the excluded names, sorted."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,json,md,markdown}").load(root).select("path")
-    return files.filter(~F.element_at(F.split("path", "/"), -1).isin(*exclude)).orderBy("path") if exclude else files.orderBy("path")
+def find_files(spark: SparkSession, root: str, exclude: tuple[str, ...] = GENERATED, folders: tuple[str, ...] = FOLDERS) -> DataFrame:
+    """(path) of the csv, json, md and markdown files under some folders of a root, without the excluded names, sorted."""
+    there = [f"{root}/{x}" for x in folders if _exists(spark, f"{root}/{x}")]
+    if not there:
+        return spark.createDataFrame([], "path string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,json,md,markdown}").load(there).select("path")
+    return files.filter(~F.lower(F.element_at(F.split("path", "/"), -1)).isin(*exclude)).orderBy("path")
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages (fetch_url, final_url, html, status_code) of JSON lines; pages that were not served are left out."""
+    return spark.read.schema("fetch_url string, final_url string, html string, status_code int").json(path).filter("status_code BETWEEN 200 AND 299")
 
 
 def company_inputs(*tables: DataFrame, default_lineage: str = "manual") -> DataFrame:
-    """Union of input tables: enabled rows, first of each company and page URL, lineage filled in."""
-    rows = [t.withColumn("_table", F.lit(i)).withColumn("_row", F.monotonically_increasing_id()) for i, t in enumerate(tables)]
+    """Union of input tables: enabled rows, first of each company and page URL, lineage filled in.
+
+    A table's rows come in the order of its ``ord`` column, which it must have; tables in the order given.
+    """
+    rows = [t.withColumn("_table", F.lit(i)) for i, t in enumerate(tables)]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
     for name in ("career_url", "url", "enabled", "discovered_from"):
         if name not in both.columns:
             both = both.withColumn(name, F.lit(None).cast("string"))
     both = both.withColumn("career_url", page_url(first_text(F.col("career_url"), F.col("url"), default="")))
-    both = both.filter(F.coalesce(enabled_flag(F.col("enabled")), F.lit(True)) & (F.col("career_url") != "") & (strip(F.col("company")) != ""))
+    flag = enabled_flag(first_text(F.col("enabled"), default="true"))
+    both = both.filter(flag.eqNullSafe(F.lit(True)) & (F.col("career_url") != "") & (strip(F.col("company")) != ""))
     both = both.withColumn("discovered_from", first_text(F.col("discovered_from"), default=default_lineage)).withColumn("_key", fold(strip(F.col("company"))))
-    return first_wins(both, ["_key", "career_url"], ["_table", "_row"]).select("company", "career_url", "discovered_from")
+    return first_wins(both, ["_key", "career_url"], ["_table", "ord"]).select("company", "career_url", "discovered_from")

@@ -124,7 +124,7 @@ def test_connectors(spark):
         "workable": [("workable-acme-k", "internship", "Remote, Paris, France", "https://c/j/k/", "2026-01-01")],
         "smartrecruiters": [("smartrecruiters-acme-s", "internship", "London, United Kingdom", "https://c/s", "2026-01-03")],
         "oracle_hcm": [("oracle_hcm-acme-9", "internship", "Canada", "https://c/job/9", None)],
-        "icims": [("icims-acme-11", "internship", "Toronto, ON, Canada", "https://c", "2026-01-02")],
+        "icims": [("icims-acme-11", "internship", "Toronto, ON, Canada", "https://c/jobs/11?lang=en-us&icims=1", "2026-01-02")],
     }
 
 
@@ -152,4 +152,4 @@ def test_classic_icims_pages(spark):
     got = sorted((r.id, r.title, r.location, r.url, r.date_posted) for r in connectors.records(landed, "icims", "2026-02-01").collect())
     assert [x[:2] for x in got] == [("icims-acme-11", "Software Intern"), ("icims-acme-12", "Café–R&D Intern"), ("icims-acme-13", "Intern")]
     assert got[0][2:] == ("Toronto, ON, Canada", "https://x.icims.com/jobs/11/dev/job?mode=a", "2026-01-02")
-    assert got[1][3:] == ("https://x.icims.com/jobs/12/dev/job?mode=a", None) and got[2][3] == "https://c"
+    assert got[1][3:] == ("https://x.icims.com/jobs/12/dev/job?mode=a", None) and got[2][3] == "https://c/jobs/13?lang=en-us&icims=1"
