@@ -48,11 +48,13 @@ def with_parts(rows: DataFrame, url: str, prefix: str = "u_") -> tuple[DataFrame
     ``segs`` are the path's segments, decoded; ``low`` the same in lower case.
     """
     u = F.col(url)
-    rows = rows.withColumns({f"{prefix}{k}": c for k, c in {"scheme": scheme(u), "netloc": netloc(u), "host": bare_host(u), "path": path(u), "query": query(u), "url": u, "low_url": F.lower(u)}.items()})
-    segments = F.filter(F.split(F.col(f"{prefix}path"), "/"), lambda s: s != "")
-    decoded = F.when(F.contains(F.col(f"{prefix}path"), F.lit("%")), F.transform(segments, unquote)).otherwise(segments)
-    rows = rows.withColumns({f"{prefix}segs": F.transform(decoded, strip), f"{prefix}low_path": F.lower(f"{prefix}path")})
-    rows = rows.withColumn(f"{prefix}low", F.transform(f"{prefix}segs", F.lower))
+    shown, low = F.col(f"{prefix}path"), F.col(f"{prefix}segs")
+    # Generators of one row, as in tessera.functions.text.once, of several columns each.
+    added = lambda rows, **columns: rows.select("*", F.inline(F.array(F.struct(*(c.alias(f"{prefix}{k}") for k, c in columns.items())))))
+    rows = added(rows, scheme=scheme(u), netloc=netloc(u), host=bare_host(u), path=path(u), query=query(u), url=u, low_url=F.lower(u))
+    segments = F.filter(F.split(shown, "/"), lambda s: s != "")
+    rows = added(rows, segs=F.transform(F.when(F.contains(shown, F.lit("%")), F.transform(segments, unquote)).otherwise(segments), strip), low_path=F.lower(shown))
+    rows = added(rows, low=F.transform(low, F.lower))
     return rows, lambda name: F.col(f"{prefix}{name}")
 
 
@@ -97,7 +99,6 @@ def source_key(source: Column, x: Parts) -> Column:
     h, q, low, segs = x("host"), x("query"), x("low"), x("segs")
     at = lambda n: F.try_element_at(low, F.lit(n))
     after = lambda word, values=low: F.when(F.array_contains(low, word), F.try_element_at(values, (F.array_position(low, word) + 1).cast("int")))
-    label = lambda suffix: F.when(F.endswith(h, F.lit(suffix)), F.expr("1") * 0)  # noqa: E731, F841
     prefix = lambda suffix: F.when(F.endswith(h, F.lit(suffix)), F.regexp_replace(h, suffix.replace(".", r"\.") + "$", ""))
     asked = lambda pattern: F.lower(strip(unquote(F.nullif(F.regexp_extract(q, pattern, 1), F.lit("")))))
     cut = F.array_min(F.filter(F.transform(low, lambda s, i: F.when(s.isin("job", "details"), i)), lambda i: i.isNotNull()))

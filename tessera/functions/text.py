@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MISSING = "Not specified"
@@ -21,6 +21,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column that is computed once per row.
+
+    A generator of one row: filters on it are not pushed below it with the value spelled out again,
+    and what reads it several times does not copy it.
+    """
+    return rows.select(*(c for c in rows.columns if c != name), F.explode(F.array(value)).alias(name))
+
+
 def strip(c: Column) -> Column:
     """Without white space (Unicode's) at both ends; null becomes ''."""
     return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import enabled_flag, fold, strip
+from tessera.functions.text import enabled_flag, fold, once, strip
 from tessera.functions.urls import identity, identity_text, normal_url, path, source_of, source_parts
 from tessera.operators.dedupe import chained, checkpointed, first_wins, greedy, numbered_names
 
 
 def _parsed(listings: DataFrame, with_language: bool = True) -> DataFrame:
     """(ord, company, raw, source, canonical, identity, label) of listings of a supported source."""
-    parts = listings.withColumn("p", source_parts(normal_url(F.col("url")))).filter("p.canonical IS NOT NULL")
+    parts = once(once(listings, "_u", normal_url(F.col("url"))), "p", source_parts(F.col("_u"))).filter("p.canonical IS NOT NULL")
     label = F.coalesce(F.when(F.col("p.source").isin("workday", "oracle_hcm"), F.col("p.site")).when(F.col("p.source") == "icims", F.col("p.host")).otherwise(F.col("p.slug")), "p.source")
     rows = parts.select("ord", strip(F.col("company")).alias("company"), F.col("url").alias("raw"), F.col("p.source").alias("source"), F.col("p.canonical").alias("canonical"), identity_text(identity(F.col("p"), with_language=with_language)).alias("identity"), label.alias("label"))
     return rows.filter("identity IS NOT NULL")
@@ -66,14 +66,15 @@ def new_source_rows(candidates: DataFrame, existing: DataFrame) -> DataFrame:
 def with_additions(sources: DataFrame, additions: DataFrame) -> DataFrame:
     """Catalog rows (ord, company, url, enabled) followed by new ones."""
     first = sources.withColumn("_late", F.lit(0))
-    more = additions.withColumn("ord", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("company", "url"))) if "ord" not in additions.columns else additions
+    more = additions if "ord" in additions.columns else additions.orderBy("company", "url").withColumn("ord", F.monotonically_increasing_id())
     both = first.unionByName(more.withColumn("_late", F.lit(1)).withColumn("ord", F.col("ord").cast(sources.schema["ord"].dataType)))
     return both.withColumn("ord", F.struct("_late", "ord")).drop("_late")
 
 
 def listing_stats(listings: DataFrame) -> DataFrame:
     """(status, n): supported, unsupported and invalid listings."""
-    p = source_parts(normal_url(F.col("url")))
+    listings = once(once(listings, "_u", normal_url(F.col("url"))), "p", source_parts(F.col("_u")))
+    p = F.col("p")
     status = F.when(p["source"].isNull(), "unsupported").when(p["canonical"].isNull(), "invalid").otherwise("supported")
     return listings.select(status.alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
@@ -95,7 +96,8 @@ def promote(leads: DataFrame, known: DataFrame) -> DataFrame:
 
 def review(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """``candidates`` (ord, company, url) with status accepted, skipped or rejected, and the reason."""
-    rows = candidates.withColumn("p", source_parts(normal_url(F.col("url")))).withColumn("identity", identity_text(identity(F.col("p"))))
+    rows = once(once(candidates, "_u", normal_url(F.col("url"))), "p", source_parts(F.col("_u"))).drop("_u")
+    rows = rows.withColumn("identity", identity_text(identity(F.col("p"))))
     rows = checkpointed(rows)  # the rounds below read the parsed rows again and again
     k = known.select(normal_url(F.col("url")).alias("_url")).withColumn("p", source_parts(F.col("_url"))).select("_url", identity_text(identity(F.col("p"))).alias("_id"))
     k = checkpointed(k)

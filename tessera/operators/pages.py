@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import platforms as p
-from tessera.functions.text import clean, let, slug, strip, strip_tags
-from tessera.functions.urls import bare_host, netloc, page_url, path, platform_of, scheme, under
+from tessera.functions.text import clean, let, once, slug, strip, strip_tags
+from tessera.functions.urls import bare_host, is_http, netloc, page_url, path, platform_of, scheme, under
 
 # Words in links that lead to openings, and links to pass over.
 HINTS = ("career", "careers", "job", "jobs", "opening", "openings", "position", "positions", "engineering", "technology", "software", "security", "intern", "student", "graduate", "new-grad")
@@ -70,7 +70,7 @@ def tag_links(pages: DataFrame) -> DataFrame:
         pattern = rf"(?is)<{tag}\b[^>]*?\s{attribute}\s*=\s*[\"']?([^\"'\s>]+)"
         found.append(F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(pattern), 1), _numbered(tag)))
     rows = pages.select(*_carried(pages), F.col("url").alias("page"), F.explode(F.concat(*found)).alias("x")).select(*_carried(pages), "page", "x.*")
-    return rows.withColumn("url", page_url(resolved(F.col("page"), F.col("link"))))
+    return once(once(rows, "url", resolved(F.col("page"), F.col("link"))), "url", page_url(F.col("url")))
 
 
 def _unescaped(text: Column) -> Column:
@@ -81,8 +81,9 @@ def embedded_urls(pages: DataFrame, text: Column) -> DataFrame:
     """(page, url): absolute URLs and quoted paths in ``text`` of pages (url, html, ...), distinct per page."""
     whole = F.transform(F.regexp_extract_all("_text", F.lit(_TEXT_URL), 1), lambda u: F.regexp_replace(u, "[.,;]+$", ""))
     links = F.array_distinct(F.concat(whole, F.regexp_extract_all("_text", F.lit(_QUOTED_PATH), 1)))
-    rows = pages.withColumn("_text", _unescaped(text)).select(*_carried(pages), F.col("url").alias("page"), F.explode(links).alias("link"))
-    return rows.select(*_carried(pages), "page", page_url(resolved(F.col("page"), F.col("link"))).alias("url")).distinct()
+    rows = once(pages, "_text", _unescaped(text)).select(*_carried(pages), F.col("url").alias("page"), F.explode(links).alias("link"))
+    rows = once(once(rows, "url", resolved(F.col("page"), F.col("link"))), "url", page_url(F.col("url")))
+    return rows.select(*_carried(pages), "page", "url").distinct()
 
 
 def evidence(pages: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def evidence(pages: DataFrame) -> DataFrame:
     inline = embedded_urls(pages, scripts).select(*keep, "page", "url", F.lit(4).alias("nth"), F.lit(2).alias("rank"))
     text = embedded_urls(pages, F.col("html")).select(*keep, "page", "url", F.lit(5).alias("nth"), F.lit(2).alias("rank"))
     rows, x = p.with_parts(tags.unionByName(inline).unionByName(text).filter("url <> ''"), "url")
-    rows = rows.withColumn("source", p.platform(x))
+    rows = once(rows, "source", p.platform(x))
     branded = (F.col("source") == "") & F.contains(x("low_url"), F.lit("gh_jid="))
     rows = rows.withColumn("rank", F.when(branded, 2).otherwise(F.col("rank"))).withColumn("source", F.when(branded, "greenhouse").otherwise(F.col("source")))
     rows = p.without_parts(rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x)))
@@ -108,11 +109,11 @@ def evidence(pages: DataFrame) -> DataFrame:
 
 def url_evidence(rows: DataFrame, method: str) -> DataFrame:
     """As :func:`evidence`, of URLs themselves: rows (page, url, ...)."""
-    rows, x = p.with_parts(rows.withColumn("url", page_url(F.col("url"))), "url")
-    branded = (p.platform(x) == "") & F.contains(x("low_url"), F.lit("gh_jid="))
-    rows = rows.withColumn("source", F.when(branded, "greenhouse").otherwise(p.platform(x)))
-    rows = rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x))
-    return p.without_parts(rows.withColumns({"method": F.lit(method), "confidence": F.when(branded, "medium").otherwise("high")}))
+    rows, x = p.with_parts(once(rows, "url", page_url(F.col("url"))), "url")
+    rows = once(rows, "source", p.platform(x))
+    branded = (F.col("source") == "") & F.contains(x("low_url"), F.lit("gh_jid="))
+    rows = rows.withColumns({"method": F.lit(method), "confidence": F.when(branded, "medium").otherwise("high"), "source": F.when(branded, "greenhouse").otherwise(F.col("source"))})
+    return p.without_parts(rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x)))
 
 
 def source_candidates(found: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def source_candidates(found: DataFrame) -> DataFrame:
     """
     rows, x = p.with_parts(found, "url")
     source, who = F.col("source"), ["company", "original_url"]
-    rows = rows.filter(p.is_evidence(source, x)).withColumns({"_key": F.nullif(p.source_key(source, x), F.lit("")), "_quality": p.quality(source, x), "_job_id": p.has_job_id(x)})
+    rows = once(rows.filter(p.is_evidence(source, x)), "_key", F.nullif(p.source_key(source, x), F.lit(""))).withColumns({"_quality": p.quality(source, x), "_job_id": p.has_job_id(x)})
     own = Window.partitionBy(*who, "source")
     marked = p.has_any(x("low_path"), ("/job", "/career", "/apply"))
     rows = rows.withColumns({
@@ -169,13 +170,14 @@ def anchors(pages: DataFrame) -> DataFrame:
     """(..., page, target, text, pos) of the links of pages (url, html, ...), resolved; targets are http."""
     keep = _carried(pages)
     rows = pages.select(*keep, F.col("url").alias("page"), F.posexplode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_ANCHOR), 0)).alias("pos", "x"))
-    given = [F.regexp_extract(F.regexp_extract("x", _ANCHOR, 1), rf"(?is)\bhref\s*=\s*(?:{q})", 1) for q in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
+    rows = once(rows, "_a", F.regexp_extract("x", _ANCHOR, 1))
+    given = [F.regexp_extract("_a", rf"(?is)\bhref\s*=\s*(?:{q})", 1) for q in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
     href = clean(F.replace(F.coalesce(*(F.nullif(g, F.lit("")) for g in given), F.lit("")), F.lit("&amp;"), F.lit("&")))
-    rows = rows.select(*keep, "page", "pos", href.alias("href"), strip_tags(F.regexp_extract("x", _ANCHOR, 2)).alias("text"))
+    rows = once(rows, "href", href).select(*keep, "page", "pos", "href", strip_tags(F.regexp_extract("x", _ANCHOR, 2)).alias("text"))
     rows = rows.filter("href <> ''").filter(~F.col("href").rlike("^(?:#|mailto:|tel:|javascript:)"))
     rows = rows.withColumn("href", F.when(F.col("href").rlike(r"(?i)^/?www\."), F.concat(F.lit("https://"), F.regexp_replace("href", "^/+", ""))).otherwise(F.col("href")))
-    rows = rows.withColumn("target", resolved(F.col("page"), F.col("href"))).drop("href")
-    return rows.filter((page_url(F.col("target")) != "") & ~path(F.col("target")).rlike(r"(?i)/www\.[^/]+/"))
+    rows = once(rows, "target", resolved(F.col("page"), F.col("href"))).drop("href")
+    return rows.filter(is_http(F.col("target")) & ~path(F.col("target")).rlike(r"(?i)/www\.[^/]+/"))
 
 
 def ranked_links(links: DataFrame, most: int) -> DataFrame:
@@ -188,13 +190,14 @@ def ranked_links(links: DataFrame, most: int) -> DataFrame:
     keep = [c for c in links.columns if c not in ("page", "target", "text", "pos")]
     rows, x = p.with_parts(links, "target")
     fragment = F.regexp_extract("target", "#(.*)$", 1)
-    rows = rows.filter(x("host") == bare_host(F.col("page"))).withColumns({"_words": F.lower(F.concat_ws(" ", "text", x("path"), fragment)), "_fragment": F.lower(fragment)})
+    rows = rows.filter(x("host") == bare_host(F.col("page"))).withColumn("_fragment", F.lower(fragment))
+    rows = once(rows, "_words", F.lower(F.concat_ws(" ", "text", x("path"), fragment)))
     words = F.col("_words")
     strong = _hits(words, STRONG_HINTS)
     ends = x("low_path").rlike("(?:" + "|".join(e.replace(".", r"\.") for e in SKIP_EXTENSIONS) + ")$")
     skipped = ends | under(x("host"), *SOCIAL_HOSTS) | p.has_any(words, SKIP_HINTS) | (p.has_any(words, SOFT_SKIP_HINTS) & (strong == 0))
     rows = rows.filter(~skipped & ~p.is_posting(x)).withColumn("score", _hits(words, HINTS) + 3 * strong + F.when(p.has_any(F.col("_fragment"), STRONG_HINTS), 2).otherwise(0)).filter("score > 0")
-    rows = rows.withColumn("fetch_url", page_url(F.col("target"))).filter(F.col("fetch_url") != page_url(F.col("page")))
+    rows = once(rows, "fetch_url", page_url(F.col("target"))).filter(F.col("fetch_url") != page_url(F.col("page")))
     best = rows.groupBy(*keep, "page", "fetch_url").agg(F.max(F.struct("score", F.col("target").alias("original_url"), (-F.col("pos")).alias("first"), F.col("text").alias("link_text"))).alias("b"))
     rank = F.row_number().over(Window.partitionBy(*keep, "page").orderBy(F.desc("b.score"), "fetch_url"))
     return best.withColumn("_n", rank).filter(F.col("_n") <= most).select(*keep, "page", "b.original_url", "fetch_url", "b.link_text", "b.score")

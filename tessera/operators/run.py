@@ -58,7 +58,8 @@ def fetch(configs: DataFrame, landed: DataFrame, as_of: str) -> tuple[DataFrame,
     handled = configs.filter(F.col("source").isin(*connectors.REGISTRY))
     mine = landed.join(handled.select("source", "company", F.col("url").alias("career_url"), F.col("ord").alias("_place")), ["source", "company"])
     parts, raws = [], []
-    for source in connectors.REGISTRY:
+    present = {r["source"] for r in handled.select("source").distinct().collect()}  # at most one row per connector
+    for source in sorted(present) or list(connectors.REGISTRY)[:1]:
         rows = connectors.envelope(mine.filter(F.col("source") == source).withColumn("ord", F.struct("_place", "ord")).select("company", "career_url", "payload", "ord"), source)
         raws.append(rows.groupBy("company").agg(F.count(F.lit(1)).alias("raw")).withColumn("source", F.lit(source)))
         parts.append(connectors.normalise(rows, source, as_of))
