@@ -198,6 +198,47 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _prepared(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, every row's class and size, classes of equal sets, the keys on which several classes meet)."""
+    rows = keyed(docs)
+    sets = written(_describe(rows, shingle, percent), "sets")
+    info = written(sets.select("doc_id", "rid", "node", "n"), "info")
+    some = sets.filter("n > 0").drop(*_KEYS)
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid"))
+    classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("long").alias("long"), head.alias("head"), F.count(F.lit(1)).alias("members")).select("node", "n", "parity", "long", "head", "members", F.col("head.rid").alias("rid")), "classes")
+    live = _meeting(sets)
+    discard(sets)
+    return rows, info, classes, live
+
+
+def similar_pairs(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
+    """The whole join: (pairs of classes, membership).
+
+    Pairs: (a, b, doc_a, doc_b), every two classes of different sets that link, once, with the smallest
+    ``doc_id`` of each.  Membership: (doc_id, rid, node, n_shingles, n_links), a row per row of ``docs``:
+    its class, and how many other rows it links with, copies included.  So no link is lost and copies
+    are not spelled out.  The pairs that meet on a key are compared under the bounds of
+    :func:`similar_groups`; where many different texts are near copies of each other, the links
+    themselves grow with the square of their number, which is what :func:`similar_groups` avoids.
+
+    Nulls, empty texts, repeated rows and extra columns: as for :func:`similar_groups`; rows without
+    words have no links.
+    """
+    rows, info, classes, live = _prepared(docs, shingle, percent)
+    left = written(live.select("key", "node").join(classes.select("node", "n", "parity"), "node"), "meeting")
+    a = left.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    b = left.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    links = _links(rows, classes, a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct(), shingle, percent)
+    discard(live, left)
+    side = classes.select("node", F.col("head.doc_id").alias("doc"), "members")
+    pairs = links.join(side.toDF("a", "doc_a", "_"), "a").join(side.toDF("b", "doc_b", "__"), "b").select("a", "b", "doc_a", "doc_b")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(side.select(F.col("node").alias("b"), "members"), "b").groupBy("a").agg(F.sum("members").alias("others"))
+    known = classes.select("node", "members").join(others.withColumnRenamed("a", "node"), "node", "left")
+    members = info.join(known, "node", "left").select("doc_id", "rid", "node", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("members") - 1 + F.coalesce("others", F.lit(0))).otherwise(F.lit(0).cast("long")).alias("n_links"))
+    return pairs, members
+
+
 def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, rid, n_shingles, component_id, leader) of every row of ``docs`` (doc_id, text).
 
@@ -217,14 +258,7 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
     link with nothing.  A row with a null ``doc_id`` takes part and names a component only if it has
     no other.  Repeated rows are of one class.  Shingles are compared by 64-bit hashes.
     """
-    rows = keyed(docs)
-    sets = written(_describe(rows, shingle, percent), "sets")
-    info = written(sets.select("doc_id", "rid", "node", "n"), "info")
-    some = sets.filter("n > 0").drop(*_KEYS)
-    head = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid"))
-    classes = written(some.groupBy("node").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("long").alias("long"), head.alias("head")).select("node", "n", "parity", "long", "head", F.col("head.rid").alias("rid")), "classes")
-    live = _meeting(sets)
-    discard(sets)
+    rows, info, classes, live = _prepared(docs, shingle, percent)
     degree = live.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     central = written(live.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("a")), "central")
     stars = live.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(live.join(central, "key").select("a", F.col("node").alias("b")))

@@ -190,6 +190,16 @@ def test_jaccard(docs):
     assert left.columns == clash.columns and left.filter("rid = doc_id AND every = text AND _rid = doc_id AND nth = 1").count() == left.count() > 0
 
 
+def test_similar_pairs(docs):
+    for k, percent in ((3, 90), (5, 80)):
+        sets = [frozenset(brute.shingles(t, k)) for _, t in DOCS]
+        linked = lambda i, j: i != j and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+        want = [(d, len(sets[i]), sum(bool(linked(i, j)) for j in range(len(DOCS)))) for i, (d, _) in enumerate(DOCS)]
+        pairs, members = jaccard.similar_pairs(docs, shingle=k, percent=percent)
+        same(members, ["doc_id", "n_shingles", "n_links"], want)
+        assert pairs.count() == len({frozenset((sets[i], sets[j])) for i in range(len(DOCS)) for j in range(i) if linked(i, j) and sets[i] != sets[j]}) > 0
+
+
 def test_fragment_keys_miss_no_pair():
     rng = np.random.default_rng(2)
     for percent in (80, 90):
