@@ -12,6 +12,7 @@ from tessera.llm.lines import dedup_lines
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import apply_quality_rules
 from tessera.llm.secrets import find_secrets, labelled_samples, spans_text, train_markov
+from tessera.llm.sql import ORACLE_SQL
 from tessera.llm.substrings import remove_repeats
 from tessera.llm.toxicity import score_toxicity, train_toxicity
 from tessera.llm.warc import archive_pages
@@ -77,17 +78,6 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"), shingle=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups)}
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
-_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-
-ORACLE_SQL = {
-    "op9_dedup_lines": f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
-k AS (SELECT r, i, line, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
-s AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS kept, count(*) AS n FROM k WHERE key NOT IN (SELECT key FROM f) GROUP BY r)
-SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
-FROM d LEFT JOIN s USING (r)""",
-}
+QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups)}
