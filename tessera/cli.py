@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import detect, discover, leads, run
+from tessera.operators import detect, discover, leads, promote, run
 from tessera.plans import report
 from tessera.sources import landed
 
@@ -83,13 +83,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command == "discover":
         report.save_discovered(*discover.discover(_records(spark, args.root)), args.out, args.report)
     elif args.command == "promote":
-        candidates = _numbered(landed.read_csv(spark, args.candidates, "company string", exact=False)).withColumn("url", F.coalesce(F.nullif("canonical_source_url", F.lit("")), "best_evidence_url"))
+        candidates = _numbered(landed.read_csv(spark, args.candidates, "company string", exact=False))
         sources = _numbered(landed.read_csv(spark, args.sources, landed.SOURCES))
-        review = leads.review(candidates, sources)
+        additions, review = promote.promotion(candidates, sources)
         report.save_review(review, args.review)
         if args.apply:
-            accepted = review.filter("status = 'accepted'").select("company", F.col("canonical_source_url").alias("url"), F.lit("true").alias("enabled"))
-            report.save_csv(leads.with_additions(sources, accepted).orderBy("ord"), args.apply, ["company", "url", "enabled"])
+            report.save_csv(leads.with_additions(sources, additions).orderBy("ord"), args.apply, ["company", "url", "enabled"])
     elif args.command == "compile":
         configs, cleaned = leads.compile_catalog(_numbered(landed.read_csv(spark, args.sources, landed.SOURCES)), spark.read.parquet(args.owners))
         configs.write.parquet(f"{args.out}/configs")

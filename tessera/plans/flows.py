@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import detect, discover, leads, pages, run
+from tessera.operators import detect, discover, leads, pages, promote, run
 from tessera.plans.catalog import _CITY, _JOBS, _KIND, AS_OF, _listings, _EVENT_LISTINGS, jobs, table
 from tessera.sources import connectors, workday
 
@@ -219,9 +219,27 @@ def cleaned_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _catalog(spark, sf_dir)[1].select("ord", "company", "url", "enabled")
 
 
+def promotion_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of one kind per customer: good, not ready, unsupported, internal, templated, double, and a board."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_custkey").cast("string").alias("n"), (F.col("c_custkey") - 5).cast("string").alias("m"))
+    pick = lambda *values: F.element_at(F.array(*(v if isinstance(v, Column) else F.lit(v) for v in values)), (F.col("c_custkey") % 7 + 1).cast("int"))
+    text = lambda before, key, after="": F.concat(F.lit(before), F.col(key), F.lit(after))
+    rows = c.select(
+        F.col("c_custkey").alias("ord"),
+        F.col("c_name").alias("company"),
+        pick("lever", "lever", "phenom", "icims", "greenhouse", "lever", "workday").alias("detected_source"),
+        pick("p", "p", "", "", "x", "p", text("acme", "n", ":careers")).alias("source_key"),
+        pick("", "https://jobs.lever.co/q", "https://x.phenompeople.com/jobs", text("https://employees-x", "n", ".icims.com/jobs"), "https://boards.greenhouse.io/{{x}}", text("https://jobs.lever.co/p", "m", "/9"), text("https://acme", "n", ".wd5.myworkdayjobs.com/en-US/Careers/job/1")).alias("best_evidence_url"),
+        pick(text("https://jobs.lever.co/p", "n"), "", "", "", "", "", text("https://acme", "n", ".wd5.myworkdayjobs.com/wday/cxs/jobs")).alias("canonical_source_url"),
+        pick("true", "false", "true", "True", "yes", "1", "true").alias("route_ready"),
+    )
+    existing = c.filter("c_custkey % 14 = 0").select(F.col("c_name").alias("company"), F.concat(F.lit("https://jobs.lever.co/p"), "n", F.lit("/")).alias("url"))
+    return promote.promotion(rows, existing)[1].select("ord", "detected_source", "candidate_url", "canonical_source_url", "status", "reason")
+
+
 _PLATFORM_LINKS = "['https://boards.greenhouse.io/a', 'https://jobs.lever.co/b', 'https://x.icims.com/jobs', 'https://apply.workable.com/c'][page_id % 4 + 1]"
 
-_SIMPLE = (workday_postings, jibe_facets, daily_run, daily_archive, daily_counts, top_pages, platform_evidence, detected_candidates, discovered_pages, discovered_duplicates, archived_sources, compiled_catalog, cleaned_sources)
+_SIMPLE = (workday_postings, jibe_facets, daily_run, daily_archive, daily_counts, top_pages, platform_evidence, detected_candidates, discovered_pages, discovered_duplicates, archived_sources, compiled_catalog, cleaned_sources, promotion_review)
 QUERIES = {f"connector_{s}": partial(connector, s) for s in connectors.SCHEMAS} | {f.__name__: f for f in _SIMPLE}
 
 ORACLE_SQL = {
@@ -263,4 +281,10 @@ u AS (SELECT DISTINCT company, source FROM a WHERE regexp_matches(identity, '[05
 SELECT CASE WHEN same = 1 AND u.company IS NULL THEN o.company ELSE o.company || ' - ' || label END AS company, url, 'true' AS enabled FROM o LEFT JOIN u ON o.company = u.company AND o.source = u.source""",
     "compiled_catalog": "SELECT c_name AS company, 'lever' AS source, 'https://jobs.lever.co/c' || c_custkey AS url, 'c' || c_custkey AS slug, true AS enabled, CASE WHEN c_custkey % 10 = 0 THEN 'current' ELSE 'added' END AS change FROM customer WHERE c_custkey % 5 = 0",
     "cleaned_sources": """SELECT c_custkey AS ord, c_name AS company, CASE WHEN c_custkey % 5 = 3 THEN 'https://example.com/c' || c_custkey ELSE 'https://jobs.lever.co/c' || c_custkey END AS url, CASE WHEN c_custkey % 5 = 2 THEN 'maybe' ELSE 'Yes' END AS enabled FROM customer WHERE c_custkey % 5 IN (0, 2, 3)""",
+    "promotion_review": """WITH k AS (SELECT c_custkey AS ord, c_custkey % 7 AS k, c_custkey AS n, c_custkey - 5 AS m FROM customer)
+SELECT ord, ['lever', 'lever', 'phenom', 'icims', 'greenhouse', 'lever', 'workday'][k + 1] AS detected_source,
+  CASE k WHEN 0 THEN 'https://jobs.lever.co/p' || n WHEN 5 THEN 'https://jobs.lever.co/p' || m || '/9' WHEN 6 THEN 'https://acme' || n || '.wd5.myworkdayjobs.com/en-US/Careers' ELSE '' END AS candidate_url,
+  CASE k WHEN 0 THEN 'https://jobs.lever.co/p' || n WHEN 5 THEN 'https://jobs.lever.co/p' || m WHEN 6 THEN 'https://acme' || n || '.wd5.myworkdayjobs.com/en-US/Careers' ELSE '' END AS canonical_source_url,
+  CASE WHEN k = 6 OR (k = 0 AND n % 14 <> 0) THEN 'accepted' WHEN k IN (0, 5) THEN 'skipped' ELSE 'rejected' END AS status,
+  CASE k WHEN 0 THEN CASE WHEN n % 14 = 0 THEN 'existing_url' ELSE '' END WHEN 1 THEN 'candidate_is_not_route_ready' WHEN 2 THEN 'not_a_supported_production_source' WHEN 3 THEN 'non_public_icims_url' WHEN 4 THEN 'templated_url' WHEN 5 THEN 'existing_url' ELSE '' END AS reason FROM k""",
 }

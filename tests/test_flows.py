@@ -15,7 +15,7 @@ from tessera.sources import landed, workday
 from tessera.streaming.incremental import merge_stream
 
 SMALL = "/root/testdata/sf0.001"
-CHOSEN = [*cases.CASES, "connector_rippling", "connector_icims", "workday_postings", "jibe_facets", "top_pages", "platform_evidence", "detected_candidates", "discovered_pages", "archived_sources", "compiled_catalog", "cleaned_sources", "daily_run", "greedy_keys", "merged_archive"]
+CHOSEN = [*cases.CASES, "connector_rippling", "connector_icims", "workday_postings", "jibe_facets", "top_pages", "platform_evidence", "detected_candidates", "discovered_pages", "archived_sources", "compiled_catalog", "cleaned_sources", "promotion_review", "daily_run", "greedy_keys", "merged_archive"]
 
 
 @pytest.mark.parametrize("name", CHOSEN)
@@ -93,7 +93,7 @@ def test_commands(spark, tmp_path):
     rows = spark.read.option("header", True).csv(f"{tmp_path}/out/*")
     assert sorted((r.company, r.detected_source, r.recommended_action) for r in rows.collect()) == [("Acme", "greenhouse", "validate_with_existing_ats_scraper"), ("B", None, "manual_review")]
     (tmp_path / "sources.csv").write_text("company,url,enabled\nOld,https://jobs.lever.co/old,true\n")
-    (tmp_path / "cand.csv").write_text("company,detected_source,canonical_source_url,best_evidence_url\nAcme,greenhouse,,https://boards.greenhouse.io/acme\nX,lever,https://jobs.lever.co/old/,\n")
+    (tmp_path / "cand.csv").write_text("company,detected_source,source_key,canonical_source_url,best_evidence_url,route_ready\nAcme,greenhouse,acme,,https://boards.greenhouse.io/acme,true\nX,lever,old,https://jobs.lever.co/old/,,true\n")
     cli.main(["promote", "--candidates", f"{tmp_path}/cand.csv", "--sources", f"{tmp_path}/sources.csv", "--review", f"{tmp_path}/review", "--apply", f"{tmp_path}/new"], spark)
     assert sorted((r.company, r.status) for r in spark.read.option("header", True).csv(f"{tmp_path}/review").collect()) == [("Acme", "accepted"), ("X", "skipped")]
     assert sorted(r.url for r in spark.read.option("header", True).csv(f"{tmp_path}/new").collect()) == ["https://boards.greenhouse.io/acme", "https://jobs.lever.co/old"]
