@@ -24,9 +24,9 @@ def _field(name: str) -> Column:
 
 
 def source_label(file: Column, record: Column) -> Column:
-    """Where a record comes from, by its file's name and its own text."""
+    """Where a record comes from, by its file's name and its own text; an archive's label is this library's own."""
     text = F.lower(F.concat_ws(" ", file, record))
-    return F.when(F.lower(F.element_at(F.split(file, "/"), -1)) == "custom_companies.csv", "manual_custom_companies").when(F.contains(text, F.lit("simplify")), "simplify").when(F.contains(text, F.lit("archive")), "tailed_archive").otherwise("existing_data")
+    return F.when(F.lower(F.element_at(F.split(file, "/"), -1)) == "custom_companies.csv", "manual_custom_companies").when(F.contains(text, F.lit("simplify")), "simplify").when(F.contains(text, F.lit("archive")), "archive").otherwise("existing_data")
 
 
 def record_links(records: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def candidates(links: DataFrame, known: DataFrame) -> DataFrame:
     rows = p.without_parts(rows.filter((F.col("career_url") != "") & p.looks_like_careers(y)))
     rows = rows.withColumn("company_key", alphanumeric(clean(F.col("company")))).join(sources, "company_key", "left")
     origin = F.col("origin")
-    plain = F.when(origin == "manual_custom_companies", "not_in_existing_ats_sources").when(origin == "simplify", "company_career_url_from_simplify").when(origin == "tailed_archive", "found_in_archive").otherwise("likely_custom_or_branded_ats")
+    plain = F.when(origin == "manual_custom_companies", "not_in_existing_ats_sources").when(origin == "simplify", "company_career_url_from_simplify").when(origin == "archive", "found_in_archive").otherwise("likely_custom_or_branded_ats")
     reason = F.when(F.col("source_type") == "unsupported_url", F.concat(F.lit("unsupported_"), "_unsupported", F.lit("_url"))).otherwise(plain)
     return rows.select("ord", "nth", "company", "career_url", origin.alias("discovered_from"), "source_type", F.coalesce("sources", F.lit("")).alias("existing_known_source"), reason.alias("reason"), F.lit("true").alias("enabled"))
 

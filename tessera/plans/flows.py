@@ -272,9 +272,9 @@ UNION ALL SELECT page_id, 'ashby', 'https://jobs.ashbyhq.com/z', 'inline_script'
 UNION ALL SELECT 'Company ' || page_id, 'https://www.c' || page_id || '.example.com/', 'lever', 'co' || page_id, 'https://api.lever.co/v0/postings/co' || page_id || '?mode=json', 2, 'https://jobs.lever.co/co' || page_id || '/9', 'high', true, '', 'validate_with_existing_ats_scraper', 'test', 'Compatible source candidate; extraction not run' FROM pages WHERE page_id % 4 = 1
 UNION ALL SELECT 'Company ' || page_id, 'https://www.c' || page_id || '.example.com/', '', '', '', 0, '', '', false, 'page was not landed', 'manual_review', 'test', 'Career page fetch or passive detection failed' FROM pages WHERE page_id % 4 = 3""",
     "discovered_pages": """SELECT s_name AS company, CASE s_suppkey % 5 WHEN 0 THEN 'https://www.s' || s_suppkey || '.com/careers/search' WHEN 1 THEN 'https://s' || s_suppkey || '.com/jobs' WHEN 3 THEN 'https://s' || s_suppkey || '.breezy.hr/jobs' ELSE 'https://h' || s_suppkey || '.com/careers' END AS career_url,
-  CASE s_suppkey % 5 WHEN 0 THEN 'manual_custom_companies' WHEN 4 THEN 'tailed_archive' ELSE 'existing_data' END AS discovered_from, CASE s_suppkey % 5 WHEN 3 THEN 'unsupported_url' ELSE 'custom_career_page' END AS source_type, '' AS existing_known_source,
+  CASE s_suppkey % 5 WHEN 0 THEN 'manual_custom_companies' WHEN 4 THEN 'archive' ELSE 'existing_data' END AS discovered_from, CASE s_suppkey % 5 WHEN 3 THEN 'unsupported_url' ELSE 'custom_career_page' END AS source_type, '' AS existing_known_source,
   CASE s_suppkey % 5 WHEN 0 THEN 'not_in_existing_ats_sources' WHEN 1 THEN 'likely_custom_or_branded_ats' WHEN 3 THEN 'unsupported_breezyhr_url' ELSE 'collapsed_1_duplicate_urls;found_in_archive' END AS reason, 'true' AS enabled FROM supplier WHERE s_suppkey % 5 <> 2""",
-    "discovered_duplicates": "SELECT s_name AS company, 'h' || s_suppkey || '.com' AS host, 'https://h' || s_suppkey || '.com/careers' AS kept_url, 'https://h' || s_suppkey || '.com/x/openings/all' AS duplicate_url, 'same_normalized_company_and_career_host' AS duplicate_reason, 'tailed_archive' AS discovered_from FROM supplier WHERE s_suppkey % 5 = 4",
+    "discovered_duplicates": "SELECT s_name AS company, 'h' || s_suppkey || '.com' AS host, 'https://h' || s_suppkey || '.com/careers' AS kept_url, 'https://h' || s_suppkey || '.com/x/openings/all' AS duplicate_url, 'same_normalized_company_and_career_host' AS duplicate_reason, 'archive' AS discovered_from FROM supplier WHERE s_suppkey % 5 = 4",
     "archived_sources": f"""WITH {_EVENT_LISTINGS}, a AS (SELECT company, url, source, split_part(identity, ' :: ', 2) AS label, identity FROM leads JOIN named USING (identity)),
 o AS (SELECT *, count(*) OVER (PARTITION BY company, source) AS same FROM a WHERE NOT regexp_matches(identity, '[05]$')),
 u AS (SELECT DISTINCT company, source FROM a WHERE regexp_matches(identity, '[05]$'))
