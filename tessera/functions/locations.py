@@ -95,9 +95,9 @@ def _place(parts: Column, hint: Column | None) -> Column:
         at = F.array_position(F.transform(back, lambda t: region_of(t) != ""), True).cast("int")
         region = F.when(at > 0, region_of(F.try_element_at(back, at)))
         good = F.filter(F.slice(back, at + 1, F.greatest(F.size(back), F.lit(1))), lambda t: ~t.rlike(r"\d") & (region_of(t) == "") & ~in_country(t))
-        city = F.nullif(city_case(F.try_element_at(good, F.lit(1))), F.lit(""))
-        whole = F.concat_ws(", ", city, region, country)
-        return F.when(whole != "", whole).otherwise(city_case(back[0]))
+        named = F.array(city_case(F.try_element_at(good, F.lit(1))), region, country)
+        whole = F.array_join(F.filter(named, lambda t: t != ""), ", ")
+        return let(whole, lambda t: F.when(t != "", t).otherwise(city_case(back[0])))
 
     return let(F.reverse(kept), composed)
 
@@ -135,7 +135,8 @@ def places_list(c: Column, hint: Column | None = None) -> Column:
 
 
 def joined(values: Column) -> Column:
-    return F.coalesce(F.nullif(F.array_join(values, " / "), F.lit("")), F.lit(MISSING))
+    # Not nullif, which Spark writes out twice inside a lambda.
+    return let(F.array_join(values, " / "), lambda t: F.when(t == "", MISSING).otherwise(t))
 
 
 def places(c: Column, hint: Column | None = None) -> Column:
@@ -155,10 +156,15 @@ def is_vague(c: Column) -> Column:
 
 def best_tier(*tiers: Column) -> Column:
     """Places of the first tier (an array of texts) that names a specific one; else the first generic ones."""
-    listed = [let(F.flatten(F.transform(t, lambda x: F.filter(F.split(places(x), " / "), lambda p: p != MISSING))), distinct_text) for t in tiers]
-    specific = [F.nullif(F.array_join(F.filter(x, lambda p: ~is_generic(p)), " / "), F.lit("")) for x in listed]
-    generic = [F.nullif(F.array_join(F.filter(x, is_generic), " / "), F.lit("")) for x in listed]
-    return F.coalesce(*specific, *generic, F.lit(MISSING))
+    # Places are read once: the tiers are laid in one array before they are looked at.
+    listed = F.transform(F.array(*tiers), lambda t: let(F.flatten(F.transform(t, lambda x: F.filter(F.split(places(x), " / "), lambda p: p != MISSING))), distinct_text))
+
+    def best(found: Column) -> Column:
+        specific = F.filter(F.transform(found, lambda x: F.filter(x, lambda p: ~is_generic(p))), lambda x: F.size(x) > 0)
+        generic = F.filter(found, lambda x: F.size(x) > 0)
+        return joined(F.coalesce(F.try_element_at(specific, F.lit(1)), F.try_element_at(generic, F.lit(1)), F.array().cast("array<string>")))
+
+    return let(listed, best)
 
 
 def verbatim_places(values: Column) -> Column:

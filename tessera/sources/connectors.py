@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tessera.functions.dates import epoch_date, iso_date, posted_date
 from tessera.functions.locations import best_tier, coded_places, distinct_text, joined, places, places_list, verbatim_places
 from tessera.functions.urls import host, netloc
-from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, season, strip
+from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, once, season, strip
 from tessera.operators.dedupe import first_wins, last_wins
 
 RECORD = ("id", "company", "title", "location", "type", "season", "source", "url", "date_posted", "date_added", "active")
@@ -144,7 +144,8 @@ def with_details(rows: DataFrame, details: DataFrame, most: int = 50) -> DataFra
 
 
 def _record(rows: DataFrame, source: str, title: Column, kind: Column, location: Column, url: Column, posted: Column, path: Column, raw_id: Column, as_of: str) -> DataFrame:
-    rows = rows.withColumns({"_title": title, "_url": url}).withColumns({"type": kind}).filter("type IS NOT NULL").withColumn("_location", location)
+    rows = once(rows.withColumns({"_title": title, "_url": url}), "type", kind).filter("type IS NOT NULL")
+    rows = once(rows, "_location", location)
     company = blank_to(F.col("company"), "Unknown")
     at = [F.struct("ord", "pos").alias("at")] if {"ord", "pos"} <= set(rows.columns) else []
     return rows.select(
