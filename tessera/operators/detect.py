@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import platforms as p
 from tessera.functions.text import fold
 from tessera.functions.urls import page_url
-from tessera.operators.dedupe import first_wins
+from tessera.operators.dedupe import checkpointed, first_wins
 from tessera.operators.pages import anchors, evidence, platform_links, ranked_links, source_candidates, url_evidence
 
 CANDIDATES = ("company", "original_url", "detected_source", "source_key", "canonical_source_url", "evidence_count", "best_evidence_url", "confidence", "route_ready", "route_block_reason", "recommended_action", "discovered_from", "notes")
@@ -46,25 +46,19 @@ def detect(companies: DataFrame, landed: DataFrame, *, max_pages: int = 2) -> Da
     asked = named.select(*who).distinct()
     first = asked.join(pages, F.col("original_url") == F.col("fetch_url")).select(*who, F.col("final_url").alias("url"), "html")
     links = anchors(first)
-    more = None
+    ends = first.select(*who, F.col("original_url").alias("page"), "url", F.lit(0).alias("nth"))
+    outward, read = links.withColumn("nth", F.lit(1)), first.withColumn("hop", F.lit(4))
     if max_pages > 1:
-        best = ranked_links(links.withColumnRenamed("original_url", "career_url"), max_pages - 1)
-        more = best.filter(F.col("fetch_url") != page_url(F.col("page"))).join(pages, "fetch_url").select("company", F.col("career_url").alias("original_url"), F.col("original_url").alias("linked"), F.col("final_url").alias("url"), "html")
-    found = [
-        url_evidence(first.select(*who, F.col("original_url").alias("page"), "url"), "final_url").withColumn("nth", F.lit(0)),
-        url_evidence(platform_links(links), "discovered_external_link").withColumn("nth", F.lit(1)),
-        evidence(first).withColumn("nth", F.lit(4)),
-    ]
-    if more is not None:
+        # A few links a page; without the checkpoint every page would be searched for them once per use.
+        best = checkpointed(ranked_links(links.withColumnRenamed("original_url", "career_url"), max_pages - 1).filter(F.col("fetch_url") != page_url(F.col("page"))))
+        more = best.join(pages, "fetch_url").select("company", F.col("career_url").alias("original_url"), F.col("original_url").alias("linked"), F.col("final_url").alias("url"), "html")
         second = more.select(*who, "url", "html")
-        found += [
-            url_evidence(more.select(*who, F.col("linked").alias("page"), "url"), "final_url").withColumn("nth", F.lit(2)),
-            url_evidence(platform_links(anchors(second)), "discovered_external_link").withColumn("nth", F.lit(3)),
-            evidence(second).withColumn("nth", F.lit(5)),
-        ]
-    rows = found[0]
-    for part in found[1:]:
-        rows = rows.unionByName(part)
+        ends = ends.unionByName(more.select(*who, F.col("linked").alias("page"), "url", F.lit(2).alias("nth")))
+        outward = outward.unionByName(anchors(second).withColumn("nth", F.lit(3)))
+        read = read.unionByName(second.withColumn("hop", F.lit(5)))
+    leads = ends.unionByName(platform_links(outward))
+    method = F.when(F.col("nth") % 2 == 0, "final_url").otherwise("discovered_external_link")
+    rows = url_evidence(leads, method).unionByName(evidence(read).withColumnRenamed("hop", "nth"))
     candidates = named.join(settled_candidates(source_candidates(rows)), who).select("ord", *CANDIDATES)
     unread = named.join(pages.select(F.col("fetch_url").alias("original_url")), "original_url", "left_anti")
     blank = {c: F.lit("") for c in CANDIDATES} | {"company": F.col("company"), "original_url": F.col("original_url"), "discovered_from": F.col("discovered_from"), "evidence_count": F.lit(0).cast("long"), "route_ready": F.lit(False), "route_block_reason": F.lit("page was not landed"), "recommended_action": F.lit("manual_review"), "notes": F.lit("Career page fetch or passive detection failed")}

@@ -107,12 +107,12 @@ def evidence(pages: DataFrame) -> DataFrame:
     return best.select(*keep, "page", "source", "url", method.alias("method"), F.when(F.col("b.r") == -3, "high").otherwise("medium").alias("confidence"))
 
 
-def url_evidence(rows: DataFrame, method: str) -> DataFrame:
+def url_evidence(rows: DataFrame, method: Column) -> DataFrame:
     """As :func:`evidence`, of URLs themselves: rows (page, url, ...)."""
     rows, x = p.with_parts(once(rows, "url", page_url(F.col("url"))), "url")
     rows = once(rows, "source", p.platform(x))
     branded = (F.col("source") == "") & F.contains(x("low_url"), F.lit("gh_jid="))
-    rows = rows.withColumns({"method": F.lit(method), "confidence": F.when(branded, "medium").otherwise("high"), "source": F.when(branded, "greenhouse").otherwise(F.col("source"))})
+    rows = rows.withColumns({"method": method, "confidence": F.when(branded, "medium").otherwise("high"), "source": F.when(branded, "greenhouse").otherwise(F.col("source"))})
     return p.without_parts(rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x)))
 
 
