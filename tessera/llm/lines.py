@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.shared import delete_folder, keyed, shared_folder, written
 
+#: With it a scan of a bucket that is one file counts as sorted, so runs meet without another sort.
+_SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \\t\\n\\u000b\\u000c\\r"
 #: A line's key: white space off both ends, A-Z in lower case.
@@ -29,33 +31,49 @@ def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
 class LineRuns:
     """How many documents each line key was found in, as levelled sorted runs in the shared folder.
 
-    A run holds (h, g, n) sorted by hash.  A batch is anti-joined with the keys that the runs already
-    settle (found in ``least_docs`` documents), and what is left becomes a run of level 0.  When a
-    level has ``fanout`` runs, they are merged into one run of the next level, so a key lies in at
-    most fanout * log(batches) runs.  A run is written once and never changed; only the list of runs
-    is held here.
+    A run holds (h, g, n) sorted by hash.  A batch is merge-joined with every run, loses the keys that
+    the runs already settle (found in ``least_docs`` documents), and what is left becomes a run of level 0.
+    When a level has ``fanout`` runs, they are merged into one run of the next level, so a key lies
+    in at most fanout * log(batches) runs.  A run is written once and never changed; only the list of
+    runs is held here.
+
+    All runs are partitions of one external table of ``buckets`` buckets (as many as the session's
+    shuffle partitions), sorted within each, so batches meet runs, runs merge and are summed bucket
+    by bucket without a shuffle.  Several runs are always one scan of that table: a union of bucketed
+    scans claims their partitioning but does not keep it (Spark 4.1).  :meth:`delete` drops the table.
     """
 
     def __init__(self, spark: SparkSession, least_docs: int, *, fanout: int = 4, folder: str | None = None) -> None:
         self.spark, self.least_docs, self.fanout = spark, least_docs, fanout
-        self.folder = folder or f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
-        self.levels: list[list[str]] = []
-
-    def _write(self, counts: DataFrame, level: int) -> None:
-        path = f"{self.folder}/level-{level}-{uuid.uuid4().hex}"
-        counts.repartition("h", "g").sortWithinPartitions("h", "g").write.parquet(path)
+        self.name = f"lines_{uuid.uuid4().hex}"
+        self.folder = folder or f"{shared_folder(spark)}/{self.name}"
+        self.buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # Spark has no more
+        self.levels: list[list[int]] = []
+        self._saved = 0
+
+    def save(self, rows: DataFrame, name: str, part: str) -> None:
+        """Append (h, g, n, ``part``) to a table of the runs' buckets, in folders by ``part``, sorted by hash."""
+        before = self.spark.conf.get(_SORTED)
+        self.spark.conf.set(_SORTED, "true")
+        try:
+            rows.write.format("parquet").mode("append").option("path", f"{self.folder}/{name}").partitionBy(part).bucketBy(self.buckets, "h", "g").sortBy("h", "g").saveAsTable(name)
+        finally:
+            self.spark.conf.set(_SORTED, before)
+
+    def _push(self, counts: DataFrame, level: int) -> None:
+        self._saved += 1
+        self.save(counts.withColumn("run", F.lit(self._saved)), self.name, "run")
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(self._saved)
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return reduce(DataFrame.unionByName, (self.spark.read.schema("h bigint, g int, n bigint").parquet(p) for p in paths))
+    def _sum(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("run").isin(runs)).groupBy("h", "g").agg(F.sum("n").alias("n"))
 
     def counts(self) -> DataFrame:
         """(h, g, n) over all runs."""
-        paths = [p for level in self.levels for p in level]
-        rows = self._read(paths) if paths else self.spark.createDataFrame([], "h bigint, g int, n bigint")
-        return rows.groupBy("h", "g").agg(F.sum("n").alias("n"))
+        runs = [x for level in self.levels for x in level]
+        return self._sum(runs) if runs else self.spark.createDataFrame([], "h bigint, g int, n bigint")
 
     def settled(self) -> DataFrame:
         """Keys found in ``least_docs`` documents or more."""
@@ -63,30 +81,44 @@ class LineRuns:
 
     def delete(self) -> None:
         """Delete the runs; tables already written from them stay."""
+        for name in (self.name, f"{self.name}_batches"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         delete_folder(self.spark, self.folder)
         self.levels = []
 
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """Rows (h, g, n), one per key, that the runs do not settle."""
+        found = F.lit(0)
+        for k in (x for level in self.levels for x in level):
+            run = self.spark.table(self.name).filter(F.col("run") == k).select("h", "g", F.col("n").alias(f"n{k}"))
+            counts = counts.join(run.hint("merge"), ["h", "g"], "left")
+            found = found + F.coalesce(f"n{k}", F.lit(0))
+        return counts.filter(found < self.least_docs).select("h", "g", "n") if self.levels else counts
+
     def add(self, hashes: DataFrame) -> None:
         """Add a batch of (h, g) rows, one for each document that has the key, or counted (h, g, n)."""
         one = F.col("n") if "n" in hashes.columns else F.lit(1)
-        counts = hashes.groupBy("h", "g").agg(F.sum(one).cast("long").alias("n"))
-        if self.levels:
-            counts = counts.hint("merge").join(self.settled(), ["h", "g"], "left_anti")
-        self._write(counts, 0)
+        self._push(self.unsettled(hashes.groupBy("h", "g").agg(F.sum(one).cast("long").alias("n"))), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self._read(self.levels[level]).groupBy("h", "g").agg(F.sum("n").alias("n")), []
-            self._write(merged, level + 1)
+            merged, self.levels[level] = self._sum(self.levels[level]), []
+            self._push(merged, level + 1)
             level += 1
 
 
 def count_lines(docs: DataFrame, least_docs: int, least_chars: int, batches: int = 4) -> LineRuns:
-    """Feed a table to new runs in ``batches``, dealt by a hash of the row; the texts are read once."""
+    """Feed a table to new runs in ``batches``, dealt by a hash of the row; the texts are read once.
+
+    One shuffle counts the keys of all batches and puts them into the runs' buckets.
+    """
     spark = docs.sparkSession
     runs = LineRuns(spark, least_docs)
-    dealt = line_hashes(docs, least_chars).groupBy(F.pmod("rid", F.lit(batches)).cast("int").alias("batch"), "h", "g").agg(F.count(F.lit(1)).alias("n"))
-    dealt.write.partitionBy("batch").parquet(path := f"{runs.folder}/batches")
-    table = spark.read.schema("h bigint, g int, n bigint, batch int").parquet(path)
+    batch = F.pmod("rid", F.lit(batches))
+    dealt = line_hashes(docs, least_chars).groupBy("h", "g").agg(*(F.count(F.when(batch == k, 1)).alias(f"n{k}") for k in range(batches)))
+    counts = F.array(*(F.struct(F.lit(k).alias("batch"), F.col(f"n{k}").alias("n")) for k in range(batches)))
+    dealt = dealt.select("h", "g", F.explode(F.filter(counts, lambda x: x["n"] > 0)).alias("x")).select("h", "g", "x.n", "x.batch")
+    runs.save(dealt, f"{runs.name}_batches", "batch")
+    table = spark.table(f"{runs.name}_batches")
     for k in range(batches):
         runs.add(table.filter(F.col("batch") == k).select("h", "g", "n"))
     return runs

@@ -178,6 +178,23 @@ def test_lines(spark, docs):
     for n in (1, 1, 1, 5):
         runs.add(spark.createDataFrame([(7, 7, n), (8, n, 1)], "h bigint, g int, n bigint"))
     assert sorted(map(tuple, runs.counts().collect())) == [(7, 7, 3), (8, 1, 3), (8, 5, 1)] and sum(map(len, runs.levels)) == 1
+    names = {t.name for t in spark.catalog.listTables()}
+    runs.delete()
+    assert names and not {t.name for t in spark.catalog.listTables()}
+
+
+def test_batches_meet_the_runs_without_a_shuffle(spark, docs):
+    runs = lines.count_lines(docs, 3, 1, batches=3)
+    batch = spark.table(f"{runs.name}_batches").filter("batch = 1").groupBy("h", "g").agg(F.sum("n").alias("n"))
+    spark.conf.set(lines._SORTED, "true")
+    try:
+        for rows, joins, sorts in ((runs.unsettled(batch), 3, 1), (runs.settled(), 0, 0)):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and plan.count("SortMergeJoin") == joins and plan.count("Sort [") == sorts, plan
+    finally:
+        spark.conf.unset(lines._SORTED)
+    assert sorted(map(tuple, runs.settled().collect())) == sorted(map(tuple, lines.line_hashes(docs, 1).groupBy("h", "g").count().filter("count >= 3").select("h", "g").collect()))
+    runs.delete()
 
 
 def test_jaccard(docs):
