@@ -11,6 +11,7 @@ from tessera.llm.language import identify_languages, train_languages
 from tessera.llm.lines import dedup_lines
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import apply_quality_rules
+from tessera.llm.resample import resample
 from tessera.llm.secrets import find_secrets, labelled_samples, spans_text, train_markov
 from tessera.llm.sql import ORACLE_SQL
 from tessera.llm.substrings import remove_repeats
@@ -78,6 +79,11 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"), shingle=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
-QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups)}
+QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups, op11_resample)}

@@ -15,6 +15,13 @@ def _words(text: str) -> str:
 _BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
   1 + ((((instr('0123456789abcdef', substr(x, (5 * i) // 4 + 1, 1)) - 1) * 16 + greatest(instr('0123456789abcdef', substr(x || '0', (5 * i) // 4 + 2, 1)) - 1, 0)) >> (3 - (5 * i) % 4)) & 31)::INT, 1)), '')"""
 
+#: Of bytes: the checksum's table, and the unsigned CRC-32 of every string k of a table ``{strings}`` as ``crc`` (k, c).
+_CRC = """
+b AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)),
+y AS (SELECT k, i, (instr('0123456789ABCDEF', substr(x, 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(x, 2 * i + 2, 1)) - 1 AS byte FROM (SELECT k, hex(encode(k)) AS x, unnest(range(0, strlen(k))) AS i FROM {strings})),
+z AS (SELECT k, 0 AS i, 4294967295 AS a FROM {strings} UNION ALL SELECT z.k, z.i + 1, xor(a >> 8, b.v) FROM z JOIN y ON y.k = z.k AND y.i = z.i JOIN b ON b.i = xor(a & 255, y.byte)),
+crc AS (SELECT k, xor(arg_max(a, i), 4294967295) AS c FROM z GROUP BY k)"""
+
 ORACLE_SQL = {
     "op4_remove_repeats": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("coalesce(text, '')")} AS ws FROM documents),
@@ -47,4 +54,19 @@ e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 w AS (SELECT DISTINCT a AS r, a AS m FROM e UNION SELECT w.r, e.b FROM w JOIN e ON w.m = e.a),
 g AS (SELECT w.r, min(doc_id) AS low FROM w JOIN d ON d.r = w.m GROUP BY w.r)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r)""",
+    "op11_resample": f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+e AS MATERIALIZED (SELECT regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+f AS MATERIALIZED (SELECT r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS k FROM d),
+g AS MATERIALIZED (SELECT unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS k FROM e),
+u AS MATERIALIZED (SELECT k FROM f UNION SELECT k FROM g),{_CRC.format(strings="u")},
+h AS MATERIALIZED (SELECT k, c % 10000 AS bucket FROM crc),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN h USING (k) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM g JOIN h USING (k) GROUP BY bucket),
+w AS (SELECT range AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM range(10000) LEFT JOIN s ON s.bucket = range LEFT JOIN t ON t.bucket = range),
+m AS (SELECT r, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM f JOIN h USING (k) JOIN w USING (bucket) GROUP BY r),
+o AS (SELECT r, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (r)),
+p AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM o),
+q AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM p WHERE n_words >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= (SELECT 25 * count(*) // 100 FROM q) THEN place END AS rank FROM p LEFT JOIN q USING (r)""",
 }
