@@ -13,6 +13,7 @@ from tessera.llm.packing import pack_documents
 from tessera.llm.quality import apply_quality_rules
 from tessera.llm.resample import resample
 from tessera.llm.secrets import find_secrets, labelled_samples, spans_text, train_markov
+from tessera.llm.spelling import count_words, group_spellings
 from tessera.llm.sql import ORACLE_SQL
 from tessera.llm.substrings import remove_repeats
 from tessera.llm.toxicity import score_toxicity, train_toxicity
@@ -84,6 +85,10 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(count_words(table(spark, sf_dir, "documents"), one_in=97, least_chars=5, least_n=3), least_ratio=2)
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
-QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups, op11_resample)}
+QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups, op11_resample, op12_spelling_variants)}

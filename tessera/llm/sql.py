@@ -69,4 +69,17 @@ o AS (SELECT r, doc_id, len(ws) AS n_words, coalesce(n_features, 0) AS n_feature
 p AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM o),
 q AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM p WHERE n_words >= 20)
 SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= (SELECT 25 * count(*) // 100 FROM q) THEN place END AS rank FROM p LEFT JOIN q USING (r)""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE r AS MATERIALIZED (SELECT doc_id || ':' || run AS k, run FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+u AS MATERIALIZED (SELECT DISTINCT k FROM r),{_CRC.format(strings="u")},
+o AS (SELECT CASE WHEN c % 97 = 0 THEN substr(run, 1, c % length(run)) || substr(run, c % length(run) + 2) ELSE run END AS word FROM r JOIN crc USING (k)),
+v AS MATERIALIZED (SELECT word, count(*) AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+p AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS masked, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT a.word, b.word AS near, b.n AS near_n FROM p a JOIN p b ON a.masked = b.masked AND a.i = b.i AND a.word <> b.word
+  UNION SELECT p.word, v.word, v.n FROM p JOIN v ON v.word = p.cut UNION SELECT v.word, p.word, p.n FROM p JOIN v ON v.word = p.cut),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM e GROUP BY word),
+f AS MATERIALIZED (SELECT v.word, v.n, n_near, CASE WHEN most >= 2 * v.n THEN most END AS form_n, (SELECT min(encode(near)) FROM e WHERE e.word = v.word AND near_n = most AND most >= 2 * v.n) AS form FROM v LEFT JOIN g USING (word)),
+t AS (SELECT word, word AS root, 0 AS i FROM f UNION ALL SELECT t.word, decode(f.form), i + 1 FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL),
+x AS (SELECT word, arg_max(root, i) AS root FROM t GROUP BY word)
+SELECT word, decode(form) AS form, root, n, coalesce(n_near, 0) AS n_near, form_n FROM f JOIN x USING (word)""",
 }
