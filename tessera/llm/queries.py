@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.context_tree import score_texts
 from tessera.llm.decontaminate import find_overlaps
 from tessera.llm.jaccard import similar_groups
 from tessera.llm.language import identify_languages, train_languages
@@ -89,6 +90,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_spellings(count_words(table(spark, sf_dir, "documents"), one_in=97, least_chars=5, least_n=3), least_ratio=2)
 
 
+def op13_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
-QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups, op11_resample, op12_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_pack_documents, op2_identify_languages, op3_find_secrets, op4_remove_repeats, op5_benchmark_overlaps, op6_score_toxicity, op7_quality_rules, op8_capture_index, op9_dedup_lines, op10_jaccard_groups, op11_resample, op12_spelling_variants, op13_score_texts)}
