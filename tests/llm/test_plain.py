@@ -23,7 +23,7 @@ RNG = random.Random(23)
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     df = queries.QUERIES[name](spark, SMALL).select(*sorted(want.columns))
@@ -71,54 +71,87 @@ def test_language_mixtures_are_the_plain_ones():
     assert (model.main(words) == [int(np.log(np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), model.floor))[words.codes[a:b]].sum(axis=0).argmax()) for a, b in zip(words.offsets, words.offsets[1:])]).all()
 
 
-def _plain_overlaps(text: str, item: str, least: int, identity: float) -> set[tuple[int, int, int, int]]:
-    """(doc_start, item_start, length, matches) of every diagonal that a mask hits, token by token."""
+def _plain_diagonals(text: str, item: str) -> dict[int, tuple[int, list[bool]]]:
+    """By shift, for every diagonal that a mask hits: where it begins in the item, and which words are equal."""
     norm = lambda t: [x for x in (re.sub(r"[\W_]+", "", y.lower()) for y in brute.words(t)) if x]
     a, b = norm(text), norm(item)
-    out, shifts = set(), set()
     masks = decontaminate.MASKS if len(b) >= min(map(len, decontaminate.MASKS)) else ("1" * len(b),)
+    out = {}
     for mask in masks:
         at = defaultdict(list)
         keep = [i for i, m in enumerate(mask) if m == "1"]
         for j in range(len(b) - len(mask) + 1):
             at[tuple(b[j + i] for i in keep)].append(j)
         for i in range(len(a) - len(mask) + 1):
-            shifts.update(i - j for j in at[tuple(a[i + x] for x in keep)])
-    for shift in shifts:
-        first, last = max(0, -shift), min(len(b), len(a) - shift)
-        same = [a[shift + j] == b[j] for j in range(first, last)]
-        best = (0, 0, 0)
-        for s in range(len(same)):
-            value = 0
-            for e in range(s, len(same)):
-                value += 1 if same[e] else -2
-                if value > best[0]:
-                    best = (value, s, e + 1)
-        _, s, e = best
-        got = sum(same[s:e])
-        if e - s >= min(least, len(b)) and got >= identity * (e - s):
-            out.add((shift + first + s, first + s, e - s, got))
+            for j in at[tuple(a[i + x] for x in keep)]:
+                first, last = max(0, j - i), min(len(b), len(a) - i + j)
+                out[i - j] = first, [a[i - j + x] == b[x] for x in range(first, last)]
     return out
 
 
+def _check_overlaps(found: list, text: str, item: str, least: int, identity: float) -> int:
+    """Each found one (doc_start, item_start, length, matches) is a segment that counts, those of a diagonal
+    are disjoint, and no segment that counts lies apart from them; the number of diagonals with one."""
+    by, whole = defaultdict(list), _plain_diagonals(text, item)
+    for d, i, n, m in found:
+        by[d - i].append((i, i + n, m))
+    size = sum(1 for y in brute.words(item) if re.sub(r"[\W_]+", "", y))
+    least, share = min(least, size), identity if size >= min(map(len, decontaminate.MASKS)) else 1
+    assert set(by) <= set(whole)
+    for shift, (first, same) in whole.items():
+        parts = sorted((a - first, b - first, m) for a, b, m in by[shift])
+        assert all(m == sum(same[a:b]) >= share * (b - a) and b - a >= least for a, b, m in parts)
+        assert all(x[1] <= y[0] for x, y in zip(parts, parts[1:]))
+        total = [0, *np.cumsum(same).tolist()]
+        for a in range(len(same)):
+            for b in range(a + least, len(same) + 1):
+                if total[b] - total[a] >= share * (b - a):
+                    assert any(a < y and x < b for x, y, _ in parts), (shift, a, b)
+    return sum(map(bool, by.values()))
+
+
 def test_overlaps_are_the_plain_ones(spark):
     vocabulary = [f"w{i}" for i in range(60)]
-    items = [" ".join(RNG.choices(vocabulary, k=n)) for n in (3, 14, 25, 40)]
-    docs = []
+    items = [" ".join(RNG.choices(vocabulary, k=n)) for n in (3, 14, 25, 40)] + ["the of " * 12, "same " * 15, "", "!!"]
+    docs = [(900, "same " * 40), (901, "x " + "the of " * 30), (902, None), (903, "?"), (904, "the the of " * 9)]
     for i in range(60):
         x = RNG.choices(vocabulary, k=RNG.choice([0, 5, 40]))
         if i % 2:
-            piece = RNG.choice(items).split()
+            piece = RNG.choice(items[:4]).split()
             for _ in range(RNG.choice([0, 1, 3, 6])):
                 piece[RNG.randrange(len(piece))] = "x" + str(RNG.randrange(99))
-            x[len(x) // 2 : len(x) // 2] = piece
+            x[len(x) // 2 : len(x) // 2] = piece * RNG.choice([1, 1, 2])
         docs.append((i, " ".join(x)))
     found = decontaminate.find_overlaps(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"))
-    got = {(r.doc_id, x.item_id, x.doc_start, x.item_start, x.length, x.matches) for r in found.collect() for x in r.overlaps}
-    want = {(d, i, *x) for d, t in docs for i, item in enumerate(items) for x in _plain_overlaps(t, item, 12, 0.75)}
-    # Segments of equal worth on a diagonal may start or end elsewhere; the diagonals and their worth are the same.
-    worth = lambda rows: Counter((d, i, s - j, m - 2 * (n - m)) for d, i, s, j, n, m in rows)
-    assert worth(got) == worth(want) and len(got) > 20
+    got = defaultdict(list)
+    for r in found.collect():
+        assert list(r.overlaps) == sorted(r.overlaps)
+        for x in r.overlaps:
+            got[r.doc_id, x.item_id].append(tuple(x)[1:])
+    assert sum(_check_overlaps(got[d, i], t or "", item, 12, 0.75) for d, t in docs for i, item in enumerate(items)) > 60
+
+
+def test_short_windows_with_substitutions_are_found():
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [RNG.choices(vocabulary, k=RNG.randint(20, 60)) for _ in range(100)]
+    block = decontaminate.build_block(list(range(100)), [" ".join(x) for x in items])
+    docs, want = [], []
+    for _ in range(2000):
+        i, n = RNG.randrange(100), RNG.randint(12, 16)
+        at = RNG.randrange(len(items[i]) - n)
+        window = items[i][at : at + n]
+        for p in RNG.sample(range(n), RNG.choice([1, 2])):
+            window[p] = "changed"
+        docs.append(" ".join([*RNG.choices(vocabulary, k=30), *window, *RNG.choices(vocabulary, k=30)]))
+        want.append((i, 30, 30 + n))
+    found = decontaminate.overlaps_of(decontaminate.normal_words(pa.array(docs)), block, 12, 0.75)
+    assert all(any(x["item_id"] == i and x["doc_start"] < b and x["doc_start"] + x["length"] > a for x in got) for (i, a, b), got in zip(want, found))
+
+
+def test_repetitive_texts_cost_their_diagonals():
+    block = decontaminate.build_block([1], ["the " * 300])
+    (found,) = decontaminate.overlaps_of(decontaminate.normal_words(pa.array(["the " * 4000])), block, 12, 0.75)
+    assert len(found) == 4000 + 300 - 1 - 2 * 11 and all(x["matches"] == x["length"] for x in found)
 
 
 def test_overlaps_survive_substitutions():
@@ -198,3 +231,18 @@ def test_empty_tables_of_every_operator_and_stage(spark, tmp_path):
     spark.createDataFrame([(1, "a b c")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, str(tmp_path)).count() == 0, name
+
+
+def test_documents_of_many_lines(spark):
+    rows = [(i, "\n".join([f"Line {k}" for k in range(20_000)] + [f"own {i} {k % 50}" for k in range(20_000)])) for i in range(11)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in lines.dedup_lines(df, least_docs=10).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()]
+    assert sorted(got) == sorted(brute.dedup_lines(rows, 10)) and got[0][2] == 20_000
+
+
+def test_a_failed_run_leaves_no_tables(spark, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(lines, "drop_lines", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lines.dedup_lines(spark.createDataFrame([(1, "a\nb")], "doc_id bigint, text string"))
+    assert {t.name for t in spark.catalog.listTables()} == before
