@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import alphanumeric, fold, let, strip
+from tessera.functions.text import let, low_key, strip
 from tessera.functions.urls import PLATFORM_HOSTS, bare_host, netloc, path, quote, query, scheme, under, unquote
 
 # Platforms with a connector, platforms without a route, and marks in URLs.
@@ -226,7 +226,7 @@ def is_public(source: Column, x: Parts) -> Column:
 
 def brand_of(host: Column) -> Column:
     """The host's first label as a key to compare with a company's name."""
-    return alphanumeric(F.substring_index(host, ".", 1))
+    return F.regexp_replace(low_key(F.coalesce(F.substring_index(host, ".", 1), F.lit(""))), "[^a-z0-9]", "")
 
 
 def group_key(x: Parts) -> Column:
@@ -263,7 +263,7 @@ def workday_board(key: Column, x: Parts) -> Column:
     bad = ("asset", "assets", "candidate-experience-jobs", "client-analytics", "introduceyourself", "login", "logo", "jobs", "uic-shared-vendors", "userhome")
     raw = F.filter(F.split(x("path"), "/"), lambda s: s != "")
     low = F.transform(raw, lambda s: F.rtrim(F.lower(s), F.lit("&")))
-    site = fold(F.regexp_extract(key, "^[^:]*:(.*)$", 1))
+    site = low_key(F.regexp_extract(key, "^[^:]*:(.*)$", 1))
 
     def cut(both: Column) -> Column:
         low = both["low"]

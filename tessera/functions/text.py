@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MISSING = "Not specified"
 
@@ -50,8 +53,14 @@ def first_text(*columns: Column, default: str | None = None) -> Column:
     return F.coalesce(*(F.nullif(strip(c), F.lit("")) for c in columns), F.lit(default))
 
 
-def fold(c: Column) -> Column:
-    """Lower case for keys, sharp s spelled out."""
+@F.arrow_udf(T.StringType())
+def fold(texts: pa.Array) -> pa.Array:
+    """Unicode's full case folding, for keys and orders, in Arrow batches."""
+    return pa.array([None if x is None else x.casefold() for x in texts.to_pylist()], pa.string())
+
+
+def low_key(c: Column) -> Column:
+    """As :func:`fold` for parts of URLs, in columns alone: lower case, sharp s spelled out."""
     return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
 
@@ -61,7 +70,7 @@ def slug(c: Column) -> Column:
 
 
 def alphanumeric(c: Column) -> Column:
-    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
+    return F.regexp_replace(fold(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
 
 
 def search_term(c: Column) -> Column:
@@ -105,9 +114,12 @@ def enabled_flag(c: Column) -> Column:
     return F.when(t.isin("true", "yes", "1"), True).when(t.isin("false", "no", "0"), False)
 
 
+@F.arrow_udf(T.StringType())
+def decoded(texts: pa.Array) -> pa.Array:
+    """Texts with every character reference decoded, in Arrow batches."""
+    return pa.array([None if x is None else html.unescape(x) for x in texts.to_pylist()], pa.string())
+
+
 def strip_tags(c: Column) -> Column:
-    """Tags to spaces, the five common entities and non-breaking spaces decoded."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return clean(t)
+    """Tags to spaces, character references decoded."""
+    return clean(decoded(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " ")))

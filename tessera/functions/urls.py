@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.text import fold, let, strip
+from tessera.functions.text import let, low_key, strip
 
 _URL = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -206,7 +206,7 @@ def identity(parts: Column, *, with_language: bool = True) -> Column:
 def _key(parts: Column, with_language: bool) -> Column:
     src = parts["source"]
     key = (
-        F.when(src == "workday", F.array(src, F.lower(parts["tenant"]), fold(parts["site"])))
+        F.when(src == "workday", F.array(src, F.lower(parts["tenant"]), low_key(parts["site"])))
         .when(src.isin(*SLUG_SOURCES), F.array(src, F.lower(parts["slug"])))
         .when(src == "icims", F.array(src, parts["mode"], parts["host"]))
         .when(src == "oracle_hcm", F.array(src, parts["host"], F.lower(parts["language"]) if with_language else F.coalesce(F.lower(parts["language"]), F.lit("")), F.lower(parts["site"])))

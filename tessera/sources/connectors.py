@@ -7,19 +7,18 @@ payload, guards and dedupes the rows, and a normaliser, which projects them to R
 
 from __future__ import annotations
 
-import html
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.dates import epoch_date, iso_date, posted_date
-from tessera.functions.locations import best_tier, coded_places, distinct_text, joined, places, places_list, verbatim_places
+from tessera.functions.locations import best_tier, coded_places, distinct_text, is_vague, joined, places, places_list, verbatim_places
 from tessera.functions.urls import host, netloc
 from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, once, season, strip
 from tessera.operators.dedupe import first_wins, last_wins
+from tessera.sources.markup import CARD, exploded, listing_cards
 
 RECORD = ("id", "company", "title", "location", "type", "season", "source", "url", "date_posted", "date_added", "active")
 #: Fixed value: words that make a posting relevant in searches that match loosely.
@@ -49,30 +48,15 @@ def _rows(landed: DataFrame, source: str) -> DataFrame:
     return items.select(*keep, F.posexplode(F.expr(_ROWS[source])).alias("pos", "raw")).filter("raw IS NOT NULL")
 
 
-_unescaped = F.udf(lambda x: None if x is None else html.unescape(x), T.StringType())
-_CARD = r'(?isU)<li[^>]*class="[^"]*iCIMS_JobCardItem[^"]*"[^>]*>(.*?)</li>'
-_CARD_LINK = r'(?isU)<a[^>]+href="([^"]*/jobs/(\d+)(?:/[^"]*)?/job[^"]*)"[^>]*>.*?<h3[^>]*>(.*?)</h3>'
-_CARD_POSTED = r'(?isU)<span[^>]+title="([^"]+)"[^>]*>\s*[^<]*<span[^>]*class="sr-only"'
-_CARD_FIELD = r"(?isU)<dt[^>]*>\s*(?:<[^>]+>\s*)*(?:<span[^>]*>\s*)?%s(?:\s*</span>)?.*?</dt>\s*<dd[^>]*>(.*?)</dd>"
-_CARD_HEADER = r'(?isU)<span[^>]*class="sr-only field-label"[^>]*>\s*Job Locations?\s*</span>\s*<span[^>]*>(.*?)</span>'
-
-
 def _icims_rows(landed: DataFrame) -> DataFrame:
     """Rows of both iCIMS forms: jibe's JSON, and the cards of classic pages in its fields, with their ``classic_url``."""
     page = F.startswith(strip(F.col("payload")), F.lit("<"))
     jibe = _rows(landed.filter(F.col("payload").isNotNull() & ~page), "icims")
     jibe = jibe.withColumn("raw", F.col("raw").withField("classic_url", F.lit(None).cast("string")))
     keep = [c for c in jibe.columns if c not in ("pos", "raw")]
-    cards = landed.filter(page).select(*keep, F.posexplode(F.regexp_extract_all("payload", F.lit(_CARD), 1)).alias("pos", "card"))
-    card = F.col("card")
-    text = lambda c: clean(_unescaped(F.regexp_replace(c, "<[^>]+>", " ")))
-    url = F.regexp_replace(F.regexp_replace(strip(_unescaped(F.regexp_extract(card, _CARD_LINK, 1))), r"([?&])in_iframe=1&?", "$1"), r"[?&]$", "")
-    labels = ("Job Location", "Job Locations", "Location", "Locations")
-    where = first_text(*(text(F.regexp_extract(card, _CARD_FIELD % x, 1)) for x in labels), text(F.regexp_extract(card, _CARD_HEADER, 1)), default="")
-    found = {"slug": F.regexp_extract(card, _CARD_LINK, 2), "title": text(F.regexp_extract(card, _CARD_LINK, 3)), "classic_url": url, "full_location": where, "posted_date": strip(_unescaped(F.regexp_extract(card, _CARD_POSTED, 1)))}
-    raw = F.struct(*(found.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
-    classic = cards.select(*keep, "pos", raw.alias("raw")).filter("raw.slug <> '' AND raw.title <> '' AND raw.classic_url <> ''")
-    return jibe.unionByName(classic)
+    cards = exploded(landed.filter(page).select(*keep, "payload"), listing_cards, ("payload",), CARD)
+    raw = F.struct(*((F.col(f.name) if f.name in cards.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
+    return jibe.unionByName(cards.select(*keep, "pos", raw.alias("raw")))
 
 
 def facet_terms(landed: DataFrame) -> DataFrame:
@@ -125,22 +109,19 @@ def envelope(landed: DataFrame, source: str) -> DataFrame:
     return rows
 
 
-def with_details(rows: DataFrame, details: DataFrame, most: int = 50) -> DataFrame:
-    """Workday rows with ``detail_locations`` looked up by path where their own location is vague.
+def with_details(rows: DataFrame, details: DataFrame, *, order: list[str], most: int = 50) -> DataFrame:
+    """Workday rows with ``detail_locations`` looked up by company and path where their own location is vague.
 
-    ``details``: (external_path, locations array).  At most ``most`` rows of a company are looked up,
-    in input order.
+    ``details``: (company, path, detail_locations array).  The first ``most`` such rows of a company in ``order``
+    are looked up, the others keep what they have; a path that stands there twice counts once.
     """
-    from pyspark.sql import Window
-
-    from tessera.functions.locations import is_vague
-
     blank = lambda c: strip(F.col(c)) == ""
     needy = is_vague(F.col("raw.locationsText")) & (F.size(F.coalesce("raw.locations", F.array())) == 0) & blank("raw.primaryLocation") & blank("raw.primaryLocationDescriptor") & ~blank("raw.externalPath")
-    rank = F.row_number().over(Window.partitionBy("company", "_needy").orderBy("ord", "pos"))
+    rank = F.row_number().over(Window.partitionBy("company", "_needy").orderBy(*order))
     ranked = rows.withColumn("_needy", F.coalesce(needy, F.lit(False))).withColumn("_rank", rank)
     path = F.when(F.col("_needy") & (F.col("_rank") <= most), F.col("raw.externalPath"))
-    return ranked.withColumn("_path", path).join(details.toDF("_path", "detail_locations"), "_path", "left").drop("_needy", "_rank", "_path")
+    found = details.groupBy("company", F.col("path").alias("_path")).agg(F.min("detail_locations").alias("detail_locations"))
+    return ranked.withColumn("_path", path).join(found, ["company", "_path"], "left").drop("_needy", "_rank", "_path")
 
 
 def _record(rows: DataFrame, source: str, title: Column, kind: Column, location: Column, url: Column, posted: Column, path: Column, raw_id: Column, as_of: str) -> DataFrame:

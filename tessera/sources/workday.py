@@ -9,7 +9,7 @@ from tessera.functions.locations import distinct_text
 from tessera.functions.text import job_type, let, search_term, strip
 from tessera.functions.urls import netloc, scheme, segments
 from tessera.operators.dedupe import first_wins
-from tessera.sources.connectors import SCHEMAS, raw_key
+from tessera.sources.connectors import SCHEMAS, raw_key, with_details
 
 # Search terms that mean the same.
 EQUIVALENT = (("intern", "internship"), ("co-op", "coop", "co op"), ("student", "summer student"), ("new grad", "new graduate"))
@@ -67,15 +67,23 @@ def detail_url(url: Column, tenant: Column, site: Column, external_path: Column)
     return F.concat(_endpoint(url, tenant, site), F.nullif(F.regexp_replace(strip(external_path), "^/+", ""), F.lit("")))
 
 
-def listings(landed: DataFrame, *, most_total: int = 400) -> DataFrame:
+def listings(landed: DataFrame, *, most_total: int = 400, limit: int = 20, most_pages: int = 25) -> DataFrame:
     """Landed pages (company, term, page, payload, ...) of queries that went through.
 
     A query is a company's pages of one term; ``term`` '' is the full listing.  A page that is missing
-    or no JSON fails its query, and so does a full listing of more than ``most_total`` postings.
+    or no JSON fails its query, and so does a full listing of more than ``most_total`` postings.  Page k
+    begins at posting k * ``limit``: a query whose pages have a hole, or whose last page is full although
+    neither ``total`` nor ``most_pages`` ends there, is not complete and fails too.
     """
     rows = landed.withColumn("x", F.from_json("payload", SCHEMAS["workday"])).withColumn("_total", F.get_json_object("payload", "$.total").try_cast("int"))
     bad = F.col("x").isNull() | F.col("x.jobPostings").isNull() | ((F.col("term") == "") & (F.coalesce("_total", F.lit(0)) > most_total))
-    failed = rows.groupBy("company", "term").agg(F.max(bad).alias("bad"), F.sum(F.coalesce(F.size("x.jobPostings"), F.lit(0))).alias("n")).filter("bad OR (term = '' AND n = 0)")
+    size = F.coalesce(F.size("x.jobPostings"), F.lit(0))
+    queries = rows.select("company", "term", "page", bad.alias("bad"), size.alias("size"), "_total").groupBy("company", "term").agg(
+        F.max("bad").alias("bad"), F.sum("size").alias("n"), F.countDistinct("page").alias("pages"), F.min("page").alias("first"), F.max("page").alias("last"), F.max_by("size", "page").alias("rest"), F.max("_total").alias("total")
+    )
+    hole = (F.col("first") != 0) | (F.col("pages") != F.col("last") + 1)
+    ends = (F.col("rest") != limit) | (F.col("pages") >= most_pages) | F.coalesce(F.col("total") <= F.col("pages") * limit, F.lit(False))
+    failed = queries.filter(F.col("bad") | hole | ~ends | ((F.col("term") == "") & (F.col("n") == 0)))
     return landed.join(failed.select("company", "term"), ["company", "term"], "left_anti")
 
 
@@ -86,11 +94,12 @@ def covered(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return named.join(titles, (F.col("company") == F.col("_company")) & F.contains(F.col("_title"), F.col("_term")), "left_anti").drop("_term")
 
 
-def postings(spark: SparkSession, landed: DataFrame, terms: list[str]) -> DataFrame:
+def postings(spark: SparkSession, landed: DataFrame, terms: list[str], details: DataFrame | None = None, *, most_details: int = 50) -> DataFrame:
     """Raw rows (company, career_url, term, ord, pos, raw, key) that a company's plan reads, each once.
 
     The full listing where it went through; else the primary terms in order, and alternates whose
-    term no title found so far holds.  Only postings of a kind stay.
+    term no title found so far holds.  Only postings of a kind stay.  With ``details`` (company, path,
+    payload) rows also have ``detail_locations``, looked up for those whose own location is vague.
     """
     plan = term_plan(terms)
     order = [primary for primary, _ in plan] + [a for _, alternates in plan for a in alternates]
@@ -105,7 +114,11 @@ def postings(spark: SparkSession, landed: DataFrame, terms: list[str]) -> DataFr
     open_ = covered(first.select("company", F.col("raw.title").alias("title")), others.select("company", "term").distinct())
     kept = rows.filter("term = ''").unionByName(first).unionByName(others.join(open_, ["company", "term"], "left_semi"))
     kept = first_wins(kept.withColumn("key", raw_key(F.col("raw"))), ["company", "key"], ["nth", "ord", "pos"])
-    return kept.filter(job_type(F.col("raw.title")).isNotNull()).select("company", "career_url", "term", "ord", "pos", "raw", "key")
+    kept = kept.filter(job_type(F.col("raw.title")).isNotNull()).select("company", "career_url", "term", "nth", "ord", "pos", "raw", "key")
+    if details is not None:
+        found = details.select("company", "path", detail_locations(F.col("payload")).alias("detail_locations"))
+        kept = with_details(kept, found, order=["nth", "ord", "pos"], most=most_details)
+    return kept.drop("nth")
 
 
 def _texts_of(value: Column) -> Column:
