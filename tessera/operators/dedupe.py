@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from functools import partial, reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -45,34 +49,72 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def greedy(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _one_by_one(batches: Iterator[pa.RecordBatch], order: str) -> Iterator[pa.RecordBatch]:
+    """The rows that lose, of rows (group, order, keys) sorted by group and order: the greedy rule as it is told."""
+    group, taken = None, set()
+    for batch in batches:
+        lost = []
+        for i, (now, keys) in enumerate(zip(batch.column("group").to_pylist(), batch.column("keys").to_pylist(), strict=True)):
+            if now != group:
+                group, taken = now, set()
+            if taken.isdisjoint(keys):
+                taken.update(keys)
+            else:
+                lost.append(i)
+        yield batch.select([order]).take(pa.array(lost, pa.int64()))
+
+
+def greedy(rows: DataFrame, keys: list[str], order: str, *, rounds: int = 3, in_one: int = 500_000) -> DataFrame:
     """Keep a row iff none of its keys belongs to an earlier row that was kept; blank keys don't count.
 
-    ``order`` must be unique.  In rounds: rows that come first in all their keys are kept, rows that
-    share a key with a kept row go, the others wait.  Rows whose keys are all their own are settled
-    before the first round.  Every round settles a row at least, so it ends, after as many rounds as
-    the longest chain of conflicts has links; each is cut off by one checkpoint.
+    ``order`` must be unique.  Rows whose keys are all their own are settled first.  Then ``rounds`` rounds:
+    rows that come first in all their keys are kept, rows that share a key with a kept row go, the others
+    wait.  Where conflicts form long chains rows are left; up to ``in_one`` of them go through one task in
+    order, and of more, each connected component of shared keys goes through a task in order.  Only
+    components of more than ``in_one`` rows take further rounds, until they are small enough.
     """
     pairs = rows.select(order, F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(k).cast("string").alias("v")) for i, k in enumerate(keys)))).alias("k"))
     pairs = pairs.filter(F.coalesce(F.col("k.v"), F.lit("")) != "")
     firsts = pairs.groupBy("k").agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
     alive = checkpointed(pairs.join(firsts.filter(F.col("_first") != F.col("_last")).select("k"), "k"))
-    # Only rows that share a key can lose; all others stay without a round.
     lost = []
     while not alive.isEmpty():
-        first = alive.groupBy("k").agg(F.min(order).alias("_first"))
-        state = alive.join(first, "k").groupBy(order).agg(F.bool_and(F.col("_first") == F.col(order)).alias("_keep"))
-        marked = checkpointed(alive.join(state, order))
-        taken = marked.filter("_keep").select("k").distinct()
-        out = marked.filter("NOT _keep").join(taken, "k", "left_semi").select(order).distinct()
-        lost.append(out)
-        alive = checkpointed(marked.filter("NOT _keep").drop("_keep").join(out, order, "left_anti"))
-    if not lost:
-        return rows
-    gone = lost[0]
-    for part in lost[1:]:
-        gone = gone.unionByName(part)
-    return rows.join(gone, order, "left_anti")
+        for _ in range(rounds):
+            first = alive.groupBy("k").agg(F.min(order).alias("_first"))
+            state = alive.join(first, "k").groupBy(order).agg(F.bool_and(F.col("_first") == F.col(order)).alias("_keep"))
+            marked = checkpointed(alive.join(state, order))
+            taken = marked.filter("_keep").select("k").distinct()
+            out = marked.filter("NOT _keep").join(taken, "k", "left_semi").select(order).distinct()
+            lost.append(out)
+            alive = checkpointed(marked.filter("NOT _keep").drop("_keep").join(out, order, "left_anti"))
+            if alive.isEmpty():
+                break
+        else:
+            out, alive = _chains(alive, order, in_one)
+            lost.append(out)
+    return rows.join(reduce(DataFrame.unionByName, lost), order, "left_anti") if lost else rows
+
+
+def _chains(alive: DataFrame, order: str, in_one: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that lose, pairs of components that are too large) of pairs (order, k) still in conflict."""
+    from tessera.operators.graph import components
+
+    whole = alive.groupBy(order).agg(F.array_sort(F.collect_set(F.concat(F.col("k.i"), F.lit(":"), F.col("k.v")))).alias("keys"))
+    schema = T.StructType([alive.schema[order]])
+    solve = partial(_one_by_one, order=order)
+    if whole.count() <= in_one:
+        line = whole.withColumn("group", F.lit(0).cast("long")).coalesce(1).sortWithinPartitions(order)
+        return checkpointed(line.select(order, "group", "keys").mapInArrow(solve, schema)), alive.limit(0)
+    # Keys that one row holds lie in one component; keys of equal hash only make components larger.
+    hashes = F.transform("keys", lambda x: F.xxhash64(x))
+    ties = whole.select(hashes.alias("h")).select(F.col("h")[0].alias("a"), F.explode("h").alias("b"))
+    dealt = whole.withColumn("node", F.xxhash64(F.col("keys")[0])).join(components(ties).withColumnRenamed("component", "group"), "node").drop("node")
+    dealt = checkpointed(dealt)
+    large = checkpointed(dealt.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > in_one).select("group"))
+    small = dealt.join(large, "group", "left_anti").repartition("group").sortWithinPartitions("group", order)
+    out = checkpointed(small.select(order, "group", "keys").mapInArrow(solve, schema))
+    rest = dealt.join(large, "group", "left_semi").select(order)
+    return out, checkpointed(alive.join(rest, order, "left_semi"))
 
 
 def merge_traces(rows: DataFrame, keys: list[str], traces: list[str], order: list[str]) -> DataFrame:
@@ -106,11 +148,15 @@ def numbered_names(rows: DataFrame, name: str, label: str, source: str, order: l
     # What is taken of a stem: the bare stem counts as number 1.
     every = taken.unionByName(rows.filter("_plain").select("_low", source))
     numbered = every.select(source, F.regexp_extract("_low", r"^(.*) (\d{1,9})$", 1).alias("_stem_low"), F.regexp_extract("_low", r"^(.*) (\d{1,9})$", 2).try_cast("int").alias("_no")).filter("_no >= 2")
-    numbers = every.select(source, F.col("_low").alias("_stem_low"), F.lit(1).alias("_no")).unionByName(numbered).groupBy(source, "_stem_low").agg(F.collect_set("_no").alias("_nos"))
-    rows = rows.join(numbers, [source, "_stem_low"], "left")
-    nth = F.row_number().over(Window.partitionBy(source, "_stem_low", "_plain").orderBy(*order))
-    rows = rows.withColumn("_nth", nth).withColumn("_nos", F.coalesce("_nos", F.array().cast("array<int>")))
-    free = F.expr("filter(sequence(1, _nth + size(_nos)), n -> NOT array_contains(_nos, n))[_nth - 1]")
-    rows = rows.withColumn("_no", free)
+    numbers = every.select(source, F.col("_low").alias("_stem_low"), F.lit(1).alias("_no")).unionByName(numbered).distinct()
+    stem = Window.partitionBy(source, "_stem_low")
+    # Of the sorted taken numbers the i-th is t(i); up to t(i) there are t(i) - i free ones, so the n-th free number is
+    # n and as many as have t(i) - i < n.
+    gaps = numbers.select(source, "_stem_low", (F.col("_no") - F.row_number().over(stem.orderBy("_no")) + 1).alias("_at"), F.lit(1).alias("_taken"))
+    wanted = rows.filter("NOT _plain").withColumns({"_at": F.row_number().over(stem.orderBy(*order)), "_taken": F.lit(0)})
+    both = wanted.unionByName(gaps, allowMissingColumns=True)
+    passed = F.sum("_taken").over(stem.orderBy("_at", F.desc("_taken")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wanted = both.withColumn("_no", F.col("_at") + passed).filter("_taken = 0").drop("_at", "_taken")
+    rows = wanted.unionByName(rows.filter("_plain").withColumn("_no", F.lit(0).cast("long")))
     made = F.when(F.col("_plain"), F.col(name)).when(F.col("_no") == 1, F.col("_stem")).otherwise(F.concat_ws(" ", "_stem", F.col("_no").cast("string")))
-    return rows.withColumn(name, made).drop(*(c for c in ("_low", "_same", "_used", "_plain", "_stem", "_stem_low", "_nos", "_nth", "_no")))
+    return rows.withColumn(name, made).drop(*(c for c in ("_low", "_same", "_used", "_plain", "_stem", "_stem_low", "_no")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from tessera.functions.text import fold
 from tessera.functions.urls import page_url
 from tessera.operators.dedupe import checkpointed, first_wins
 from tessera.operators.pages import anchors, evidence, platform_links, ranked_links, source_candidates, url_evidence
+from tessera.sources.fetching import Fetcher, fetched
+from tessera.sources.landed import exists
+from tessera.sources.markup import read_links
 
 CANDIDATES = ("company", "original_url", "detected_source", "source_key", "canonical_source_url", "evidence_count", "best_evidence_url", "confidence", "route_ready", "route_block_reason", "recommended_action", "discovered_from", "notes")
 
@@ -33,26 +38,54 @@ def settled_candidates(candidates: DataFrame) -> DataFrame:
     return rows.withColumn("recommended_action", p.action(source, F.col("route_ready")))
 
 
-def detect(companies: DataFrame, landed: DataFrame, *, max_pages: int = 2) -> DataFrame:
-    """CANDIDATES rows of companies (ord, company, url, discovered_from) over landed pages (fetch_url, final_url, html).
+#: Given (fetch_url), the pages (fetch_url, final_url, html, error) that were had.
+Pages = Callable[[DataFrame], DataFrame]
+
+
+def landed_pages(landed: DataFrame) -> Pages:
+    """Pages (fetch_url, final_url, html and, if it is there, error) that were landed before; of several one, without an error if there is one."""
+    error = F.col("error") if "error" in landed.columns else F.lit(None).cast("string")
+    rows = landed.select(page_url(F.col("fetch_url")).alias("fetch_url"), "final_url", "html", error.alias("error"))
+    body = F.struct("final_url", "html", "error")
+    one = rows.groupBy("fetch_url").agg(F.min_by(body, F.struct(F.col("error").isNotNull(), "final_url", F.xxhash64("html"), "error")).alias("b")).select("fetch_url", "b.*")
+    return lambda asked: one.join(asked.distinct(), "fetch_url", "left_semi")
+
+
+def fetched_pages(fetcher: Fetcher, *, timeout: float = 30.0, tries: int = 1, workers: int = 8) -> Pages:
+    """Pages that ``fetcher`` is asked for, each URL once; answers are written, so they are asked for once."""
+
+    def get(asked: DataFrame) -> DataFrame:
+        answers = fetched(asked.distinct().repartition("fetch_url"), fetcher, url="fetch_url", timeout=timeout, tries=tries, workers=workers)
+        return checkpointed(answers.select("fetch_url", "final_url", F.col("body").alias("html"), "error"))
+
+    return get
+
+
+def detect(companies: DataFrame, pages: DataFrame | Pages, *, max_pages: int = 2) -> DataFrame:
+    """CANDIDATES rows of companies (ord, company, url, discovered_from) over pages, landed or from a fetcher.
 
     A company's own page and up to ``max_pages`` - 1 pages of its host that it links to are read; the
     final URLs, links to platforms and everything in the pages are evidence.  A company whose page
-    was not landed gives one row that says so.  Of equal (company, source, key) the first stays.
+    could not be had gives one row that says so, with the error if there is one.  Of equal (company, source,
+    key) the first stays.
     """
+    get = landed_pages(pages) if isinstance(pages, DataFrame) else pages
     who = ["company", "original_url"]
     named = companies.select("ord", "company", page_url(F.col("url")).alias("original_url"), F.coalesce("discovered_from", F.lit("")).alias("discovered_from"))
-    pages = first_wins(landed.withColumn("fetch_url", page_url(F.col("fetch_url"))), ["fetch_url"], ["final_url", "html"]).select("fetch_url", "final_url", "html")
+    had = get(named.select(F.col("original_url").alias("fetch_url")))
+    pages = had.filter("error IS NULL").drop("error")
     asked = named.select(*who).distinct()
     first = asked.join(pages, F.col("original_url") == F.col("fetch_url")).select(*who, F.col("final_url").alias("url"), "html")
-    links = anchors(first)
+    # Each page is tokenised once: what follows reads its links several times.
+    links = checkpointed(read_links(first))
     ends = first.select(*who, F.col("original_url").alias("page"), "url", F.lit(0).alias("nth"))
-    outward, read = links.withColumn("nth", F.lit(1)), first.withColumn("hop", F.lit(4))
+    outward, read = anchors(links).withColumn("nth", F.lit(1)), links.withColumn("hop", F.lit(4))
     if max_pages > 1:
-        # A few links a page; without the checkpoint every page would be searched for them once per use.
-        best = checkpointed(ranked_links(links.withColumnRenamed("original_url", "career_url"), max_pages - 1).filter(F.col("fetch_url") != page_url(F.col("page"))))
-        more = best.join(pages, "fetch_url").select("company", F.col("career_url").alias("original_url"), F.col("original_url").alias("linked"), F.col("final_url").alias("url"), "html")
-        second = more.select(*who, "url", "html")
+        best = ranked_links(anchors(links).withColumnRenamed("original_url", "career_url"), max_pages - 1).filter(F.col("fetch_url") != page_url(F.col("page")))
+        best = checkpointed(best)
+        linked = get(best.select("fetch_url")).filter("error IS NULL").drop("error")
+        more = checkpointed(best.join(linked, "fetch_url").select("company", F.col("career_url").alias("original_url"), F.col("original_url").alias("linked"), F.col("final_url").alias("url"), "html"))
+        second = checkpointed(read_links(more.select(*who, "url", "html")))
         ends = ends.unionByName(more.select(*who, F.col("linked").alias("page"), "url", F.lit(2).alias("nth")))
         outward = outward.unionByName(anchors(second).withColumn("nth", F.lit(3)))
         read = read.unionByName(second.withColumn("hop", F.lit(5)))
@@ -60,13 +93,38 @@ def detect(companies: DataFrame, landed: DataFrame, *, max_pages: int = 2) -> Da
     method = F.when(F.col("nth") % 2 == 0, "final_url").otherwise("discovered_external_link")
     rows = url_evidence(leads, method).unionByName(evidence(read).withColumnRenamed("hop", "nth"))
     candidates = named.join(settled_candidates(source_candidates(rows)), who).select("ord", *CANDIDATES)
-    unread = named.join(pages.select(F.col("fetch_url").alias("original_url")), "original_url", "left_anti")
-    blank = {c: F.lit("") for c in CANDIDATES} | {"company": F.col("company"), "original_url": F.col("original_url"), "discovered_from": F.col("discovered_from"), "evidence_count": F.lit(0).cast("long"), "route_ready": F.lit(False), "route_block_reason": F.lit("page was not landed"), "recommended_action": F.lit("manual_review"), "notes": F.lit("Career page fetch or passive detection failed")}
+    unread = named.join(had.select(F.col("fetch_url").alias("original_url"), F.lit(True).alias("had"), "error"), "original_url", "left").filter("had IS NULL OR error IS NOT NULL")
+    blank = {c: F.lit("") for c in CANDIDATES} | {"company": F.col("company"), "original_url": F.col("original_url"), "discovered_from": F.col("discovered_from"), "evidence_count": F.lit(0).cast("long"), "route_ready": F.lit(False), "route_block_reason": F.coalesce("error", F.lit("page was not landed")), "recommended_action": F.lit("manual_review"), "notes": F.lit("Career page fetch or passive detection failed")}
     failed = unread.select("ord", *(blank[c].alias(c) for c in CANDIDATES))
     every = candidates.unionByName(failed).withColumn("_company", fold(F.col("company")))
     return first_wins(every, ["_company", "detected_source", "source_key"], ["ord", "original_url"]).drop("_company", "ord").select(*CANDIDATES)
 
 
+def detect_in_parts(companies: DataFrame, pages: DataFrame | Pages, folder: str, *, every: int, max_pages: int = 2, progress: Callable[[int, int], None] | None = None) -> int:
+    """Detect so many companies at a time and write each part's candidates as CSV under ``folder`` when it is done.
+
+    A company belongs to one part for good, by its name.  Parts that are there whole are passed over, so
+    a run that was stopped goes on where it was; how many parts there are is written first and kept.
+    ``progress`` is told (parts done, parts).  Returns the number of parts detected by this call.
+    """
+    spark = companies.sparkSession
+    plan = f"{folder}/_parts"
+    if not exists(spark, f"{plan}/_SUCCESS"):
+        names = companies.select(fold(F.col("company"))).distinct().count()
+        spark.range(1).select(F.lit(str(max(1, -(-names // max(1, every)))))).coalesce(1).write.mode("overwrite").text(plan)
+    parts = int(spark.read.text(plan).first()[0])
+    dealt = companies.withColumn("_part", F.pmod(F.xxhash64(fold(F.col("company"))), F.lit(parts)))
+    done = 0
+    for k in range(parts):
+        if not exists(spark, f"{folder}/part-{k}/_SUCCESS"):
+            rows = detect(dealt.filter(F.col("_part") == k).drop("_part"), pages, max_pages=max_pages)
+            in_order(rows).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/part-{k}")
+            done += 1
+        if progress:
+            progress(k + 1, parts)
+    return done
+
+
 def in_order(candidates: DataFrame) -> DataFrame:
     return candidates.orderBy(fold(F.col("company")), "detected_source", "source_key", "original_url")
 

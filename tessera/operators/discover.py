@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import platforms as p
 from tessera.functions.text import alphanumeric, clean, fold
 from tessera.functions.urls import page_url
-from tessera.operators.dedupe import merge_traces
+from tessera.operators.dedupe import checkpointed, merge_traces
 
 # Fields that name the company and that hold URLs, in order.
 COMPANY_FIELDS = ("company", "company_name", "employer", "organization", "name")
@@ -65,8 +65,9 @@ def candidates(links: DataFrame, known: DataFrame) -> DataFrame:
     return rows.select("ord", "nth", "company", "career_url", origin.alias("discovered_from"), "source_type", F.coalesce("sources", F.lit("")).alias("existing_known_source"), reason.alias("reason"), F.lit("true").alias("enabled"))
 
 
-def _joined_sets(*columns: str) -> dict[str, Column]:
-    return {c: F.array_join(F.array_sort(F.filter(F.array_distinct(F.flatten(F.collect_list(F.split(c, ";")).over(Window.partitionBy("_company", "_group")))), lambda s: s != "")), ";") for c in columns}
+def _joined_set(column: str) -> Column:
+    """The parts of a ;-joined column over a group, sorted; there are a few different ones."""
+    return F.array_join(F.array_sort(F.filter(F.array_distinct(F.flatten(F.collect_set(F.split(column, ";")))), lambda s: s != "")), ";").alias(column)
 
 
 def deduplicated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -81,13 +82,15 @@ def deduplicated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, x = p.with_parts(rows, "career_url")
     rows = rows.withColumns({"_group": p.group_key(x), "_canonical": p.group_url(x), "_host": x("host"), "_plain": x("query") == "", "_depth": F.size(x("low"))})
     manual = F.array_contains(F.split("discovered_from", ";"), "manual_custom_companies")
-    by = Window.partitionBy("_company", "_group").orderBy(manual.desc(), F.col("_plain").desc(), "_depth", "ord", "nth")
-    whole = Window.partitionBy("_company", "_group")
-    rows = p.without_parts(rows).withColumns({"_n": F.row_number().over(by), "_kept": F.first("_canonical").over(by), "_size": F.count(F.lit(1)).over(whole), "_own": F.col("discovered_from")})
-    merged = rows.withColumns(_joined_sets("discovered_from", "reason", "existing_known_source"))
+    group, traces = ["_company", "_group"], ("discovered_from", "reason", "existing_known_source")
+    rows = checkpointed(p.without_parts(rows).withColumn("_place", F.struct((~manual).alias("m"), (~F.col("_plain")).alias("q"), "_depth", "ord", "nth")))
+    own = [c for c in rows.columns if c not in (*group, *traces, "_place")]
+    groups = rows.groupBy(*group).agg(F.min_by(F.struct(*own), "_place").alias("_best"), F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size"), *map(_joined_set, traces))
     collapsed = F.array_join(F.array_sort(F.array_union(F.filter(F.split("reason", ";"), lambda s: s != ""), F.array(F.concat(F.lit("collapsed_"), (F.col("_size") - 1).cast("string"), F.lit("_duplicate_urls"))))), ";")
-    kept = merged.filter("_n = 1").withColumns({"career_url": F.col("_kept"), "reason": F.when(F.col("_size") > 1, collapsed).otherwise(F.col("reason"))})
-    gone = merged.filter("_n > 1").select("company", F.col("_host").alias("host"), F.col("_kept").alias("kept_url"), F.col("career_url").alias("duplicate_url"), F.lit("same_normalized_company_and_career_host").alias("duplicate_reason"), F.col("_own").alias("discovered_from"))
+    kept = groups.select(*group, "_best.*", "_size", *traces).withColumns({"career_url": F.col("_canonical"), "reason": F.when(F.col("_size") > 1, collapsed).otherwise(F.col("reason"))})
+    several = groups.filter("_size > 1").select(*group, "_first", F.col("_best._canonical").alias("_kept"))
+    others = rows.join(several, group).filter(F.col("_place") != F.col("_first"))
+    gone = others.select("company", F.col("_host").alias("host"), F.col("_kept").alias("kept_url"), F.col("career_url").alias("duplicate_url"), F.lit("same_normalized_company_and_career_host").alias("duplicate_reason"), "discovered_from")
     return kept.select(*DISCOVERED).orderBy(fold(F.col("company")), "career_url"), gone.orderBy(fold(F.col("company")), "host", "duplicate_url")
 
 

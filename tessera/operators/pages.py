@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import platforms as p
-from tessera.functions.text import clean, let, once, slug, strip, strip_tags
+from tessera.functions.text import alphanumeric, let, once, slug, strip
 from tessera.functions.urls import bare_host, is_http, netloc, page_url, path, platform_of, scheme, under
+from tessera.sources.markup import LINKED, read_links
 
 # Words in links that lead to openings, and links to pass over.
 HINTS = ("career", "careers", "job", "jobs", "opening", "openings", "position", "positions", "engineering", "technology", "software", "security", "intern", "student", "graduate", "new-grad")
@@ -16,12 +17,8 @@ SKIP_HINTS = ("login", "log-in", "signin", "sign-in", "privacy", "legal", "terms
 SOFT_SKIP_HINTS = ("benefit", "culture", "team", "life-at", "life at")
 SOCIAL_HOSTS = ("facebook.com", "instagram.com", "linkedin.com", "tiktok.com", "twitter.com", "x.com", "youtube.com")
 SKIP_EXTENSIONS = (".pdf", ".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", ".ico", ".zip")
-# URLs and quoted paths anywhere in a page.
-_TEXT_URL = r"(?i)(https?://[^\s\"'<>\\)]+)"
-_QUOTED_PATH = r"""["']((?:/|\.\.?/)[^"'<>\\\s]+)["']"""
-#: Tags by attribute and by the name of the method, in the order in which equal evidence counts.
-_TAGS = {"a": ("href", "link"), "script": ("src", "script_src"), "iframe": ("src", "iframe"), "form": ("action", "form_action")}
-_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
+#: Kinds of links by the name of the method, in the order in which equal evidence counts.
+_METHODS = {"a": "link", "script": "script_src", "iframe": "iframe", "form": "form_action", "inline": "inline_script", "written": "embedded_url"}
 _RANKS = {"low": 1, "medium": 2, "high": 3}
 
 
@@ -55,55 +52,33 @@ def resolved(base: Column, link: Column) -> Column:
     return let(F.struct(scheme(base).alias("scheme"), netloc(base).alias("netloc"), path(base).alias("path"), strip(link).alias("link")), against)
 
 
-def _numbered(tag: str):
-    return lambda x, i: F.struct(F.lit(tag).alias("tag"), i.alias("pos"), F.replace(x, F.lit("&amp;"), F.lit("&")).alias("link"))
-
-
-def _carried(pages: DataFrame) -> list[str]:
-    return [c for c in pages.columns if c not in ("url", "html")]
+def _carried(links: DataFrame) -> list[str]:
+    """What :func:`read_links` passes on of its pages, but for the page itself."""
+    return [c for c in links.columns if c not in ("page", "kind", "link", "url", "text", "pos")]
 
 
 def tag_links(pages: DataFrame) -> DataFrame:
-    """(tag, link, url, page) of a@href, script@src, iframe@src and form@action of pages (url, html, ...)."""
-    found = []
-    for tag, (attribute, _) in _TAGS.items():
-        pattern = rf"(?is)<{tag}\b[^>]*?\s{attribute}\s*=\s*[\"']?([^\"'\s>]+)"
-        found.append(F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(pattern), 1), _numbered(tag)))
-    rows = pages.select(*_carried(pages), F.col("url").alias("page"), F.explode(F.concat(*found)).alias("x")).select(*_carried(pages), "page", "x.*")
-    return once(once(rows, "url", resolved(F.col("page"), F.col("link"))), "url", page_url(F.col("url")))
-
-
-def _unescaped(text: Column) -> Column:
-    return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\\/"), F.lit("/")), F.lit("\\u002F"), F.lit("/"))
-
-
-def embedded_urls(pages: DataFrame, text: Column) -> DataFrame:
-    """(page, url): absolute URLs and quoted paths in ``text`` of pages (url, html, ...), distinct per page."""
-    whole = F.transform(F.regexp_extract_all("_text", F.lit(_TEXT_URL), 1), lambda u: F.regexp_replace(u, "[.,;]+$", ""))
-    links = F.array_distinct(F.concat(whole, F.regexp_extract_all("_text", F.lit(_QUOTED_PATH), 1)))
-    rows = once(pages, "_text", _unescaped(text)).select(*_carried(pages), F.col("url").alias("page"), F.explode(links).alias("link"))
-    rows = once(once(rows, "url", resolved(F.col("page"), F.col("link"))), "url", page_url(F.col("url")))
-    return rows.select(*_carried(pages), "page", "url").distinct()
+    """(..., page, tag, link, url) of a@href, script@src, iframe@src and form@action of pages (url, html, ...)."""
+    rows = read_links(pages).filter(F.col("kind").isin(*LINKED) & (F.col("link") != ""))
+    return once(rows, "url", page_url(F.col("url"))).select(*_carried(rows), "page", F.col("kind").alias("tag"), "link", "url")
 
 
-def evidence(pages: DataFrame) -> DataFrame:
-    """(..., page, source, url, method, confidence): URLs of known platforms in pages (url, html, ...), each once per page.
+def evidence(links: DataFrame) -> DataFrame:
+    """(..., page, source, url, method, confidence): URLs of known platforms among links of :func:`read_links`, each once per page.
 
     Tags are of high confidence, URLs in scripts and anywhere else medium, and so is a posting's id
     on a host of no platform; of equal ones the first method stays.
     """
-    keep = _carried(pages)
-    tags = tag_links(pages).select(*keep, "page", "url", F.coalesce(*(F.when(F.col("tag") == t, i) for i, t in enumerate(_TAGS))).alias("nth"), F.lit(3).alias("rank"))
-    scripts = F.array_join(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?is)<script\b[^>]*>(.*?)</script>"), 1), "\n")
-    inline = embedded_urls(pages, scripts).select(*keep, "page", "url", F.lit(4).alias("nth"), F.lit(2).alias("rank"))
-    text = embedded_urls(pages, F.col("html")).select(*keep, "page", "url", F.lit(5).alias("nth"), F.lit(2).alias("rank"))
-    rows, x = p.with_parts(tags.unionByName(inline).unionByName(text).filter("url <> ''"), "url")
+    keep = _carried(links)
+    nth = F.array_position(F.array(*map(F.lit, _METHODS)), F.col("kind"))
+    rows = links.filter("link <> ''").select(*keep, "page", "url", nth.alias("nth")).groupBy(*keep, "page", "url").agg(F.min("nth").alias("nth"))
+    rows, x = p.with_parts(once(rows, "url", page_url(F.col("url"))).filter("url <> ''"), "url")
     rows = once(rows, "source", p.platform(x))
     branded = (F.col("source") == "") & F.contains(x("low_url"), F.lit("gh_jid="))
-    rows = rows.withColumn("rank", F.when(branded, 2).otherwise(F.col("rank"))).withColumn("source", F.when(branded, "greenhouse").otherwise(F.col("source")))
+    rows = rows.withColumn("rank", F.when(branded | (F.col("nth") > len(LINKED)), 2).otherwise(3)).withColumn("source", F.when(branded, "greenhouse").otherwise(F.col("source")))
     rows = p.without_parts(rows.filter((F.col("source") != "") & p.is_evidence(F.col("source"), x)))
     best = rows.groupBy(*keep, "page", "source", "url").agg(F.min(F.struct((-F.col("rank")).alias("r"), "nth")).alias("b"))
-    method = F.element_at(F.array(*(F.lit(m) for _, m in _TAGS.values()), F.lit("inline_script"), F.lit("embedded_url")), F.col("b.nth") + 1)
+    method = F.element_at(F.array(*map(F.lit, _METHODS.values())), F.col("b.nth").cast("int"))
     return best.select(*keep, "page", "source", "url", method.alias("method"), F.when(F.col("b.r") == -3, "high").otherwise("medium").alias("confidence"))
 
 
@@ -135,7 +110,7 @@ def source_candidates(found: DataFrame) -> DataFrame:
         "_hosts": F.max(F.when(F.col("_job_id"), x("host"))).over(own),
         "_marked": F.min(F.when(F.col("_job_id"), marked)).over(own),
     })
-    brand = p.alphanumeric(F.col("company"))
+    brand = alphanumeric(F.col("company"))
     branded = (source == "greenhouse") & F.col("_least").isNull() & (F.col("_host") == F.col("_hosts")) & (F.col("_host") == bare_host(F.col("original_url"))) & F.col("_marked") & (brand != "") & (p.brand_of(F.col("_host")) == brand)
     key = F.coalesce("_key", F.when(F.col("_least") == F.col("_most"), F.col("_least")), F.when(branded, brand), F.when(source == "phenom", F.nullif(slug(F.col("company")), F.lit("unknown"))))
     rows = rows.withColumn("source_key", key).filter("source_key IS NOT NULL")
@@ -166,17 +141,11 @@ def _hits(text: Column, hints: tuple[str, ...]) -> Column:
     return total
 
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """(..., page, target, text, pos) of the links of pages (url, html, ...), resolved; targets are http."""
-    keep = _carried(pages)
-    rows = pages.select(*keep, F.col("url").alias("page"), F.posexplode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_ANCHOR), 0)).alias("pos", "x"))
-    rows = once(rows, "_a", F.regexp_extract("x", _ANCHOR, 1))
-    given = [F.regexp_extract("_a", rf"(?is)\bhref\s*=\s*(?:{q})", 1) for q in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
-    href = clean(F.replace(F.coalesce(*(F.nullif(g, F.lit("")) for g in given), F.lit("")), F.lit("&amp;"), F.lit("&")))
-    rows = once(rows, "href", href).select(*keep, "page", "pos", "href", strip_tags(F.regexp_extract("x", _ANCHOR, 2)).alias("text"))
-    rows = rows.filter("href <> ''").filter(~F.col("href").rlike("^(?:#|mailto:|tel:|javascript:)"))
-    rows = rows.withColumn("href", F.when(F.col("href").rlike(r"(?i)^/?www\."), F.concat(F.lit("https://"), F.regexp_replace("href", "^/+", ""))).otherwise(F.col("href")))
-    rows = once(rows, "target", resolved(F.col("page"), F.col("href"))).drop("href")
+def anchors(links: DataFrame) -> DataFrame:
+    """(..., page, target, text, pos) of the ``a`` links of :func:`read_links`; targets are http."""
+    rows = links.filter((F.col("kind") == "a") & (F.col("link") != "") & ~F.col("link").rlike("^(?:#|mailto:|tel:|javascript:)"))
+    target = F.when(F.col("link").rlike(r"(?i)^/?www\."), F.concat(F.lit("https://"), F.regexp_replace("link", "^/+", ""))).otherwise(F.col("url"))
+    rows = once(rows, "target", target).select(*_carried(links), "page", "target", "text", "pos")
     return rows.filter(is_http(F.col("target")) & ~path(F.col("target")).rlike(r"(?i)/www\.[^/]+/"))
 
 
@@ -212,4 +181,4 @@ def platform_links(links: DataFrame) -> DataFrame:
 
 def top_pages(pages: DataFrame, most: int) -> DataFrame:
     """(..., url, score): the ``most`` best links of each page to its own host."""
-    return ranked_links(anchors(pages), most).withColumnRenamed("fetch_url", "url").drop("page", "original_url", "link_text")
+    return ranked_links(anchors(read_links(pages)), most).withColumnRenamed("fetch_url", "url").drop("page", "original_url", "link_text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import clean, strip
@@ -49,48 +49,55 @@ class Run:
     counts: DataFrame
 
 
-def fetch(configs: DataFrame, landed: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """(records with ``ord``, companies with ``raw`` rows): the enabled configs' landed payloads, all sources.
+def empty_snapshot(spark: SparkSession) -> DataFrame:
+    """The snapshot before the first run."""
+    kinds = {"active": "boolean"}
+    return spark.createDataFrame([], "ord bigint, " + ", ".join(f"{c} {kinds.get(c, 'string')}" for c in connectors.RECORD))
+
+
+def fetch(configs: DataFrame, landed: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame, int]:
+    """(records with ``ord``, companies, number of raw rows): the enabled configs' landed payloads, all sources.
 
     ``landed``: (source, company, payload, ord, ok), ``ord`` unique; a company's payloads follow its
-    place among the configs.  A company whose source has no connector is passed over.
+    place among the configs.  A company whose source has no registered connector is passed over.
     """
     handled = configs.filter(F.col("source").isin(*connectors.REGISTRY))
     mine = landed.join(handled.select("source", "company", F.col("url").alias("career_url"), F.col("ord").alias("_place")), ["source", "company"])
     parts, raws = [], []
     present = {r["source"] for r in handled.select("source").distinct().collect()}  # at most one row per connector
     for source in sorted(present) or list(connectors.REGISTRY)[:1]:
-        rows = connectors.envelope(mine.filter(F.col("source") == source).withColumn("ord", F.struct("_place", "ord")).select("company", "career_url", "payload", "ord"), source)
-        raws.append(rows.groupBy("company").agg(F.count(F.lit(1)).alias("raw")).withColumn("source", F.lit(source)))
-        parts.append(connectors.normalise(rows, source, as_of))
+        handler = connectors.REGISTRY[source]
+        payloads = mine.filter(F.col("source") == source).withColumn("ord", F.struct("_place", "ord")).select("company", "career_url", "payload", "ord")
+        raw = Observation()
+        # Payloads are parsed once: what comes out is counted while it is written.
+        rows = checkpointed(handler.envelope(payloads).observe(raw, F.count(F.lit(1)).alias("n")))
+        raws.append(raw)
+        parts.append(handler.normalise(rows, as_of))
     records = reduce(DataFrame.unionByName, parts).withColumn("ord", F.struct(F.lit(1).alias("late"), F.col("at.ord").alias("ord"), F.col("at.pos").alias("pos"), "source")).drop("at")
     failed = landed.filter(~F.coalesce("ok", F.lit(True))).select("source", "company").distinct().withColumn("failed", F.lit(True))
-    companies = handled.select("source", "company").join(reduce(DataFrame.unionByName, raws), ["source", "company"], "left").join(failed, ["source", "company"], "left")
-    return records, companies.select("source", "company", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("failed", F.lit(False)).alias("failed"))
+    companies = handled.select("source", "company").join(failed, ["source", "company"], "left").select("source", "company", F.coalesce("failed", F.lit(False)).alias("failed"))
+    return records, companies, sum(x.get["n"] for x in raws)
 
 
 def daily_run(configs: DataFrame, landed: DataFrame, active: DataFrame, archived: DataFrame, as_of: str, *, sources: set[str] | None = None, strict_touch: bool = False) -> Run:
     """Fetch, dedupe, merge into both snapshots and dedupe the active one again.
 
     A company whose fetch failed counts as touched, as an empty answer would, unless
-    ``strict_touch``.  Carried rows come before fetched ones, so they win over them.
+    ``strict_touch``.  Carried rows come before fetched ones, so they win over them.  What the run reports
+    is counted while its tables are written.
     """
     chosen = enabled_companies(configs, sources)
-    records, companies = fetch(chosen, landed, as_of)
-    companies = checkpointed(companies)
+    ran, live_counts, shelf_counts = Observation(), Observation(), Observation()
+    records, companies, raw = fetch(chosen, landed, as_of)
+    companies = checkpointed(companies.observe(ran, F.count(F.lit(1)).alias("companies"), F.count_if("failed").alias("errors")))
     fresh = checkpointed(dedupe_jobs(checkpointed(records)))
     touched = companies.filter(~F.col("failed")) if strict_touch else companies
     old = lambda t: t.withColumn("ord", F.struct(F.lit(0).alias("late"), F.struct(F.lit(0).cast("long").alias("_place"), F.col("ord").cast("long").alias("ord")).alias("ord"), F.lit(0).alias("pos"), F.lit("").alias("source")))
     aligned = fresh.withColumn("ord", F.col("ord").cast("struct<late:int,ord:struct<_place:bigint,ord:bigint>,pos:int,source:string>"))
     live, shelf = merge_snapshots(old(active), aligned, old(archived), touched.select("source", "company"), as_of)
-    live = checkpointed(dedupe_jobs(checkpointed(live.drop("_from"))))
-    shelf = checkpointed(shelf)
-    return Run(live.drop("ord"), shelf.drop("ord"), run_counts(companies, live, shelf))
-
-
-def run_counts(companies: DataFrame, active: DataFrame, archived: DataFrame) -> DataFrame:
-    """(name, n): what a run reports."""
-    ran = companies.agg(F.count(F.lit(1)).alias("companies"), F.coalesce(F.sum("raw"), F.lit(0)).alias("raw_rows"), F.count_if("failed").alias("errors"))
-    live = active.agg(F.count(F.lit(1)).alias("active"), F.count_if(F.col("type") == "internship").alias("internships"), F.count_if(F.col("type") == "new_grad").alias("new_grads"))
-    wide = ran.join(live).join(archived.agg(F.count(F.lit(1)).alias("archived")))
-    return wide.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("n")) for c in wide.columns))).alias("x")).select("x.*")
+    kinds = (F.count_if(F.col("type") == kind).alias(name) for name, kind in (("internships", "internship"), ("new_grads", "new_grad")))
+    live = checkpointed(dedupe_jobs(checkpointed(live.drop("_from"))).observe(live_counts, F.count(F.lit(1)).alias("active"), *kinds))
+    shelf = checkpointed(shelf.observe(shelf_counts, F.count(F.lit(1)).alias("archived")))
+    counts = {"companies": ran.get["companies"], "raw_rows": raw, "errors": ran.get["errors"], **live_counts.get, **shelf_counts.get}
+    table = live.sparkSession.createDataFrame([(k, int(n)) for k, n in counts.items()], "name string, n bigint")
+    return Run(live.drop("ord"), shelf.drop("ord"), table)
