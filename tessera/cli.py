@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--strict-touch", action="store_true", help="a failed fetch does not count as touched")
     two = commands.add_parser("detect", help="platforms behind career pages")
     two.add_argument("--input", action="append", required=True, help="CSV of companies; may be repeated")
-    two.add_argument("--pages", required=True, help="landed pages as JSON lines")
+    pages = two.add_mutually_exclusive_group(required=True)
+    pages.add_argument("--pages", help="landed pages as JSON lines")
+    pages.add_argument("--fetcher", help="module:function that pages are asked from, such as tessera.sources.fetching:http_get")
+    two.add_argument("--workers", type=int, default=8, help="fetches at a time in a task")
     two.add_argument("--out", required=True)
-    two.add_argument("--limit", type=int, default=None)
+    two.add_argument("--limit", type=int, default=0, help="only the first N inputs; 0: all")
     two.add_argument("--max-pages", type=int, default=2)
-    two.add_argument("--checkpoint-every", type=int, default=None)
+    two.add_argument("--checkpoint-every", type=int, default=0, help="companies a part; a later call does the parts that are missing")
     three = commands.add_parser("discover", help="career pages in records")
     three.add_argument("--root", required=True)
     three.add_argument("--out", required=True)
@@ -54,12 +58,18 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("ord", F.monotonically_increasing_id())
 
 
+def _named(path: str):
+    module, _, name = path.partition(":")
+    return getattr(import_module(module), name)
+
+
 def _records(spark: SparkSession, root: str) -> DataFrame:
     parts = None
     for i, r in enumerate(landed.find_files(spark, root).collect()):  # one row per file
         rows = landed.read_records(spark, r["path"])
-        record = F.col("record") if rows.columns == ["record"] else F.to_json(F.struct("*"))
-        rows = rows.select(record.alias("record")).withColumns({"file": F.lit(r["path"]), "ord": F.lit(i << 40) + F.monotonically_increasing_id()})
+        walked = "record" in rows.columns and "ord" in rows.columns
+        record, place = (F.col("record"), F.col("ord").cast("long")) if walked else (F.to_json(F.struct("*")), F.monotonically_increasing_id())
+        rows = rows.select(record.alias("record"), F.lit(r["path"]).alias("file"), (F.lit(i << 40) + place).alias("ord"))
         parts = rows if parts is None else parts.unionByName(rows)
     return parts if parts is not None else spark.createDataFrame([], "record string, file string, ord bigint")
 
@@ -76,10 +86,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             print(f"- {r['name']}: {r['n']}")
     elif args.command == "detect":
         tables = [_numbered(landed.read_csv(spark, path, "company string", exact=False)) for path in args.input]
-        companies = landed.company_inputs(*tables).withColumnRenamed("career_url", "url").orderBy("company", "url")
-        companies = _numbered(companies.limit(args.limit) if args.limit is not None else companies)
-        found = detect.detect(companies, landed.read_pages(spark, args.pages), max_pages=min(8, max(1, args.max_pages)))
-        report.save_candidates(detect.in_order(found), args.out, every=args.checkpoint_every)
+        companies = landed.company_inputs(*tables, placed=True).withColumnRenamed("career_url", "url")
+        companies = companies.orderBy("ord").limit(args.limit) if args.limit else companies  # the first inputs
+        pages = detect.fetched_pages(_named(args.fetcher), workers=args.workers) if args.fetcher else landed.read_pages(spark, args.pages)
+        most = min(8, max(1, args.max_pages))
+        if args.checkpoint_every:
+            detect.detect_in_parts(companies, pages, args.out, every=args.checkpoint_every, max_pages=most, progress=lambda k, n: print(f"{k}/{n} parts", flush=True))
+        else:
+            report.save_candidates(detect.in_order(detect.detect(companies, pages, max_pages=most)), args.out)
     elif args.command == "discover":
         report.save_discovered(*discover.discover(_records(spark, args.root)), args.out, args.report)
     elif args.command == "promote":

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.operators import detect, discover, leads, pages, promote, run
 from tessera.plans.catalog import _CITY, _JOBS, _KIND, AS_OF, _listings, _EVENT_LISTINGS, jobs, table
 from tessera.sources import connectors, workday
+from tessera.sources.markup import read_links
 
 CAREERS = "https://careers.example.com"
 
@@ -141,7 +142,7 @@ def platform_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     hosts = ("https://boards.greenhouse.io/a", "https://jobs.lever.co/b", "https://x.icims.com/jobs", "https://apply.workable.com/c")
     link = F.element_at(F.array(*map(F.lit, hosts)), (F.col("page_id") % 4 + 1).cast("int"))
     marked = _linked(spark, sf_dir, F.concat(F.lit('<a href="'), link, F.lit('">x</a><script>u="https:\\/\\/jobs.ashbyhq.com\\/z";</script><img src="https://cdn.lever.co/logo.png">')))
-    return pages.evidence(marked).select("page_id", "source", "url", "method", "confidence")
+    return pages.evidence(read_links(marked)).select("page_id", "source", "url", "method", "confidence")
 
 
 def detected_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,20 +68,8 @@ def save_csv(rows: DataFrame, folder: str, columns: list[str]) -> None:
     rows.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
 
 
-def save_candidates(rows: DataFrame, folder: str, *, every: int | None = None) -> int:
-    """Candidates as CSV; with ``every``, in parts of so many companies, each readable as soon as it is written.
-
-    A company's rows stay in one part.  Returns the number of parts.
-    """
-    if every is None:
-        save_csv(rows, folder, list(detect.CANDIDATES))
-        return 1
-    companies = rows.select("company").distinct().count()
-    parts = max(1, -(-companies // every))
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("company"), F.lit(parts)))
-    for k in range(parts):
-        save_csv(dealt.filter(F.col("_part") == k), f"{folder}/part-{k}", list(detect.CANDIDATES))
-    return parts
+def save_candidates(rows: DataFrame, folder: str) -> None:
+    save_csv(rows, folder, list(detect.CANDIDATES))
 
 
 def save_review(rows: DataFrame, folder: str) -> None:
