@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tessera.llm import words as w
 from tessera.llm.shared import delete_folder, keyed, shared_folder, written
 
 #: With it a scan of a bucket that is one file counts as sorted, so runs meet without another sort.
@@ -106,13 +108,13 @@ class LineRuns:
             level += 1
 
 
-def count_lines(docs: DataFrame, least_docs: int, least_chars: int, batches: int = 4) -> LineRuns:
-    """Feed a table to new runs in ``batches``, dealt by a hash of the row; the texts are read once.
+def count_lines(docs: DataFrame, least_docs: int, least_chars: int, batches: int = 4, runs: LineRuns | None = None) -> LineRuns:
+    """Feed a table to ``runs``, new ones by default, in ``batches`` dealt by a hash of the row; the texts are read once.
 
     One shuffle counts the keys of all batches and puts them into the runs' buckets.
     """
     spark = docs.sparkSession
-    runs = LineRuns(spark, least_docs)
+    runs = runs or LineRuns(spark, least_docs)
     batch = F.pmod("rid", F.lit(batches))
     dealt = line_hashes(docs, least_chars).groupBy("h", "g").agg(*(F.count(F.when(batch == k, 1)).alias(f"n{k}") for k in range(batches)))
     counts = F.array(*(F.struct(F.lit(k).alias("batch"), F.col(f"n{k}").alias("n")) for k in range(batches)))
@@ -124,19 +126,50 @@ def count_lines(docs: DataFrame, least_docs: int, least_chars: int, batches: int
     return runs
 
 
+def _without(lines: list[str], hashes: list[dict], gone: set[tuple[int, int]]) -> list[str]:
+    return [line for line, x in zip(lines, hashes, strict=True) if (x["h"], x["g"]) not in gone]
+
+
 def drop_lines(docs: DataFrame, runs: LineRuns, *, least_chars: int = 1) -> DataFrame:
     """Every row of ``docs`` with (n_lines, n_dropped, kept): settled lines go, the others stay joined.
 
-    The hashes, not the texts, meet the runs; what is to go comes back as one short array per row.
+    The hashes, not the texts, meet the runs; what is to go comes back as one short array per row.  Rows
+    that lose something look their lines up in it as a set, so a row costs as much as it has lines.
     """
     # Written first: both sides of the join are plain shuffles then, and a very common line can be split.
     settled = written(runs.settled(), "settled")
     gone = line_hashes(docs, least_chars).join(settled, ["h", "g"]).groupBy("rid").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
     names = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*names).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
-    kept = F.expr(f"CASE WHEN gone IS NULL THEN lines ELSE filter(lines, l -> NOT array_contains(gone, {_HASH})) END")
-    rows = rows.join(gone, "rid", "left").select("_row", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
-    return rows.select("_row", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept", "\n").alias("kept"))
+    rows = docs.select(F.struct(*names).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.join(gone, "rid", "left").select("_row", "text", "gone")
+    hashes = F.when(F.col("gone").isNotNull(), F.expr(f"transform(split(text, '\n', -1), l -> {_HASH})"))
+    rows = rows.select("_row", "text", "gone", hashes.alias("hashes"))
+
+    def run(batches):
+        for batch in w.chunks(batches):
+            text, gone, hashes = (batch.column(x) for x in ("text", "gone", "hashes"))
+            kept, before, dropped = [], [], []
+            for i in range(batch.num_rows):
+                lines = text[i].as_py().split("\n")
+                stay = lines
+                if gone[i].is_valid:
+                    stay = _without(lines, hashes[i].as_py(), {(x["h"], x["g"]) for x in gone[i].as_py()})
+                kept.append("\n".join(stay))
+                before.append(len(lines))
+                dropped.append(len(lines) - len(stay))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(before, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], names=["_row", "n_lines", "n_dropped", "kept"])
+
+    schema = T.StructType([rows.schema["_row"], *T.StructType.fromDDL("n_lines bigint, n_dropped bigint, kept string").fields])
+    return rows.mapInArrow(w.releasing(run), schema)
+
+
+def _cleaned(docs: DataFrame, least_docs: int, least_chars: int, batches: int) -> DataFrame:
+    runs = LineRuns(docs.sparkSession, least_docs)
+    try:
+        count_lines(docs, least_docs, least_chars, batches, runs)
+        return drop_lines(docs, runs, least_chars=least_chars)
+    finally:
+        runs.delete()
 
 
 def dedup_lines(docs: DataFrame, *, least_docs: int = 10, least_chars: int = 1, batches: int = 4) -> DataFrame:
@@ -145,17 +178,15 @@ def dedup_lines(docs: DataFrame, *, least_docs: int = 10, least_chars: int = 1,
     A text is split at newlines; a line's key is the line without white space at its ends, A-Z in
     lower case.  Keys of at least ``least_chars`` characters found in at least ``least_docs`` rows lose
     all their lines everywhere.  A row is a document: a repeated row counts again.  A null or empty
-    text is one empty line, which has no key and stays.  Keys are compared by 96-bit hashes.
+    text is one empty line, which has no key and stays.  Keys are compared by 96-bit hashes.  A very long
+    text is read whole, at a cost in proportion to its lines; an empty table gives no row; a null doc_id
+    is passed through, and columns of any other name are not read.
     """
-    runs = count_lines(docs, least_docs, least_chars, batches)
-    rows = drop_lines(docs, runs, least_chars=least_chars)
-    runs.delete()
+    rows = _cleaned(docs.select("doc_id", "text"), least_docs, least_chars, batches)
     return rows.select(F.col("_row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"), "kept")
 
 
 def clean_lines(docs: DataFrame, *, least_docs: int = 10, least_chars: int = 1, batches: int = 4) -> DataFrame:
     """``docs`` with the kept lines as text, all other columns as they are (see :func:`dedup_lines`)."""
-    runs = count_lines(docs, least_docs, least_chars, batches)
-    rows = drop_lines(docs, runs, least_chars=least_chars)
-    runs.delete()
+    rows = _cleaned(docs, least_docs, least_chars, batches)
     return rows.select(*(F.col("kept").alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns))
