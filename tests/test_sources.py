@@ -303,3 +303,61 @@ def test_iso_dates_are_python_s(spark):
     got = spark.createDataFrame([(x,) for x in cases], "x string").select("x", dates.iso_date(F.col("x")).alias("y")).collect()
     wrong = [(r.x, r.y, want(r.x)) for r in got if r.y != want(r.x)]
     assert not wrong, wrong[:20]
+
+
+def _day(spark, day):
+    """Configs, payloads of two connectors that overlap from day to day, and the day's date."""
+    configs = spark.createDataFrame([(i, f"C{i}", "lever" if i % 2 else "greenhouse", "https://c.com", i != 5) for i in range(8)], "ord int, company string, source string, url string, enabled boolean")
+    landed_ = []
+    for i in range(8):
+        if (i + day) % 4 == 3:
+            landed_.append((f"C{i}", "lever" if i % 2 else "greenhouse", None, 0, False))
+            continue
+        ids = [k for k in range(12) if (k * 7 + i + day) % 3]
+        jobs = [{"id": f"{k if k < 9 else f'{k}-{day}'}", "title": f"Intern {k % 7}", "text": f"Intern {k % 7}", "hostedUrl": "u", "absolute_url": "u", "location": {"name": f"Town{k % 5}"}, "categories": {"location": f"Town{k % 5}"}} for k in ids]
+        landed_.append((f"C{i}", "lever" if i % 2 else "greenhouse", json.dumps(jobs if i % 2 else {"jobs": jobs}), 0, True))
+    return configs, spark.createDataFrame(landed_, "company string, source string, payload string, ord bigint, ok boolean"), f"2026-02-{day + 1:02d}"
+
+
+def test_snapshots_in_buckets_are_merged_as_plain_ones(spark, tmp_path):
+    from tessera.operators import run
+    from tessera.operators.snapshots import Snapshots
+
+    active = run.empty_snapshot(spark)
+    archived = active.withColumn("date_archived", F.lit(None).cast("string"))
+    store = Snapshots(spark, f"file://{tmp_path}/store", name="days", buckets=4)
+    store.save(active, archived)
+    rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    for day in range(4):
+        configs, landed_, date = _day(spark, day)
+        want = run.daily_run(configs, landed_, active, archived, date, strict_touch=day % 2 == 0)
+        got = store.run(configs, landed_, date, strict_touch=day % 2 == 0)
+        assert rows(got.active) == rows(want.active) and rows(got.archived) == rows(want.archived) and rows(got.counts) == rows(want.counts)
+        assert want.archived.count() > 0 or day == 0
+        active, archived = (t.withColumn("ord", F.monotonically_increasing_id()) for t in (want.active, want.archived))
+        active, archived = spark.createDataFrame(active.collect(), active.schema), spark.createDataFrame(archived.collect(), archived.schema)
+    assert store.version == 5
+    again = Snapshots(spark, f"file://{tmp_path}/store", name="again", buckets=4)
+    assert rows(again.active().drop("_key", "ord")) == rows(store.active().drop("_key", "ord"))
+
+
+def test_snapshots_stay_in_their_buckets(spark, tmp_path):
+    from tessera.operators import run
+    from tessera.operators.merge import merge_snapshots
+    from tessera.operators.snapshots import Snapshots
+
+    base = run.empty_snapshot(spark)
+    many = spark.range(2000).select(F.col("id").alias("ord"), *(F.concat(F.lit(f"{c}-"), F.col("id") % 900).alias(c) if base.schema[c].dataType.typeName() == "string" else F.lit(True).alias(c) for c in base.columns if c != "ord"))
+    store = Snapshots(spark, f"file://{tmp_path}/store", name="plans", buckets=4)
+    store.save(many, many.withColumn("date_archived", F.lit("2026-01-01")))
+    day = run.placed(many.filter("ord < 50"))
+    live, shelf = merge_snapshots(run.placed(store.active()), day, run.placed(store.archived()), day.select("source", "company"), "2026-02-01", keyed=True)
+    for df in (live, shelf):
+        path, bucketed = [], 0
+        for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            path = [x for x in path if x[0] < depth] + [(depth, line.strip(" :+-"))]
+            if "FileScan parquet" in line and "plans_" in line:
+                bucketed += "Bucketed: true" in line
+                assert not [x for _, x in path if x.startswith("Exchange")], line
+        assert bucketed
