@@ -67,19 +67,26 @@ def _one_by_one(batches: Iterator[pa.RecordBatch], order: str) -> Iterator[pa.Re
 def greedy(rows: DataFrame, keys: list[str], order: str, *, rounds: int = 3, in_one: int = 500_000) -> DataFrame:
     """Keep a row iff none of its keys belongs to an earlier row that was kept; blank keys don't count.
 
-    ``order`` must be unique.  Rows whose keys are all their own are settled first.  Then ``rounds`` rounds:
-    rows that come first in all their keys are kept, rows that share a key with a kept row go, the others
-    wait.  Where conflicts form long chains rows are left; up to ``in_one`` of them go through one task in
-    order, and of more, each connected component of shared keys goes through a task in order.  Only
+    ``order`` must be unique.  Rows whose keys are all their own are settled first.  Of those in conflict up to
+    ``in_one`` go through one task in order.  More take ``rounds`` rounds: rows that come first in all their keys
+    are kept, rows that share a key with a kept row go, the others wait.  If conflicts form long chains and
+    too many rows still wait, each connected component of shared keys goes through a task in order, and only
     components of more than ``in_one`` rows take further rounds, until they are small enough.
     """
     pairs = rows.select(order, F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col(k).cast("string").alias("v")) for i, k in enumerate(keys)))).alias("k"))
     pairs = pairs.filter(F.coalesce(F.col("k.v"), F.lit("")) != "")
     firsts = pairs.groupBy("k").agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
     alive = checkpointed(pairs.join(firsts.filter(F.col("_first") != F.col("_last")).select("k"), "k"))
-    lost = []
-    while not alive.isEmpty():
-        for _ in range(rounds):
+    lost, chained_now = [], False
+    while waiting := alive.select(order).distinct().count():
+        if waiting <= in_one:
+            line = _whole(alive, order).withColumn("group", F.lit(0).cast("long")).coalesce(1).sortWithinPartitions(order)
+            lost.append(_solved(line, order))
+            break
+        if chained_now:
+            out, alive = _chains(alive, order, in_one)
+            lost.append(out)
+        for _ in range(0 if chained_now else rounds):
             first = alive.groupBy("k").agg(F.min(order).alias("_first"))
             state = alive.join(first, "k").groupBy(order).agg(F.bool_and(F.col("_first") == F.col(order)).alias("_keep"))
             marked = checkpointed(alive.join(state, order))
@@ -87,34 +94,32 @@ def greedy(rows: DataFrame, keys: list[str], order: str, *, rounds: int = 3, in_
             out = marked.filter("NOT _keep").join(taken, "k", "left_semi").select(order).distinct()
             lost.append(out)
             alive = checkpointed(marked.filter("NOT _keep").drop("_keep").join(out, order, "left_anti"))
-            if alive.isEmpty():
-                break
-        else:
-            out, alive = _chains(alive, order, in_one)
-            lost.append(out)
+        chained_now = not chained_now
     return rows.join(reduce(DataFrame.unionByName, lost), order, "left_anti") if lost else rows
 
 
+def _whole(alive: DataFrame, order: str) -> DataFrame:
+    """(order, keys) of pairs (order, k): a row of a table's with all its keys."""
+    return alive.groupBy(order).agg(F.array_sort(F.collect_set(F.concat(F.col("k.i"), F.lit(":"), F.col("k.v")))).alias("keys"))
+
+
+def _solved(line: DataFrame, order: str) -> DataFrame:
+    """The rows that lose of (group, order, keys), each group in one task and sorted."""
+    return checkpointed(line.select(order, "group", "keys").mapInArrow(partial(_one_by_one, order=order), T.StructType([line.schema[order]])))
+
+
 def _chains(alive: DataFrame, order: str, in_one: int) -> tuple[DataFrame, DataFrame]:
     """(rows that lose, pairs of components that are too large) of pairs (order, k) still in conflict."""
     from tessera.operators.graph import components
 
-    whole = alive.groupBy(order).agg(F.array_sort(F.collect_set(F.concat(F.col("k.i"), F.lit(":"), F.col("k.v")))).alias("keys"))
-    schema = T.StructType([alive.schema[order]])
-    solve = partial(_one_by_one, order=order)
-    if whole.count() <= in_one:
-        line = whole.withColumn("group", F.lit(0).cast("long")).coalesce(1).sortWithinPartitions(order)
-        return checkpointed(line.select(order, "group", "keys").mapInArrow(solve, schema)), alive.limit(0)
     # Keys that one row holds lie in one component; keys of equal hash only make components larger.
-    hashes = F.transform("keys", lambda x: F.xxhash64(x))
-    ties = whole.select(hashes.alias("h")).select(F.col("h")[0].alias("a"), F.explode("h").alias("b"))
-    dealt = whole.withColumn("node", F.xxhash64(F.col("keys")[0])).join(components(ties).withColumnRenamed("component", "group"), "node").drop("node")
-    dealt = checkpointed(dealt)
+    whole = _whole(alive, order)
+    ties = whole.select(F.transform("keys", lambda x: F.xxhash64(x)).alias("h")).select(F.col("h")[0].alias("a"), F.explode("h").alias("b"))
+    dealt = checkpointed(whole.withColumn("node", F.xxhash64(F.col("keys")[0])).join(components(ties).withColumnRenamed("component", "group"), "node").drop("node"))
     large = checkpointed(dealt.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > in_one).select("group"))
     small = dealt.join(large, "group", "left_anti").repartition("group").sortWithinPartitions("group", order)
-    out = checkpointed(small.select(order, "group", "keys").mapInArrow(solve, schema))
     rest = dealt.join(large, "group", "left_semi").select(order)
-    return out, checkpointed(alive.join(rest, order, "left_semi"))
+    return _solved(small, order), checkpointed(alive.join(rest, order, "left_semi"))
 
 
 def merge_traces(rows: DataFrame, keys: list[str], traces: list[str], order: list[str]) -> DataFrame:
