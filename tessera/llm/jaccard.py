@@ -256,7 +256,8 @@ def similar_groups(docs: DataFrame, *, shingle: int = 3, percent: int = 90) -> D
 
     Fewer words than ``shingle`` make one shingle.  Texts without words, and null ones, have none and
     link with nothing.  A row with a null ``doc_id`` takes part and names a component only if it has
-    no other.  Repeated rows are of one class.  Shingles are compared by 64-bit hashes.
+    no other.  Repeated rows are of one class.  Very long texts are compared whole; an empty table gives
+    no row; columns of any other name are not read.  Shingles are compared by 64-bit hashes.
     """
     rows, info, classes, live = _prepared(docs, shingle, percent)
     degree = live.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))

@@ -211,7 +211,8 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ``mixture`` lists the chosen languages with their shares, largest first ("en:0.93 fr:0.07");
     ``score`` is the share of the first, which is ``lang_pred``.  A text that is null, empty or has no
     letters is ``und`` with score 0, as is every text if the model knows no language.  Ties go to the
-    language that sorts first.  Only the text is looked at.
+    language that sorts first.  Only the text is looked at.  Very long texts are read whole; repeated rows
+    each get the same result; an empty table gives no row; columns of any other name are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -112,7 +112,8 @@ def apply_quality_rules(docs: DataFrame, model: DataFrame | None = None, *, leas
     ``model``, a table of :func:`tessera.llm.grams.train_grams` is counted over all ``docs``.
 
     Null and empty texts have all measures 0, a null perplexity, and fail; repeated rows count, and
-    are judged, each.
+    are judged, each; very long texts are measured whole; an empty table gives no row; columns of any other
+    name are not read.
     """
     measured = measure_all(docs, train_grams(docs) if model is None else model)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

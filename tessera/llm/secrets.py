@@ -245,7 +245,8 @@ def find_secrets(docs: DataFrame, model: MarkovPair) -> DataFrame:
     Kinds: the base rules ``assign`` (whole match), ``access``, ``hex``, and ``markov``, a run of
     16 or more characters (slashes included) with a letter and a digit, outside every base span, whose
     mean log-likelihood ratio passes the model's threshold.  Null and empty texts have no spans; very
-    long ones are scanned whole, in time that grows with their length.
+    long ones are scanned whole, in time that grows with their length.  Repeated rows each get the same
+    result; an empty table gives no row; columns of any other name are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
