@@ -2,14 +2,15 @@
 
 A text is its words, A-Z in lower case, joined by one space and ended by a newline.  Each byte is eight
 binary decisions; a decision is a *node* (the bits so far, as 1 to 255), and its contexts are the 0 to
-``DEPTH`` bytes before, newlines before a text's start.  Whatever is counted has a 64-bit key: a byte behind
-its longest context (48 bits), or a word (its hash, negative).
+``depth`` bytes before, at most six, newlines before a text's start.  Whatever is counted has a 64-bit key: a
+byte behind its longest context, or a word (its hash, negative).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,12 +21,13 @@ from pyspark.sql import functions as F
 from tessera.llm import words as w
 from tessera.llm.shared import discard, written
 
-DEPTH = 5
 END = 10
 #: Bytes of normal text in a chunk, and in what is looked at at once within it; a longer text stands alone.
-CHUNK_BYTES, PIECE_BYTES = 32 << 20, 4 << 20
-#: Rows of the model that one call looks bytes up in, about.
-LOOKUP_ROWS = 400_000
+CHUNK_BYTES, PIECE_BYTES = 32 << 20, 2 << 20
+#: The tree is cut at contexts of so many bytes: at most 256 ** (depth + 1 - CUT) byte keys lie beyond one of them.
+CUT = 3
+#: Byte keys of the part of the tree that one call works on, about.
+PART_KEYS = 100_000
 _WORD = np.int64(-(1 << 63))
 _CHUNK = "ids array<bigint>, held array<boolean>, size bigint, data binary"
 _SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -71,15 +73,15 @@ def pieces(data: bytes, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         first, start = last, int(ends[last - 1])
 
 
-def byte_keys(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The key of every byte: itself behind the ``DEPTH`` bytes before it, the nearest lowest."""
+def byte_keys(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
+    """The key of every byte: itself behind the ``depth`` bytes before it, the nearest lowest."""
     keys = text.astype(np.int64)
-    for j in range(1, DEPTH + 1):
+    for j in range(1, depth + 1):
         keys[j:] |= text[:-j].astype(np.int64) << 8 * j
     starts = np.concatenate([[0], ends[:-1]])
-    for j in range(DEPTH):  # a text's first bytes see newlines instead of another text
+    for j in range(depth):  # a text's first bytes see newlines instead of another text
         at = starts[starts + j < ends] + j
-        keys[at] = keys[at] & ((1 << 8 * (j + 1)) - 1) | sum(END << 8 * k for k in range(j + 1, DEPTH + 1))
+        keys[at] = keys[at] & ((1 << 8 * (j + 1)) - 1) | sum(END << 8 * k for k in range(j + 1, depth + 1))
     return keys
 
 
@@ -93,7 +95,7 @@ def words_of(text: np.ndarray, ends: np.ndarray) -> tuple[w.Words, np.ndarray]:
 END_KEY = int(w.string_hashes(pa.array(["\n"])).view(np.int64)[0] | _WORD)
 
 
-def key_counts(chunks: DataFrame) -> DataFrame:
+def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
     """(chunk, key, n): every key that a chunk holds, and how often in texts to learn from."""
 
     def of_chunk(data, size, held):
@@ -101,7 +103,7 @@ def key_counts(chunks: DataFrame) -> DataFrame:
         for text, ends in pieces(data, size):
             train = ~np.array(held[first : first + len(ends)], bool)
             first += len(ends)
-            codes, seen = pd.factorize(byte_keys(text, ends))
+            codes, seen = pd.factorize(byte_keys(text, ends, depth))
             keys.append(seen)
             counts.append(np.bincount(codes, weights=np.repeat(train, np.diff(ends, prepend=0)), minlength=len(seen)))
             words, seen = words_of(text, ends)
@@ -126,22 +128,71 @@ def key_counts(chunks: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the tree
 
 
-def _log_gamma(x: Column) -> Column:
-    """By Stirling's series eight places on, where its error is below 1e-11."""
+def _log_gamma(x, log):
+    """Of a column or an array, by Stirling's series eight places on, where its error is below 1e-11."""
     z, near = x + 8, x
     for k in range(1, 8):
         near = near * (x + k)
-    return (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - F.log(near)
+    return (z - 0.5) * log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - log(near)
 
 
-def _evidence() -> Column:
+def _evidence(a, b, log=np.log):
     """Natural log of the Krichevsky-Trofimov probability of ``a`` zeros and ``b`` ones."""
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - math.log(math.pi) - _log_gamma(a + b + 1)
-
-
-def weigh_tree(counts: DataFrame) -> DataFrame:
-    """(place, p): of every node (low 8 bits) behind every longest context, the probability of a one.
+    return _log_gamma(a + 0.5, log) + _log_gamma(b + 0.5, log) - math.log(math.pi) - _log_gamma(a + b + 1, log)
+
+
+@dataclass
+class Level:
+    """Nodes (low 8 bits) behind contexts of one length: zeros and ones seen there, the share ``stop`` of the node's
+    own estimate and the weighted log-probability; ``up`` is each node's place in the next shorter level."""
+
+    place: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    stop: np.ndarray
+    weighted: np.ndarray
+    up: np.ndarray | None = None
+
+
+def _summed(place: np.ndarray, a: np.ndarray, b: np.ndarray, below: np.ndarray | None) -> tuple[Level, np.ndarray]:
+    """(the level of the sums by place, which of its nodes each entry went to); no ``below``: the longest contexts."""
+    place, to = np.unique(place, return_inverse=True)
+    a, b = (np.bincount(to, weights=x, minlength=len(place)) for x in (a, b))
+    own = _evidence(a, b)
+    if below is None:
+        return Level(place, a, b, np.ones(len(place)), own), to
+    below = np.bincount(to, weights=below, minlength=len(place))
+    return Level(place, a, b, 1 / (1 + np.exp(np.clip(below - own, -700, 700))), np.logaddexp(own, below) - math.log(2)), to
+
+
+def levels_above(key: np.ndarray, n: np.ndarray, depth: int, cut: int) -> tuple[list[Level], np.ndarray]:
+    """(levels from the longest contexts to those of ``cut`` bytes, the longest level's node of each decision of each key)."""
+    byte = key & 255
+    place = np.concatenate([key - byte + ((1 << j) | byte >> 8 - j) for j in range(8)])
+    one = np.concatenate([byte >> 7 - j & 1 for j in range(8)])
+    counts = np.tile(n, 8)
+    level, where = _summed(place, counts * (1 - one), counts * one, None)
+    levels = [level]
+    for d in range(depth - 1, cut - 1, -1):
+        level, levels[-1].up = _summed(levels[-1].place & ((1 << 8 * (d + 1)) - 1), levels[-1].a, levels[-1].b, levels[-1].weighted)
+        levels.append(level)
+    return levels, where
+
+
+def key_logs(key: np.ndarray, n: np.ndarray, depth: int, cut: int, left: np.ndarray, total: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each key's byte, given what the paths have at the nodes of ``cut``, in order."""
+    levels, where = levels_above(key, n, depth, cut)
+    for level in reversed(levels[:-1]):
+        left, total, p = left[level.up], total[level.up], p[level.up]
+        seen, ones = level.a + level.b > 0, (level.b + 0.5) / (level.a + level.b + 1)
+        p = np.where(seen, total + left * ones, p)
+        left, total = np.where(seen, left * (1 - level.stop), left), np.where(seen, total + left * level.stop * ones, total)
+    one, byte = p[where].reshape(8, -1), key & 255
+    return sum(np.where(byte >> 7 - j & 1, np.log10(one[j]), np.log1p(-one[j]) / math.log(10)) for j in range(8))
+
+
+def byte_logs(counts: DataFrame, depth: int) -> DataFrame:
+    """(key, v): log10 of the probability of each key's byte behind its contexts.
 
     ``counts`` (key, n) has every byte key that is to be scored, also with n = 0.  From the longest contexts
     up, a context's probability of what was seen there is half its own Krichevsky-Trofimov estimate and half
@@ -149,62 +200,53 @@ def weigh_tree(counts: DataFrame) -> DataFrame:
     estimates along a path are mixed by these shares.  Where a longer context was not seen in training, its
     part goes to the estimate of the shorter one.
 
-    Every level is one grouped sum and one join; a context has at most 256 longer ones, so no key is hot.
+    Keys are dealt by the last ``CUT`` bytes of their context; beyond these, paths up and down lie in one
+    part each.  The shorter contexts, whose number is bounded, are grouped sums and joins over all parts.
     """
-    y, j = F.col("key").bitwiseAND(F.lit(255)), F.col("j")
-    node = F.expr("shiftleft(1, j) | shiftright(cast(key & 255 AS int), 8 - j)").cast("long")
-    bit = F.expr("shiftright(cast(key & 255 AS int), 7 - j) & 1")
-    spread = counts.select("key", "n", F.explode(F.array(*map(F.lit, range(8)))).alias("j"))
-    spread = spread.select((F.col("key") - y + node).alias("place"), F.when(bit == 0, F.col("n")).otherwise(0).alias("a"), F.when(bit == 1, F.col("n")).otherwise(0).alias("b"))
-    sums = [F.sum("a").alias("a"), F.sum("b").alias("b")]
-    level = spread.groupBy("place").agg(*sums).withColumn("own", _evidence())
-    levels = [written(level.select("place", "a", "b", F.lit(1.0).alias("stop"), F.col("own").alias("weighted")), "level-5")]
-    for depth in range(DEPTH - 1, -1, -1):
-        shorter = F.col("place").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1)).alias("place")
-        level = levels[-1].groupBy(shorter).agg(*sums, F.sum("weighted").alias("below")).withColumn("own", _evidence())
-        weighted = F.greatest("own", "below") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("below")))) - math.log(2)
-        levels.append(written(level.select("place", "a", "b", (1 / (1 + F.exp(F.col("below") - F.col("own")))).alias("stop"), weighted.alias("weighted")), f"level-{depth}"))
-    seen = F.col("a") + F.col("b") > 0
-    ones = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
+    cut = min(CUT, depth)
+    parts = F.lit(max(1, -(-counts.count() // PART_KEYS)))
+    part = lambda context: F.pmod(F.xxhash64(context), parts).alias("part")
+    dealt = counts.select("key", "n", part(F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * cut) - 1))))
+
+    def upper(rows: pa.Table) -> pa.Table:
+        level = levels_above(rows.column("key").to_numpy(), rows.column("n").to_numpy(), depth, cut)[0][-1]
+        return pa.table({"place": level.place, "a": level.a, "b": level.b, "stop": level.stop, "weighted": level.weighted})
+
+    levels = [written(dealt.groupBy("part").applyInArrow(w.released(upper), "place bigint, a double, b double, stop double, weighted double"), f"level-{cut}")]
+    own, below = F.col("own"), F.col("below")
+    for d in range(cut - 1, -1, -1):
+        shorter = F.col("place").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("place")
+        level = levels[-1].groupBy(shorter).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weighted").alias("below")).withColumn("own", _evidence(F.col("a"), F.col("b"), F.log))
+        weighted = F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)
+        levels.append(written(level.select("place", "a", "b", (1 / (1 + F.exp(below - own))).alias("stop"), weighted.alias("weighted")), f"level-{d}"))
+    seen, ones = F.col("a") + F.col("b") > 0, (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
     paths = None
-    for depth, level in enumerate(reversed(levels)):
+    for d, level in enumerate(reversed(levels)):
         if paths is None:
             rows = level.withColumns({"left0": F.lit(1.0), "sum0": F.lit(0.0), "p0": F.lit(0.5)})
         else:
             before = paths.select(F.col("place").alias("up"), F.col("left").alias("left0"), F.col("sum").alias("sum0"), F.col("p").alias("p0"))
-            rows = level.withColumn("up", F.col("place").bitwiseAND(F.lit((1 << 8 * depth) - 1))).join(before, "up")
+            rows = level.withColumn("up", F.col("place").bitwiseAND(F.lit((1 << 8 * d) - 1))).join(before, "up")
         taken = F.col("sum0") + F.col("left0") * F.col("stop") * ones
-        last, paths = paths, written(rows.select("place", F.when(seen, F.col("left0") * (1 - F.col("stop"))).otherwise(F.col("left0")).alias("left"), F.when(seen, taken).otherwise(F.col("sum0")).alias("sum"), F.when(seen, F.col("sum0") + F.col("left0") * ones).otherwise(F.col("p0")).alias("p")), f"paths-{depth}")
+        last, paths = paths, written(rows.select("place", F.when(seen, F.col("left0") * (1 - F.col("stop"))).otherwise(F.col("left0")).alias("left"), F.when(seen, taken).otherwise(F.col("sum0")).alias("sum"), F.when(seen, F.col("sum0") + F.col("left0") * ones).otherwise(F.col("p0")).alias("p")), f"paths-{d}")
         discard(*([last] if last else []))
     discard(*levels)
-    return paths.select("place", "p")
-
-
-def byte_logs(counts: DataFrame, tree: DataFrame) -> DataFrame:
-    """(key, v): log10 of the probability of each key's byte behind its contexts."""
-    buckets = max(1, tree.count() // LOOKUP_ROWS)
-
-    def bucket(column: str) -> Column:
-        return F.pmod(F.xxhash64(F.shiftright(column, 8)), F.lit(buckets)).alias("bucket")
 
-    def look(keys: pa.Table, nodes: pa.Table) -> pa.Table:
-        key, place, p = keys.column("key").to_numpy(), nodes.column("place").to_numpy(), nodes.column("p").to_numpy()
-        order = np.argsort(place)
-        place, p = place[order], p[order]
-        total, byte = np.zeros(len(key)), key & 255
-        for j in range(8):
-            one = p[np.searchsorted(place, key - byte + ((1 << j) | byte >> 8 - j))]
-            total += np.where(byte >> 7 - j & 1, np.log10(one), np.log1p(-one) / math.log(10))
-        return pa.table({"key": key, "v": total})
+    def logs(rows: pa.Table, paths: pa.Table) -> pa.Table:
+        key, order = rows.column("key").to_numpy(), np.argsort(paths.column("place").to_numpy())
+        left, total, p = (paths.column(c).to_numpy()[order] for c in ("left", "sum", "p"))
+        return pa.table({"key": key, "v": key_logs(key, rows.column("n").to_numpy(), depth, cut, left, total, p)})
 
-    keys, nodes = counts.select("key", bucket("key")), tree.select("place", "p", bucket("place"))
-    return keys.groupBy("bucket").cogroup(nodes.groupBy("bucket")).applyInArrow(look, "key bigint, v double")
+    known = paths.select("place", "left", "sum", "p", part(F.shiftright("place", 8)))
+    values = written(dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(w.released(logs), "key bigint, v double"), "logs")
+    discard(paths)
+    return values
 
 
 # ---------------------------------------------------------------- scores
 
 
-def score_texts(docs: DataFrame, held: Column) -> DataFrame:
+def score_texts(docs: DataFrame, held: Column, *, depth: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     The tree learns from the rows for which ``held`` is false and scores all of them; ``score`` is log10 of
@@ -221,12 +263,12 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
     Words are told apart by 63-bit hashes.
     """
     chunks = chunked(docs, F.coalesce(held, F.lit(False)))
-    keys = key_counts(chunks)
+    keys = key_counts(chunks, depth)
     counts = written(keys.groupBy("key").agg(F.sum("n").alias("n")), "counts")
     words, grams = counts.filter("key < 0"), counts.filter("key >= 0")
     tokens, different = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    tree = weigh_tree(grams)
-    values = written(byte_logs(grams, tree).unionByName(words.select("key", F.col("n").cast("double").alias("v"))), "values")
+    logs = byte_logs(grams, depth)
+    values = logs.unionByName(words.select("key", F.col("n").cast("double").alias("v")))
     met = keys.select("chunk", "key").join(values, "key")
 
     def score(values: pa.Table, chunk: pa.Table) -> pa.Table:
@@ -237,7 +279,7 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
             ids, held, size, data = (chunk.column(x)[row].as_py() for x in ("ids", "held", "size", "data"))
             n_tokens, n_known, base, scores = [], [], [], []
             for text, ends in pieces(data, size):
-                codes, seen = pd.factorize(byte_keys(text, ends))
+                codes, seen = pd.factorize(byte_keys(text, ends, depth))
                 scores.append(np.add.reduceat(v[np.searchsorted(known, seen)][codes], np.concatenate([[0], ends[:-1]])))
                 words, seen = words_of(text, ends)
                 c = v[np.searchsorted(known, np.concatenate([seen, [END_KEY]]))]
@@ -249,6 +291,6 @@ def score_texts(docs: DataFrame, held: Column) -> DataFrame:
             out.append(pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.concat_tables(out)
 
-    scored = written(met.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInArrow(score, _SCORE), "scores")
-    discard(chunks, keys, counts, tree, values)
+    scored = written(met.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInArrow(w.released(score), _SCORE), "scores")
+    discard(chunks, keys, counts, logs)
     return scored

@@ -89,6 +89,16 @@ def releasing(run: Callable[[Iterator], Iterator], mapped: int = 1 << 20) -> Cal
     return task
 
 
+def released(give: Callable[..., pa.Table], mapped: int = 1 << 20) -> Callable[..., pa.Table]:
+    """As :func:`releasing`, for functions of groups."""
+
+    def run(*tables):
+        return list(releasing(lambda _: [give(*tables)], mapped)(None))[0]
+
+    # Spark reads off the arguments whether it is given one group or two.
+    return (lambda rows: run(rows)) if give.__code__.co_argcount == 1 else (lambda left, right: run(left, right))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The text column without nulls."""
     return pc.fill_null(batch.column(name), "")
