@@ -23,7 +23,7 @@ from tessera.llm.shared import discard, written
 
 END = 10
 #: Bytes of normal text in a chunk, and in what is looked at at once within it; a longer text stands alone.
-CHUNK_BYTES, PIECE_BYTES = 32 << 20, 2 << 20
+CHUNK_BYTES, PIECE_BYTES = 48 << 20, 2 << 20
 #: The tree is cut at contexts of so many bytes: at most 256 ** (depth + 1 - CUT) byte keys lie beyond one of them.
 CUT = 3
 #: Byte keys of the part of the tree that one call works on, about.
@@ -40,7 +40,7 @@ def chunked(docs: DataFrame, held: Column) -> DataFrame:
     """(chunk, ids, held, size, data): the normal texts of some documents, compressed; texts move no more than that."""
 
     def packed(ids, held, parts, size):
-        data = pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+        data = pa.Codec("zstd", compression_level=9).compress(b"".join(parts), asbytes=True)
         return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([size], pa.int64()), pa.array([data], pa.binary())], names=["ids", "held", "size", "data"])
 
     def run(batches):
@@ -122,7 +122,7 @@ def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
                 keys, counts = of_chunk(data, size, held)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], names=["chunk", "key", "n"])
 
-    return written(chunks.mapInArrow(w.releasing(run, 16 << 20), "chunk bigint, key bigint, n bigint"), "keys")
+    return written(chunks.mapInArrow(w.releasing(run, 4 << 20), "chunk bigint, key bigint, n bigint"), "keys", codec="zstd")
 
 
 # ---------------------------------------------------------------- the tree
