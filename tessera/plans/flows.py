@@ -40,7 +40,8 @@ def _payloads(rows: DataFrame, source: str) -> DataFrame:
     if source == "oracle_hcm":
         return listed.select("company", F.to_json(F.struct(F.array(F.struct(items.alias("requisitionList"))).alias("items"))).alias("payload"))
     name = {"smartrecruiters": "content", "rippling": "items", "workable": "results", "workday": "jobPostings"}.get(source, "jobs")
-    return listed.select("company", F.to_json(F.struct(items.alias(name))).alias("payload"))
+    told = [F.size(items).alias("total")] if source == "workday" else []  # one page holds them all
+    return listed.select("company", F.to_json(F.struct(items.alias(name), *told)).alias("payload"))
 
 
 def connector(source: str, spark: SparkSession, sf_dir: str) -> DataFrame:
