@@ -146,6 +146,7 @@ def canonical_url(source: Column, key: Column, host: Column, url: Column) -> Col
 
 def route_block(source: Column, key: Column) -> Column:
     """Why no connector can be run for the candidate, '' if one can."""
+    # The texts.
     return (
         F.when(key == "", "No reliable ATS source key was extracted")
         .when(source.isin(*ROUTED), "")

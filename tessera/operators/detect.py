@@ -26,6 +26,7 @@ def settled_candidates(candidates: DataFrame) -> DataFrame:
     feed = F.endswith(low, F.lit("/json"))
     api = F.startswith(url, F.lit("https://")) & F.contains(low, F.lit("/api/")) & p.has_any(low, ("jobsearch", "search-jobs", "/jobs"))
     secure = F.startswith(low, F.lit("https://"))
+    # The texts and the form of a feed's address.
     ready = F.when(source == "breezyhr", feed & secure).when(source == "phenom", api).otherwise(F.col("route_ready"))
     reason = (
         F.when((source == "breezyhr") & feed, F.when(secure, "").otherwise("BreezyHR JSON endpoint is not HTTPS"))

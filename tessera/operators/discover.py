@@ -15,6 +15,7 @@ COMPANY_FIELDS = ("company", "company_name", "employer", "organization", "name")
 URL_FIELDS = ("career_url", "careers_url", "jobs_url", "job_url", "apply_url", "example_job_url", "url")
 DISCOVERED = ("company", "career_url", "discovered_from", "source_type", "existing_known_source", "reason", "enabled")
 DUPLICATES = ("company", "host", "kept_url", "duplicate_url", "duplicate_reason", "discovered_from")
+# Fixed value: a URL anywhere in a text.
 _URL = r"(?i)(https?://[^\s\"'<>|\])]+)"
 
 
