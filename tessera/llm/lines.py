@@ -26,7 +26,8 @@ _KEY_HASH = "struct(xxhash64(k) AS h, hash(k) AS g)"
 def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
     """(rid, h, g): the 96-bit hash of every distinct key of every row; shorter keys are left out."""
     lines = keyed(docs).select("rid", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
-    hashes = F.expr(f"array_distinct(transform(filter(transform(lines, l -> {KEY}), k -> char_length(k) >= {int(least_chars)}), k -> {_KEY_HASH}))")
+    # Distinct as texts, for which Spark has a hash set; structs it would compare each with each.
+    hashes = F.expr(f"transform(array_distinct(filter(transform(lines, l -> {KEY}), k -> char_length(k) >= {int(least_chars)})), k -> {_KEY_HASH})")
     return lines.select("rid", F.explode(hashes).alias("x")).select("rid", "x.h", "x.g")
 
 
