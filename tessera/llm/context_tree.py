@@ -75,9 +75,8 @@ def pieces(data: bytes, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def byte_keys(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     """The key of every byte: itself behind the ``depth`` bytes before it, the nearest lowest."""
-    keys = text.astype(np.int64)
-    for j in range(1, depth + 1):
-        keys[j:] |= text[:-j].astype(np.int64) << 8 * j
+    padded = np.concatenate([np.full(7, END, np.uint8), text])
+    keys = np.ndarray(len(text), ">i8", padded, strides=(1,)).astype(np.int64) & ((1 << 8 * (depth + 1)) - 1)
     starts = np.concatenate([[0], ends[:-1]])
     for j in range(depth):  # a text's first bytes see newlines instead of another text
         at = starts[starts + j < ends] + j
@@ -85,35 +84,50 @@ def byte_keys(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     return keys
 
 
-def words_of(text: np.ndarray, ends: np.ndarray) -> tuple[w.Words, np.ndarray]:
-    """(the words of every text, the keys of the different ones)."""
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    words = w.split(pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(text)))
-    return words, w.string_hashes(words.uniques).view(np.int64) | _WORD
+def word_keys(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the key of every word, where each text's words begin and the last one's end)."""
+    stops = np.flatnonzero((text == 32) | (text == END))
+    starts = np.concatenate([[0], stops[:-1] + 1])
+    empty = stops == starts  # of a text without words
+    starts, stops = starts[~empty], stops[~empty]
+    hashes = w.span_hashes(text, starts, stops)
+    return hashes.view(np.int64) | _WORD, np.concatenate([[0], np.searchsorted(stops, ends)])
 
 
-END_KEY = int(w.string_hashes(pa.array(["\n"])).view(np.int64)[0] | _WORD)
+#: No word has no byte.
+END_KEY = int(w.span_hashes(np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64)).view(np.int64)[0] | _WORD)
+
+
+def counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys, how often each is marked in ``train``)."""
+    marked = np.sort(keys[train])
+    first = np.flatnonzero(np.concatenate([[True], marked[1:] != marked[:-1]])) if len(marked) else np.zeros(0, np.int64)
+    other = np.sort(keys[~train])
+    other = other[np.concatenate([[True], other[1:] != other[:-1]])] if len(other) else other
+    return np.concatenate([marked[first], other]), np.concatenate([np.diff(np.append(first, len(marked))), np.zeros(len(other), np.int64)])
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys in order, the sum of each)."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n[order], first)
 
 
 def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
     """(chunk, key, n): every key that a chunk holds, and how often in texts to learn from."""
 
     def of_chunk(data, size, held):
-        keys, counts, first = [], [], 0
+        found, first = [], 0
         for text, ends in pieces(data, size):
             train = ~np.array(held[first : first + len(ends)], bool)
             first += len(ends)
-            codes, seen = pd.factorize(byte_keys(text, ends, depth))
-            keys.append(seen)
-            counts.append(np.bincount(codes, weights=np.repeat(train, np.diff(ends, prepend=0)), minlength=len(seen)))
-            words, seen = words_of(text, ends)
-            keys += [seen, [END_KEY]]
-            counts += [np.bincount(words.codes, weights=np.repeat(train, words.counts), minlength=len(seen)), [train.sum()]]
-        keys, counts = np.concatenate(keys).astype(np.int64), np.concatenate(counts).astype(np.int64)
-        order = np.argsort(keys)
-        keys = keys[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[starts], np.add.reduceat(counts[order], starts)
+            found.append(counted(byte_keys(text, ends, depth), np.repeat(train, np.diff(ends, prepend=0))))
+            words, offsets = word_keys(text, ends)
+            found.append(counted(words, np.repeat(train, np.diff(offsets))))
+            found.append((np.array([END_KEY]), np.array([train.sum()])))
+        return summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     def run(batches):
         for batch in batches:
@@ -122,7 +136,7 @@ def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
                 keys, counts = of_chunk(data, size, held)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], names=["chunk", "key", "n"])
 
-    return written(chunks.mapInArrow(w.releasing(run, 4 << 20), "chunk bigint, key bigint, n bigint"), "keys", codec="zstd")
+    return written(chunks.mapInArrow(w.releasing(run), "chunk bigint, key bigint, n bigint"), "keys", codec="zstd")
 
 
 # ---------------------------------------------------------------- the tree
@@ -281,12 +295,13 @@ def score_texts(docs: DataFrame, held: Column, *, depth: int = 5) -> DataFrame:
             for text, ends in pieces(data, size):
                 codes, seen = pd.factorize(byte_keys(text, ends, depth))
                 scores.append(np.add.reduceat(v[np.searchsorted(known, seen)][codes], np.concatenate([[0], ends[:-1]])))
-                words, seen = words_of(text, ends)
+                words, offsets = word_keys(text, ends)
+                codes, seen = pd.factorize(words)
                 c = v[np.searchsorted(known, np.concatenate([seen, [END_KEY]]))]
                 logs = np.log10((c + 0.5) / (tokens + 0.5 * (different + 1)))
-                n_tokens.append(words.counts + 1)
-                n_known.append(w.sums((c[:-1] > 0)[words.codes], words.offsets) + int(c[-1] > 0))
-                base.append(w.sums(logs[:-1][words.codes], words.offsets) + logs[-1])
+                n_tokens.append(np.diff(offsets) + 1)
+                n_known.append(w.sums((c[:-1] > 0)[codes], offsets) + int(c[-1] > 0))
+                base.append(w.sums(logs[:-1][codes], offsets) + logs[-1])
             columns = [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (n_tokens, n_known)), pa.array(np.full(len(ids), tokens)), pa.array(np.concatenate(base)), pa.array(np.concatenate(scores))]
             out.append(pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.concat_tables(out)

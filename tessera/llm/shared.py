@@ -96,7 +96,7 @@ def unpacked(packed: pa.Array, sizes: pa.Array) -> pa.Array:
     return pa.array([pa.decompress(p, decompressed_size=n, codec="zstd", asbytes=True).decode() if n else "" for p, n in zip(packed.to_pylist(), sizes.to_pylist(), strict=True)], pa.string())
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); a component's name is its least node.
 
     Alternating large-star and small-star contraction.  Each round is a grouped minimum, which is
@@ -105,7 +105,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
@@ -118,4 +118,3 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             roots = edges.select(F.col("b").alias("node")).distinct()
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
         mark = now
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -153,6 +153,13 @@ def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix((prefix[k:] - prefix[:-k]) * down[: n - k + 1])
 
 
+def span_hashes(text: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A stable 64-bit hash of the bytes text[starts[i]:stops[i]] for every i."""
+    up, down = _powers(len(text) + 1)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+    return mix(mix((prefix[stops] - prefix[starts]) * down[starts]) ^ (stops - starts).astype(np.uint64))
+
+
 def window_starts(offsets: np.ndarray, k: int) -> np.ndarray:
     """Positions at which a whole window of k words of one text starts."""
     room = np.maximum(np.diff(offsets) - k + 1, 0)
