@@ -67,7 +67,10 @@ def city_case(c: Column) -> Column:
 
 def region_of(c: Column) -> Column:
     """Province code, or any two letters in capitals, or ''."""
-    t = _undotted(c)
+    return _region(_undotted(c))
+
+
+def _region(t: Column) -> Column:
     return F.coalesce(_table(PROVINCES)[F.lower(t)], F.when(t.rlike("^[A-Za-z]{2}$"), F.upper(t)), F.lit(""))
 
 
@@ -84,22 +87,25 @@ def _hinted(hint: Column | None) -> Column:
     return F.lit(None).cast("string") if hint is None else F.when(strip(hint) != "", F.coalesce(country_of(hint), city_case(strip(hint))))
 
 
-def _place(parts: Column, hint: Column | None) -> Column:
-    in_country = lambda t: F.lower(t).isin(*COUNTRIES)
-    country = F.coalesce(F.try_element_at(F.filter(F.transform(parts, country_of), lambda x: x.isNotNull()), F.lit(-1)), _hinted(hint))
-    plain = F.filter(parts, lambda t: ~in_country(t))
-    other = F.filter(parts, lambda t: country_of(t).isNull())
-    kept = F.when(F.size(plain) > 0, plain).when(F.size(other) > 0, other).otherwise(parts)
+def _place(tokens: Column, hint: Column | None) -> Column:
+    # What is asked of a token is told once, before tokens are compared.
+    told = lambda t: let(F.btrim(t, F.lit(".")), lambda u: F.struct(t.alias("text"), _table(COUNTRIES)[F.lower(u)].alias("country"), _region(u).alias("region"), F.lower(t).isin(*COUNTRIES).alias("named")))
+
+    def read(parts: Column) -> Column:
+        country = F.coalesce(F.try_element_at(F.filter(parts, lambda x: x["country"].isNotNull()), F.lit(-1))["country"], _hinted(hint))
+        plain, other = F.filter(parts, lambda x: ~x["named"]), F.filter(parts, lambda x: x["country"].isNull())
+        kept = let(plain, lambda p: F.when(F.size(p) > 0, p).otherwise(let(other, lambda o: F.when(F.size(o) > 0, o).otherwise(parts))))
+
+        def composed(back: Column, at: Column) -> Column:
+            region = F.when(at > 0, F.try_element_at(back, at)["region"])
+            good = F.filter(F.slice(back, at + 1, F.greatest(F.size(back), F.lit(1))), lambda x: (x["region"] == "") & ~x["named"] & ~x["text"].rlike(r"\d"))
+            named = F.array(city_case(F.try_element_at(good, F.lit(1))["text"]), region, country)
+            whole = F.array_join(F.filter(named, lambda t: t != ""), ", ")
+            return let(whole, lambda t: F.when(t != "", t).otherwise(city_case(back[0]["text"])))
 
-    def composed(back: Column) -> Column:
-        at = F.array_position(F.transform(back, lambda t: region_of(t) != ""), True).cast("int")
-        region = F.when(at > 0, region_of(F.try_element_at(back, at)))
-        good = F.filter(F.slice(back, at + 1, F.greatest(F.size(back), F.lit(1))), lambda t: ~t.rlike(r"\d") & (region_of(t) == "") & ~in_country(t))
-        named = F.array(city_case(F.try_element_at(good, F.lit(1))), region, country)
-        whole = F.array_join(F.filter(named, lambda t: t != ""), ", ")
-        return let(whole, lambda t: F.when(t != "", t).otherwise(city_case(back[0])))
+        return let(F.reverse(kept), lambda back: let(F.coalesce(F.array_min(F.transform(back, lambda x, i: F.when(x["region"] != "", i + 1))), F.lit(0)), lambda at: composed(back, at)))
 
-    return let(F.reverse(kept), composed)
+    return let(F.transform(tokens, told), read)
 
 
 def place(c: Column, hint: Column | None = None) -> Column:
@@ -125,7 +131,7 @@ def place(c: Column, hint: Column | None = None) -> Column:
 
 def distinct_text(values: Column) -> Column:
     """The array without later values that differ from an earlier one in case only."""
-    return F.filter(values, lambda x, i: F.array_position(F.transform(values, F.lower), F.lower(x)) == i + 1)
+    return F.when(F.size(values) < 2, F.filter(values, lambda x: x.isNotNull())).otherwise(let(F.transform(values, F.lower), lambda low: F.filter(values, lambda x, i: ~F.array_contains(F.slice(low, F.lit(1), i), F.get(low, i)))))
 
 
 def places_list(c: Column, hint: Column | None = None) -> Column:

@@ -17,11 +17,14 @@ INTERNSHIP = (r"\bintern(ship)?s?\b", r"\bco[\s-]?op\b", r"\bstudent\b", r"\bsum
 EXPERIENCED = (r"\bsenior\b", r"\bsr\.?\b", r"\bmanager\b", r"\bdirector\b", r"\bprincipal\b", r"\bstaff\b", r"\blead\b", r"\bhead of\b", r"\bexperienced\b")
 NEW_GRAD = (r"\bnew grad(uate)?s?\b", r"\bgraduate program\b", r"\bearly career\b", r"\bentry[\s-]?level\b", r"\buniversity graduate\b", r"\brecent graduate\b")
 SEASONS = ("Summer", "Fall", "Winter", "Spring")
+#: Unicode's white space.
+SPACES = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+    # Not [0], which works out the type and nullability of all of ``body`` again for every row.
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -35,7 +38,7 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
 
 def strip(c: Column) -> Column:
     """Without white space (Unicode's) at both ends; null becomes ''."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(SPACES))
 
 
 def clean(c: Column) -> Column:

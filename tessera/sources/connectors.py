@@ -18,7 +18,7 @@ from tessera.functions.locations import best_tier, coded_places, distinct_text,
 from tessera.functions.urls import host, netloc
 from tessera.functions.text import MISSING, blank_to, clean, first_text, job_id, job_type, let, once, season, strip
 from tessera.operators.dedupe import first_wins, last_wins
-from tessera.sources.markup import CARD, exploded, listing_cards
+from tessera.sources.markup import page_cards
 
 RECORD = ("id", "company", "title", "location", "type", "season", "source", "url", "date_posted", "date_added", "active")
 #: Fixed value: words that make a posting relevant in searches that match loosely.
@@ -50,13 +50,18 @@ def _rows(landed: DataFrame, source: str) -> DataFrame:
 
 def _icims_rows(landed: DataFrame) -> DataFrame:
     """Rows of both iCIMS forms: jibe's JSON, and the cards of classic pages in its fields, with their ``classic_url``."""
-    page = F.startswith(strip(F.col("payload")), F.lit("<"))
-    jibe = _rows(landed.filter(F.col("payload").isNotNull() & ~page), "icims")
-    jibe = jibe.withColumn("raw", F.col("raw").withField("classic_url", F.lit(None).cast("string")))
-    keep = [c for c in jibe.columns if c not in ("pos", "raw")]
-    cards = exploded(landed.filter(page).select(*keep, "payload"), listing_cards, ("payload",), CARD)
-    raw = F.struct(*((F.col(f.name) if f.name in cards.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in jibe.schema["raw"].dataType.fields))
-    return jibe.unionByName(cards.select(*keep, "pos", raw.alias("raw")))
+    page = F.col("payload").rlike(r"(?U)^\s*<")
+    keep = [c for c in ("company", "career_url", "term", "page", "ord") if c in landed.columns]
+    # Payloads are computed and read once, whatever their form.
+    both = landed.select(*keep, F.from_json(F.when(~page, F.col("payload")), SCHEMAS["icims"]).alias("x"), page_cards(F.when(page, F.col("payload"))).alias("cards"))
+    data = both.schema["x"].dataType["jobs"].dataType.elementType["data"].dataType
+    card = both.schema["cards"].dataType.elementType
+    given = lambda x, i: F.struct(i.alias("pos"), x["data"].alias("data"), F.lit(None).cast(card).alias("card"))
+    carded = lambda x: F.struct(x["pos"].alias("pos"), F.lit(None).cast(data).alias("data"), x.alias("card"))
+    rows = both.select(*keep, F.inline(F.coalesce(F.transform("cards", carded), F.transform("x.jobs", given)))).filter("data IS NOT NULL OR card IS NOT NULL")
+    names = [*data.names, "classic_url"]
+    fields = [F.coalesce(*(F.col(f"{part}.{k}") for part, t in (("data", data), ("card", card)) if k in t.names)).alias(k) for k in names]
+    return rows.select(*keep, "pos", F.struct(*fields).alias("raw"))
 
 
 def facet_terms(landed: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from tessera.sources.connectors import SCHEMAS, raw_key, with_details
 EQUIVALENT = (("intern", "internship"), ("co-op", "coop", "co op"), ("student", "summer student"), ("new grad", "new graduate"))
 _DETAIL_KEYS = ("locations", "location", "primaryLocation", "primaryLocationDescriptor", "locationsText", "additionalLocations")
 _TEXT_KEYS = ("displayName", "descriptor", "location", "primaryLocation", "primaryLocationDescriptor", "locationsText")
+_OBJECT_KEYS = (*_TEXT_KEYS, "city", "region", "state", "province", "country", "countryName", "countryDescriptor")
 
 
 def _plain(term: str) -> str:
@@ -123,10 +124,17 @@ def postings(spark: SparkSession, landed: DataFrame, terms: list[str], details:
 
 def _texts_of(value: Column) -> Column:
     """Texts of a JSON value: a string as it is, an object's named texts and its city, region and country."""
-    get = lambda k: F.nullif(strip(F.when(~F.coalesce(F.get_json_object(value, f"$.{k}").rlike(r"^[\[{]"), F.lit(False)), F.get_json_object(value, f"$.{k}"))), F.lit(""))
-    place = F.when(get("city").isNotNull(), F.concat_ws(", ", get("city"), F.coalesce(get("region"), get("state"), get("province")), F.coalesce(get("country"), get("countryName"), get("countryDescriptor"))))
-    named = F.filter(F.array(*map(get, _TEXT_KEYS), place), lambda t: t.isNotNull())
-    return F.when(F.startswith(value, F.lit("{")), named).when(strip(value) != "", F.array(strip(value))).otherwise(F.array().cast("array<string>"))
+
+    def named(x: Column) -> Column:
+        region, country = F.coalesce(x["region"], x["state"], x["province"]), F.coalesce(x["country"], x["countryName"], x["countryDescriptor"])
+        place = F.when(x["city"].isNotNull(), F.concat_ws(", ", x["city"], region, country))
+        return F.filter(F.array(*(x[k] for k in _TEXT_KEYS), place), lambda t: t.isNotNull())
+
+    plain = lambda c: F.nullif(strip(F.when(~F.coalesce(c.rlike(r"^[\[{]"), F.lit(False)), c)), F.lit(""))
+    # The object is parsed once.
+    parsed = F.from_json(value, ", ".join(f"{k} string" for k in _OBJECT_KEYS))
+    told = let(parsed, lambda x: let(F.struct(*(plain(x[k]).alias(k) for k in _OBJECT_KEYS)), named))
+    return F.when(F.startswith(value, F.lit("{")), told).when(strip(value) != "", F.array(strip(value))).otherwise(F.array().cast("array<string>"))
 
 
 def _found(text: Column) -> Column:
@@ -140,6 +148,13 @@ def detail_locations(payload: Column) -> Column:
     The posting's own fields; where they say nothing, the requisition's and the organisation's.
     """
     empty = F.array().cast("array<string>")
-    own = F.concat(*(F.coalesce(_found(F.get_json_object(payload, f"$.jobPostingInfo.{k}")), empty) for k in _DETAIL_KEYS))
-    other = F.concat(F.coalesce(_found(F.get_json_object(payload, "$.jobPostingInfo.jobRequisitionLocation")), empty), F.coalesce(_found(F.get_json_object(payload, "$.hiringOrganization")), empty))
-    return let(let(F.struct(own.alias("own"), other.alias("other")), lambda x: F.when(F.size(x["own"]) > 0, x["own"]).otherwise(x["other"])), distinct_text)
+    # The payload is parsed once; what a field holds stays JSON text.
+    parsed = F.from_json(payload, "jobPostingInfo struct<" + ", ".join(f"{k}: string" for k in (*_DETAIL_KEYS, "jobRequisitionLocation")) + ">, hiringOrganization string")
+    texts = lambda c: F.coalesce(_found(c), empty)
+
+    def first(x: Column) -> Column:
+        info = x["jobPostingInfo"]
+        own = F.concat(*(texts(info[k]) for k in _DETAIL_KEYS))
+        return let(own, lambda o: F.when(F.size(o) > 0, o).otherwise(F.concat(texts(info["jobRequisitionLocation"]), texts(x["hiringOrganization"]))))
+
+    return let(let(parsed, first), distinct_text)

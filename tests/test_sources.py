@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import cli
-from tessera.functions import dates, text
+from tessera.functions import dates, locations, text
 from tessera.operators import detect
 from tessera.operators.dedupe import greedy, numbered_names
 from tessera.operators.graph import components
@@ -361,3 +361,26 @@ def test_snapshots_stay_in_their_buckets(spark, tmp_path):
                 bucketed += "Bucketed: true" in line
                 assert not [x for _, x in path if x.startswith("Exchange")], line
         assert bucketed
+
+
+def test_places_and_details_spell_each_step_out_a_few_times(spark):
+    def times(column, name):
+        plan = spark.range(1).select(F.lit("x").alias("t")).select(column)._jdf.queryExecution().analyzed().toString()
+        return plan.count(name)
+
+    assert times(workday.detail_locations(F.col("t")), "get_json_object") == 0 and times(workday.detail_locations(F.col("t")), "from_json") < 40
+    assert times(locations.coded_places(F.col("t")), "regexp_replace") <= 4
+    white = "".join(chr(i) for i in range(0x3001) if chr(i).isspace() and not 0x1C <= i <= 0x1F)
+    rows = spark.createDataFrame([(white + "a" + white + "b" + white,), ("​ a\x1c",), (white,), (None,)], "t string")
+    assert [r[0] for r in rows.select(text.strip(F.col("t"))).collect()] == ["a" + white + "b", "​ a\x1c", "", ""]
+    lists = spark.createDataFrame([(["A", "b", "a", "B", "c"],), (["x"],), ([],)], "l array<string>")
+    assert [r[0] for r in lists.select(locations.distinct_text(F.col("l"))).collect()] == [["A", "b", "c"], ["x"], []]
+
+
+def test_both_forms_of_icims_are_read_in_one_pass(spark):
+    card = '<li class="iCIMS_JobCardItem"><a href="https://x.icims.com/jobs/7/dev/job"><h3>Dev Intern</h3></a></li>'
+    rows = [("a", "u", '{"jobs": [{"data": {"slug": "s", "title": "Intern"}}, {"data": null}]}', 0), ("b", "u", "  " + card, 1), ("c", "u", None, 2), ("d", "u", "no", 3)]
+    landed = spark.createDataFrame(rows, "company string, career_url string, payload string, ord int")
+    found = connectors.envelope(landed, "icims").select("company", "key", "raw.title", "raw.classic_url")
+    assert sorted(map(tuple, found.collect())) == [("a", "s", "Intern", None), ("b", "7", "Dev Intern", "https://x.icims.com/jobs/7/dev/job")]
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
