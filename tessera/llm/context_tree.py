@@ -24,6 +24,8 @@ from tessera.llm.shared import discard, written
 END = 10
 #: Bytes of normal text in a chunk, and in what is looked at at once within it; a longer text stands alone.
 CHUNK_BYTES, PIECE_BYTES = 48 << 20, 2 << 20
+#: Keys of a chunk's pieces that wait before equal ones are summed, and keys that leave a task in one batch.
+HELD_KEYS, SENT_KEYS = 1 << 20, 1 << 18
 #: The tree is cut at contexts of so many bytes: at most 256 ** (depth + 1 - CUT) byte keys lie beyond one of them.
 CUT = 3
 #: Byte keys of the part of the tree that one call works on, about.
@@ -119,7 +121,7 @@ def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
     """(chunk, key, n): every key that a chunk holds, and how often in texts to learn from."""
 
     def of_chunk(data, size, held):
-        found, first = [], 0
+        found, first, waiting = [], 0, 0
         for text, ends in pieces(data, size):
             train = ~np.array(held[first : first + len(ends)], bool)
             first += len(ends)
@@ -127,6 +129,9 @@ def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
             words, offsets = word_keys(text, ends)
             found.append(counted(words, np.repeat(train, np.diff(offsets))))
             found.append((np.array([END_KEY]), np.array([train.sum()])))
+            waiting += sum(len(keys) for keys, _ in found[-3:])
+            if waiting >= max(HELD_KEYS, len(found[0][0])):  # so that a chunk's sums stay in proportion to its keys
+                found, waiting = [summed(*(np.concatenate(x) for x in zip(*found, strict=True)))], 0
         return summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     def run(batches):
@@ -134,7 +139,9 @@ def key_counts(chunks: DataFrame, depth: int) -> DataFrame:
             for row in range(batch.num_rows):
                 chunk, held, size, data = (batch.column(x)[row].as_py() for x in ("chunk", "held", "size", "data"))
                 keys, counts = of_chunk(data, size, held)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], names=["chunk", "key", "n"])
+                for at in range(0, len(keys), SENT_KEYS):
+                    k, n = keys[at : at + SENT_KEYS], counts[at : at + SENT_KEYS]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(n)], names=["chunk", "key", "n"])
 
     return written(chunks.mapInArrow(w.releasing(run), "chunk bigint, key bigint, n bigint"), "keys", codec="zstd")
 

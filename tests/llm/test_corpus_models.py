@@ -255,3 +255,12 @@ def test_a_byte_sees_only_its_own_text():
             want += [int.from_bytes(padded[i : i + depth + 1], "big") for i in range(end - start)]
             start = end
         assert context_tree.byte_keys(np.frombuffer(text, np.uint8), ends, depth).tolist() == want
+
+
+def test_counts_of_a_chunk_do_not_depend_on_what_waits_or_is_sent_at_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words {i % 7} and more {i}" * 40) for i in range(60)], "doc_id bigint, text string").coalesce(1)
+    chunks = context_tree.chunked(docs, F.col("doc_id") % 5 == 1)
+    want = sorted(map(tuple, context_tree.key_counts(chunks, 5).collect()))
+    for name, value in (("PIECE_BYTES", 2_000), ("HELD_KEYS", 300), ("SENT_KEYS", 70)):
+        monkeypatch.setattr(context_tree, name, value)
+    assert sorted(map(tuple, context_tree.key_counts(chunks, 5).collect())) == want
