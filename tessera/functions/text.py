@@ -101,7 +101,9 @@ def season(title: Column) -> Column:
         after, before = (F.nullif(F.regexp_extract(t, p, 1), F.lit("")) for p in (rf"(?iU)\b{s}\b\s+(20\d{{2}})", rf"(?iU)\b(20\d{{2}})\s+\b{s}\b"))
         dated.append(F.when(F.coalesce(after, before).isNotNull(), F.concat_ws(" ", F.lit(s), F.coalesce(after, before))))
         plain.append(F.when(t.rlike(rf"(?iU)\b{s}\b"), F.lit(s)))
-    return F.coalesce(*dated, *plain, F.nullif(F.regexp_extract(t, r"(?U)\b(20\d{2})\b", 1), F.lit("")), F.lit(MISSING))
+    told = F.coalesce(*dated, *plain, F.nullif(F.regexp_extract(t, r"(?U)\b(20\d{2})\b", 1), F.lit("")), F.lit(MISSING))
+    # Most titles name neither: one pattern tells so before each is looked for.
+    return F.when(t.rlike(rf"(?iU)\b(?:{'|'.join(SEASONS)}|20\d{{2}})\b"), told).otherwise(F.lit(MISSING))
 
 
 def job_id(source: Column, company: Column, path: Column, raw_id: Column, title: Column, location: Column, url: Column) -> Column:

@@ -109,7 +109,7 @@ def fetch(configs: DataFrame, landed: DataFrame, as_of: str) -> Fetched:
         raws.append(Observation())
         # Payloads are parsed once: what comes out is counted while it is written.
         rows = checkpointed(handler.envelope(payloads).observe(raws[-1], F.count(F.lit(1)).alias("n")))
-        parts.append(handler.normalise(rows, as_of))
+        parts.append((handler.normalise_stored or handler.normalise)(rows, as_of))
     order = F.struct(F.lit(1).alias("late"), F.col("at.ord").alias("ord"), F.col("at.pos").alias("pos"), "source").cast(_ORDER)
     records = reduce(DataFrame.unionByName, parts).withColumn("ord", order).drop("at")
     failed = landed.filter(~F.coalesce("ok", F.lit(True))).select("source", "company").distinct().withColumn("failed", F.lit(True))

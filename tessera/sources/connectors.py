@@ -129,9 +129,31 @@ def with_details(rows: DataFrame, details: DataFrame, *, order: list[str], most:
     return ranked.withColumn("_path", path).join(found, ["company", "_path"], "left").drop("_needy", "_rank", "_path")
 
 
-def _record(rows: DataFrame, source: str, title: Column, kind: Column, location: Column, url: Column, posted: Column, path: Column, raw_id: Column, as_of: str) -> DataFrame:
+#: What of a raw row its location is read from.
+_PLACED = {
+    "ashby": ("address", "location", "secondaryLocations", "isRemote", "workplaceType"),
+    "greenhouse": ("location",),
+    "lever": ("workplaceType", "country", "categories"),
+    "icims": ("multipleLocations", "full_location", "location_name", "short_location", "city", "state", "country"),
+    "oracle_hcm": ("PrimaryLocation",),
+    "smartrecruiters": ("location",),
+    "rippling": ("locations",),
+    "workable": ("remote", "workplace", "locations", "location"),
+    "workday": ("locations", "primaryLocation", "primaryLocationDescriptor", "locationsText"),
+}
+
+
+def _located(rows: DataFrame, source: str, location: Column) -> DataFrame:
+    """``rows`` with ``_location``, read once for all rows that tell the same; it is joined back by what they tell."""
+    told = [F.struct(*(F.col("raw")[c].alias(c) for c in _PLACED[source])).alias("raw"), *(["detail_locations"] if "detail_locations" in rows.columns else [])]
+    found = rows.select(*told).distinct().select(F.struct("*").alias("_told"), location.alias("_location"))
+    return rows.withColumn("_tells", F.struct(*told)).join(found, F.col("_tells") == F.col("_told"), "left").drop("_tells", "_told")
+
+
+def _record(rows: DataFrame, source: str, title: Column, kind: Column, location: Column, url: Column, posted: Column, path: Column, raw_id: Column, as_of: str, stored: bool = False) -> DataFrame:
+    rows = _located(rows, source, location) if stored else rows
     rows = once(rows.withColumns({"_title": title, "_url": url}), "type", kind).filter("type IS NOT NULL")
-    rows = once(rows, "_location", location)
+    rows = rows if stored else once(rows, "_location", location)
     company = blank_to(F.col("company"), "Unknown")
     at = [F.struct("ord", "pos").alias("at")] if {"ord", "pos"} <= set(rows.columns) else []
     return rows.select(
@@ -193,10 +215,11 @@ def _raw_places(all_: Column, part: Callable[[Column], Column]) -> Column:
     return joined(let(F.filter(F.transform(F.coalesce(all_, F.array()), part), lambda x: x != ""), distinct_text))
 
 
-def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
+def normalise(rows: DataFrame, source: str, as_of: str, *, stored: bool = False) -> DataFrame:
     """RECORD rows of an envelope's rows, with ``at``, their place; rows that are neither internship nor new grad go.
 
-    JSON nulls count as missing.  ``as_of`` (ISO date) becomes ``date_added``.
+    JSON nulls count as missing.  ``as_of`` (ISO date) becomes ``date_added``.  Rows that are ``stored``, and so cheap to
+    read twice, have their different locations read once each.
     """
     r, career = F.col("raw"), F.col("career_url")
     t = F.col("_title")
@@ -205,29 +228,29 @@ def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
     title = lambda c: blank_to(c, "Unknown")
     if source == "ashby":
         kind = F.coalesce(job_type(t), F.when(F.lower(strip(r["employmentType"])) == "intern", "internship"))
-        return _record(rows, source, title(r["title"]), kind, _ashby(r), link(r["jobUrl"], r["applyUrl"]), iso_date(r["publishedAt"]), none, r["id"], as_of)
+        return _record(rows, source, title(r["title"]), kind, _ashby(r), link(r["jobUrl"], r["applyUrl"]), iso_date(r["publishedAt"]), none, r["id"], as_of, stored)
     if source == "greenhouse":
         named = F.coalesce(F.get_json_object(r["location"], "$.name"), F.when(~F.startswith(r["location"], F.lit("{")), r["location"]))
-        return _record(rows, source, title(r["title"]), job_type(t), places(named), link(r["absolute_url"]), F.coalesce(iso_date(r["first_published"]), iso_date(r["updated_at"])), none, r["id"], as_of)
+        return _record(rows, source, title(r["title"]), job_type(t), places(named), link(r["absolute_url"]), F.coalesce(iso_date(r["first_published"]), iso_date(r["updated_at"])), none, r["id"], as_of, stored)
     if source == "lever":
-        return _record(rows, source, title(r["text"]), job_type(t), _lever(r), link(r["hostedUrl"], r["applyUrl"]), epoch_date(r["createdAt"]), none, r["id"], as_of)
+        return _record(rows, source, title(r["text"]), job_type(t), _lever(r), link(r["hostedUrl"], r["applyUrl"]), epoch_date(r["createdAt"]), none, r["id"], as_of, stored)
     if source == "icims":
         kind = F.coalesce(job_type(t), F.when(F.lower(strip(r["employment_type"])) == "intern", "internship"))
         several = F.array_join(F.filter(F.transform(F.coalesce(r["multipleLocations"], F.array()), lambda m: F.array_join(_texts(m["city"], m["state"], m["country"]), ", ")), lambda t: t != ""), " / ")
         where = first_text(several, r["full_location"], r["location_name"], r["short_location"], F.array_join(_texts(r["city"], r["state"], r["country"]), ", "), default="")
         own = F.when(netloc(career) != "", F.concat(F.lit("https://"), host(career), F.lit("/jobs/"), first_text(r["slug"], r["req_id"], default=""), F.lit("?lang=en-us&icims=1")))
-        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(r["classic_url"], own), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of)
+        return _record(rows, source, title(r["title"]), kind, coded_places(where), link(r["classic_url"], own), posted_date(first_text(r["posted_date"], r["create_date"])), none, first_text(r["slug"], r["req_id"], default=""), as_of, stored)
     if source == "oracle_hcm":
         url = F.when(strip(r["Id"]) != "", F.concat(F.regexp_replace(career, "/+$", ""), F.lit("/job/"), strip(r["Id"])))
-        return _record(rows, source, title(r["Title"]), job_type(t), places(r["PrimaryLocation"]), link(url), iso_date(r["PostedDate"]), none, r["Id"], as_of)
+        return _record(rows, source, title(r["Title"]), job_type(t), places(r["PrimaryLocation"]), link(url), iso_date(r["PostedDate"]), none, r["Id"], as_of, stored)
     if source == "smartrecruiters":
         label = lambda s: F.lower(first_text(s["label"], s["id"], default=""))
         kind = F.coalesce(job_type(t), F.when(F.contains(label(r["typeOfEmployment"]), F.lit("intern")) | F.contains(label(r["experienceLevel"]), F.lit("internship")), "internship"))
         url = F.concat(F.regexp_replace(career, "/+$", ""), F.lit("/"), r["id"])
-        return _record(rows, source, title(r["name"]), kind, _smart(r), link(url), iso_date(r["releasedDate"]), none, r["id"], as_of)
+        return _record(rows, source, title(r["name"]), kind, _smart(r), link(url), iso_date(r["releasedDate"]), none, r["id"], as_of, stored)
     if source == "rippling":
         part = lambda p: first_text(p["name"], F.array_join(_texts(p["city"], first_text(p["stateCode"], p["state"]), p["country"]), ", "), default="")
-        return _record(rows, source, title(r["name"]), job_type(t), _raw_places(r["locations"], part), link(r["url"]), F.lit(None).cast("string"), none, r["id"], as_of)
+        return _record(rows, source, title(r["name"]), job_type(t), _raw_places(r["locations"], part), link(r["url"]), F.lit(None).cast("string"), none, r["id"], as_of, stored)
     if source == "workable":
         part = lambda p: F.array_join(_texts(p["city"], p["region"], p["country"]), ", ")
         shown = F.filter(F.coalesce(r["locations"], F.array()), lambda p: ~F.coalesce(p["hidden"], F.lit(False)))
@@ -236,7 +259,7 @@ def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
         where = _raw_places(listed, part)
         where = F.when(away, F.when(where == MISSING, "Remote").otherwise(F.concat(F.lit("Remote, "), where))).otherwise(where)
         url = F.concat(F.regexp_replace(career, "/+$", ""), F.lit("/j/"), first_text(r["shortcode"], r["id"]), F.lit("/"))
-        return _record(rows, source, title(r["title"]), job_type(t), where, link(url), iso_date(r["published"]), none, first_text(r["id"], r["shortcode"], default=""), as_of)
+        return _record(rows, source, title(r["title"]), job_type(t), where, link(url), iso_date(r["published"]), none, first_text(r["id"], r["shortcode"], default=""), as_of, stored)
     if source == "workday":
         text = lambda c: F.coalesce(F.get_json_object(c, "$.descriptor"), F.get_json_object(c, "$.displayName"), F.when(~F.startswith(c, F.lit("{")), c))
         detail = F.coalesce(F.col("detail_locations"), F.array()) if "detail_locations" in rows.columns else F.array().cast("array<string>")
@@ -244,7 +267,7 @@ def normalise(rows: DataFrame, source: str, as_of: str) -> DataFrame:
         where = best_tier(detail, listed, _texts(text(r["primaryLocation"])), _texts(text(r["primaryLocationDescriptor"])), _texts(r["locationsText"]))
         path = strip(r["externalPath"])
         url = F.when((path != "") & (strip(career) != ""), F.concat(strip(career), F.when(F.startswith(path, F.lit("/")), "").otherwise("/"), path))
-        return _record(rows, source, title(r["title"]), job_type(t), where, F.coalesce(url, blank_to(career, MISSING)), F.when(strip(r["postedOn"]) != "", r["postedOn"]), r["externalPath"], r["id"], as_of)
+        return _record(rows, source, title(r["title"]), job_type(t), where, F.coalesce(url, blank_to(career, MISSING)), F.when(strip(r["postedOn"]) != "", r["postedOn"]), r["externalPath"], r["id"], as_of, stored)
     raise ValueError(f"unknown source {source}")
 
 
@@ -254,9 +277,11 @@ class Handler:
 
     envelope: Callable[[DataFrame], DataFrame]
     normalise: Callable[[DataFrame, str], DataFrame]
+    #: The same of raw rows that were written before, if there is a cheaper way.
+    normalise_stored: Callable[[DataFrame, str], DataFrame] | None = None
 
 
-REGISTRY: dict[str, Handler] = {k: Handler(lambda d, k=k: envelope(d, k), lambda d, as_of, k=k: normalise(d, k, as_of)) for k in SCHEMAS}
+REGISTRY: dict[str, Handler] = {k: Handler(lambda d, k=k: envelope(d, k), lambda d, as_of, k=k: normalise(d, k, as_of), lambda d, as_of, k=k: normalise(d, k, as_of, stored=True)) for k in SCHEMAS}
 
 
 def register(source: str, handler: Handler) -> None:
